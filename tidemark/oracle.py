@@ -282,3 +282,134 @@ select user_id, state, valid_from, valid_to, valid_to is null as is_current from
 """,
     "as_of_join": AS_OF,
 }
+
+
+# --- data quality ------------------------------------------------------------
+DOMAIN_HISTORY = f"""
+select user_id, lower(trim(email)) as email, upper(country_code) as country_code, signup_channel, kyc_status,
+       updated_at as valid_from, cast(null as timestamp) as valid_to, true as is_current
+from (select *, row_number() over (partition by user_id order by updated_at desc) as _rn
+      from ({BRONZE_USERS}) b) s where _rn = 1
+"""
+
+MODEL_SQL = {
+    "stg_users": STG_USERS,
+    "stg_wallets": STG_WALLETS,
+    "stg_transactions": STG_TRANSACTIONS,
+    "dim_users": DIM_USERS,
+    "dim_users_history": DOMAIN_HISTORY,
+    "dim_wallets": DIM_WALLETS,
+    "fact_transactions": FACT,
+    "bronze_wallets": BRONZE_WALLETS,
+    "customer": "select * from customer",
+    "lineitem": "select * from lineitem",
+    "events_history": f"select *, valid_to is null as is_current from ({SCD2_APPLY}) h",
+}
+
+
+def _lit(v) -> str:
+    return f"'{v}'" if isinstance(v, str) else str(v)
+
+
+def check_sql(c) -> str:
+    """Failures of one declared check, as plain SQL over the model's SQL."""
+    base = f"({MODEL_SQL[c.model]}) m"
+    col = f"m.{c.column}"
+    if c.kind == "not_null":
+        fails = f"select count(*) filter (where {col} is null) as failures from {base}"
+    elif c.kind == "accepted_values":
+        vals = ", ".join(_lit(v) for v in c.values)
+        fails = f"select count(*) filter (where {col} is not null and {col} not in ({vals})) as failures from {base}"
+    elif c.kind == "range":
+        fails = f"select count(*) filter (where {col} is not null and {col} < {_lit(c.min_value)}) as failures from {base}"
+    elif c.kind in ("unique", "at_most_one"):
+        extra = f" and m.{c.where}" if c.where else ""
+        fails = (f"select count(*) as failures from (select {col} from {base} where {col} is not null{extra} "
+                 f"group by {col} having count(*) > 1) x")
+    elif c.kind == "relationships":
+        fails = (f"select count(*) as failures from {base} where {col} is not null and not exists "
+                 f"(select 1 from ({MODEL_SQL[c.to]}) p where p.{c.field} = {col})")
+    else:
+        raise ValueError(c.kind)
+    return (f"select '{c.unique_id}' as unique_id, '{c.kind}' as kind, '{c.model}' as model, "
+            f"'{c.column}' as column_name, cast(failures as bigint) as failures, "
+            f"case when failures > 0 then 'fail' else 'pass' end as status, "
+            f"case when failures > 0 then printf('Got %d results, configured to fail if != 0', failures) end "
+            f"as message from ({fails}) f")
+
+
+def checks_sql(checks) -> str:
+    return "\nunion all\n".join(check_sql(c) for c in checks)
+
+
+FAILURE_SET = "('fail', 'error', 'runtime error')"
+
+
+def summary_sql(checks) -> str:
+    return (f"select lower(coalesce(status, '')) as status, count(*) as n from ({checks_sql(checks)}) r "
+            f"group by 1")
+
+
+def failures_sql(checks) -> str:
+    return (f"select unique_id, lower(coalesce(status, '')) as status, "
+            f"substr(trim(coalesce(message, '')), 1, 500) as message, cast(0.0 as double) as execution_time "
+            f"from ({checks_sql(checks)}) r where lower(coalesce(status, '')) in {FAILURE_SET}")
+
+
+def alert_sql(checks, invocation_id: str = "suite", top_n: int = 10) -> str:
+    return f"""
+with norm as (select unique_id, lower(coalesce(status, '')) as status,
+                     substr(trim(coalesce(message, '')), 1, 500) as message from ({checks_sql(checks)}) r),
+hist as (select status, count(*) as n from norm group by status),
+f as (select * from norm where status in {FAILURE_SET}),
+top as (select rk, printf('- `%s` - *%s*: %s', unique_id, status, message) as line
+        from (select *, row_number() over (order by unique_id) as rk from f) x where rk <= {top_n}),
+agg as (select (select count(*) from f) as failed,
+               (select string_agg(printf('%s=%d', status, n), ', ' order by status) from hist) as counts,
+               (select string_agg(line, chr(10) order by rk) from top) as lines)
+select failed,
+       case when failed > 0 then concat('*checks failed* ({invocation_id})', chr(10), chr(10), 'Status counts: ',
+            counts, chr(10), chr(10), lines,
+            case when failed > {top_n} then concat(chr(10), printf('... and %d more', failed - {top_n})) else '' end)
+       end as text
+from agg
+"""
+
+
+def freshness_sql(as_of: str) -> str:
+    parts = [("events", "ts", "select * from events"), ("users", "updated_at", BRONZE_USERS),
+             ("wallets", "updated_at", BRONZE_WALLETS), ("transactions", "updated_at", BRONZE_TRANSACTIONS)]
+    maxes = "\nunion all\n".join(f"select '{n}' as source, max({c}) as max_loaded_at from ({q}) s"
+                                 for n, c, q in parts)
+    age = f"cast((epoch_us(timestamp '{as_of}') - epoch_us(max_loaded_at)) as double) / 1000000"
+    return f"""
+select source, max_loaded_at, {age} as age_seconds,
+       case when max_loaded_at is null then 'error' when {age} > 86400 then 'error'
+            when {age} > 21600 then 'warn' else 'pass' end as status
+from ({maxes}) x
+"""
+
+
+def _quality_oracles() -> dict[str, str]:
+    from tidemark.operators.quality import Check
+    from tidemark.plans import suite
+    one_open = [Check("at_most_one", "dim_users_history", "user_id", where="is_current",
+                      name="assert_one_current_row_per_user"),
+                Check("at_most_one", "events_history", "user_id", where="is_current",
+                      name="assert_one_current_row_per_events_user")]
+    return {
+        "dq_not_null": checks_sql(suite.NOT_NULL),
+        "dq_unique": checks_sql(suite.UNIQUE + [c for c in suite.FAILING if c.kind == "unique"]),
+        "dq_accepted_values": checks_sql(suite.ACCEPTED + [c for c in suite.FAILING if c.kind == "accepted_values"]),
+        "dq_relationships": checks_sql(suite.RELATIONSHIPS),
+        "dq_one_open_version": checks_sql(one_open),
+        "dq_non_negative": checks_sql([c for c in suite.SINGULAR if c.kind == "range"]
+                                      + [c for c in suite.FAILING if c.kind == "range"]),
+        "dq_freshness": freshness_sql("2024-01-31 08:00:00"),
+        "dq_summary": summary_sql(suite.ALL),
+        "dq_failures": failures_sql(suite.ALL),
+        "dq_alert_top": alert_sql(suite.ALL),
+    }
+
+
+ORACLE.update(_quality_oracles())

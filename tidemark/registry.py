@@ -247,6 +247,84 @@ def q_as_of_join(spark, sf):
     return as_of_join(facts, hist, USER_KEY, "ts", ["state"], how="left")
 
 
+# ---------------------------------------------------------------------------
+# data quality and monitoring
+# ---------------------------------------------------------------------------
+
+def _checks(spark, sf, checks):
+    from tidemark.operators.quality import run_checks
+    from tidemark.plans import suite
+    return run_checks(suite.models(Domain(spark, sf)), checks)
+
+
+def q_dq_not_null(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, suite.NOT_NULL)
+
+
+def q_dq_unique(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, suite.UNIQUE + [c for c in suite.FAILING if c.kind == "unique"])
+
+
+def q_dq_accepted_values(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, suite.ACCEPTED + [c for c in suite.FAILING if c.kind == "accepted_values"])
+
+
+def q_dq_relationships(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, suite.RELATIONSHIPS)
+
+
+def q_dq_one_open_version(spark, sf):
+    from tidemark.operators.quality import Check, run_checks
+    hist = with_is_current(q_scd2_apply(spark, sf))
+    d = Domain(spark, sf)
+    checks = [Check("at_most_one", "dim_users_history", "user_id", where="is_current",
+                    name="assert_one_current_row_per_user"),
+              Check("at_most_one", "events_history", "user_id", where="is_current",
+                    name="assert_one_current_row_per_events_user")]
+    return run_checks({"dim_users_history": d.dim_users_history, "events_history": hist}, checks)
+
+
+def q_dq_non_negative(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, [c for c in suite.SINGULAR if c.kind == "range"]
+                   + [c for c in suite.FAILING if c.kind == "range"])
+
+
+FRESHNESS_AS_OF = "2024-01-31 08:00:00"
+
+
+def q_dq_freshness(spark, sf):
+    from tidemark.operators.quality import freshness
+    d = Domain(spark, sf)
+    sources = {"events": (d.t.events, "ts"), "users": (d.bronze_users, "updated_at"),
+               "wallets": (d.bronze_wallets, "updated_at"), "transactions": (d.bronze_transactions, "updated_at")}
+    return freshness(sources, F.lit(FRESHNESS_AS_OF).cast("timestamp_ntz"))
+
+
+def _suite_results(spark, sf):
+    from tidemark.plans import suite
+    return _checks(spark, sf, suite.ALL)
+
+
+def q_dq_summary(spark, sf):
+    from tidemark.plans.monitoring import status_counts
+    return status_counts(_suite_results(spark, sf))
+
+
+def q_dq_alert_top(spark, sf):
+    from tidemark.plans.monitoring import alert
+    return alert(_suite_results(spark, sf), invocation_id="suite")
+
+
+def q_dq_failures(spark, sf):
+    from tidemark.plans.monitoring import failures
+    return failures(_suite_results(spark, sf))
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -275,4 +353,14 @@ REGISTRY: dict[str, Query] = {
     "scd2_from_log": q_scd2_from_log,
     "dim_users_history": q_dim_users_history,
     "as_of_join": q_as_of_join,
+    "dq_not_null": q_dq_not_null,
+    "dq_unique": q_dq_unique,
+    "dq_accepted_values": q_dq_accepted_values,
+    "dq_relationships": q_dq_relationships,
+    "dq_one_open_version": q_dq_one_open_version,
+    "dq_non_negative": q_dq_non_negative,
+    "dq_freshness": q_dq_freshness,
+    "dq_summary": q_dq_summary,
+    "dq_failures": q_dq_failures,
+    "dq_alert_top": q_dq_alert_top,
 }
