@@ -413,3 +413,36 @@ def _quality_oracles() -> dict[str, str]:
 
 
 ORACLE.update(_quality_oracles())
+
+
+# --- scenarios, API bodies, landing and streams -------------------------------
+ORACLE.update({
+    "scd2_reconcile": f"""
+with u as (select * from (select *, row_number() over (partition by user_id order by updated_at desc) as _rn
+                          from ({BRONZE_USERS}) b) x where _rn = 1),
+chosen as (select user_id from u where kyc_status = 'pending' order by user_id limit 25),
+m as (select u.user_id, case when c.user_id is not null then timestamp '2030-01-01 00:00:00'
+                             else u.updated_at end as updated_at
+      from u left join chosen c on u.user_id = c.user_id),
+v as (select user_id from u
+      union all
+      select m.user_id from m join u on m.user_id = u.user_id where m.updated_at > u.updated_at),
+per_key as (select user_id, count(*) as versions from v group by user_id)
+select versions, count(*) as users from per_key group by versions
+""",
+    "api_flatten": """
+select cast(o_custkey as varchar) as address, 'ethereum' as chain, cast(o_orderkey as varchar) as hash,
+       cast(o_custkey as varchar) as from_address, o_orderpriority as to_address,
+       cast(o_totalprice as decimal(18,2)) as value, o_orderdate as time_stamp
+from orders where o_custkey % 10 <> 0
+""",
+    "api_quarantine": """
+with n as (select o_custkey, cast(ceil(count(*) / 200.0) as bigint) as pages from orders group by o_custkey)
+select distinct cast(o.o_custkey as varchar) as address, o.o_orderkey % n.pages as page, '0' as status,
+       'NOTOK' as message, 'api_error' as reason
+from orders o join n on o.o_custkey = n.o_custkey where o.o_custkey % 10 = 0
+""",
+    "cdc_land_and_scan": CHANGES,
+    "stream_append": f"select * from ({CHANGES}) c where _cdc_op <> 'd'",
+    "stream_upsert": COMPACT_PUBLISHED,
+})

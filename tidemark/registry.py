@@ -325,6 +325,91 @@ def q_dq_failures(spark, sf):
     return failures(_suite_results(spark, sf))
 
 
+# ---------------------------------------------------------------------------
+# scenarios, landing, API bodies, streaming
+# ---------------------------------------------------------------------------
+RECONCILE_AT = "2030-01-01 00:00:00"
+
+
+def q_scd2_reconcile(spark, sf):
+    from tidemark.plans.scenarios import promote_pending, versions_histogram
+    d = Domain(spark, sf)
+    snap1 = scd2_apply(None, d.bronze_users, USER_KEY)
+    mutated = promote_pending(d.bronze_users, 25, F.lit(RECONCILE_AT).cast("timestamp_ntz"))
+    snap2 = scd2_apply(snap1, mutated, USER_KEY)
+    return versions_histogram(snap2)
+
+
+def q_api_flatten(spark, sf):
+    from tidemark.sources.landing import flatten_api_bodies
+    rows, _ = flatten_api_bodies(fixtures.api_bodies(Tables(spark, sf)))
+    return rows.select(
+        "address", "chain", "hash", F.col("from").alias("from_address"), F.col("to").alias("to_address"),
+        F.col("value").try_cast(DEC_USD).alias("value"),
+        F.to_timestamp_ntz(F.col("timeStamp")).alias("time_stamp"))
+
+
+def q_api_quarantine(spark, sf):
+    from tidemark.sources.landing import flatten_api_bodies
+    _, rejected = flatten_api_bodies(fixtures.api_bodies(Tables(spark, sf)))
+    return rejected.select("address", "page", "status", "message", "reason")
+
+
+def _envelope_schema():
+    from pyspark.sql import types as T
+    from tidemark.schemas import envelope
+    image = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                          T.StructField("value", T.DoubleType()), T.StructField("k", T.LongType())])
+    return envelope(image)
+
+
+def _landed_events(t: Tables) -> DataFrame:
+    from tidemark.sources.landing import landing_frame
+    env = fixtures.change_log(t)
+    return landing_frame(env, F.col("ts")).drop("ts")
+
+
+def q_cdc_land_and_scan(spark, sf):
+    """Land the change log as partitioned JSON, scan it back with the schema."""
+    from tidemark.sources.landing import read_cdc, write_landing
+    from tidemark.streaming.jobs import job_folder
+    root = job_folder(spark, "landing")
+    write_landing(_landed_events(Tables(spark, sf)), root)
+    env = read_cdc(spark, root, "users", _envelope_schema())
+    valid, _ = cdc.split_valid(env, USER_KEY)
+    return _state_cols(cdc.flatten(valid, USER_KEY, CHANGE_COLS))
+
+
+def _land_in_two_steps(spark, sf, root, run):
+    from tidemark.sources.landing import write_landing
+    landed = _landed_events(Tables(spark, sf))
+    split_ms = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"),
+                                F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
+    write_landing(landed.where(F.col("ts_ms") < split_ms), root)
+    run()
+    write_landing(landed.where(F.col("ts_ms") >= split_ms), root)
+    run()
+    run()  # a third run finds nothing new
+
+
+def q_stream_append(spark, sf):
+    from tidemark.streaming.jobs import append_job, job_folder
+    base = job_folder(spark, "stream-append")
+    land, sink, ckpt = f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
+    _land_in_two_steps(spark, sf, land, lambda: append_job(
+        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, sink, ckpt))
+    return spark.read.parquet(sink).select(*CHANGE_COLS, cdc.OP, cdc.TS, cdc.LSN)
+
+
+def q_stream_upsert(spark, sf):
+    from tidemark.streaming.jobs import StateStore, job_folder, upsert_job
+    base = job_folder(spark, "stream-upsert")
+    land, state, ckpt = f"{base}/landing", f"{base}/state", f"{base}/checkpoint"
+    _land_in_two_steps(spark, sf, land, lambda: upsert_job(
+        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state, ckpt))
+    return _state_cols(cdc.published(StateStore(spark, state).read()))
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -363,4 +448,10 @@ REGISTRY: dict[str, Query] = {
     "dq_summary": q_dq_summary,
     "dq_failures": q_dq_failures,
     "dq_alert_top": q_dq_alert_top,
+    "scd2_reconcile": q_scd2_reconcile,
+    "api_flatten": q_api_flatten,
+    "api_quarantine": q_api_quarantine,
+    "cdc_land_and_scan": q_cdc_land_and_scan,
+    "stream_append": q_stream_append,
+    "stream_upsert": q_stream_upsert,
 }
