@@ -11,7 +11,6 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-_EPOCH_NTZ = "timestamp_ntz'1970-01-01 00:00:00'"
 _FAR_FUTURE_NTZ = "timestamp_ntz'9999-12-31 00:00:00'"
 
 
@@ -25,8 +24,18 @@ def to_ntz(c: Column | str) -> Column:
 
 
 def epoch_micros(c: Column | str) -> Column:
-    """Microseconds since 1970-01-01 of an NTZ timestamp, as BIGINT."""
-    return F.timestamp_diff("MICROSECOND", F.expr(_EPOCH_NTZ), to_ntz(c))
+    """Microseconds since 1970-01-01 of an NTZ timestamp, as BIGINT.
+
+    Built from the wall-clock fields (day number, hour, minute, seconds with
+    fraction), which NTZ values carry without any zone: ``timestampdiff`` and
+    casts to a zoned timestamp would both shift by the session zone's
+    daylight-saving offset.
+    """
+    t = to_ntz(c)
+    day_us = F.unix_date(F.to_date(t)).cast("bigint") * 86_400_000_000
+    clock_us = (F.hour(t).cast("bigint") * 3_600_000_000 + F.minute(t).cast("bigint") * 60_000_000
+                + (F.date_part(F.lit("SECOND"), t) * 1_000_000).cast("bigint"))
+    return day_us + clock_us
 
 
 def epoch_ms(c: Column | str) -> Column:

@@ -14,6 +14,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.functions import epoch_ms
 from tidemark.operators import cdc
 from tidemark.operators.dedupe import latest_per_key, top_n_per_key
 from tidemark.operators.scd2 import as_of_join, scd2_apply, scd2_from_log, with_is_current
@@ -160,7 +161,7 @@ def q_cdc_merge(spark, sf):
     t = Tables(spark, sf)
     rows = _change_rows(t)
     split = F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz")
-    split_ms = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"), split)
+    split_ms = epoch_ms(split)
     first, second = rows.where(F.col(cdc.TS) < split_ms), rows.where(F.col(cdc.TS) >= split_ms)
     state = cdc.merge_changes(None, first, USER_KEY)
     state = cdc.merge_changes(state, second, USER_KEY)
@@ -383,8 +384,7 @@ def q_cdc_land_and_scan(spark, sf):
 def _land_in_two_steps(spark, sf, root, run):
     from tidemark.sources.landing import write_landing
     landed = _landed_events(Tables(spark, sf))
-    split_ms = F.timestamp_diff("MILLISECOND", F.expr("timestamp_ntz'1970-01-01 00:00:00'"),
-                                F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
+    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
     write_landing(landed.where(F.col("ts_ms") < split_ms), root)
     run()
     write_landing(landed.where(F.col("ts_ms") >= split_ms), root)
