@@ -2,12 +2,12 @@
 
 Checks are declared as data (``Check``) and run by ``run_checks`` into one
 result DataFrame ``(unique_id, kind, model, column_name, failures, status,
-message)``. Row-level checks of the same model (``not_null``,
-``accepted_values``, ``range``) share one aggregation pass: one partial
-``count_if`` per check in every map task, one tiny final aggregate. Key checks
-(``unique``, ``at_most_one``) are a grouped count of keys with more than one
-row (partial aggregation absorbs a hot key); ``relationships`` is an anti-join
-of the child's non-NULL keys against the parent's distinct keys.
+message)``. All checks of one model share one pass: row-level checks
+(``not_null``, ``accepted_values``, ``range``) are ``count_if`` aggregates and
+key checks (``unique``, ``at_most_one``) a grouped count of keys with more than
+one row, fused into a single group-by on the key (partial aggregation absorbs
+a hot key). ``relationships`` is an anti-join of the child's non-NULL keys
+against the parent's distinct keys.
 
 As in the warehouse tests, NULLs pass ``unique``, ``accepted_values`` and
 ``relationships``; combine with ``not_null`` to forbid them.
@@ -47,58 +47,79 @@ class Check:
         return f"{self.kind}_{self.model}_{self.column}{suffix}"
 
 
-def _row_failure(c: Check) -> Column:
+def _row_condition(c: Check) -> Column:
+    """True for a row the row-level check rejects."""
     col = F.col(c.column)
     if c.kind == "not_null":
-        return F.count_if(col.isNull())
+        return col.isNull()
     if c.kind == "accepted_values":
-        return F.count_if(col.isNotNull() & ~col.isin(*c.values))
+        return col.isNotNull() & ~col.isin(*c.values)
     if c.kind == "range":
-        return F.count_if(col.isNotNull() & (col < F.lit(c.min_value)))
+        return col.isNotNull() & (col < F.lit(c.min_value))
     raise ValueError(c.kind)
 
 
-def _row_checks(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
-    """All row-level checks of one model in one aggregation, one row per check."""
-    aggs = [_row_failure(c).alias(f"_f{i}") for i, c in enumerate(checks)]
-    wide = df.agg(*aggs)
+def _stack(wide: DataFrame, checks: Sequence[Check]) -> DataFrame:
     rows = ", ".join(f"'{c.unique_id}', '{c.kind}', '{c.model}', '{c.column}', _f{i}"
                      for i, c in enumerate(checks))
     return wide.selectExpr(f"stack({len(checks)}, {rows}) as (unique_id, kind, model, column_name, failures)")
 
 
-def _tag(df: DataFrame, c: Check) -> DataFrame:
-    return df.select(F.lit(c.unique_id).alias("unique_id"), F.lit(c.kind).alias("kind"),
-                     F.lit(c.model).alias("model"), F.lit(c.column).alias("column_name"), "failures")
+def _model_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
+    """Every row-level and key check of one model in one pass.
 
-
-def _dup_keys(df: DataFrame, c: Check) -> DataFrame:
-    rows = df.where(F.col(c.where)) if c.where else df
-    dup = rows.where(F.col(c.column).isNotNull()).groupBy(c.column).count().where(F.col("count") > 1)
-    return _tag(dup.agg(F.count(F.lit(1)).alias("failures")), c)
+    With a key check on column K the model is grouped once by K (partial
+    aggregation first, so a hot key is pre-counted in every map task): each
+    group carries its row count and its per-check failure counts, and a final
+    global aggregate turns them into one number per check. Without key checks
+    it is one global aggregate.
+    """
+    row_cs = [c for c in checks if c.kind in ("not_null", "accepted_values", "range")]
+    key_cs = [c for c in checks if c.kind in ("unique", "at_most_one")]
+    if not key_cs:
+        wide = df.agg(*[F.count_if(_row_condition(c)).alias(f"_f{i}") for i, c in enumerate(row_cs)])
+        return _stack(wide, row_cs)
+    key = key_cs[0].column
+    group_aggs = [F.count_if(_row_condition(c)).alias(f"_g{i}") for i, c in enumerate(row_cs)]
+    finals = [F.sum(f"_g{i}").alias(f"_f{i}") for i in range(len(row_cs))]
+    for j, c in enumerate(key_cs):
+        counted = F.count_if(F.col(c.where)) if c.where else F.count(F.lit(1))
+        group_aggs.append(counted.alias(f"_k{j}"))
+        finals.append(F.count_if(F.col(key).isNotNull() & (F.col(f"_k{j}") > 1)).alias(f"_f{len(row_cs) + j}"))
+    wide = df.groupBy(key).agg(*group_aggs).agg(*finals)
+    return _stack(wide, row_cs + key_cs)
 
 
 def _orphans(child: DataFrame, parent: DataFrame, c: Check) -> DataFrame:
     keys = parent.select(F.col(c.field).alias("_pk")).where(F.col("_pk").isNotNull()).distinct()
     kids = child.select(F.col(c.column).alias("_fk")).where(F.col("_fk").isNotNull())
     orphans = kids.join(keys, kids["_fk"] == keys["_pk"], "left_anti")
-    return _tag(orphans.agg(F.count(F.lit(1)).alias("failures")), c)
+    return orphans.agg(F.count(F.lit(1)).alias("failures")).select(
+        F.lit(c.unique_id).alias("unique_id"), F.lit(c.kind).alias("kind"), F.lit(c.model).alias("model"),
+        F.lit(c.column).alias("column_name"), "failures")
 
 
 def run_checks(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFrame:
+    """All checks into one result frame: one pass per model for its row-level
+    checks and the key checks on its first checked key column, one
+    anti-join per relationship, one extra grouped pass per other key column."""
     parts: list[DataFrame] = []
     by_model: dict[str, list[Check]] = {}
     for c in checks:
-        if c.kind in ("not_null", "accepted_values", "range"):
-            by_model.setdefault(c.model, []).append(c)
-        elif c.kind in ("unique", "at_most_one"):
-            parts.append(_dup_keys(models[c.model], c))
-        elif c.kind == "relationships":
+        if c.kind not in ("not_null", "accepted_values", "range", "unique", "at_most_one", "relationships"):
+            raise ValueError(f"unknown check kind {c.kind!r}")
+        if c.kind == "relationships":
             parts.append(_orphans(models[c.model], models[c.to], c))
         else:
-            raise ValueError(f"unknown check kind {c.kind!r}")
+            by_model.setdefault(c.model, []).append(c)
     for model, cs in by_model.items():
-        parts.append(_row_checks(models[model], cs))
+        key_cols = list(dict.fromkeys(c.column for c in cs if c.kind in ("unique", "at_most_one")))
+        first = [c for c in cs if c.kind not in ("unique", "at_most_one") or c.column == key_cols[0]] \
+            if key_cols else cs
+        parts.append(_model_pass(models[model], first))
+        for k in key_cols[1:]:
+            parts.append(_model_pass(models[model], [c for c in cs if c.kind in ("unique", "at_most_one")
+                                                     and c.column == k]))
     counts = parts[0]
     for p in parts[1:]:
         counts = counts.unionByName(p)
@@ -113,14 +134,7 @@ def run_checks(models: dict[str, DataFrame], checks: Sequence[Check]) -> DataFra
 
 def failing_rows(df: DataFrame, c: Check) -> DataFrame:
     """The rows a row-level check rejects (what a singular test returns)."""
-    col = F.col(c.column)
-    if c.kind == "not_null":
-        return df.where(col.isNull())
-    if c.kind == "accepted_values":
-        return df.where(col.isNotNull() & ~col.isin(*c.values))
-    if c.kind == "range":
-        return df.where(col.isNotNull() & (col < F.lit(c.min_value)))
-    raise ValueError(c.kind)
+    return df.where(_row_condition(c))
 
 
 def freshness(sources: dict[str, tuple[DataFrame, str]], as_of: Column,

@@ -69,3 +69,51 @@ class Domain:
     @cached_property
     def fact_transactions(self) -> DataFrame:
         return marts.fact_transactions(self.stg_transactions, self.dim_wallets)
+
+
+# Models whose size follows the transaction volume: the ones a check suite
+# should read from storage rather than rebuild for every check.
+FACT_SIZED = {"stg_transactions", "fact_transactions"}
+MODELS = ["bronze_users", "bronze_wallets", "bronze_transactions", "stg_users", "stg_wallets",
+          "stg_transactions", "users_snapshot", "dim_users", "dim_users_history", "dim_wallets",
+          "fact_transactions"]
+
+
+class MaterializedDomain(Domain):
+    """The same graph with every model written once as a Parquet table under
+    ``root`` (the warehouse materializes marts as tables), in dependency order:
+    each model is computed from its already-written inputs and read back.
+
+    Use it when many jobs read the models (the check suite runs dozens of
+    aggregations over them): every later read is a pruned, filter-pushed
+    columnar scan instead of a recomputation from the raw tables, and the
+    written files cut the lineage, so a lost executor costs a re-read, not a
+    rebuild. ``root`` must be shared storage (the checkpoint folder).
+    ``names`` limits the writes to the models worth it; the others stay lazy.
+    """
+
+    def __init__(self, spark: SparkSession, sf_dir: str, root: str, names: set[str] | None = None):
+        super().__init__(spark, sf_dir)
+        self.root = root.rstrip("/")
+        self.names = set(MODELS) if names is None else set(names)
+
+    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
+        if name not in self.names:
+            return df
+        path = f"{self.root}/{name}"
+        df.write.mode("overwrite").parquet(path)
+        return self.spark.read.parquet(path)
+
+
+def _materialized_property(name: str) -> cached_property:
+    build = getattr(Domain, name).func
+
+    def prop(self: MaterializedDomain) -> DataFrame:
+        return self._materialize(name, build(self))
+    cp = cached_property(prop)
+    cp.__set_name__(MaterializedDomain, name)
+    return cp
+
+
+for _name in MODELS:
+    setattr(MaterializedDomain, _name, _materialized_property(_name))

@@ -15,19 +15,21 @@ from tidemark.plans.domain import Domain
 from tidemark.schemas import CHAINS, KYC_STATUSES, TX_STATUSES
 
 
-def models(d: Domain) -> dict[str, DataFrame]:
-    return {
-        "stg_users": d.stg_users,
-        "stg_wallets": d.stg_wallets,
-        "stg_transactions": d.stg_transactions,
-        "dim_users": d.dim_users,
-        "dim_users_history": d.dim_users_history,
-        "dim_wallets": d.dim_wallets,
-        "fact_transactions": d.fact_transactions,
-        "bronze_wallets": d.bronze_wallets,
-        "customer": d.t.customer,
-        "lineitem": d.t.lineitem,
-    }
+MODEL_NAMES = ["stg_users", "stg_wallets", "stg_transactions", "dim_users", "dim_users_history",
+               "dim_wallets", "fact_transactions", "bronze_wallets"]
+TABLE_NAMES = ["customer", "lineitem"]
+
+
+def models(d: Domain, names: set[str] | None = None) -> dict[str, DataFrame]:
+    """The models (and supplied tables) checks refer to; only ``names`` are built."""
+    out = {}
+    for n in MODEL_NAMES:
+        if names is None or n in names:
+            out[n] = getattr(d, n)
+    for n in TABLE_NAMES:
+        if names is None or n in names:
+            out[n] = getattr(d.t, n)
+    return out
 
 
 NOT_NULL = [Check("not_null", m, c) for m, c in [

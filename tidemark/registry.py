@@ -253,9 +253,15 @@ def q_as_of_join(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _checks(spark, sf, checks):
+    """Checks run after a build: the transaction-sized models are written once
+    as tables (see ``MaterializedDomain``) and every check reads them."""
     from tidemark.operators.quality import run_checks
     from tidemark.plans import suite
-    return run_checks(suite.models(Domain(spark, sf)), checks)
+    from tidemark.plans.domain import FACT_SIZED, MaterializedDomain
+    from tidemark.streaming.jobs import job_folder
+    needed = {c.model for c in checks} | {c.to for c in checks if c.to}
+    d = MaterializedDomain(spark, sf, job_folder(spark, "models"), names=FACT_SIZED)
+    return run_checks({k: v for k, v in suite.models(d, needed).items()}, checks)
 
 
 def q_dq_not_null(spark, sf):
