@@ -77,7 +77,8 @@ def scd2_from_log(log: DataFrame, key: str, updated_at: str, columns: Sequence[s
     firsts = latest_per_key(log, [key, updated_at], list(tiebreak), descending=False) if tiebreak \
         else log.dropDuplicates([key, updated_at])
     v = firsts.select(*columns, F.col(updated_at).alias(VALID_FROM))
-    return next_time(v, [key], VALID_FROM, VALID_TO, bucket_seconds)
+    times = log.select(key, F.col(updated_at).alias(VALID_FROM))
+    return next_time(v, [key], VALID_FROM, VALID_TO, bucket_seconds, times=times)
 
 
 def with_is_current(history: DataFrame) -> DataFrame:

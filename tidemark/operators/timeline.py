@@ -26,15 +26,20 @@ def bucket_of(ts: Column | str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) ->
 
 
 def next_time(df: DataFrame, key: list[str], ts: str, out: str,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
-    """Add ``out`` = the next greater-or-later ``ts`` of the same key (NULL for the last).
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, times: DataFrame | None = None) -> DataFrame:
+    """Add ``out`` = the next later ``ts`` of the same key (NULL for the last).
 
-    ``(key, ts)`` must be unique (the callers de-duplicate first).
+    ``(key, ts)`` must be unique (the callers de-duplicate first). ``times``
+    optionally gives the same ``(key, ts)`` values from a cheaper source (for
+    example the log before de-duplication): the first time of each bucket is
+    the same either way, and the edge pass then reads two pruned columns with
+    map-side partial aggregation instead of re-running the de-duplication.
     """
     b = "_tl_b"
     d = df.withColumn(b, bucket_of(ts, bucket_seconds))
     d = d.withColumn(out, F.lead(ts).over(Window.partitionBy(*key, b).orderBy(ts)))
-    firsts = d.groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
+    src = (times if times is not None else df).select(*key, ts).withColumn(b, bucket_of(ts, bucket_seconds))
+    firsts = src.groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
     nxt = (firsts
            .withColumn("_tl_next", F.lead("_tl_first").over(Window.partitionBy(*key).orderBy(b)))
            .select(*key, b, "_tl_next"))
