@@ -446,3 +446,5 @@ from orders o join n on o.o_custkey = n.o_custkey where o.o_custkey % 10 = 0
     "stream_append": f"select * from ({CHANGES}) c where _cdc_op <> 'd'",
     "stream_upsert": COMPACT_PUBLISHED,
 })
+
+ORACLE["onchain_land_and_scan"] = ONCHAIN

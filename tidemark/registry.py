@@ -416,6 +416,25 @@ def q_stream_upsert(spark, sf):
     return _state_cols(cdc.published(StateStore(spark, state).read()))
 
 
+ONCHAIN_CHAINS = ["A", "N", "R", "X"]  # "X" has no folder: it must read as empty
+
+
+def q_onchain_land_and_scan(spark, sf):
+    """Land the on-chain feed per chain and date, scan the chains back."""
+    from pyspark.sql import types as T
+    from tidemark.sources.landing import onchain_landing_frame, read_onchain, write_onchain_landing
+    from tidemark.streaming.jobs import job_folder
+    root = job_folder(spark, "onchain")
+    feed = fixtures.onchain_feed(Tables(spark, sf))
+    # One landing run per year of the feed (a yearly backfill): dt = run date.
+    landed = onchain_landing_frame(feed, F.col("_chain"), F.col("_ingested_at"),
+                                   F.trunc(F.to_date("_ingested_at"), "year"))
+    write_onchain_landing(landed, root)
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in feed.schema.fields])
+    scanned = read_onchain(spark, root, ONCHAIN_CHAINS, schema)
+    return scanned.select(*feed.columns)
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -460,4 +479,5 @@ REGISTRY: dict[str, Query] = {
     "cdc_land_and_scan": q_cdc_land_and_scan,
     "stream_append": q_stream_append,
     "stream_upsert": q_stream_upsert,
+    "onchain_land_and_scan": q_onchain_land_and_scan,
 }
