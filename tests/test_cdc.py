@@ -110,3 +110,22 @@ def test_decode_skips_tombstones_and_flags_garbage(spark):
     good, bad = cdc.split_valid(env, "user_id", env="_env")
     assert [r.table for r in good.collect()] == ["users"]
     assert bad.count() == 1
+
+
+def test_merge_into_bucketed_state_shuffles_only_the_batch(spark):
+    from tidemark.sources import catalog
+    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        catalog.ensure_database(spark, "cdc_test")
+        state = cdc.merge_changes(None, rows(spark, LOG[:10]), "user_id")
+        catalog.publish(spark, state, "cdc_test.users_state", cluster_by=(n, ["user_id"]))
+        merged = cdc.merge_changes(spark.table("cdc_test.users_state"), rows(spark, LOG[10:]), "user_id")
+        plan = merged._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("Exchange hashpartitioning") == 1  # the batch only
+        assert live(merged) == live(cdc.merge_changes(None, rows(spark, LOG), "user_id"))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
+        spark.conf.set("spark.sql.adaptive.enabled", "true")

@@ -10,10 +10,11 @@ Stored state keeps delete markers (``_cdc_deleted = true``) so a late, older
 upsert cannot bring a deleted key back; ``published`` drops them.
 
 There is no table format here (no MERGE on Parquet), so a merge is a pure
-DataFrame function ``state, changes -> state``: the union of both, reduced to
-the latest row per key. That reduction is ``row_number() = 1``, which Spark
-plans with a partial per-map-task limit before the shuffle (see ``dedupe``),
-so a key with very many changes never lands whole in one task.
+DataFrame function ``state, changes -> state``: the batch is compacted to one
+row per key with ``row_number() = 1`` -- planned with a partial per-map-task
+limit before the shuffle (see ``dedupe``), so a key with very many changes
+never lands whole in one task -- and then meets the state in a one-to-one
+join on the key.
 """
 
 from __future__ import annotations
@@ -28,7 +29,6 @@ from tidemark.operators.dedupe import latest_per_key
 from tidemark.schemas import CDC_OPS
 
 OP, TS, LSN, DELETED, REASON = "_cdc_op", "_cdc_ts_ms", "_cdc_lsn", "_cdc_deleted", "_reject_reason"
-_SRC = "_cdc_src"
 
 
 # ---------------------------------------------------------------------------
@@ -126,13 +126,27 @@ def merge_changes(state: DataFrame | None, changes: DataFrame, key: str,
     For every key the row that is last under ``order`` wins, whether it is in
     the state or in the batch; on an exact tie the batch wins (``s >= t``).
     First and later loads take the same path.
+
+    Planned as the batch compacted to one row per key, then a one-to-one full
+    outer join with the state on the key. When the state is a table bucketed
+    on the key (``catalog.publish(..., cluster_by=(n, [key]))``), Spark reads
+    it already partitioned and shuffles only the (small) batch; the merged
+    output keeps that partitioning for the next write.
     """
-    batch = compact(changes, key, order).withColumn(_SRC, F.lit(1))
+    batch = compact(changes, key, order)
     if state is None:
-        return batch.drop(_SRC)
-    prior = state.withColumn(_SRC, F.lit(0)).select(*batch.columns)
-    merged = latest_per_key(prior.unionByName(batch), key, [*order, _SRC])
-    return merged.drop(_SRC)
+        return batch
+    cols = state.columns
+    t = state.select(F.col(key), F.struct(*[F.col(c) for c in cols]).alias("_t"))
+    s = batch.select(F.col(key).alias("_sk"), F.struct(*[F.col(c) for c in cols]).alias("_s"))
+    j = t.join(s, t[key] == s["_sk"], "full_outer")
+    s_order = F.struct(*[F.col(f"_s.{c}") for c in order])
+    t_order = F.struct(*[F.col(f"_t.{c}") for c in order])
+    winner = (F.when(F.col("_t").isNull(), F.col("_s"))
+              .when(F.col("_s").isNull(), F.col("_t"))
+              .when(s_order >= t_order, F.col("_s"))
+              .otherwise(F.col("_t")))
+    return j.select(winner.alias("_w")).select("_w.*")
 
 
 def published(state: DataFrame) -> DataFrame:
