@@ -131,12 +131,16 @@ def _state_cols(df: DataFrame) -> DataFrame:
     return df.select(*CHANGE_COLS, cdc.OP, cdc.TS, cdc.LSN)
 
 
-def _decoded(t: Tables):
-    from tidemark.schemas import envelope
+def _topic_envelope_schema():
     from pyspark.sql import types as T
+    from tidemark.schemas import envelope
     image = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
                           T.StructField("value", T.StringType()), T.StructField("k", T.LongType())])
-    env = cdc.decode_topic_records(fixtures.topic_records(t), envelope(image))
+    return envelope(image)
+
+
+def _decoded(t: Tables):
+    env = cdc.decode_topic_records(fixtures.topic_records(t), _topic_envelope_schema())
     return cdc.split_valid(env, USER_KEY, env="_env")
 
 
@@ -435,6 +439,25 @@ def q_onchain_land_and_scan(spark, sf):
     return scanned.select(*feed.columns)
 
 
+def q_stream_land_topics(spark, sf):
+    """Topic records -> decode -> quarantine split -> landing sink, as one
+    ``availableNow`` stream; the landed folder is then scanned and flattened."""
+    from tidemark.schemas import TOPIC_RECORD
+    from tidemark.sources.landing import envelopes_for_landing, read_cdc, stream_landing
+    from tidemark.streaming.jobs import job_folder
+    base = job_folder(spark, "stream-land")
+    broker, land, ckpt = f"{base}/broker", f"{base}/landing", f"{base}/checkpoint"
+    fixtures.topic_records(Tables(spark, sf)).write.mode("overwrite").json(broker)
+    records = spark.readStream.schema(TOPIC_RECORD).json(broker)
+    decoded = cdc.decode_topic_records(records, _topic_envelope_schema())
+    valid, _ = cdc.split_valid(decoded, USER_KEY, env="_env")
+    stream_landing(envelopes_for_landing(valid), land, ckpt, available_now=True).awaitTermination()
+    env = read_cdc(spark, land, "users", _topic_envelope_schema())
+    flat = cdc.flatten(env, USER_KEY, CHANGE_COLS, keep=["table"])
+    good, _ = cdc.cast_columns(flat, {"value": DEC_USD})
+    return good
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -480,4 +503,5 @@ REGISTRY: dict[str, Query] = {
     "stream_append": q_stream_append,
     "stream_upsert": q_stream_upsert,
     "onchain_land_and_scan": q_onchain_land_and_scan,
+    "stream_land_topics": q_stream_land_topics,
 }

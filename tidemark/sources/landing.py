@@ -100,11 +100,28 @@ def write_landing(df: DataFrame, root: str, partition_by: Sequence[str] = ("tabl
     df.hint("rebalance", *partition_by).write.mode(mode).partitionBy(*partition_by).json(root)
 
 
-def stream_landing(stream: DataFrame, root: str, checkpoint: str, partition_by: Sequence[str] = ("table", "dt")):
+def stream_landing(stream: DataFrame, root: str, checkpoint: str, partition_by: Sequence[str] = ("table", "dt"),
+                   available_now: bool = False, processing_time: str | None = None):
     """Streaming landing sink (file sink: exactly-once, only complete files are
-    visible, so a reader never sees a file that is still growing)."""
-    return (stream.writeStream.format("json").partitionBy(*partition_by)
-            .option("checkpointLocation", checkpoint).outputMode("append").start(root))
+    visible, so a reader never sees a file that is still growing). Returns the
+    running query: a long-running consumer is stopped with ``query.stop()``;
+    ``available_now`` drains what is there and stops by itself."""
+    w = (stream.writeStream.format("json").partitionBy(*partition_by)
+         .option("checkpointLocation", checkpoint).outputMode("append"))
+    if available_now:
+        w = w.trigger(availableNow=True)
+    elif processing_time:
+        w = w.trigger(processingTime=processing_time)
+    return w.start(root)
+
+
+def envelopes_for_landing(decoded: DataFrame, env: str = "_env") -> DataFrame:
+    """Decoded topic records to the landed envelope: ``table`` from the topic,
+    ``consumed_at`` from the source's commit time, ``dt`` its date."""
+    consumed = F.timestamp_millis(F.col(f"{env}.ts_ms")).cast("timestamp_ntz")
+    body = decoded.select("table", f"{env}.*", consumed.alias("_consumed"))
+    body = body.drop("consumed_at") if "consumed_at" in body.columns else body
+    return landing_frame(body, F.col("_consumed")).drop("_consumed")
 
 
 def onchain_landing_frame(rows: DataFrame, chain: Column, ingested_at: Column, run_date: Column) -> DataFrame:
