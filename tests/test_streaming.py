@@ -42,3 +42,18 @@ def test_upsert_equals_batch_compaction_and_survives_replay(spark, tmp_dir):
     jobs.upsert_batch(store, "user_id", R.CHANGE_COLS)(batch, 0)
     again = sorted(tuple(r) for r in cdc.published(store.read()).select("user_id", cdc.TS).collect())
     assert again == want
+
+
+def test_append_drops_redelivered_events_within_watermark(spark, tmp_dir):
+    landed = R._landed_events(Tables(spark, SF)).where(F.col("dt") < "2024-01-05")
+    root, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "sink", "ckpt"))
+    landing.write_landing(landed, root)
+    landing.write_landing(landed, root)  # the same events delivered twice (at-least-once)
+    jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt,
+                    dedupe_within="1 hour")
+    assert spark.read.parquet(sink).count() == landed.where("op <> 'd'").count()
+
+
+def test_topic_landing_stream_lands_only_valid_changes(spark, tmp_dir):
+    out = R.q_stream_land_topics(spark, SF)
+    assert out.count() == R.q_cdc_flatten(spark, SF).count()

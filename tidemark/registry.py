@@ -317,8 +317,11 @@ def q_dq_freshness(spark, sf):
 
 
 def _suite_results(spark, sf):
+    """The whole suite's results, written once (one row per check): the
+    summary, failure list and alert each read them more than once."""
     from tidemark.plans import suite
-    return _checks(spark, sf, suite.ALL)
+    from tidemark.sources.catalog import materialize
+    return materialize(spark, _checks(spark, sf, suite.ALL), "check-results")
 
 
 def q_dq_summary(spark, sf):

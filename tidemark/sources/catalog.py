@@ -54,3 +54,13 @@ def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: list[st
 
 def read_table(spark: SparkSession, name: str) -> DataFrame:
     return spark.table(name)
+
+
+def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
+    """Write ``df`` once as Parquet below the shared checkpoint folder and read
+    it back: later branches that use it read the files instead of recomputing
+    the plan, and the lineage ends there (a lost executor costs a re-read)."""
+    from tidemark.session import scratch_dir
+    path = scratch_dir(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.parquet(path)
