@@ -10,7 +10,7 @@ one partial aggregation per map task and one final aggregation per group.
 from __future__ import annotations
 
 from collections.abc import Sequence
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -116,45 +116,67 @@ class MetricRequest:
     where: Column | None = None
     fill: object | None = None
     spine: DataFrame | None = None
-    extra: dict = field(default_factory=dict)
 
 
-def _measure_expr(model: SemanticModel, metric: Metric) -> Column:
+def _components(model: SemanticModel, metric: Metric) -> dict[str, tuple[str, Column]]:
+    """Additive pieces of a simple metric: name -> (kind, per-row value).
+
+    Every metric is assembled from sums and counts, so it can be aggregated in
+    two phases (partials per entity, then per requested group) and still be
+    exact: an average is a sum over a count.
+    """
     m = model.measure(metric.measure)
     value = F.col(m.expr)
     if metric.filter is not None:
         value = F.when(metric.filter.column(), value)
     if m.agg == "sum":
-        agg = F.sum(value)
-        return agg.cast("decimal(38,2)") if m.expr == "usd_value_at_tx" else agg
+        return {f"_s_{metric.name}": ("sum", value)}
     if m.agg == "count":
-        return F.count(value)
+        return {f"_c_{metric.name}": ("count", value)}
     if m.agg == "average":
-        return F.avg(value)
+        return {f"_s_{metric.name}": ("sum", value), f"_c_{metric.name}": ("count", value)}
     raise ValueError(f"unsupported aggregation {m.agg!r}")
 
 
-def _metric_exprs(model: SemanticModel, names: Sequence[str]) -> tuple[list[Column], list[Column]]:
-    """Aggregates to compute and the final projection of each requested metric."""
-    aggs: dict[str, Column] = {}
+def _finish(model: SemanticModel, metric: Metric) -> Column:
+    m = model.measure(metric.measure)
+    if m.agg == "sum":
+        total = F.col(f"_s_{metric.name}")
+        return total.cast("decimal(38,2)") if m.expr == "usd_value_at_tx" else total
+    if m.agg == "count":
+        return F.coalesce(F.col(f"_c_{metric.name}"), F.lit(0).cast("bigint"))
+    return (F.col(f"_s_{metric.name}").cast("double")
+            / F.nullif(F.col(f"_c_{metric.name}"), F.lit(0)).cast("double"))
+
+
+def _plan(model: SemanticModel, names: Sequence[str]) -> tuple[dict[str, tuple[str, Column]], list[Column]]:
+    """Components to aggregate and the final projection of each requested metric."""
+    comps: dict[str, tuple[str, Column]] = {}
     finals: list[Column] = []
     for name in names:
         metric = METRICS[name]
         if metric.kind == "simple":
-            aggs.setdefault(name, _measure_expr(model, metric).alias(name))
-            finals.append(F.col(name))
+            comps.update(_components(model, metric))
+            finals.append(_finish(model, metric).alias(name))
         elif metric.kind == "ratio":
             num, den = METRICS[metric.numerator], METRICS[metric.denominator]
-            n_alias, d_alias = f"_num_{name}", f"_den_{name}"
-            aggs[n_alias] = _measure_expr(model, num).alias(n_alias)
-            aggs[d_alias] = _measure_expr(model, den).alias(d_alias)
+            comps.update(_components(model, num))
+            comps.update(_components(model, den))
             # Both sides come from the same pass: a group with no numerator rows
             # gets 0.0, a group with a zero denominator gets NULL.
-            finals.append((F.col(n_alias).cast("double") / F.nullif(F.col(d_alias), F.lit(0)).cast("double"))
-                          .alias(name))
+            finals.append((_finish(model, num).cast("double")
+                           / F.nullif(_finish(model, den), F.lit(0)).cast("double")).alias(name))
         else:
             raise ValueError(f"unknown metric kind {metric.kind!r}")
-    return list(aggs.values()), finals
+    return comps, finals
+
+
+def _first_phase(comps: dict[str, tuple[str, Column]]) -> list[Column]:
+    return [(F.sum(v) if kind == "sum" else F.count(v)).alias(n) for n, (kind, v) in comps.items()]
+
+
+def _second_phase(comps: dict[str, tuple[str, Column]]) -> list[Column]:
+    return [F.sum(n).alias(n) for n in comps]
 
 
 def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | None = None) -> DataFrame:
@@ -162,42 +184,56 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
     by ``metric_time`` at a grain, and by ``user_id__<dimension>`` of the users
     model (joined on the ``user_id`` entity only when asked for).
 
+    With users dimensions the fact is first aggregated per ``user_id`` (and the
+    other requested groups), and only those partial sums and counts are joined
+    to the users dimension and aggregated again: the fact never moves to meet
+    the dimension, and a user holding a third of the rows is one row per map
+    task after the partial aggregation.
+
     ``fill`` (with a ``metric_time`` grouping) joins the day spine so that days
     without rows appear, with simple sum/count metrics set to ``fill``.
     """
     model = TRANSACTIONS
-    base = fact
-    group_cols: list[Column] = []
+    fact_groups: list[Column] = []
     names: list[str] = []
-    user_dims = []
+    user_dims: list[str] = []
     time_name = None
     for g in req.group_by:
         if g == "metric_time":
             if req.grain not in GRAINS:
                 raise ValueError(f"grain must be one of {GRAINS}")
             time_name = f"metric_time__{req.grain}"
-            group_cols.append(trunc_ntz(req.grain, model.default_time_dimension).alias(time_name))
+            fact_groups.append(trunc_ntz(req.grain, model.default_time_dimension).alias(time_name))
             names.append(time_name)
         elif g.startswith("user_id__"):
             dim = g.split("__", 1)[1]
             if not USERS.has_dimension(dim):
                 raise KeyError(f"users has no dimension {dim!r}")
             user_dims.append(dim)
-            group_cols.append(F.col(dim).alias(g))
             names.append(g)
         elif model.has_dimension(g):
-            group_cols.append(F.col(g))
+            fact_groups.append(F.col(g))
             names.append(g)
         else:
             raise KeyError(f"unknown group-by {g!r}")
-    if user_dims:
-        if users_dim is None:
-            raise ValueError("users dimension requested without users_dim")
-        base = base.join(users_dim.select("user_id", *user_dims), "user_id", "left")
-    if req.where is not None:
-        base = base.where(req.where)
-    aggs, finals = _metric_exprs(model, req.metrics)
-    out = base.groupBy(*group_cols).agg(*aggs).select(*names, *finals)
+    comps, finals = _plan(model, req.metrics)
+    if user_dims and users_dim is None:
+        raise ValueError("users dimension requested without users_dim")
+    users = users_dim.select("user_id", *[F.col(d).alias(f"user_id__{d}") for d in user_dims]) \
+        if user_dims else None
+    if user_dims and req.where is not None:
+        # A filter may name users columns: join first, then one aggregation.
+        base = fact.join(users, "user_id", "left").where(req.where)
+        out = base.groupBy(*fact_groups, *[F.col(f"user_id__{d}") for d in user_dims]).agg(*_first_phase(comps))
+    elif user_dims:
+        fact_names = [n for n in names if not n.startswith("user_id__")]
+        per_user = fact.groupBy("user_id", *fact_groups).agg(*_first_phase(comps))
+        out = (per_user.join(users, "user_id", "left")
+               .groupBy(*fact_names, *[f"user_id__{d}" for d in user_dims]).agg(*_second_phase(comps)))
+    else:
+        base = fact.where(req.where) if req.where is not None else fact
+        out = base.groupBy(*fact_groups).agg(*_first_phase(comps))
+    out = out.select(*names, *finals)
     if req.fill is not None:
         if time_name is None or req.grain != "day":
             raise ValueError("fill needs a metric_time grouping at day grain")
