@@ -449,3 +449,5 @@ from orders o join n on o.o_custkey = n.o_custkey where o.o_custkey % 10 = 0
 
 ORACLE["onchain_land_and_scan"] = ONCHAIN
 ORACLE["stream_land_topics"] = ORACLE["cdc_flatten"]
+ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
+ORACLE["bronze_onchain_job"] = INSERT_ONLY

@@ -464,6 +464,48 @@ def q_stream_land_topics(spark, sf):
     return good
 
 
+def q_bronze_cdc_job(spark, sf):
+    """The batch CDC job run after each of two landings and once more with
+    nothing new; the published state equals one compaction of the whole log."""
+    from tidemark.plans.bronze import merge_cdc_table
+    from tidemark.sources.landing import write_landing
+    from tidemark.streaming.jobs import job_folder
+    base = job_folder(spark, "bronze-cdc")
+    land, state_root = f"{base}/landing", f"{base}/state"
+    landed = _landed_events(Tables(spark, sf))
+    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
+    run = lambda: merge_cdc_table(spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state_root)
+    write_landing(landed.where(F.col("ts_ms") < split_ms), land)
+    run()
+    write_landing(landed.where(F.col("ts_ms") >= split_ms), land)
+    run()
+    state, _ = run()
+    return _state_cols(cdc.published(state))
+
+
+def q_bronze_onchain_job(spark, sf):
+    """Land the feed in two runs (before / from 1998), load after each; the
+    table holds every key once, first seen wins."""
+    from pyspark.sql import types as T
+    from tidemark.plans.bronze import load_onchain
+    from tidemark.sources.landing import onchain_landing_frame, write_onchain_landing
+    from tidemark.streaming.jobs import job_folder
+    base = job_folder(spark, "bronze-onchain")
+    land, target = f"{base}/landing", f"{base}/onchain_transactions"
+    feed = fixtures.onchain_feed(Tables(spark, sf))
+    schema = T.StructType([T.StructField(f.name, f.dataType) for f in feed.schema.fields])
+    split = F.lit(fixtures.ONCHAIN_SPLIT).cast("timestamp_ntz")
+    for part, run_day, loaded in [(feed.where(F.col("_ingested_at") < split), fixtures.ONCHAIN_SPLIT,
+                                   fixtures.ONCHAIN_SPLIT),
+                                  (feed.where(F.col("_ingested_at") >= split), "2100-01-01 00:00:00",
+                                   "2100-01-01 00:00:00")]:
+        write_onchain_landing(onchain_landing_frame(part, F.col("_chain"), F.col("_ingested_at"),
+                                                    F.lit(run_day).cast("timestamp_ntz")), land)
+        load_onchain(spark, land, ONCHAIN_CHAINS, schema, target, F.lit(loaded),
+                     first_by=ONCHAIN_FIRST)
+    return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -510,4 +552,6 @@ REGISTRY: dict[str, Query] = {
     "stream_upsert": q_stream_upsert,
     "onchain_land_and_scan": q_onchain_land_and_scan,
     "stream_land_topics": q_stream_land_topics,
+    "bronze_cdc_job": q_bronze_cdc_job,
+    "bronze_onchain_job": q_bronze_onchain_job,
 }
