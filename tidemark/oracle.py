@@ -262,7 +262,7 @@ select 'users' as "table", user_id,
 from events where event_type <> 'click'
 """,
     "cdc_quarantine": """
-select 'wallet.public.users' as topic, event_id * 2 as "offset", 'm' as op, 'unsupported_op' as reason
+select 'app.public.users' as topic, event_id * 2 as "offset", 'm' as op, 'unsupported_op' as reason
 from events where event_type = 'click'
 """,
     "cdc_compact": COMPACT_PUBLISHED,

@@ -139,7 +139,7 @@ def change_log(t: Tables) -> DataFrame:
     )
 
 
-def topic_records(t: Tables, prefix: str = "wallet") -> DataFrame:
+def topic_records(t: Tables, prefix: str = "app") -> DataFrame:
     """``events`` as the records a CDC topic delivers (JSON text values).
 
     Click events arrive as logical-decoding messages (op ``m``, no row image),
