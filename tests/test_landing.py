@@ -94,3 +94,17 @@ def test_publish_replaces_table_and_counts(spark):
     assert catalog.publish(spark, again, "bronze_test.cdc_users") == 3
     assert catalog.table_exists(spark, "bronze_test.cdc_users")
     assert spark.table("bronze_test.cdc_users").count() == 3
+
+
+def test_models_as_sql_views(spark):
+    from tidemark.plans.domain import Domain
+    names = Domain(spark, "/root/testdata/sf0.001").register_views(prefix="m_")
+    assert "m_dim_users_history" in names
+    # a singular check written as SQL against the views
+    bad = spark.sql("""select user_id, count(*) as current_row_count from m_dim_users_history
+                       where is_current group by 1 having count(*) > 1""")
+    assert bad.count() == 0
+    neg = spark.sql("select transaction_id from m_fact_transactions where usd_value_at_tx is not null "
+                    "and usd_value_at_tx < 0")
+    assert neg.count() == 0
+    assert spark.sql("select count(*) from m_time_spine").collect()[0][0] > 0

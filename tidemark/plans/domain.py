@@ -70,6 +70,21 @@ class Domain:
     def fact_transactions(self) -> DataFrame:
         return marts.fact_transactions(self.stg_transactions, self.dim_wallets)
 
+    @cached_property
+    def time_spine(self) -> DataFrame:
+        """Calendar days spanning the fact's submission dates."""
+        return marts.time_spine_over(self.fact_transactions, "submitted_at")
+
+    def register_views(self, prefix: str = "") -> list[str]:
+        """Expose every model as a temporary view so SQL written against the
+        warehouse models (``select ... from dim_users_history where ...``) runs
+        unchanged through ``spark.sql``. Views are lazy: nothing is computed."""
+        names = ["stg_users", "stg_wallets", "stg_transactions", "users_snapshot", "dim_users",
+                 "dim_users_history", "dim_wallets", "fact_transactions", "time_spine"]
+        for n in names:
+            getattr(self, n).createOrReplaceTempView(f"{prefix}{n}")
+        return [f"{prefix}{n}" for n in names]
+
 
 # Models whose size follows the transaction volume: the ones a check suite
 # should read from storage rather than rebuild for every check.
