@@ -451,3 +451,4 @@ ORACLE["onchain_land_and_scan"] = ONCHAIN
 ORACLE["stream_land_topics"] = ORACLE["cdc_flatten"]
 ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
 ORACLE["bronze_onchain_job"] = INSERT_ONLY
+ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED

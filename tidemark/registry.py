@@ -506,6 +506,29 @@ def q_bronze_onchain_job(spark, sf):
     return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
 
 
+CDC_BUCKETS = 16
+
+
+def q_bronze_cdc_job_bucketed(spark, sf):
+    """As ``bronze_cdc_job``, with the state partitioned by key bucket and only
+    the touched buckets rewritten by each run."""
+    from tidemark.plans.bronze import merge_cdc_table_bucketed
+    from tidemark.sources.landing import write_landing
+    from tidemark.streaming.jobs import job_folder
+    base = job_folder(spark, "bronze-cdc-buckets")
+    land, state_path = f"{base}/landing", f"{base}/state"
+    landed = _landed_events(Tables(spark, sf))
+    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
+    run = lambda: merge_cdc_table_bucketed(spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS,
+                                           state_path, CDC_BUCKETS)
+    write_landing(landed.where(F.col("ts_ms") < split_ms), land)
+    run()
+    write_landing(landed.where(F.col("ts_ms") >= split_ms), land)
+    run()
+    state = run()
+    return _state_cols(cdc.published(state))
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -554,4 +577,5 @@ REGISTRY: dict[str, Query] = {
     "stream_land_topics": q_stream_land_topics,
     "bronze_cdc_job": q_bronze_cdc_job,
     "bronze_onchain_job": q_bronze_onchain_job,
+    "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
 }
