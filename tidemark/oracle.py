@@ -452,3 +452,4 @@ ORACLE["stream_land_topics"] = ORACLE["cdc_flatten"]
 ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
 ORACLE["bronze_onchain_job"] = INSERT_ONLY
 ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED
+ORACLE["stream_upsert_bucketed"] = COMPACT_PUBLISHED

@@ -21,7 +21,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators import cdc
 from tidemark.sources.landing import _exists, is_empty, read_cdc, read_onchain
-from tidemark.streaming.jobs import StateStore
+from tidemark.sources.state import StateStore, merge_into_buckets
 
 
 def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
@@ -67,46 +67,14 @@ def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], sche
     return int(obs.get.get("rows", 0))
 
 
-BUCKET = "_bucket"
-
-
-def bucket_of_key(key: str, buckets: int) -> Column:
-    """Stable bucket of a key: a hash of the key modulo the bucket count."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
-
-
 def merge_cdc_table_bucketed(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
                              key: str, image_cols: Sequence[str], state_path: str, buckets: int,
                              since_dt: str | None = None) -> DataFrame:
     """The CDC merge run against a state table partitioned by key bucket,
-    rewriting only the buckets the batch touches.
-
-    1. the batch is compacted and tagged with its key's bucket;
-    2. the state is semi-joined with the batch's distinct buckets (at most
-       ``buckets`` rows, broadcast), so partition pruning reads only those
-       bucket folders;
-    3. the ordered merge of the two is written once to a scratch table below
-       the checkpoint folder (lineage ends there, and the run can be redone
-       from it);
-    4. a dynamic partition overwrite replaces exactly the touched bucket
-       folders of the state; all other buckets are not read and not written.
-
-    Landing folders can be pruned by ``since_dt`` for incremental runs; a full
-    replay is harmless (the merge is idempotent).
-    """
-    from tidemark.sources.catalog import materialize
+    rewriting only the buckets the batch touches (see
+    ``sources.state.merge_into_buckets``). Landing folders can be pruned by
+    ``since_dt`` for incremental runs; a full replay is harmless (the merge is
+    idempotent)."""
     env = read_cdc(spark, raw_root, table, envelope_schema, since_dt=since_dt)
     valid, _ = cdc.split_valid(env, key)
-    batch = cdc.compact(cdc.flatten(valid, key, image_cols), key).withColumn(BUCKET, bucket_of_key(key, buckets))
-    batch = materialize(spark, batch, f"{table}-batch")
-    if _exists(spark, state_path):
-        touched = batch.select(BUCKET).distinct()
-        prior = spark.read.parquet(state_path).join(F.broadcast(touched), BUCKET, "left_semi").drop(BUCKET)
-        changes = batch.drop(BUCKET).drop(cdc.DELETED)
-        merged = cdc.merge_changes(prior, changes, key).withColumn(BUCKET, bucket_of_key(key, buckets))
-    else:
-        merged = batch
-    staged = materialize(spark, merged, f"{table}-merged")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(state_path))
-    return spark.read.parquet(state_path)
+    return merge_into_buckets(spark, state_path, cdc.flatten(valid, key, image_cols), key, buckets)

@@ -529,6 +529,17 @@ def q_bronze_cdc_job_bucketed(spark, sf):
     return _state_cols(cdc.published(state))
 
 
+def q_stream_upsert_bucketed(spark, sf):
+    """The foreachBatch upsert into a bucket-partitioned state (each
+    micro-batch rewrites only the buckets it touches)."""
+    from tidemark.streaming.jobs import job_folder, upsert_job
+    base = job_folder(spark, "stream-upsert-buckets")
+    land, state, ckpt = f"{base}/landing", f"{base}/state", f"{base}/checkpoint"
+    _land_in_two_steps(spark, sf, land, lambda: upsert_job(
+        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state, ckpt, buckets=CDC_BUCKETS))
+    return _state_cols(cdc.published(spark.read.parquet(state)))
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -578,4 +589,5 @@ REGISTRY: dict[str, Query] = {
     "bronze_cdc_job": q_bronze_cdc_job,
     "bronze_onchain_job": q_bronze_onchain_job,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
+    "stream_upsert_bucketed": q_stream_upsert_bucketed,
 }

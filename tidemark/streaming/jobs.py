@@ -24,6 +24,7 @@ from pyspark.sql import types as T
 from tidemark.operators import cdc
 from tidemark.session import checkpoint_root
 from tidemark.sources.landing import cdc_path
+from tidemark.sources.state import StateStore, merge_into_buckets
 
 
 def change_stream(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType,
@@ -73,41 +74,9 @@ def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.St
     return run_available_now(rows, sink_path, checkpoint)
 
 
-class StateStore:
-    """Current state of one entity as numbered versions ``<root>/v=<batch>``.
-
-    Micro-batch ``b`` reads the newest version below ``b``, merges and writes
-    ``v=b``; a replayed batch rewrites the same version from the same input,
-    so replays are harmless. The newest version is the table.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.root}/v={vs[-1]}") if vs else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={version}")
-
-
 def upsert_batch(store: StateStore, key: str, image_cols: Sequence[str]):
-    """``foreachBatch`` function: validate, flatten and merge one micro-batch."""
+    """``foreachBatch`` function: validate, flatten and merge one micro-batch
+    into the next state version."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         valid, _bad = cdc.split_valid(batch, key)
         rows = cdc.flatten(valid, key, image_cols)
@@ -116,14 +85,27 @@ def upsert_batch(store: StateStore, key: str, image_cols: Sequence[str]):
     return apply
 
 
+def upsert_batch_buckets(state_path: str, key: str, image_cols: Sequence[str], buckets: int):
+    """``foreachBatch`` function for a bucket-partitioned state: each
+    micro-batch rewrites only the buckets it touches. A replayed micro-batch
+    re-applies the same changes, which the ordered merge absorbs."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        valid, _bad = cdc.split_valid(batch, key)
+        merge_into_buckets(batch.sparkSession, state_path, cdc.flatten(valid, key, image_cols), key, buckets)
+    return apply
+
+
 def upsert_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
-               image_cols: Sequence[str], state_root: str, checkpoint: str) -> DataFrame | None:
-    store = StateStore(spark, state_root)
-    q = (change_stream(spark, root, table, envelope_schema).writeStream
-         .foreachBatch(upsert_batch(store, key, image_cols))
+               image_cols: Sequence[str], state_root: str, checkpoint: str,
+               buckets: int | None = None) -> DataFrame | None:
+    """Run the upsert stream to completion; the state is a versioned folder,
+    or with ``buckets`` a bucket-partitioned table at ``state_root``."""
+    fn = (upsert_batch_buckets(state_root, key, image_cols, buckets) if buckets
+          else upsert_batch(StateStore(spark, state_root), key, image_cols))
+    q = (change_stream(spark, root, table, envelope_schema).writeStream.foreachBatch(fn)
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return store.read()
+    return spark.read.parquet(state_root) if buckets else StateStore(spark, state_root).read()
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
