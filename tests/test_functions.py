@@ -45,3 +45,10 @@ def test_nullif_blank(spark):
     rows = spark.createDataFrame([("  ",), (" a ",), (None,)], "h string") \
         .select(nullif_blank("h").alias("x")).collect()
     assert [r.x for r in rows] == [None, "a", None]
+
+
+def test_fixed_time_spine_has_731_days(spark):
+    from tidemark.plans.marts import time_spine
+    days = time_spine(spark, "2025-01-01", "2027-01-01")
+    assert days.count() == 731
+    assert days.agg(F.min("date_day"), F.max("date_day")).collect()[0] == (dt.date(2025, 1, 1), dt.date(2027, 1, 1))
