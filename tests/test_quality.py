@@ -86,3 +86,19 @@ def test_run_results_scan(spark, tmp_dir):
     assert [(r.unique_id, r.execution_time) for r in failed] == [("t1", 0.13)]
     missing = read_run_results(spark, os.path.join(tmp_dir, "nope.json"))
     assert missing.count() == 0 and monitoring.exit_code(missing) == 0
+
+
+def test_at_most_one_open_version_fails_on_two_open_rows(spark):
+    hist = spark.createDataFrame([(1, True), (1, True), (2, True), (2, False), (None, True), (None, True)],
+                                 "user_id long, is_current boolean")
+    res = run_checks({"h": hist}, [Check("at_most_one", "h", "user_id", where="is_current", name="one_open")])
+    r = res.collect()[0]
+    assert (r.unique_id, r.failures, r.status) == ("one_open", 1, "fail")
+    assert r.message == "Got 1 results, configured to fail if != 0"
+
+
+def test_key_checks_on_two_columns_of_one_model(spark):
+    df = spark.createDataFrame([(1, "a", None), (1, "b", 5), (2, "b", 6)], "id long, code string, v long")
+    res = {r.unique_id: r.failures for r in run_checks({"t": df}, [
+        Check("unique", "t", "id"), Check("unique", "t", "code"), Check("not_null", "t", "v")]).collect()}
+    assert res == {"unique_t_id": 1, "unique_t_code": 1, "not_null_t_v": 1}
