@@ -165,3 +165,12 @@ def test_bucketed_state_rewrites_only_touched_buckets(spark, tmp_dir):
     assert 1 <= len(changed) <= 2
     live = dict((r.user_id, r.state) for r in cdc.published(out).collect())
     assert live[7] == "b7" and 3 not in live and len(live) == 39
+
+
+def test_change_without_commit_time_is_quarantined(spark):
+    env = spark.createDataFrame([("c", 1, (1, "a")), ("u", None, (1, "b"))],
+                                "op string, ts_ms long, after struct<user_id:long,state:string>")
+    env = env.withColumn("before", F.lit(None).cast("struct<user_id:long,state:string>"))
+    good, bad = cdc.split_valid(env, "user_id")
+    assert good.count() == 1
+    assert [r[cdc.REASON] for r in bad.collect()] == ["missing_ts"]

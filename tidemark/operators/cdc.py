@@ -62,15 +62,19 @@ def split_valid(envelopes: DataFrame, key: str, env: str | None = None) -> tuple
     """(valid, quarantine): quarantine rows carry ``_reject_reason``.
 
     Accepted ops are c, u, r and d; NULL or other ops, a non-delete without an
-    after-image, and a change without a key are rejected rather than silently
-    dropped or turned into all-NULL rows. Both outputs come from one scan.
+    after-image, a change without a key and one without ``ts_ms`` are rejected
+    rather than silently dropped, turned into all-NULL rows or ordered
+    arbitrarily. Both outputs come from one scan.
     """
     p = f"{env}." if env else ""
     op, before, after = F.col(f"{p}op"), F.col(f"{p}before"), F.col(f"{p}after")
+    reason = reject_reason(key, op, before, after)
+    fields = envelopes.schema[env].dataType.fieldNames() if env else envelopes.columns
+    if "ts_ms" in fields:
+        # A change without a commit time cannot be ordered against the others.
+        reason = F.coalesce(reason, F.when(F.col(f"{p}ts_ms").isNull(), F.lit("missing_ts")))
     if env:
-        reason = F.when(F.col(env).isNull(), F.lit("unparsable")).otherwise(reject_reason(key, op, before, after))
-    else:
-        reason = reject_reason(key, op, before, after)
+        reason = F.when(F.col(env).isNull(), F.lit("unparsable")).otherwise(reason)
     tagged = envelopes.withColumn(REASON, reason)
     return tagged.where(F.col(REASON).isNull()).drop(REASON), tagged.where(F.col(REASON).isNotNull())
 
