@@ -453,3 +453,4 @@ ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
 ORACLE["bronze_onchain_job"] = INSERT_ONLY
 ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED
 ORACLE["stream_upsert_bucketed"] = COMPACT_PUBLISHED
+ORACLE["seed_build"] = FACT

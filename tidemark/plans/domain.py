@@ -86,6 +86,29 @@ class Domain:
         return [f"{prefix}{n}" for n in names]
 
 
+class SeedDomain(Domain):
+    """The same graph over bronze tables loaded from CSV seeds
+    (``users.csv``, ``wallets.csv``, ``transactions.csv`` folders under
+    ``seeds_root``), as a local build without the change-capture side runs."""
+
+    def __init__(self, spark: SparkSession, seeds_root: str):
+        super().__init__(spark, seeds_root)
+        from tidemark.sources.seeds import read_seeds
+        self._seeds = read_seeds(spark, seeds_root)
+
+    @cached_property
+    def bronze_users(self) -> DataFrame:
+        return self._seeds["users"]
+
+    @cached_property
+    def bronze_wallets(self) -> DataFrame:
+        return self._seeds["wallets"]
+
+    @cached_property
+    def bronze_transactions(self) -> DataFrame:
+        return self._seeds["transactions"]
+
+
 # Models whose size follows the transaction volume: the ones a check suite
 # should read from storage rather than rebuild for every check.
 FACT_SIZED = {"stg_transactions", "fact_transactions"}

@@ -540,6 +540,22 @@ def q_stream_upsert_bucketed(spark, sf):
     return _state_cols(cdc.published(spark.read.parquet(state)))
 
 
+def q_seed_build(spark, sf):
+    """Write the three bronze tables as CSV seeds, load them back with the
+    declared types and build the fact from them (the seed-based local build)."""
+    from tidemark import schemas
+    from tidemark.plans.domain import SeedDomain
+    from tidemark.sources.seeds import write_seed
+    from tidemark.streaming.jobs import job_folder
+    root = job_folder(spark, "seeds")
+    d = Domain(spark, sf)
+    for name, df in [("users", d.bronze_users), ("wallets", d.bronze_wallets),
+                     ("transactions", d.bronze_transactions)]:
+        write_seed(df.select(*[F.col(f.name).cast(f.dataType) for f in schemas.ENTITIES[name].fields]),
+                   f"{root}/{name}.csv")
+    return SeedDomain(spark, root).fact_transactions
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -590,4 +606,5 @@ REGISTRY: dict[str, Query] = {
     "bronze_onchain_job": q_bronze_onchain_job,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
+    "seed_build": q_seed_build,
 }
