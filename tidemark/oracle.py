@@ -454,3 +454,4 @@ ORACLE["bronze_onchain_job"] = INSERT_ONLY
 ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED
 ORACLE["stream_upsert_bucketed"] = COMPACT_PUBLISHED
 ORACLE["seed_build"] = FACT
+ORACLE["dq_run_results_scan"] = ORACLE["dq_summary"]

@@ -556,6 +556,17 @@ def q_seed_build(spark, sf):
     return SeedDomain(spark, root).fact_transactions
 
 
+def q_dq_run_results_scan(spark, sf):
+    """Suite results written as a run-results document, scanned back and
+    summarised (the monitoring path over a test runner's output)."""
+    from tidemark.plans.monitoring import status_counts
+    from tidemark.sources.results import read_run_results, write_run_results
+    from tidemark.streaming.jobs import job_folder
+    path = f"{job_folder(spark, 'run-results')}/run_results.json"
+    write_run_results(_suite_results(spark, sf), path, "suite")
+    return status_counts(read_run_results(spark, path))
+
+
 REGISTRY: dict[str, Query] = {
     "stg_users": q_stg_users,
     "stg_wallets": q_stg_wallets,
@@ -607,4 +618,5 @@ REGISTRY: dict[str, Query] = {
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
     "seed_build": q_seed_build,
+    "dq_run_results_scan": q_dq_run_results_scan,
 }

@@ -28,3 +28,15 @@ def results_from_checks(checks: DataFrame, invocation_id: str) -> DataFrame:
     """Check results of ``run_checks`` shaped like a scanned result file."""
     return checks.select(F.lit(invocation_id).alias("invocation_id"), "unique_id", "status", "message",
                          F.lit(None).cast("double").alias("execution_time"))
+
+
+def write_run_results(results: DataFrame, path: str, invocation_id: str) -> None:
+    """Write check results as one run-results document (``metadata`` +
+    ``results[]``). The document holds one entry per declared check -- a
+    bounded list -- so it is gathered into a single row and a single file."""
+    doc = results.agg(F.collect_list(F.struct(
+        "unique_id", "status", "message",
+        (F.col("execution_time") if "execution_time" in results.columns
+         else F.lit(None).cast("double")).alias("execution_time"))).alias("results"))
+    doc = doc.select(F.struct(F.lit(invocation_id).alias("invocation_id")).alias("metadata"), "results")
+    doc.coalesce(1).write.mode("overwrite").json(path)
