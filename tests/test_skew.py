@@ -22,15 +22,20 @@ def duck(df):
     return con
 
 
-def test_history_and_as_of_with_hot_key(spark):
+import pytest
+
+
+@pytest.mark.parametrize("hot_key_rows", [None, 20])
+def test_history_and_as_of_with_hot_key(spark, hot_key_rows):
     e = skewed_events(spark)
     log = e.where(F.col("event_type").isin("signup", "error", "view")) \
         .select("user_id", F.col("event_type").alias("state"), F.col("ts").alias("updated_at"), "event_id")
     hist = scd2_from_log(log, "user_id", "updated_at", ["user_id", "state"], tiebreak=["event_id"],
-                         bucket_seconds=3600)
+                         bucket_seconds=3600, hot_key_rows=hot_key_rows)
     facts = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     got = sorted((r.event_id, r.state, r.valid_from) for r in
-                 as_of_join(facts, hist, "user_id", "ts", ["state"], bucket_seconds=3600).collect())
+                 as_of_join(facts, hist, "user_id", "ts", ["state"], bucket_seconds=3600,
+                            hot_key_rows=hot_key_rows).collect())
     con = duck(e)
     want = con.execute("""
         with h as (select user_id, event_type as state, ts as valid_from,
@@ -70,3 +75,12 @@ def test_latest_per_key_hot_key(spark):
         select event_id from (select *, row_number() over (partition by user_id order by ts desc, event_id desc) rn
                               from e) x where rn = 1 order by 1""").fetchall()]
     assert got == want
+
+
+def test_hot_key_gets_narrower_buckets(spark):
+    from tidemark.operators.timeline import hot_key_widths
+    e = skewed_events(spark)
+    widths = {r.user_id: r._tl_w for r in hot_key_widths(e, ["user_id"], "ts", 100).collect()}
+    assert list(widths) == [0]                     # only the hot key
+    n = e.where("user_id = 0").count()
+    assert widths[0] <= 30 * 86_400_000_000 / (n / 50) * 1.5

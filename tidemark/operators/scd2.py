@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import far_future
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.operators.timeline import DEFAULT_BUCKET_SECONDS, last_at_or_before, next_time
+from tidemark.operators.timeline import (DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS, last_at_or_before,
+                                        next_time)
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -66,7 +67,8 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, updated_
 
 
 def scd2_from_log(log: DataFrame, key: str, updated_at: str, columns: Sequence[str],
-                  tiebreak: Sequence[str] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                  tiebreak: Sequence[str] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """All versions of a complete change log in one pass (what repeated snapshot
     runs would give if every change were seen).
 
@@ -78,7 +80,7 @@ def scd2_from_log(log: DataFrame, key: str, updated_at: str, columns: Sequence[s
         else log.dropDuplicates([key, updated_at])
     v = firsts.select(*columns, F.col(updated_at).alias(VALID_FROM))
     times = log.select(key, F.col(updated_at).alias(VALID_FROM))
-    return next_time(v, [key], VALID_FROM, VALID_TO, bucket_seconds, times=times)
+    return next_time(v, [key], VALID_FROM, VALID_TO, bucket_seconds, times=times, hot_key_rows=hot_key_rows)
 
 
 def with_is_current(history: DataFrame) -> DataFrame:
@@ -87,7 +89,8 @@ def with_is_current(history: DataFrame) -> DataFrame:
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
                version_cols: Sequence[str], how: str = "left",
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+               bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+               hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Attach to every fact the version valid at ``fact_ts``:
     ``key`` equal and ``valid_from <= fact_ts < coalesce(valid_to, far future)``.
 
@@ -101,7 +104,7 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
         raise ValueError("how must be 'left' or 'inner'")
     payload = F.struct(*[F.col(c) for c in version_cols], F.col(VALID_FROM), F.col(VALID_TO))
     marks = history.select(F.col(key), F.col(VALID_FROM).alias(fact_ts), payload.alias("_ver"))
-    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", bucket_seconds)
+    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", bucket_seconds, hot_key_rows)
     valid = F.col("_ver").isNotNull() & (F.col(fact_ts) < F.coalesce(F.col(f"_ver.{VALID_TO}"), far_future()))
     found = found.withColumn("_ver", F.when(valid, F.col("_ver")))
     if how == "inner":

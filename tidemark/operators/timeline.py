@@ -6,6 +6,13 @@ job in one task. Both helpers here partition by ``(key, time bucket)`` instead
 and settle the rows at a bucket edge with a second, tiny pass over one row
 per ``(key, bucket)``, whose size per key is bounded by the number of buckets
 the key spans, not by its number of rows. Results are exact.
+
+Buckets are ``bucket_seconds`` wide, except for hot keys: a key with more than
+``hot_key_rows`` rows gets narrower buckets, sized from its own row count and
+time span so each holds about ``hot_key_rows / 2`` rows. The per-key widths
+come from one partial aggregate of ``(key, ts)`` and are broadcast; that table
+has at most ``total rows / hot_key_rows`` entries, a bound that holds whatever
+the data.
 """
 
 from __future__ import annotations
@@ -20,13 +27,44 @@ DEFAULT_BUCKET_SECONDS = 86_400
 
 def bucket_of(ts: Column | str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
     """Whole buckets since 1970 (floor division, so exact before 1970 too)."""
+    return _floor_div(epoch_micros(ts), F.lit(bucket_seconds * 1_000_000))
+
+
+def _floor_div(us: Column, width: Column) -> Column:
+    return ((us - F.pmod(us, width)) / width).cast("bigint")
+
+
+DEFAULT_HOT_KEY_ROWS = 2_000_000
+_W = "_tl_w"
+
+
+def hot_key_widths(times: DataFrame, key: list[str], ts: str, hot_key_rows: int) -> DataFrame:
+    """Bucket width (microseconds) for every key with more than ``hot_key_rows``
+    rows: its time span divided into about ``2 * rows / hot_key_rows`` buckets.
+    At most ``total rows / hot_key_rows`` rows, so safe to broadcast."""
     us = epoch_micros(ts)
-    width = bucket_seconds * 1_000_000
-    return ((us - F.pmod(us, F.lit(width))) / width).cast("bigint")
+    target = max(1, hot_key_rows // 2)
+    stats = (times.select(*key, us.alias("_us")).groupBy(*key)
+             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
+             .where(F.col("_n") > hot_key_rows))
+    width = F.greatest(F.lit(1).cast("bigint"),
+                       ((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / target)).cast("bigint"))
+    return stats.select(*key, width.alias(_W))
+
+
+def with_buckets(df: DataFrame, key: list[str], ts: str, out: str, bucket_seconds: int,
+                 widths: DataFrame | None) -> DataFrame:
+    """Add the bucket number ``out``; hot keys use their own narrower width."""
+    base = F.lit(bucket_seconds * 1_000_000).cast("bigint")
+    if widths is None:
+        return df.withColumn(out, _floor_div(epoch_micros(ts), base))
+    j = df.join(F.broadcast(widths), key, "left")
+    return j.withColumn(out, _floor_div(epoch_micros(ts), F.coalesce(F.col(_W), base))).drop(_W)
 
 
 def next_time(df: DataFrame, key: list[str], ts: str, out: str,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, times: DataFrame | None = None) -> DataFrame:
+              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, times: DataFrame | None = None,
+              hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """Add ``out`` = the next later ``ts`` of the same key (NULL for the last).
 
     ``(key, ts)`` must be unique (the callers de-duplicate first). ``times``
@@ -36,10 +74,12 @@ def next_time(df: DataFrame, key: list[str], ts: str, out: str,
     map-side partial aggregation instead of re-running the de-duplication.
     """
     b = "_tl_b"
-    d = df.withColumn(b, bucket_of(ts, bucket_seconds))
+    src = (times if times is not None else df).select(*key, ts)
+    widths = hot_key_widths(src, key, ts, hot_key_rows) if hot_key_rows else None
+    d = with_buckets(df, key, ts, b, bucket_seconds, widths)
     d = d.withColumn(out, F.lead(ts).over(Window.partitionBy(*key, b).orderBy(ts)))
-    src = (times if times is not None else df).select(*key, ts).withColumn(b, bucket_of(ts, bucket_seconds))
-    firsts = src.groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
+    firsts = with_buckets(src, key, ts, b, bucket_seconds, widths) \
+        .groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
     nxt = (firsts
            .withColumn("_tl_next", F.lead("_tl_first").over(Window.partitionBy(*key).orderBy(b)))
            .select(*key, b, "_tl_next"))
@@ -49,7 +89,8 @@ def next_time(df: DataFrame, key: list[str], ts: str, out: str,
 
 
 def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: str, payload: str,
-                      out: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:
+                      out: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+                      hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
     """For every row of ``events`` add ``out`` = the ``payload`` of the latest
     ``marks`` row of the same key whose ``ts`` is <= the event's ``ts``.
 
@@ -65,7 +106,9 @@ def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: s
                        F.lit(None).cast(marks.schema[payload].dataType).alias(payload))
     mk = marks.select(*key, F.col(ts), F.lit(0).alias(kind),
                       F.lit(None).cast(ev.schema[row].dataType).alias(row), F.col(payload))
-    u = ev.unionByName(mk).withColumn(b, bucket_of(ts, bucket_seconds))
+    widths = (hot_key_widths(events.select(*key, ts).unionByName(marks.select(*key, ts)), key, ts, hot_key_rows)
+              if hot_key_rows else None)
+    u = with_buckets(ev.unionByName(mk), key, ts, b, bucket_seconds, widths)
     # Marks sort before events at the same instant, so ``<=`` holds.
     w_in = (Window.partitionBy(*key, b).orderBy(F.col(ts), F.col(kind))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
@@ -75,7 +118,7 @@ def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: s
     # bucket: one row per (key, bucket) on each side, scanned per key in bucket
     # order. Event buckets sort before the mark bucket of the same number, so
     # they only see strictly earlier buckets.
-    last_b = (mk.withColumn(b, bucket_of(ts, bucket_seconds))
+    last_b = (with_buckets(mk, key, ts, b, bucket_seconds, widths)
               .groupBy(*key, b).agg(F.max_by(F.col(payload), F.col(ts)).alias("_tl_p"))
               .withColumn(kind, F.lit(0)))
     ev_b = (ev_out.select(*key, b).distinct()
