@@ -319,17 +319,18 @@ def q_dq_freshness(spark, sf):
     return freshness(sources, F.lit(FRESHNESS_AS_OF).cast("timestamp_ntz"))
 
 
-def _suite_results(spark, sf):
-    """The whole suite's results, written once (one row per check): the
-    summary, failure list and alert each read them more than once."""
+def _suite_results(spark, sf, write: bool = True):
+    """The whole suite's results (one row per check). With ``write`` they are
+    written once, for consumers that read them more than once (the alert)."""
     from tidemark.plans import suite
     from tidemark.sources.catalog import materialize
-    return materialize(spark, _checks(spark, sf, suite.ALL), "check-results")
+    results = _checks(spark, sf, suite.ALL)
+    return materialize(spark, results, "check-results") if write else results
 
 
 def q_dq_summary(spark, sf):
     from tidemark.plans.monitoring import status_counts
-    return status_counts(_suite_results(spark, sf))
+    return status_counts(_suite_results(spark, sf, write=False))
 
 
 def q_dq_alert_top(spark, sf):
@@ -339,7 +340,7 @@ def q_dq_alert_top(spark, sf):
 
 def q_dq_failures(spark, sf):
     from tidemark.plans.monitoring import failures
-    return failures(_suite_results(spark, sf))
+    return failures(_suite_results(spark, sf, write=False))
 
 
 # ---------------------------------------------------------------------------
@@ -563,7 +564,7 @@ def q_dq_run_results_scan(spark, sf):
     from tidemark.sources.results import read_run_results, write_run_results
     from tidemark.streaming.jobs import job_folder
     path = f"{job_folder(spark, 'run-results')}/run_results.json"
-    write_run_results(_suite_results(spark, sf), path, "suite")
+    write_run_results(_suite_results(spark, sf, write=False), path, "suite")
     return status_counts(read_run_results(spark, path))
 
 
