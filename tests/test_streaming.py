@@ -57,3 +57,14 @@ def test_append_drops_redelivered_events_within_watermark(spark, tmp_dir):
 def test_topic_landing_stream_lands_only_valid_changes(spark, tmp_dir):
     out = R.q_stream_land_topics(spark, SF)
     assert out.count() == R.q_cdc_flatten(spark, SF).count()
+
+
+def test_state_store_versions_and_vacuum(spark, tmp_dir):
+    from tidemark.sources.state import StateStore
+    store = StateStore(spark, os.path.join(tmp_dir, "state"))
+    assert store.read() is None
+    for v in range(4):
+        store.write(spark.range(v + 1), v)
+    assert store.read().count() == 4 and store.read(before=2).count() == 2
+    assert store.vacuum(keep=2) == [0, 1]
+    assert store._versions() == [2, 3] and store.read().count() == 4

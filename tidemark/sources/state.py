@@ -53,6 +53,18 @@ class StateStore:
     def write(self, df: DataFrame, version: int) -> None:
         df.write.mode("overwrite").parquet(f"{self.root}/v={version}")
 
+    def vacuum(self, keep: int = 2) -> list[int]:
+        """Remove all but the newest ``keep`` committed versions (and leave any
+        uncommitted folder to the writer that owns it); returns the removed
+        version numbers."""
+        jvm = self.spark.sparkContext._jvm
+        versions = self._versions()
+        doomed = versions[:-keep] if keep > 0 else versions
+        for v in doomed:
+            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}")
+            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+        return doomed
+
 
 
 def bucket_of_key(key: str, buckets: int) -> Column:
