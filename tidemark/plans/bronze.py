@@ -26,7 +26,7 @@ from tidemark.sources.state import StateStore, merge_into_buckets
 
 def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
                     key: str, image_cols: Sequence[str], state_root: str,
-                    since_dt: str | None = None) -> tuple[DataFrame, DataFrame]:
+                    since_dt: str | None = None, keep_versions: int = 2) -> tuple[DataFrame, DataFrame]:
     """One run of the CDC merge for ``table``; returns (state, quarantine).
 
     The state keeps delete markers; ``cdc.published(state)`` is the table
@@ -40,6 +40,7 @@ def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_sch
     prior = store.read()
     nxt = (versions[-1] + 1) if versions else 0
     store.write(cdc.merge_changes(prior, rows, key), nxt)
+    store.vacuum(keep_versions)
     return store.read(), rejected
 
 

@@ -74,14 +74,17 @@ def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.St
     return run_available_now(rows, sink_path, checkpoint)
 
 
-def upsert_batch(store: StateStore, key: str, image_cols: Sequence[str]):
+def upsert_batch(store: StateStore, key: str, image_cols: Sequence[str], keep_versions: int = 2):
     """``foreachBatch`` function: validate, flatten and merge one micro-batch
-    into the next state version."""
+    into the next state version. Only the newest ``keep_versions`` versions are
+    kept: a replay concerns the last micro-batch only, which needs at most the
+    version before it."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         valid, _bad = cdc.split_valid(batch, key)
         rows = cdc.flatten(valid, key, image_cols)
         state = store.read(before=batch_id)
         store.write(cdc.merge_changes(state, rows, key), batch_id)
+        store.vacuum(keep_versions)
     return apply
 
 
