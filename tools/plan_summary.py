@@ -24,7 +24,8 @@ def summarize(plan: str) -> dict:
         "BHJ": len(re.findall(r"BroadcastHashJoin", plan)),
         "partial top-N": len(re.findall(r"WindowGroupLimit .*Partial", plan)),
         "partial aggs": len(re.findall(r"(Hash|Sort|ObjectHash)Aggregate\(keys=\[[^\]]*\], functions=\[partial_", plan)),
-        "scans": sorted(set(re.findall(r"FileScan (?:parquet|json) (?:[\w.`]+)?\[([^\]]*)\]", plan))),
+        "scans": sorted(set(re.sub(r"#\d+L?", "", c) for c in
+                            re.findall(r"FileScan (?:parquet|json) (?:[\w.`]+)?\[([^\]]*)\]", plan))),
     }
 
 
