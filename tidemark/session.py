@@ -23,7 +23,6 @@ DEFAULT_CONF = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
 }
 
 
