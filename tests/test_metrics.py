@@ -52,3 +52,17 @@ def test_where_filter_is_typed(spark):
     from pyspark.sql import functions as F
     out = metric_query(fact(spark), MetricRequest(["transaction_count"], ["chain"], where=F.col("direction") == "send"))
     assert {r.chain: r.transaction_count for r in out.collect()} == {"eth": 2}
+
+
+def test_two_phase_equals_single_pass(spark):
+    from pyspark.sql import functions as F
+    from tidemark.plans.domain import Domain
+    d = Domain(spark, "/root/testdata/sf0.001")
+    req = dict(metrics=["transaction_volume_usd", "transaction_count", "confirmed_transaction_rate",
+                        "avg_confirmation_seconds"], group_by=["user_id__kyc_status", "chain"])
+    two = metric_query(d.fact_transactions, MetricRequest(**req), d.dim_users)
+    one = metric_query(d.fact_transactions, MetricRequest(**req, where=F.lit(True)), d.dim_users)
+    key = lambda r: (r.user_id__kyc_status, r.chain)
+    norm = lambda rows: sorted(((key(r), r.transaction_volume_usd, r.transaction_count, r.confirmed_transaction_rate,
+                                 round(r.avg_confirmation_seconds, 6)) for r in rows), key=lambda x: x[0])
+    assert norm(two.collect()) == norm(one.collect())
