@@ -61,8 +61,23 @@ def test_two_phase_equals_single_pass(spark):
     req = dict(metrics=["transaction_volume_usd", "transaction_count", "confirmed_transaction_rate",
                         "avg_confirmation_seconds"], group_by=["user_id__kyc_status", "chain"])
     two = metric_query(d.fact_transactions, MetricRequest(**req), d.dim_users)
-    one = metric_query(d.fact_transactions, MetricRequest(**req, where=F.lit(True)), d.dim_users)
+    always = F.col("user_id__kyc_status").isNull() | F.col("user_id__kyc_status").isNotNull()  # a users column
+    one = metric_query(d.fact_transactions, MetricRequest(**req, where=always), d.dim_users)
     key = lambda r: (r.user_id__kyc_status, r.chain)
     norm = lambda rows: sorted(((key(r), r.transaction_volume_usd, r.transaction_count, r.confirmed_transaction_rate,
                                  round(r.avg_confirmation_seconds, 6)) for r in rows), key=lambda x: x[0])
     assert norm(two.collect()) == norm(one.collect())
+
+
+def test_filter_on_users_column_joins_first(spark):
+    from pyspark.sql import functions as F
+    users = spark.createDataFrame([(1, "US", "verified", "organic", D(2020, 1, 1)),
+                                   (2, "DE", "pending", "paid_ad", D(2020, 1, 1))],
+                                  "user_id long, country_code string, kyc_status string, signup_channel string, "
+                                  "user_created_at timestamp_ntz")
+    by_user_col = metric_query(fact(spark), MetricRequest(["transaction_count"], ["user_id__country_code"],
+                                                          where=F.col("user_id__country_code") == "DE"), users)
+    assert {r.user_id__country_code: r.transaction_count for r in by_user_col.collect()} == {"DE": 1}
+    by_fact_col = metric_query(fact(spark), MetricRequest(["transaction_count"], ["user_id__country_code"],
+                                                          where=F.col("status") == "confirmed"), users)
+    assert {r.user_id__country_code: r.transaction_count for r in by_fact_col.collect()} == {"US": 1}

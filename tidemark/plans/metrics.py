@@ -12,6 +12,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -221,13 +222,19 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
         raise ValueError("users dimension requested without users_dim")
     users = users_dim.select("user_id", *[F.col(d).alias(f"user_id__{d}") for d in user_dims]) \
         if user_dims else None
+    fact_only = fact
     if user_dims and req.where is not None:
-        # A filter may name users columns: join first, then one aggregation.
+        try:
+            fact_only = fact.where(req.where)  # analysis fails if the filter names users columns
+        except AnalysisException:
+            fact_only = None
+    if user_dims and fact_only is None:
+        # The filter names users columns: join first, then one aggregation.
         base = fact.join(users, "user_id", "left").where(req.where)
         out = base.groupBy(*fact_groups, *[F.col(f"user_id__{d}") for d in user_dims]).agg(*_first_phase(comps))
     elif user_dims:
         fact_names = [n for n in names if not n.startswith("user_id__")]
-        per_user = fact.groupBy("user_id", *fact_groups).agg(*_first_phase(comps))
+        per_user = fact_only.groupBy("user_id", *fact_groups).agg(*_first_phase(comps))
         out = (per_user.join(users, "user_id", "left")
                .groupBy(*fact_names, *[f"user_id__{d}" for d in user_dims]).agg(*_second_phase(comps)))
     else:
