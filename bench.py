@@ -53,20 +53,26 @@ def main() -> None:
     names = sys.argv[1:] or HEADLINE
     spark = get_session(master=f"local[{cpus}]", shuffle_partitions=int(cpus) * 2,
                         extra={"spark.driver.memory": os.environ.get("BENCH_DRIVER_MEMORY", "8g")})
-    times, rows = {}, {}
+    times, rows, errors = {}, {}, {}
     for name in names:
         fn = REGISTRY[name]
-        run(fn(spark, sf_dir))  # warm-up
-        samples = []
-        for _ in range(repeat):
-            t0 = time.perf_counter()
-            run(fn(spark, sf_dir))
-            samples.append(time.perf_counter() - t0)
-        times[name] = round(statistics.median(samples), 3)
-        rows[name] = fn(spark, sf_dir).count()
+        try:
+            run(fn(spark, sf_dir))  # warm-up
+            samples = []
+            for _ in range(repeat):
+                t0 = time.perf_counter()
+                run(fn(spark, sf_dir))
+                samples.append(time.perf_counter() - t0)
+            times[name] = round(statistics.median(samples), 3)
+            rows[name] = fn(spark, sf_dir).count()
+        except Exception as e:  # noqa: BLE001 -- report, keep measuring the others
+            errors[name] = f"{type(e).__name__}: {str(e)[:200]}"
     sf = os.path.basename(sf_dir.rstrip("/")).removeprefix("sf")
-    print(json.dumps({"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
-                      "unit": "sec", "queries": times, "rows": rows, "sf": sf, "cpus": int(cpus)}))
+    out = {"metric": "sum_of_median_query_seconds", "value": round(sum(times.values()), 3),
+           "unit": "sec", "queries": times, "rows": rows, "sf": sf, "cpus": int(cpus)}
+    if errors:
+        out["errors"] = errors
+    print(json.dumps(out))
 
 
 if __name__ == "__main__":
