@@ -1,11 +1,11 @@
 """Bench: headline queries at $BENCH_SF_DIR on local[$BENCH_CPUS].
 
 Prints one JSON line: {"metric", "value" (sum of per-query medians), "unit",
-"queries": {name: seconds}, "rows": {name: n}, "sf"}. Each query is run once
-to warm up, then $BENCH_REPEAT times (default 3); the median is reported. A
-query's time is a full action over its result (a count of the rows of the
-whole result, which forces every column it computes through ``noop``-style
-materialization rather than a pruned count).
+"queries": {name: seconds}, "rows": {name: n}, "sf", "cpus"} (plus "errors"
+if a query failed). Each query is run once to warm up, then $BENCH_REPEAT
+times (default 3); the median is reported. A timed run builds the query and
+writes its whole result to Spark's ``noop`` sink, so every column of every
+row is computed and nothing is collected to the driver.
 """
 
 from __future__ import annotations
