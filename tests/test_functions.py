@@ -52,3 +52,11 @@ def test_fixed_time_spine_has_731_days(spark):
     days = time_spine(spark, "2025-01-01", "2027-01-01")
     assert days.count() == 731
     assert days.agg(F.min("date_day"), F.max("date_day")).collect()[0] == (dt.date(2025, 1, 1), dt.date(2027, 1, 1))
+
+
+def test_cluster_conf_sizes_partitions():
+    from tidemark.session import cluster_conf
+    c = cluster_conf(100 * 1024 ** 4, 1000, 8)
+    assert c["spark.sql.shuffle.partitions"] == "102400"
+    assert c["spark.sql.adaptive.enabled"] == "true"
+    assert cluster_conf(10 * 1024 ** 3, 100, 4)["spark.sql.shuffle.partitions"] == "1200"
