@@ -108,3 +108,21 @@ def test_models_as_sql_views(spark):
                     "and usd_value_at_tx < 0")
     assert neg.count() == 0
     assert spark.sql("select count(*) from m_time_spine").collect()[0][0] > 0
+
+
+def test_onchain_load_skips_empty_feed_and_appends_new_keys(spark, tmp_dir):
+    from tidemark.plans.bronze import load_onchain
+    schema = T.StructType([T.StructField("hash", T.StringType()), T.StructField("_chain", T.StringType()),
+                           T.StructField("_ingested_at", T.TimestampNTZType())])
+    land, target = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "onchain")
+    loaded = F.lit("2024-01-01 00:00:00")
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded) == 0
+    assert not os.path.exists(target)
+    rows = spark.createDataFrame([("h1", dt.datetime(2024, 1, 2)), ("h1", dt.datetime(2024, 1, 1)),
+                                  ("h2", dt.datetime(2024, 1, 1))], "hash string, ts timestamp_ntz")
+    frame = landing.onchain_landing_frame(rows, F.lit("ethereum"), F.col("ts"), F.lit("2024-01-01")).drop("ts")
+    landing.write_onchain_landing(frame, land)
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded) == 2
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded) == 0  # replay: nothing new
+    kept = {r.hash: r._ingested_at for r in spark.read.parquet(target).collect()}
+    assert kept == {"h1": dt.datetime(2024, 1, 1), "h2": dt.datetime(2024, 1, 1)}  # first seen wins
