@@ -68,3 +68,12 @@ def test_state_store_versions_and_vacuum(spark, tmp_dir):
     assert store.read().count() == 4 and store.read(before=2).count() == 2
     assert store.vacuum(keep=2) == [0, 1]
     assert store._versions() == [2, 3] and store.read().count() == 4
+
+
+def test_append_reports_progress(spark, tmp_dir):
+    landed = R._landed_events(Tables(spark, SF)).where(F.col("dt") < "2024-01-03")
+    root, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "sink", "ckpt"))
+    landing.write_landing(landed, root)
+    progress = jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt)
+    assert progress is not None and progress["sink"]["description"].startswith("FileSink")
+    assert spark.read.parquet(sink).count() == landed.where("op <> 'd'").count()
