@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import is_held_out, table
+from tidemark.llm import decontam
 from tidemark.llm import toxicity
 from tidemark.llm.simhash import simhash_components
 
@@ -24,7 +25,14 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.select("doc_id", is_held_out("doc_id").alias("held_out"), "score", "predicted", "spans")
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    hits = decontam.benchmark_hits(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return hits.select("doc_id", "n_words", "n_hit", F.size("items").cast("long").alias("n_items"),
+                       F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op5_decontamination": op5_decontamination,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
 }
