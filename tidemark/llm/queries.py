@@ -8,6 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import is_held_out, table
+from tidemark.llm.regex_spans import digest_text
+from tidemark.llm import secret_scan
 from tidemark.llm import decontam
 from tidemark.llm import toxicity
 from tidemark.llm.simhash import simhash_components
@@ -31,7 +33,16 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
                        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), "contaminated")
 
 
+def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secret_scan.secret_spans(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.count_of(F.col("spans"), kind).alias(f"n_{kind}") for kind in ("assign", "access", "hex")]
+    base = secret_scan.base_of(F.col("spans"))
+    return found.select("doc_id", *counts, F.sha2(digest_text(base), 256).alias("base_sha256"),
+                        digest_text(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op8_secrets": op8_secrets,
     "op5_decontamination": op5_decontamination,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
