@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import is_held_out, table
+from tidemark.llm import pieces
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm import secret_scan
 from tidemark.llm import decontam
@@ -15,6 +16,9 @@ from tidemark.llm import toxicity
 from tidemark.llm.simhash import simhash_components
 
 
+PIECES = "/opt/tokenizers/piece_bpe_32k.model"
+
+
 def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = simhash_components(table(spark, sf_dir, "documents"), shingle_words=3, max_bits=2)
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
@@ -41,7 +45,17 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
                         digest_text(F.col("spans")).alias("spans"))
 
 
+def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
+    vocabulary = pieces.Vocabulary.load(model)
+    docs = table(spark, sf_dir, "documents")
+    coded = docs.select("doc_id", "text", pieces.ids_column(vocabulary, F.col("text")).alias("ids"))
+    decoded = coded.withColumn("decoded", pieces.text_column(vocabulary, F.col("ids")))
+    return decoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
+                          F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op10_sentencepiece": op10_sentencepiece,
     "op8_secrets": op8_secrets,
     "op5_decontamination": op5_decontamination,
     "op2_toxicity": op2_toxicity,
