@@ -7,12 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.llm import decontam, langid, pieces, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, table
-from tidemark.llm import pieces
 from tidemark.llm.regex_spans import digest_text
-from tidemark.llm import secret_scan
-from tidemark.llm import decontam
-from tidemark.llm import toxicity
 from tidemark.llm.simhash import simhash_components
 
 
@@ -54,7 +51,14 @@ def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) ->
                           F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
 
 
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = langid.languages(docs, langid.fit(docs))
+    return found.select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_language": op3_language,
     "op10_sentencepiece": op10_sentencepiece,
     "op8_secrets": op8_secrets,
     "op5_decontamination": op5_decontamination,
