@@ -11,6 +11,7 @@ from tidemark.llm import decontam, langid, pieces, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, table
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
+from tidemark.llm.topk import top_k
 
 
 PIECES = "/opt/tokenizers/piece_bpe_32k.model"
@@ -57,7 +58,13 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", is_held_out("doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op7_topk": op7_topk,
     "op3_language": op3_language,
     "op10_sentencepiece": op10_sentencepiece,
     "op8_secrets": op8_secrets,
