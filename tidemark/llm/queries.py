@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, pieces, secret_scan, toxicity
+from tidemark.llm import decontam, langid, pieces, pii, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, table
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
@@ -63,7 +63,15 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return top_k(vectors, vectors.filter("vec_id % 50 = 0"), k=5, scale=256)
 
 
+def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.personal_data(table(spark, sf_dir, "documents"))
+    counts = [secret_scan.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    return found.select("doc_id", *counts, F.sha2(digest_text(F.col("base")), 256).alias("base_sha256"),
+                        digest_text(pii.all_spans(F.col("base"), F.col("terms"))).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_pii": op1_pii,
     "op7_topk": op7_topk,
     "op3_language": op3_language,
     "op10_sentencepiece": op10_sentencepiece,
