@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, pieces, pii, secret_scan, toxicity
+from tidemark.llm import decontam, langid, licenses, pieces, pii, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, table
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
@@ -70,7 +70,13 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
                         digest_text(pii.all_spans(F.col("base"), F.col("terms"))).alias("spans"))
 
 
+def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = licenses.license_hits(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+    return found.select("doc_id", "whole", F.array_join("lines", ",").alias("lines"), F.size("lines").cast("long").alias("n_licenses"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_licenses": op6_licenses,
     "op1_pii": op1_pii,
     "op7_topk": op7_topk,
     "op3_language": op3_language,
