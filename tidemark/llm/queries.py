@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm import decontam, langid, licenses, pieces, pii, secret_scan, toxicity
+from tidemark.llm import decontam, html_text, langid, licenses, pieces, pii, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, table
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
@@ -75,7 +75,12 @@ def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "whole", F.array_join("lines", ",").alias("lines"), F.size("lines").cast("long").alias("n_licenses"))
 
 
+def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_text.extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op9_main_text": op9_main_text,
     "op6_licenses": op6_licenses,
     "op1_pii": op1_pii,
     "op7_topk": op7_topk,
