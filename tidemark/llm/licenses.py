@@ -20,7 +20,9 @@ SPELLINGS = (
     ("version ", "v"), ("https://", "http://"), ("&", " and "),
 )
 COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*$"
-PUNCTUATION = "[\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©“”‘’«»–—]+"
+# Runs of punctuation and spaces within a line; a single space stays as it is.
+SIGNS = "\\x00-\\x09\\x0B-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©“”‘’«»–—"
+PUNCTUATION = f"\\x20*[{SIGNS}][{SIGNS}\\x20]*|\\x20{{2,}}"
 # A catalogue up to this many rows is small enough to send to every task.
 BROADCAST_ROWS = 20_000
 
@@ -60,17 +62,22 @@ CATALOGUE = (
 )
 
 
-def canonical(text: Column) -> Column:
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, " ")
+def canonical_lines(text: Column) -> Column:
+    """The canonical form of each line, still with line feeds between them."""
+    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
     for other, one in SPELLINGS:
         out = F.replace(out, F.lit(other), F.lit(one))
-    return F.trim(F.regexp_replace(out, PUNCTUATION, " "))
+    return F.regexp_replace(out, PUNCTUATION, " ")
 
 
-def digest(text: Column) -> Column:
-    """SHA-256 of the canonical form; null where nothing is left of the text."""
-    form = canonical(text)
-    return F.when(F.length(form) > 0, F.sha2(form, 256))
+def digest(form: Column) -> Column:
+    """SHA-256 of a canonical form on one line; null where nothing is left."""
+    one_line = F.trim(F.regexp_replace(form, "\\x20*\n[\\x20\n]*", " "))
+    return F.when(F.length(one_line) > 0, F.sha2(one_line, 256))
+
+
+def line_digest(line: Column) -> Column:
+    return F.when(F.length(F.trim(line)) > 0, F.sha2(F.trim(line), 256))
 
 
 def known_licenses(spark: SparkSession, catalogue=CATALOGUE) -> DataFrame:
@@ -86,15 +93,16 @@ def license_hits(docs: DataFrame, catalogue: DataFrame, id_col: str = "doc_id",
     canonical text the first by name counts; a repeated row gives a repeated
     row; an empty catalogue matches nothing; extra columns are not read.
     """
-    known = (catalogue.select(digest(F.col(license_text_col)).alias("digest"), F.col(license_col).alias("license"))
+    known = (catalogue.select(digest(canonical_lines(F.col(license_text_col))).alias("digest"), F.col(license_col).alias("license"))
              .filter("digest IS NOT NULL").groupBy("digest").agg(F.min("license").alias("license")))
     if catalogue.count() <= BROADCAST_ROWS:
         known = F.broadcast(known)
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), text.alias("text"))
-    # The whole text, then its lines; the digest of a one-line text serves for both.
-    units = rows.select("row", "id", F.posexplode(F.concat(F.array("text"), F.split("text", "\n"))).alias("at", "unit"))
-    found = units.select("row", "id", "at", digest(F.col("unit")).alias("digest")).join(known, "digest", "left")
+    rows = docs.select(F.monotonically_increasing_id().alias("row"), F.col(id_col).alias("id"), canonical_lines(text).alias("form"))
+    # The digest of the whole text, then those of its lines.
+    units = rows.select("row", "id", F.posexplode(F.concat(
+        F.array(digest(F.col("form"))), F.transform(F.split("form", "\n"), line_digest))).alias("at", "digest"))
+    found = units.join(known, "digest", "left")
     # All units of a row are in one task, so this is summed up before the exchange.
     done = found.groupBy("row", "id").agg(
         F.max(F.when(F.col("at") == 0, F.col("license"))).alias("whole"),
