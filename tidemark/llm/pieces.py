@@ -23,14 +23,15 @@ from collections.abc import Iterable, Iterator
 import ahocorasick
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from sentencepiece import sentencepiece_model_pb2
 
 SPACE = "▁"
 UNKNOWN_PENALTY = 10.0
 CACHED_WORDS = 300_000
-PART_CHARS = 2_000_000
+SIGNS = ".,;:!?*#$%&|)\"'"
+PART_CHARS = 1_000_000
 FALLBACK = -1
 SHARED: dict[str, "Vocabulary"] = {}
 
@@ -71,6 +72,7 @@ class Vocabulary:
             raise ValueError("a piece reaches across a space")
         self.texts = {i: p for p, i in self.ids.items()}
         self.characters = {c for p in self.ids for c in p}
+        self.neighbours = {a + b for p in self.ids for a, b in zip(p, p[1:])}
         self.separator = next(c for c in map(chr, range(0x110000)) if c not in self.characters)
         self.unknown_score = min((self.scores[i] for i in self.ids.values()), default=0.0) - UNKNOWN_PENALTY
         # Line feeds also end a word where no piece holds them.
@@ -83,7 +85,7 @@ class Vocabulary:
         """Drop what is only kept to save time."""
         self.automaton: ahocorasick.Automaton | None = None
         self.steps: dict[int, list[tuple[float, str, str]]] = {}
-        self.follows: dict[tuple[int, int], bool] = {}
+        self.follows: dict[int, bool] = {}
         self.cache: dict[str, bytes] = {}
 
     @classmethod
@@ -178,10 +180,10 @@ class Vocabulary:
                         if score[begin] + scores[piece] > best:
                             best, choice, origin = score[begin] + scores[piece], piece, begin
                     elif choice == FALLBACK:  # only one path into a prefix is admissible
-                        pair = (last[begin], piece)
+                        pair = last[begin] * 0x1000000 + piece
                         allowed = follows.get(pair)
                         if allowed is None:
-                            allowed = follows[pair] = admissible(*pair)
+                            allowed = follows[pair] = admissible(last[begin], piece)
                         if allowed:
                             best, choice, origin = score[begin] + scores[piece], piece, begin
                     at, (length, piece) = next(ends, none)
@@ -217,19 +219,33 @@ class Vocabulary:
                 return words
         return [w[1:] if w[0] == " " and w[1:2] not in ("", " ", "\n") else w for w in self.cutter.findall(" " + text)]
 
+    def learn(self, words: Iterable[str]) -> None:
+        """Encode new words; the signs at a word's end apart where no piece joins them to the word."""
+        cuts: dict[str, tuple[str, str]] = {}
+        todo = set()
+        for word in words:
+            whole = word if word[0] in " \n" else " " + word
+            head = whole.rstrip(SIGNS)
+            if len(head) == len(whole) or head in ("", " ") or head[-1] + whole[len(head)] in self.neighbours:
+                head = whole
+            tail = whole[len(head):]
+            cuts[word] = (head, tail)
+            todo.add(head)
+            if tail:
+                todo.add(tail)
+        ids = {word: out.tobytes() for word, out in self.encode_words(todo)}
+        self.cache.update((word, ids[head] + ids[tail] if tail else ids[head]) for word, (head, tail) in cuts.items())
+
     def encode(self, texts: list[str | None]) -> list[np.ndarray | None]:
         """int32 piece ids of each text; None for a null text."""
-        if len(self.cache) > CACHED_WORDS:
-            self.cache.clear()
-        if len(self.follows) > 4 * CACHED_WORDS:
-            self.follows.clear()
+        for kept in (self.cache, self.follows):
+            if len(kept) > CACHED_WORDS:
+                kept.clear()
         documents = [self.words_of(t) for t in texts]
         new: set[str] = set()
         for words in documents:
             new.update(words)
-        marked = {w if w[0] in " \n" else " " + w: w for w in new.difference(self.cache)}
-        for word, out in self.encode_words(marked):
-            self.cache[marked[word]] = out.tobytes()
+        self.learn(new.difference(self.cache))
         known = self.cache.__getitem__
         return [None if t is None else np.frombuffer(b"".join(map(known, words)), dtype=np.int32)
                 for t, words in zip(texts, documents)]
@@ -239,52 +255,64 @@ class Vocabulary:
         return text[1:] if text.startswith(" ") else text
 
 
-def ids_column(vocabulary: Vocabulary, text: Column) -> Column:
-    @F.arrow_udf("array<int>")
-    def encode(texts: pa.Array) -> pa.Array:
-        own = vocabulary.shared()
-        rows: list[np.ndarray | None] = []
-        part: list[str | None] = []
-        waiting = 0
-        for t in texts:
-            part.append(t.as_py())
-            waiting += len(part[-1] or "")
-            if waiting >= PART_CHARS:
-                rows += own.encode(part)
-                part, waiting = [], 0
-        rows += own.encode(part)
-        sizes = np.array([0 if r is None else len(r) for r in rows], dtype=np.int64)
-        offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), type=pa.int32())
-        values = np.concatenate([r for r in rows if r is not None] or [np.empty(0, np.int32)])
-        return pa.ListArray.from_arrays(offsets, pa.array(values, type=pa.int32()),
-                                        mask=pa.array([r is None for r in rows], type=pa.bool_()))
-
-    return encode(text)
-
-
-def text_column(vocabulary: Vocabulary, ids: Column) -> Column:
-    @F.arrow_udf("string")
-    def decode(rows: pa.Array) -> pa.Array:
-        values, offsets = rows.values.to_pylist(), rows.offsets.to_pylist()
-        return pa.array([None if null else vocabulary.decode(values[a:b])
-                         for null, a, b in zip(rows.is_null().to_pylist(), offsets, offsets[1:])], type=pa.string())
-
-    return decode(ids)
-
-
-def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def parts_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, list]]:
+    """The batches' first column and the values of their second one, in parts of bounded size."""
+    for batch in batches:
+        begin, waiting, values = 0, 0, []
+        for i, value in enumerate(batch.column(1)):
+            values.append(value.as_py())
+            waiting += len(values[-1] or ())
+            if waiting >= PART_CHARS or i == batch.num_rows - 1:
+                yield batch.column(0).slice(begin, len(values)), values
+                begin, waiting, values = i + 1, 0, []
+
+
+def ids_array(rows: list[np.ndarray | None]) -> pa.Array:
+    sizes = np.array([0 if r is None else len(r) for r in rows], dtype=np.int64)
+    offsets = pa.array(np.concatenate(([0], np.cumsum(sizes))), type=pa.int32())
+    values = np.concatenate([r for r in rows if r is not None] or [np.empty(0, np.int32)])
+    return pa.ListArray.from_arrays(offsets, pa.array(values, type=pa.int32()),
+                                    mask=pa.array([r is None for r in rows], type=pa.bool_()))
+
+
+def encode(docs: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", text_col: str = "text",
+           check: bool = False) -> DataFrame:
     """One row per document: ``id_col``, ``ids`` (array<int>), ``n_tokens``.
 
+    ``check`` decodes each document's ids again and adds ``round_trip``, whether
+    that gave its text.
+
     Defined cases: a null text gives null ids and 0 tokens, an empty one no ids;
     characters without a piece become their UTF-8 byte pieces, as does the space
     mark itself where a text holds it, so that decoding is exact; strings of
     control pieces are ordinary text; repeated rows give repeated rows.
     """
-    coded = docs.select(F.col(id_col).alias("id"), ids_column(vocabulary, F.col(text_col).cast("string")).alias("ids"))
-    return coded.select(F.col("id").alias(id_col), "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"))
+    own = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
+
+    def code(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        shared = vocabulary.shared()
+        for names, texts in parts_of(batches):
+            ids = shared.encode(texts)
+            out = [names, ids_array(ids)]
+            if check:
+                out.append(pa.array([t is None if i is None else shared.decode(i.tolist()) == t
+                                     for t, i in zip(texts, ids)], type=pa.bool_()))
+            yield pa.RecordBatch.from_arrays(out, names=["id", "ids", "round_trip"][:len(out)])
+
+    schema = f"id {own.schema['id'].dataType.simpleString()}, ids array<int>" + (", round_trip boolean" if check else "")
+    coded = own.mapInArrow(code, schema)
+    return coded.select(F.col("id").alias(id_col), "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"),
+                        *(["round_trip"] if check else []))
 
 
 def decode(coded: DataFrame, vocabulary: Vocabulary, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
     """One row per input row: ``id_col`` and the decoded ``text`` (null for null ids)."""
-    return coded.select(F.col(id_col).alias("id"), text_column(vocabulary, F.col(ids_col)).alias("text")).select(
-        F.col("id").alias(id_col), "text")
+    own = coded.select(F.col(id_col).alias("id"), F.col(ids_col).alias("ids"))
+
+    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for names, rows in parts_of(batches):
+            texts = [None if r is None else vocabulary.decode(r) for r in rows]
+            yield pa.RecordBatch.from_arrays([names, pa.array(texts, type=pa.string())], names=["id", "text"])
+
+    read_back = own.mapInArrow(read, f"id {own.schema['id'].dataType.simpleString()}, text string")
+    return read_back.select(F.col("id").alias(id_col), "text")

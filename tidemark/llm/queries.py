@@ -44,12 +44,8 @@ def op8_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_sentencepiece(spark: SparkSession, sf_dir: str, model: str = PIECES) -> DataFrame:
-    vocabulary = pieces.Vocabulary.load(model)
-    docs = table(spark, sf_dir, "documents")
-    coded = docs.select("doc_id", "text", pieces.ids_column(vocabulary, F.col("text")).alias("ids"))
-    decoded = coded.withColumn("decoded", pieces.text_column(vocabulary, F.col("ids")))
-    return decoded.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids",
-                          F.col("decoded").eqNullSafe(F.col("text")).alias("round_trip"))
+    coded = pieces.encode(table(spark, sf_dir, "documents"), pieces.Vocabulary.load(model), check=True)
+    return coded.select("doc_id", "n_tokens", "ids", "round_trip")
 
 
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
