@@ -1,3 +1,132 @@
-"""DuckDB SQL for the queries that SQL can express."""
+"""DuckDB SQL for the queries that SQL can express.
 
-ORACLE: dict[str, str] = {}
+The other queries (fingerprints, trained models, token ids, HTML, corpus
+disclosure) are held against brute force or held-out accuracy in the tests.
+"""
+
+from __future__ import annotations
+
+from tidemark.llm.licenses import CATALOGUE, SPELLINGS
+from tidemark.llm.secret_scan import ALLOWED, THRESHOLDS, WINDOW
+
+OP5 = r"""
+WITH doc AS (
+  SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM documents),
+item AS (
+  SELECT item_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w
+  FROM benchmark),
+win AS (
+  SELECT DISTINCT item_id, n, array_to_string(w[i:i + n - 1], ' ') AS s
+  FROM (SELECT item_id, w, n, unnest(range(1, len(w) - n + 2)) AS i
+        FROM (SELECT item_id, w, least(10, len(w)) AS n FROM item WHERE len(w) > 0))),
+occ AS (
+  SELECT d.r, d.i, win.n, win.item_id
+  FROM (SELECT r, n, i, array_to_string(w[i:i + n - 1], ' ') AS s
+        FROM (SELECT r, w, n, unnest(range(1, len(w) - n + 2)) AS i
+              FROM doc, (SELECT DISTINCT n FROM win) WHERE len(w) >= n)) d
+  JOIN win ON win.n = d.n AND win.s = d.s),
+hit AS (
+  SELECT r, count(DISTINCT p) AS n_hit
+  FROM (SELECT r, unnest(range(i, i + n)) AS p FROM occ) GROUP BY r),
+ids AS (
+  SELECT r, count(*) AS n_items, string_agg(t, ',' ORDER BY t) AS s
+  FROM (SELECT DISTINCT r, CAST(item_id AS VARCHAR) AS t FROM occ WHERE item_id IS NOT NULL) GROUP BY r)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+  sha256(coalesce(s, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM doc LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
+"""
+
+OP7 = """
+WITH v AS (
+  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.vec_id AS query_id, b.vec_id,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
+SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
+FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair)
+WHERE rank <= 5
+"""
+
+
+def quoted(s: str) -> str:
+    return "'" + s.replace("'", "''") + "'"
+
+
+def canonical_sql(text: str) -> str:
+    """The canonical form of each line of ``text``."""
+    sql = f"regexp_replace(lower({text}), '(?m)^[ \\t]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')"
+    for other, one in SPELLINGS:
+        sql = f"replace({sql}, {quoted(other)}, {quoted(one)})"
+    signs = r"\x00-\x09\x0B-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F©“”‘’«»–—"
+    return f"regexp_replace({sql}, '\\x20*[{signs}][{signs}\\x20]*|\\x20{{2,}}', ' ', 'g')"
+
+
+OP6 = f"""
+WITH known AS (
+  SELECT trim(regexp_replace({canonical_sql('t')}, '\\x20*\\n[\\x20\\n]*', ' ', 'g')) AS form, min(l) AS license
+  FROM (VALUES {', '.join(f'({quoted(i)}, {quoted(t)})' for i, t in CATALOGUE)}) AS c(l, t) GROUP BY form),
+doc AS (SELECT row_number() OVER () AS r, doc_id, {canonical_sql("coalesce(text, '')")} AS form FROM documents),
+line AS (
+  SELECT r, string_agg(license, ',' ORDER BY license) AS lines, count(*) AS n
+  FROM (SELECT DISTINCT r, license FROM (SELECT r, trim(unnest(string_split(form, chr(10)))) AS form FROM doc) u
+        JOIN known USING (form)) GROUP BY r)
+SELECT doc_id, license AS whole, coalesce(lines, '') AS lines, coalesce(n, 0) AS n_licenses
+FROM doc LEFT JOIN known ON known.form = trim(regexp_replace(doc.form, '\\x20*\\n[\\x20\\n]*', ' ', 'g'))
+LEFT JOIN line USING (r)
+"""
+
+
+def spans_sql(kind: str, rank: int, pattern: str, condition: str) -> str:
+    """(r, start, rank, kind, end) of the matches ``m`` that meet ``condition``: pieces and matches alternate."""
+    return f"""
+  SELECT r, s AS start, {rank} AS rank, '{kind}' AS kind, s + length(m) AS "end", m
+  FROM (SELECT r, i, m, CAST(sum(length(g)) OVER w + sum(length(m)) OVER w - length(m) AS BIGINT) AS s
+        FROM (SELECT r, unnest(range(1, len(f) + 1)) AS i, unnest(f) AS m, unnest(g[1:len(f)]) AS g
+              FROM (SELECT r, regexp_extract_all(text, {quoted(pattern)}) AS f,
+                      string_split_regex(text, {quoted(pattern)}) AS g FROM doc) WHERE len(f) > 0)
+        WINDOW w AS (PARTITION BY r ORDER BY i))
+  WHERE {condition}"""
+
+
+KEYWORD = r"(?i:password|passwd|secret|token|api_?key)[\"']?\x20*[:=]\x20*[\"']?"
+MIXED = " AND ".join(["regexp_matches(c.m, '[0-9]')", "regexp_matches(c.m, '[A-Za-z]')",
+                      *(f"NOT regexp_matches(c.m, {quoted(p)})" for p in ALLOWED)])
+OP8 = f"""
+WITH doc AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS text FROM documents),
+base AS ({spans_sql('assign', 0, KEYWORD + '[A-Za-z0-9+/_.=-]+',
+                    "length(regexp_replace(m, " + quoted('^' + KEYWORD) + ", '')) >= 6")}
+  UNION ALL {spans_sql('access', 1, 'AKIA[A-Z0-9]+', 'length(m) >= 20')}
+  UNION ALL {spans_sql('hex', 2, '[0-9a-f]+', 'length(m) >= 24')}),
+cand AS ({spans_sql('entropy', 3, '[A-Za-z0-9+/_=-]{20,}', 'true')}),
+odd AS (
+  SELECT c.* FROM cand c
+  WHERE {MIXED}
+    AND NOT EXISTS (SELECT 1 FROM base b WHERE b.r = c.r AND b.start < c."end" AND b."end" > c.start)
+    AND round(list_max(list_transform(range(1, length(c.m) - {WINDOW - 2}),
+          lambda i: list_aggregate(string_split(substr(c.m, i, {WINDOW}), ''), 'entropy'))), 9) >=
+        CASE WHEN regexp_full_match(c.m, '[0-9a-f]+|[0-9A-F]+') THEN {THRESHOLDS['hex']}
+             WHEN regexp_full_match(c.m, '[A-Za-z0-9]+') THEN {THRESHOLDS['alnum']} ELSE {THRESHOLDS['base64']} END),
+every AS (SELECT * FROM base UNION ALL SELECT * FROM odd),
+said AS (
+  SELECT r, count(*) FILTER (kind = 'assign') AS n_assign, count(*) FILTER (kind = 'access') AS n_access,
+    count(*) FILTER (kind = 'hex') AS n_hex,
+    string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) FILTER (rank < 3) AS base_spans,
+    string_agg(kind || ':' || start || ':' || "end", ',' ORDER BY start, rank) AS spans
+  FROM every GROUP BY r)
+SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_access, coalesce(n_hex, 0) AS n_hex,
+  sha256(coalesce(base_spans, '')) AS base_sha256, coalesce(spans, '') AS spans
+FROM doc LEFT JOIN said USING (r)
+"""
+
+ORACLE: dict[str, str] = {
+    "op5_decontamination": OP5,
+    "op6_licenses": OP6,
+    "op7_topk": OP7,
+    "op8_secrets": OP8,
+}
