@@ -177,7 +177,8 @@ def second_pass(classes: list[str], inside: bool) -> list[bool]:
     """Whether each block stays; undecided ones look to the nearest decided block on either side.
 
     Within a marked article an end without a decided block counts as good,
-    elsewhere as bad. A likely good block stays if either side is good, a short one only if both are.
+    elsewhere as bad. A likely good block stays if either side is good, and so
+    does a short one of an article; elsewhere a short one needs both.
     """
     edge = "good" if inside else "bad"
     before, after, last = [], [], edge
@@ -192,7 +193,7 @@ def second_pass(classes: list[str], inside: bool) -> list[bool]:
     keep = []
     for c, a, b in zip(classes, before, after):
         good = (a == "good") + (b == "good")
-        keep.append(c == "good" or c == "near" and good >= 1 or c == "short" and good == 2)
+        keep.append(c == "good" or c == "near" and good >= 1 or c == "short" and good >= (1 if inside else 2))
     return keep
 
 
