@@ -56,11 +56,10 @@ def test_alert_lists_top_ten_and_counts_the_rest(spark):
     row = monitoring.alert(res, "inv-1").collect()[0]
     assert row.failed == 14
     lines = row.text.split("\n")
-    assert lines[0] == "*checks failed* (inv-1)"
-    assert lines[2] == "Status counts: =1, error=1, fail=13, pass=1"
-    assert lines[4].startswith("- `test.00` - *fail*: msg 0 xxx")
-    assert len(lines[4]) == len("- `test.00` - *fail*: ") + 500
-    assert lines[-1] == "... and 4 more"
+    assert lines[0] == "14 checks need attention in run inv-1; by status: =1, error=1, fail=13, pass=1"
+    assert lines[1].startswith("1) [FAIL] test.00: msg 0 xxx")
+    assert len(lines[1]) == len("1) [FAIL] test.00: ") + 500
+    assert len(lines) == 12 and lines[-1] == "not listed: 4"
     assert monitoring.exit_code(res) == 1
     counts = {r.status: r.n for r in monitoring.status_counts(res).collect()}
     assert counts == {"": 1, "error": 1, "fail": 13, "pass": 1}

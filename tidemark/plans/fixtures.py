@@ -20,9 +20,7 @@ from tidemark import schemas
 from tidemark.functions import epoch_ms
 from tidemark.sources.tables import Tables
 
-# Fixed values of the mapping (FIXTURES.md): two-letter country codes picked by
-# nation key, and the chain named by each order-priority digit.
-COUNTRY_LETTERS = "ngusgbinphkevnbridza"
+# Fixed values of the mapping (FIXTURES.md): the chain named by each order-priority digit.
 PRIORITY_CHAIN = {"1": "Ethereum", "2": "BSC", "3": "Polygon", "4": "Arbitrum", "5": "Base"}
 PRIORITY_ASSET = {"2": "bnb", "3": "matic"}  # all other priorities: eth
 EPOCH_FALLBACK = "1995-01-01 00:00:00"
@@ -48,13 +46,15 @@ def bronze_users(t: Tables) -> DataFrame:
     c = t.customer
     first_last = (t.orders.groupBy("o_custkey")
                   .agg(F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at")))
-    j = c.join(first_last, c.c_custkey == first_last.o_custkey, "left")
+    # nation holds one row per country; a customer of an unknown nation has no country code.
+    country = t.nation.select(F.col("n_nationkey"), F.lower(F.substring("n_name", 1, 2)).alias("country_code"))
+    j = (c.join(first_last, c.c_custkey == first_last.o_custkey, "left")
+         .join(country, c.c_nationkey == country.n_nationkey, "left"))
     key = F.col("c_custkey")
     return j.select(
         key.alias("user_id"),
         F.concat(F.lit("  "), F.col("c_name"), F.lit("@Example.com ")).alias("email"),
-        F.substr(F.lit(COUNTRY_LETTERS), (1 + 2 * (F.col("c_nationkey") % 10)).cast("int"), F.lit(2))
-        .alias("country_code"),
+        F.col("country_code"),
         _case(key % 3, {0: "organic", 1: "referral"}, "paid_ad").alias("signup_channel"),
         _case(key % 5, {0: "pending", 4: "rejected"}, "verified").alias("kyc_status"),
         F.coalesce(F.col("first_at"), ntz(EPOCH_FALLBACK)).alias("created_at"),

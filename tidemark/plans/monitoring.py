@@ -41,8 +41,8 @@ def failures(results: DataFrame) -> DataFrame:
 def alert(results: DataFrame, invocation_id: str = "unknown", top_n: int = ALERT_TOP_N) -> DataFrame:
     """One row: ``failed`` (count), ``text`` (the alert; NULL when nothing failed).
 
-    Text: a title line, the status counts, one line per failure for the first
-    ``top_n`` failures in id order, and "... and K more" beyond them.
+    Text: a title line with the status counts, one numbered line for each of the
+    first ``top_n`` failures in id order, and how many are not listed beyond them.
     """
     norm = normalized(results)
     hist = (norm.groupBy("status").agg(F.count(F.lit(1)).alias("n"))
@@ -55,7 +55,7 @@ def alert(results: DataFrame, invocation_id: str = "unknown", top_n: int = ALERT
     top = ranked.where(F.col("_rk") <= top_n).select(
         F.lit("line").alias("kind"), F.lit(None).cast("string").alias("status"),
         F.lit(None).cast("bigint").alias("n"), "_rk",
-        F.format_string("- `%s` - *%s*: %s", "unique_id", "status", "message").alias("line"))
+        F.format_string("%d) [%s] %s: %s", F.col("_rk"), F.upper("status"), F.col("unique_id"), F.col("message")).alias("line"))
     # One final aggregate over at most (#statuses + N) rows.
     is_count = F.col("kind") == "count"
     counts = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_count, F.struct("status", "n")))),
@@ -65,10 +65,10 @@ def alert(results: DataFrame, invocation_id: str = "unknown", top_n: int = ALERT
     failed = F.coalesce(F.sum(F.when(is_count & F.col("status").isin(*FAILURE_STATUSES), F.col("n"))),
                         F.lit(0).cast("bigint"))
     j = hist.unionByName(top).agg(failed.alias("failed"), counts.alias("counts"), lines.alias("lines"))
-    more = F.when(F.col("failed") > top_n, F.format_string("\n... and %d more", F.col("failed") - top_n)) \
+    more = F.when(F.col("failed") > top_n, F.format_string("\nnot listed: %d", F.col("failed") - top_n)) \
         .otherwise(F.lit(""))
-    text = F.concat(F.lit(f"*checks failed* ({invocation_id})\n\nStatus counts: "), F.col("counts"),
-                    F.lit("\n\n"), F.col("lines"), more)
+    text = F.concat(F.col("failed").cast("string"), F.lit(f" checks need attention in run {invocation_id}; by status: "),
+                    F.col("counts"), F.lit("\n"), F.col("lines"), more)
     return j.select("failed", F.when(F.col("failed") > 0, text).alias("text"))
 
 
