@@ -20,7 +20,7 @@ def test_stated_counts(spark, name, rows):
 def test_as_of_join_facts_without_version(spark):
     out = R.q_as_of_join(spark, SF)
     assert out.count() == 1981
-    assert out.where(F.col("state").isNull()).count() == 50
+    assert out.where(F.col("state").isNull()).count() == 40
 
 
 def test_negative_balances_fail_the_range_check(spark):

@@ -228,11 +228,8 @@ def q_scd2_apply(spark, sf):
     return hist
 
 
-HISTORY_TYPES = ["signup", "error", "view"]
-
-
-def _history(t: Tables) -> DataFrame:
-    log = _user_states(t).where(F.col("state").isin(*HISTORY_TYPES))
+def _history(t: Tables, log: DataFrame | None = None) -> DataFrame:
+    log = _user_states(t) if log is None else log
     return scd2_from_log(log, USER_KEY, "updated_at", ["user_id", "state", "updated_at"], tiebreak=["event_id"])
 
 
@@ -251,7 +248,9 @@ def q_as_of_join(spark, sf):
     # The history is a mart (a table): written once, then read by both passes
     # of the as-of join instead of being rebuilt for each.
     from tidemark.sources.catalog import materialize
-    hist = materialize(spark, _history(t), "users-history")
+    # Purchases are the facts; the state they meet is that of all other events.
+    others = _user_states(t).where(F.col("state") != "purchase")
+    hist = materialize(spark, _history(t, others), "users-history")
     return as_of_join(facts, hist, USER_KEY, "ts", ["state"], how="left")
 
 
