@@ -43,7 +43,10 @@ def decode_topic_records(records: DataFrame, envelope_schema: T.StructType) -> D
     envelope and are quarantined by ``split_valid``.
     """
     r = records.where(F.col("value").isNotNull())
-    parsed = F.from_json(F.col("value"), envelope_schema, {"mode": "PERMISSIVE"})
+    # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
+    tagged = T.StructType([*envelope_schema.fields, T.StructField("_bad", T.StringType())])
+    whole = F.from_json(F.col("value"), tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    parsed = F.when(whole["_bad"].isNull(), whole.dropFields("_bad"))
     cols = [c for c in records.columns if c != "value"]
     return r.select(*cols, F.element_at(F.split(F.col("topic"), r"\."), -1).alias("table"),
                     parsed.alias("_env"), F.col("value").alias("_raw"))
@@ -73,6 +76,8 @@ def split_valid(envelopes: DataFrame, key: str, env: str | None = None) -> tuple
     if "ts_ms" in fields:
         # A change without a commit time cannot be ordered against the others.
         reason = F.coalesce(reason, F.when(F.col(f"{p}ts_ms").isNull(), F.lit("missing_ts")))
+    if "_corrupt_record" in envelopes.columns:
+        reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")).otherwise(reason)
     if env:
         reason = F.when(F.col(env).isNull(), F.lit("unparsable")).otherwise(reason)
     tagged = envelopes.withColumn(REASON, reason)
@@ -158,6 +163,14 @@ def published(state: DataFrame) -> DataFrame:
     return state.where(~F.col(DELETED)).drop(DELETED)
 
 
+def without_key(source: DataFrame, key: Sequence[str]) -> DataFrame:
+    """The rows that ``insert_only_merge`` leaves out, with ``_reject_reason``."""
+    missing = F.lit(False)
+    for k in key:
+        missing = missing | F.col(k).isNull()
+    return source.where(missing).withColumn(REASON, F.lit("missing_key"))
+
+
 def insert_only_merge(target: DataFrame | None, source: DataFrame, key: Sequence[str],
                       first_by: Sequence[str]) -> tuple[DataFrame, DataFrame]:
     """Insert rows whose key is new; rows already present stay as they are.
@@ -166,9 +179,10 @@ def insert_only_merge(target: DataFrame | None, source: DataFrame, key: Sequence
     key seen twice in one load is inserted once. Returns ``(new_rows, table)``:
     appending ``new_rows`` to the stored table is the whole write, the target
     itself is never rewritten. The anti-join reads only the target's key
-    columns.
+    columns. A row with a NULL in its key can never be found again and is not
+    inserted: see ``without_key`` for those rows.
     """
-    src = latest_per_key(source, list(key), list(first_by), descending=False)
+    src = latest_per_key(source.dropna(subset=list(key)), list(key), list(first_by), descending=False)
     if target is None:
         return src, src
     new_rows = src.join(target.select(*key), list(key), "left_anti")

@@ -48,12 +48,15 @@ ONCHAIN_KEY = ["hash", "_chain"]
 
 
 def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], schema: T.StructType,
-                 target: str, loaded_at: Column, first_by: Sequence[str] = ("_ingested_at",)) -> int:
+                 target: str, loaded_at: Column, first_by: Sequence[str] = ("_ingested_at",),
+                 rejects: str | None = None) -> int:
     """Insert-only load of the landed on-chain feed into the Parquet table at
     ``target``; returns the number of rows appended (observed during the write).
 
     A feed with no rows is skipped without a write. Only new keys are written
-    (an append: the existing table is read for its key columns only).
+    (an append: the existing table is read for its key columns only). Rows
+    without a whole key are not loaded; ``rejects`` names a Parquet folder that
+    is replaced by all such rows of the feed.
     """
     from pyspark.sql import Observation
     raw = read_onchain(spark, raw_root, chains, schema)
@@ -61,6 +64,8 @@ def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], sche
         return 0
     raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record") \
         .withColumn("_loaded_at", loaded_at.cast("timestamp_ntz"))
+    if rejects:
+        cdc.without_key(raw, ONCHAIN_KEY).write.mode("overwrite").parquet(rejects)
     existing = spark.read.parquet(target) if _exists(spark, target) else None
     new_rows, _ = cdc.insert_only_merge(existing, raw, ONCHAIN_KEY, list(first_by))
     obs = Observation("onchain_load")

@@ -115,12 +115,13 @@ def stream_landing(stream: DataFrame, root: str, checkpoint: str, partition_by:
     return w.start(root)
 
 
-def envelopes_for_landing(decoded: DataFrame, env: str = "_env") -> DataFrame:
+def envelopes_for_landing(decoded: DataFrame, env: str = "_env", ingested_at: Column | None = None) -> DataFrame:
     """Decoded topic records to the landed envelope: ``table`` from the topic,
-    ``consumed_at`` from the source's commit time, ``dt`` its date."""
-    consumed = F.timestamp_millis(F.col(f"{env}.ts_ms")).cast("timestamp_ntz")
-    body = decoded.select("table", f"{env}.*", consumed.alias("_consumed"))
-    body = body.drop("consumed_at") if "consumed_at" in body.columns else body
+    ``consumed_at`` the ingestion time, ``dt`` its date. The source's commit time
+    stays in ``ts_ms``: a late commit lands in the folder of the day it arrives."""
+    consumed = (F.current_timestamp() if ingested_at is None else ingested_at).cast("timestamp_ntz")
+    fields = [f for f in decoded.schema[env].dataType.fieldNames() if f not in ("table", "consumed_at")]
+    body = decoded.select("table", *[f"{env}.{f}" for f in fields], consumed.alias("_consumed"))
     return landing_frame(body, F.col("_consumed")).drop("_consumed")
 
 

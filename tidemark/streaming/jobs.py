@@ -34,7 +34,7 @@ def change_stream(spark: SparkSession, root: str, table: str, envelope_schema: T
     The source is the table's own folder, so only ``dt`` is a partition column
     and ``table`` is the folder's name."""
     schema = T.StructType([f for f in envelope_schema.fields if f.name not in ("table", "dt")]
-                          + [T.StructField("dt", T.DateType())])
+                          + [T.StructField("dt", T.DateType()), T.StructField("_corrupt_record", T.StringType())])
     reader = spark.readStream.schema(schema).option("mode", "PERMISSIVE")
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
@@ -46,8 +46,10 @@ def append_rows(stream: DataFrame, key: str, image_cols: Sequence[str],
     """Stateless projection: after-image columns, op, ts, ingestion time;
     deletes are left to the upsert path. With ``dedupe_within`` (a delay like
     ``'1 hour'``), redelivered events (same key, ts and lsn) are dropped with
-    state bounded by an event-time watermark."""
-    rows = (stream.where(F.col("op") != "d")
+    state bounded by an event-time watermark. Changes that cannot be applied
+    (``cdc.split_valid``) do not become rows; ``rejected_rows`` has them."""
+    valid, _ = cdc.split_valid(stream, key)
+    rows = (valid.where(F.col("op") != "d")
             .select(*[F.col(f"after.{c}").alias(c) for c in image_cols],
                     F.col("op").alias(cdc.OP), F.col("ts_ms").alias(cdc.TS),
                     F.col("source.lsn").alias(cdc.LSN),
@@ -59,6 +61,13 @@ def append_rows(stream: DataFrame, key: str, image_cols: Sequence[str],
     return rows
 
 
+def rejected_rows(stream: DataFrame, key: str) -> DataFrame:
+    """What ``append_rows`` leaves out, as JSON text with its reason."""
+    _, rejects = cdc.split_valid(stream, key)
+    body = [c for c in rejects.columns if c != cdc.REASON]
+    return rejects.select(F.to_json(F.struct(*body)).alias("change"), cdc.REASON)
+
+
 def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str = "parquet") -> dict | None:
     """Append everything available now, then stop; returns the last progress."""
     q = (df.writeStream.format(fmt).outputMode("append")
@@ -69,7 +78,11 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
 
 def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
                image_cols: Sequence[str], sink_path: str, checkpoint: str,
-               dedupe_within: str | None = None) -> dict | None:
+               dedupe_within: str | None = None, rejects_path: str | None = None) -> dict | None:
+    """Append the changes that arrived; with ``rejects_path`` rejected ones go there, under a checkpoint of their own."""
+    if rejects_path:
+        run_available_now(rejected_rows(change_stream(spark, root, table, envelope_schema), key), rejects_path,
+                          f"{checkpoint}-rejects")
     rows = append_rows(change_stream(spark, root, table, envelope_schema), key, image_cols, dedupe_within)
     return run_available_now(rows, sink_path, checkpoint)
 
