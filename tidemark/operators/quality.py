@@ -81,7 +81,8 @@ def _model_pass(df: DataFrame, checks: Sequence[Check]) -> DataFrame:
         return _stack(wide, row_cs)
     key = key_cs[0].column
     group_aggs = [F.count_if(_row_condition(c)).alias(f"_g{i}") for i, c in enumerate(row_cs)]
-    finals = [F.sum(f"_g{i}").alias(f"_f{i}") for i in range(len(row_cs))]
+    # An empty model has no groups to sum over: no failures.
+    finals = [F.coalesce(F.sum(f"_g{i}"), F.lit(0)).cast("bigint").alias(f"_f{i}") for i in range(len(row_cs))]
     for j, c in enumerate(key_cs):
         counted = F.count_if(F.col(c.where)) if c.where else F.count(F.lit(1))
         group_aggs.append(counted.alias(f"_k{j}"))

@@ -220,7 +220,10 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
     comps, finals = _plan(model, req.metrics)
     if user_dims and users_dim is None:
         raise ValueError("users dimension requested without users_dim")
-    users = users_dim.select("user_id", *[F.col(d).alias(f"user_id__{d}") for d in user_dims]) \
+    # The users' time dimension has day grain.
+    by_day = {USERS.default_time_dimension}
+    users = users_dim.select("user_id", *[(trunc_ntz("day", d) if d in by_day else F.col(d)).alias(f"user_id__{d}")
+                                          for d in user_dims]) \
         if user_dims else None
     fact_only = fact
     if user_dims and req.where is not None:
