@@ -229,6 +229,15 @@ group by 1, 2, 3
 """,
     "metric_wallet_count": f"""
 select country_code, cast(sum(wallet_count) as bigint) as wallet_count from ({DIM_USERS}) u group by country_code
+""",
+    "metric_wallets_by_signup_month": f"""
+select date_trunc('month', user_created_at)::timestamp as metric_time__month, signup_channel,
+       cast(sum(wallet_count) as bigint) as wallet_count
+from ({DIM_USERS}) group by all
+""",
+    "metric_by_user_created_day": f"""
+select u.user_created_at::date::timestamp as user_id__user_created_at, {M_VOLUME}, {M_COUNT}
+from ({FACT}) f left join ({DIM_USERS}) u on f.user_id = u.user_id group by 1
 """,
     "metric_filled_by_day": f"""
 with f as ({FACT}),

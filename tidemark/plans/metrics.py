@@ -265,6 +265,12 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
     return out
 
 
-def users_measure(users_dim: DataFrame, group_by: Sequence[str] = ()) -> DataFrame:
-    """The users model's ``wallet_count`` sum measure (declared, unused by any metric)."""
-    return users_dim.groupBy(*group_by).agg(F.sum("wallet_count").cast("bigint").alias("wallet_count"))
+def users_measure(users_dim: DataFrame, group_by: Sequence[str] = (), grain: str | None = None) -> DataFrame:
+    """The users model's ``wallet_count`` sum measure (declared, unused by any metric).
+
+    With a ``grain`` also by ``metric_time``, the model's own time dimension.
+    """
+    if grain is not None and grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    time = [] if grain is None else [trunc_ntz(grain, USERS.default_time_dimension).alias(f"metric_time__{grain}")]
+    return users_dim.groupBy(*time, *group_by).agg(F.sum("wallet_count").cast("bigint").alias("wallet_count"))

@@ -110,6 +110,19 @@ def q_metric_wallet_count(spark, sf):
     return users_measure(Domain(spark, sf).dim_users, ["country_code"])
 
 
+def q_metric_wallets_by_signup_month(spark, sf):
+    return users_measure(Domain(spark, sf).dim_users, ["signup_channel"], grain="month")
+
+
+def q_metric_by_user_created_day(spark, sf):
+    """By the day of a user's creation; the supplied dates lie at midnight, so a time of day is added first."""
+    d = Domain(spark, sf)
+    later = F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), (F.col("user_id") % 86400).cast("decimal(18,6)"))
+    users = d.dim_users.withColumn("user_created_at", F.col("user_created_at") + later)
+    request = MetricRequest(["transaction_volume_usd", "transaction_count"], ["user_id__user_created_at"])
+    return metric_query(d.fact_transactions, request, users)
+
+
 def q_metric_filled_by_day(spark, sf):
     return _metrics(spark, sf, ["metric_time"], ["transaction_volume_usd", "transaction_count",
                                                   "avg_confirmation_seconds"], "day", fill=0)
@@ -587,6 +600,8 @@ REGISTRY: dict[str, Query] = {
     "metric_rate_by_status_direction": q_metric_rate_by_status_direction,
     "metric_by_user_dimension": q_metric_by_user_dimension,
     "metric_wallet_count": q_metric_wallet_count,
+    "metric_wallets_by_signup_month": q_metric_wallets_by_signup_month,
+    "metric_by_user_created_day": q_metric_by_user_created_day,
     "metric_filled_by_day": q_metric_filled_by_day,
     "cdc_flatten": q_cdc_flatten,
     "cdc_quarantine": q_cdc_quarantine,

@@ -166,12 +166,16 @@ def flatten_api_bodies(bodies: DataFrame, body_col: str = "body",
     Rejected bodies keep their status, message and a reason.
     """
     schema = T.StructType([API_BODY["status"], API_BODY["message"],
-                           T.StructField("result", T.ArrayType(item_schema))])
+                           T.StructField("result", T.ArrayType(item_schema)),
+                           T.StructField("_bad", T.StringType())])
     keep = [c for c in bodies.columns if c != body_col]
-    parsed = bodies.select(*keep, F.from_json(F.col(body_col), schema).alias("_b"),
-                           F.get_json_object(F.col(body_col), "$").isNull().alias("_bad_json"))
+    # One parse: text that is no JSON gives the corrupt field alone, a field of another type only its own NULL.
+    parsed = bodies.select(*keep, F.from_json(F.col(body_col), schema, {
+        "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias("_b"))
+    nothing = F.coalesce(F.col("_b.status"), F.col("_b.message")).isNull() & F.col("_b.result").isNull()
+    bad_json = F.col("_b._bad").isNotNull() & nothing
     ok_status = (F.col("_b.status") == "1") | (F.col("_b.message") == NO_ROWS_MESSAGE)
-    reason = (F.when(F.col("_b").isNull() | F.col("_bad_json"), F.lit("unparsable"))
+    reason = (F.when(F.col("_b").isNull() | bad_json, F.lit("unparsable"))
               .when(~ok_status | F.col("_b.status").isNull(), F.lit("api_error"))
               .when(F.col("_b.result").isNull(), F.lit("result_not_a_list")))
     tagged = parsed.withColumn("_reason", reason)

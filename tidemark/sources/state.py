@@ -78,10 +78,10 @@ def merge_into_buckets(spark: SparkSession, state_path: str, rows: DataFrame, ke
     1. the batch is compacted, tagged with its key's bucket and written once
        (lineage ends, the run can be redone from it);
     2. the state is semi-joined with the batch's distinct buckets (at most
-       ``buckets`` rows, broadcast), so only those bucket folders are read;
+       ``buckets`` rows, broadcast); its scan itself is not pruned to them;
     3. the merge of the two is staged once below the checkpoint folder;
     4. a dynamic partition overwrite replaces exactly the touched bucket
-       folders; every other bucket is neither read nor written.
+       folders; every other bucket is not written.
     """
     from tidemark.sources.catalog import materialize
     batch = cdc.compact(rows, key).withColumn(BUCKET, bucket_of_key(key, buckets))
