@@ -61,3 +61,14 @@ def test_checks_of_an_empty_model_count_no_failures(spark):
     checks = [quality.Check("unique", "m", "id"), quality.Check("not_null", "m", "kind")]
     out = quality.run_checks({"m": empty}, checks).collect()
     assert [(r["failures"], r["status"]) for r in out] == [(0, "pass")] * 2
+
+
+def test_bucket_count_is_part_of_the_state(spark, tmp_dir):
+    import pytest
+
+    from tidemark.sources.state import merge_into_buckets
+    rows = spark.createDataFrame([(1, "a", "c", 1, 1)], "user_id long, kind string, _cdc_op string, _cdc_ts_ms long, _cdc_lsn long")
+    assert merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 4).count() == 1
+    assert merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 4).count() == 1
+    with pytest.raises(ValueError, match="has 4 buckets"):
+        merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 8)

@@ -72,6 +72,17 @@ def bucket_of_key(key: str, buckets: int) -> Column:
     return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
 
 
+def keep_layout(spark: SparkSession, state_path: str, buckets: int) -> None:
+    """Store the bucket count beside a new state; refuse another count for an existing one."""
+    layout = f"{state_path.rstrip('/')}-layout"
+    if not _exists(spark, layout):
+        spark.range(buckets, buckets + 1).select(F.col("id").alias("buckets")).write.parquet(layout)
+        return
+    stored = spark.read.parquet(layout).first()["buckets"]
+    if stored != buckets:
+        raise ValueError(f"the state at {state_path} has {stored} buckets, not {buckets}")
+
+
 def merge_into_buckets(spark: SparkSession, state_path: str, rows: DataFrame, key: str, buckets: int) -> DataFrame:
     """Ordered merge of flat change rows into the bucket-partitioned state.
 
@@ -84,6 +95,7 @@ def merge_into_buckets(spark: SparkSession, state_path: str, rows: DataFrame, ke
        folders; every other bucket is not written.
     """
     from tidemark.sources.catalog import materialize
+    keep_layout(spark, state_path, buckets)
     batch = cdc.compact(rows, key).withColumn(BUCKET, bucket_of_key(key, buckets))
     batch = materialize(spark, batch, "state-batch")
     if _exists(spark, state_path):
