@@ -10,7 +10,7 @@ from __future__ import annotations
 # --- domain mapping (FIXTURES.md section 3) --------------------------------
 BRONZE_USERS = """
 select c.c_custkey as user_id, concat('  ', c.c_name, '@Example.com ') as email,
-  lower(substr(n.n_name, 1, 2)) as country_code,
+  chr(cast(97 + n.n_regionkey % 26 as int)) || chr(cast(97 + n.n_nationkey % 26 as int)) as country_code,
   case c.c_custkey % 3 when 0 then 'organic' when 1 then 'referral' else 'paid_ad' end as signup_channel,
   case c.c_custkey % 5 when 0 then 'pending' when 4 then 'rejected' else 'verified' end as kyc_status,
   coalesce(o.first_at, timestamp '1995-01-01 00:00:00') as created_at,

@@ -47,7 +47,9 @@ def bronze_users(t: Tables) -> DataFrame:
     first_last = (t.orders.groupBy("o_custkey")
                   .agg(F.min("o_orderdate").alias("first_at"), F.max("o_orderdate").alias("last_at")))
     # nation holds one row per country; a customer of an unknown nation has no country code.
-    country = t.nation.select(F.col("n_nationkey"), F.lower(F.substring("n_name", 1, 2)).alias("country_code"))
+    # Its code: a letter for the region, then one for the nation (the supplied names share their first letters).
+    letter = lambda c: F.char(F.lit(97) + F.col(c) % 26)
+    country = t.nation.select("n_nationkey", F.concat(letter("n_regionkey"), letter("n_nationkey")).alias("country_code"))
     j = (c.join(first_last, c.c_custkey == first_last.o_custkey, "left")
          .join(country, c.c_nationkey == country.n_nationkey, "left"))
     key = F.col("c_custkey")
