@@ -25,17 +25,17 @@ def duck(df):
 import pytest
 
 
-@pytest.mark.parametrize("hot_key_rows", [None, 20])
-def test_history_and_as_of_with_hot_key(spark, hot_key_rows):
+@pytest.mark.parametrize("stretch_rows", [250_000, 20, 1])
+def test_history_and_as_of_with_hot_key(spark, stretch_rows):
     e = skewed_events(spark)
     log = e.where(F.col("event_type").isin("signup", "error", "view")) \
         .select("user_id", F.col("event_type").alias("state"), F.col("ts").alias("updated_at"), "event_id")
     hist = scd2_from_log(log, "user_id", "updated_at", ["user_id", "state"], tiebreak=["event_id"],
-                         bucket_seconds=3600, hot_key_rows=hot_key_rows)
+                         stretch_rows=stretch_rows)
     facts = e.where(F.col("event_type") == "purchase").select("event_id", "user_id", "ts")
     got = sorted((r.event_id, r.state, r.valid_from) for r in
-                 as_of_join(facts, hist, "user_id", "ts", ["state"], bucket_seconds=3600,
-                            hot_key_rows=hot_key_rows).collect())
+                 as_of_join(facts, hist, "user_id", "ts", ["state"],
+                            stretch_rows=stretch_rows).collect())
     con = duck(e)
     want = con.execute("""
         with h as (select user_id, event_type as state, ts as valid_from,
@@ -77,10 +77,32 @@ def test_latest_per_key_hot_key(spark):
     assert got == want
 
 
-def test_hot_key_gets_narrower_buckets(spark):
-    from tidemark.operators.timeline import hot_key_widths
-    e = skewed_events(spark)
-    widths = {r.user_id: r._tl_w for r in hot_key_widths(e, ["user_id"], "ts", 100).collect()}
-    assert list(widths) == [0]                     # only the hot key
-    n = e.where("user_id = 0").count()
-    assert widths[0] <= 30 * 86_400_000_000 / (n / 50) * 1.5
+def burst(spark, rows=100_000):
+    """One key over ten years, nine of ten rows within one hour; event times at most a second apart there."""
+    us = F.when(F.col("id") % 10 < 9, F.col("id") * 36_000).otherwise(F.col("id") * 3_153_600_000)
+    return spark.range(rows).select(F.lit(7).alias("user_id"), F.col("id").alias("event_id"),
+                                    F.timestamp_micros(us).cast("timestamp_ntz").alias("ts"))
+
+
+def test_a_burst_of_one_key_is_cut_by_rows(spark):
+    from tidemark.operators.timeline import Stretches
+    e = burst(spark)
+    stretches = Stretches(e.select("user_id", "ts"), ["user_id"], "ts", 5_000)
+    sizes = [r["count"] for r in stretches.number(e, "b").groupBy("user_id", "b").count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) > 10
+    assert max(sizes) < 40_000  # 5,000 on average; equal widths of time put 90,000 into one
+
+
+def test_history_and_as_of_of_a_burst_equal_sql(spark):
+    e = burst(spark, 20_000)
+    log = e.where("event_id % 2 = 0").select("user_id", F.col("event_id").alias("state"),
+                                             F.col("ts").alias("updated_at"), "event_id")
+    hist = scd2_from_log(log, "user_id", "updated_at", ["user_id", "state"], tiebreak=["event_id"], stretch_rows=500)
+    facts = e.where("event_id % 2 = 1")
+    got = sorted((r.event_id, r.state) for r in as_of_join(facts, hist, "user_id", "ts", ["state"],
+                                                            stretch_rows=500).collect())
+    want = duck(e).execute("""
+        select f.event_id, h.event_id from (select * from e where event_id % 2 = 1) f
+        asof left join (select ts, min(event_id) as event_id from e where event_id % 2 = 0 group by ts) h
+        on f.ts >= h.ts order by 1""").fetchall()
+    assert got == want

@@ -16,8 +16,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import far_future
 from tidemark.operators.dedupe import latest_per_key
-from tidemark.operators.timeline import (DEFAULT_BUCKET_SECONDS, DEFAULT_HOT_KEY_ROWS, last_at_or_before,
-                                        next_time)
+from tidemark.operators.timeline import STRETCH_ROWS, last_at_or_before, next_time
 
 VALID_FROM, VALID_TO = "valid_from", "valid_to"
 
@@ -67,20 +66,19 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, updated_
 
 
 def scd2_from_log(log: DataFrame, key: str, updated_at: str, columns: Sequence[str],
-                  tiebreak: Sequence[str] = (), bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                  hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                  tiebreak: Sequence[str] = (), stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """All versions of a complete change log in one pass (what repeated snapshot
     runs would give if every change were seen).
 
     At one ``updated_at`` the first change under ``tiebreak`` wins, as a
     snapshot applied change by change would keep it. ``valid_to`` is the next
-    ``updated_at`` of the key (time-bucketed ``lead``, see ``timeline``).
+    ``updated_at`` of the key (``lead`` within stretches of the timeline, see ``timeline``).
     """
     firsts = latest_per_key(log, [key, updated_at], list(tiebreak), descending=False) if tiebreak \
         else log.dropDuplicates([key, updated_at])
     v = firsts.select(*columns, F.col(updated_at).alias(VALID_FROM))
     times = log.select(key, F.col(updated_at).alias(VALID_FROM))
-    return next_time(v, [key], VALID_FROM, VALID_TO, bucket_seconds, times=times, hot_key_rows=hot_key_rows)
+    return next_time(v, [key], VALID_FROM, VALID_TO, times=times, stretch_rows=stretch_rows)
 
 
 def with_is_current(history: DataFrame) -> DataFrame:
@@ -88,23 +86,21 @@ def with_is_current(history: DataFrame) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
-               version_cols: Sequence[str], how: str = "left",
-               bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-               hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+               version_cols: Sequence[str], how: str = "left", stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Attach to every fact the version valid at ``fact_ts``:
     ``key`` equal and ``valid_from <= fact_ts < coalesce(valid_to, far future)``.
 
     ``how='left'`` keeps facts without a version (version columns NULL);
     ``how='inner'`` drops them. Versions of one key do not overlap, so the match
     is the latest version starting at or before the fact, if it is still open
-    at that instant. Planned as one ordered scan per (key, time bucket): no
+    at that instant. Planned as one ordered scan per (key, stretch): no
     fact-by-version pairs are formed, whatever the number of versions per key.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     payload = F.struct(*[F.col(c) for c in version_cols], F.col(VALID_FROM), F.col(VALID_TO))
     marks = history.select(F.col(key), F.col(VALID_FROM).alias(fact_ts), payload.alias("_ver"))
-    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", bucket_seconds, hot_key_rows)
+    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", stretch_rows)
     valid = F.col("_ver").isNotNull() & (F.col(fact_ts) < F.coalesce(F.col(f"_ver.{VALID_TO}"), far_future()))
     found = found.withColumn("_ver", F.when(valid, F.col("_ver")))
     if how == "inner":

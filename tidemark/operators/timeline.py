@@ -1,18 +1,18 @@
-"""Ordered look-ups along one key's timeline, split by time bucket.
+"""Ordered look-ups along one key's timeline, split into stretches of bounded row count.
 
 ``lead``/``last`` over ``Window.partitionBy(key)`` send every row of a key to
 one task; a key holding a third of the table would then be one third of the
-job in one task. Both helpers here partition by ``(key, time bucket)`` instead
-and settle the rows at a bucket edge with a second, tiny pass over one row
-per ``(key, bucket)``, whose size per key is bounded by the number of buckets
-the key spans, not by its number of rows. Results are exact.
-
-Buckets are ``bucket_seconds`` wide, except for hot keys: a key with more than
-``hot_key_rows`` rows gets narrower buckets, sized from its own row count and
-time span so each holds about ``hot_key_rows / 2`` rows. The per-key widths
-come from one partial aggregate of ``(key, ts)`` and are broadcast; that table
-has at most ``total rows / hot_key_rows`` entries, a bound that holds whatever
-the data.
+job in one task. Both helpers here partition by ``(key, stretch)`` instead and
+settle the rows at the edge of a stretch with a second pass over one row per
+``(key, stretch)``. Results are exact.
+
+A stretch ends at a cut: an instant of the key whose hash is 0 modulo
+``stretch_rows``. Cuts follow the rows and not the clock, so a burst is cut as
+often as its rows require, and a stretch holds ``stretch_rows`` instants on
+average whatever the spread of times. The hash is that of ``(key, instant)``:
+all rows of one instant fall into one stretch, in every frame that is cut alike.
+There are about ``rows / stretch_rows`` cuts; they are broadcast only if their
+count is at most ``BROADCAST_CUTS``.
 """
 
 from __future__ import annotations
@@ -22,64 +22,70 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import epoch_micros
 
-DEFAULT_BUCKET_SECONDS = 86_400
+STRETCH_ROWS = 250_000
+# 16 bytes or so each: at most some 16 MB are broadcast.
+BROADCAST_CUTS = 1_000_000
+# Powers of two for the binary search in one key's cuts, largest first.
+_STEPS = [1 << b for b in range(29, -1, -1)]
 
 
-def bucket_of(ts: Column | str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> Column:
-    """Whole buckets since 1970 (floor division, so exact before 1970 too)."""
-    return _floor_div(epoch_micros(ts), F.lit(bucket_seconds * 1_000_000))
-
-
-def _floor_div(us: Column, width: Column) -> Column:
-    return ((us - F.pmod(us, width)) / width).cast("bigint")
-
-
-DEFAULT_HOT_KEY_ROWS = 2_000_000
-_W = "_tl_w"
-
-
-def hot_key_widths(times: DataFrame, key: list[str], ts: str, hot_key_rows: int) -> DataFrame:
-    """Bucket width (microseconds) for every key with more than ``hot_key_rows``
-    rows: its time span divided into about ``2 * rows / hot_key_rows`` buckets.
-    At most ``total rows / hot_key_rows`` rows, so safe to broadcast."""
+def cut_instants(times: DataFrame, key: list[str], ts: str, stretch_rows: int) -> DataFrame:
+    """(key, ``_tl_cuts``): the sorted cuts of every key that has any."""
     us = epoch_micros(ts)
-    target = max(1, hot_key_rows // 2)
-    stats = (times.select(*key, us.alias("_us")).groupBy(*key)
-             .agg(F.count(F.lit(1)).alias("_n"), F.min("_us").alias("_lo"), F.max("_us").alias("_hi"))
-             .where(F.col("_n") > hot_key_rows))
-    width = F.greatest(F.lit(1).cast("bigint"),
-                       ((F.col("_hi") - F.col("_lo") + 1) / F.ceil(F.col("_n") / target)).cast("bigint"))
-    return stats.select(*key, width.alias(_W))
-
-
-def with_buckets(df: DataFrame, key: list[str], ts: str, out: str, bucket_seconds: int,
-                 widths: DataFrame | None) -> DataFrame:
-    """Add the bucket number ``out``; hot keys use their own narrower width."""
-    base = F.lit(bucket_seconds * 1_000_000).cast("bigint")
-    if widths is None:
-        return df.withColumn(out, _floor_div(epoch_micros(ts), base))
-    j = df.join(F.broadcast(widths), key, "left")
-    return j.withColumn(out, _floor_div(epoch_micros(ts), F.coalesce(F.col(_W), base))).drop(_W)
-
-
-def next_time(df: DataFrame, key: list[str], ts: str, out: str,
-              bucket_seconds: int = DEFAULT_BUCKET_SECONDS, times: DataFrame | None = None,
-              hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+    chosen = F.pmod(F.xxhash64(*key, us), F.lit(stretch_rows)) == 0
+    return (times.where(chosen).groupBy(*key)
+            .agg(F.array_sort(F.collect_set(us)).alias("_tl_cuts")))
+
+
+def _cuts_passed(cuts: Column, us: Column) -> Column:
+    """How many of the sorted ``cuts`` lie at or before ``us``, by binary search."""
+    def step(found: Column, size: Column) -> Column:
+        ahead = found + size
+        passed = (ahead <= F.size(cuts)) & (F.try_element_at(cuts, ahead) <= us)
+        return F.when(passed, ahead).otherwise(found)
+    found = F.aggregate(F.array(*[F.lit(s) for s in _STEPS]), F.lit(0), step)
+    return F.when(cuts.isNull() | us.isNull(), F.lit(0)).otherwise(found)
+
+
+class Stretches:
+    """Numbers the stretches of each key's timeline, alike for every frame it is given."""
+
+    def __init__(self, times: DataFrame, key: list[str], ts: str, stretch_rows: int = STRETCH_ROWS):
+        self.key, self.ts = key, ts
+        self.cuts = cut_instants(times, key, ts, stretch_rows)
+        # One pruned scan of (key, ts): how many cuts there are decides how they travel.
+        self.count = self.cuts.agg(F.sum(F.size("_tl_cuts"))).first()[0] or 0
+
+    def number(self, df: DataFrame, out: str) -> DataFrame:
+        if not self.count:
+            return df.withColumn(out, F.lit(0))
+        cuts = self.cuts.select(*[F.col(k).alias(f"_tl_k{i}") for i, k in enumerate(self.key)], "_tl_cuts")
+        same = F.lit(True)
+        for i, k in enumerate(self.key):
+            same = same & df[k].eqNullSafe(cuts[f"_tl_k{i}"])
+        # Beyond the limit the join shuffles, and AQE splits the partition of a hot key.
+        j = df.join(F.broadcast(cuts) if self.count <= BROADCAST_CUTS else cuts, same, "left")
+        return j.select(*df.columns, _cuts_passed(F.col("_tl_cuts"), epoch_micros(self.ts)).alias(out))
+
+
+def next_time(df: DataFrame, key: list[str], ts: str, out: str, times: DataFrame | None = None,
+              stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """Add ``out`` = the next later ``ts`` of the same key (NULL for the last).
 
     ``(key, ts)`` must be unique (the callers de-duplicate first). ``times``
     optionally gives the same ``(key, ts)`` values from a cheaper source (for
-    example the log before de-duplication): the first time of each bucket is
+    example the log before de-duplication): the first time of each stretch is
     the same either way, and the edge pass then reads two pruned columns with
     map-side partial aggregation instead of re-running the de-duplication.
     """
     b = "_tl_b"
     src = (times if times is not None else df).select(*key, ts)
-    widths = hot_key_widths(src, key, ts, hot_key_rows) if hot_key_rows else None
-    d = with_buckets(df, key, ts, b, bucket_seconds, widths)
+    stretches = Stretches(src, key, ts, stretch_rows)
+    d = stretches.number(df, b)
     d = d.withColumn(out, F.lead(ts).over(Window.partitionBy(*key, b).orderBy(ts)))
-    firsts = with_buckets(src, key, ts, b, bucket_seconds, widths) \
-        .groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
+    if not stretches.count:
+        return d.drop(b)
+    firsts = stretches.number(src, b).groupBy(*key, b).agg(F.min(ts).alias("_tl_first"))
     nxt = (firsts
            .withColumn("_tl_next", F.lead("_tl_first").over(Window.partitionBy(*key).orderBy(b)))
            .select(*key, b, "_tl_next"))
@@ -89,15 +95,14 @@ def next_time(df: DataFrame, key: list[str], ts: str, out: str,
 
 
 def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: str, payload: str,
-                      out: str, bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
-                      hot_key_rows: int | None = DEFAULT_HOT_KEY_ROWS) -> DataFrame:
+                      out: str, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
     """For every row of ``events`` add ``out`` = the ``payload`` of the latest
     ``marks`` row of the same key whose ``ts`` is <= the event's ``ts``.
 
     ``marks`` holds ``key``, ``ts`` and ``payload`` (any type, typically a
     struct); ``events`` holds ``key`` and ``ts`` plus anything else, which is
     carried through untouched. No pairs are formed: both sides are unioned,
-    sorted within ``(key, bucket)`` and scanned once.
+    sorted within ``(key, stretch)`` and scanned once.
     """
     b, kind, row = "_tl_b", "_tl_kind", "_tl_row"
     ev_cols = events.columns
@@ -106,22 +111,23 @@ def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: s
                        F.lit(None).cast(marks.schema[payload].dataType).alias(payload))
     mk = marks.select(*key, F.col(ts), F.lit(0).alias(kind),
                       F.lit(None).cast(ev.schema[row].dataType).alias(row), F.col(payload))
-    widths = (hot_key_widths(events.select(*key, ts).unionByName(marks.select(*key, ts)), key, ts, hot_key_rows)
-              if hot_key_rows else None)
-    u = with_buckets(ev.unionByName(mk), key, ts, b, bucket_seconds, widths)
+    stretches = Stretches(events.select(*key, ts).unionByName(marks.select(*key, ts)), key, ts, stretch_rows)
+    u = stretches.number(ev.unionByName(mk), b)
     # Marks sort before events at the same instant, so ``<=`` holds.
     w_in = (Window.partitionBy(*key, b).orderBy(F.col(ts), F.col(kind))
             .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     u = u.withColumn("_tl_in", F.last(payload, ignorenulls=True).over(w_in))
     ev_out = u.where(F.col(kind) == 1)
-    # Rows whose bucket holds no earlier mark take the latest mark of an earlier
-    # bucket: one row per (key, bucket) on each side, scanned per key in bucket
-    # order. Event buckets sort before the mark bucket of the same number, so
-    # they only see strictly earlier buckets.
-    last_b = (with_buckets(mk, key, ts, b, bucket_seconds, widths)
+    if not stretches.count:
+        return ev_out.select(F.col(f"{row}.*"), F.col("_tl_in").alias(out))
+    # Rows whose stretch holds no earlier mark take the latest mark of an earlier
+    # stretch: one row per (key, stretch) on each side, scanned per key in order.
+    # Event rows sort before the mark row of the same number, so they only see
+    # strictly earlier stretches.
+    last_b = (stretches.number(mk, b)
               .groupBy(*key, b).agg(F.max_by(F.col(payload), F.col(ts)).alias("_tl_p"))
               .withColumn(kind, F.lit(0)))
-    ev_b = (ev_out.select(*key, b).distinct()
+    ev_b = (stretches.number(ev, b).select(*key, b).distinct()
             .withColumn("_tl_p", F.lit(None).cast(last_b.schema["_tl_p"].dataType))
             .withColumn(kind, F.lit(1)))
     w_prev = (Window.partitionBy(*key).orderBy(F.col(b), F.col(kind).desc())
