@@ -112,59 +112,25 @@ def test_decode_skips_tombstones_and_flags_garbage(spark):
     assert bad.count() == 1
 
 
-def test_merge_into_bucketed_state_shuffles_only_the_batch(spark):
-    from tidemark.sources import catalog
-    n = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    prev = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+@pytest.mark.parametrize("buckets", [4, 7, 16])
+def test_merge_into_state_table_shuffles_only_the_batch(spark, buckets):
+    from tidemark.sources.catalog import content_table, job_database
+    from tidemark.sources.state import merge_into_table
+    name = f"{job_database(spark, 'cdc_test')}.users_state"
+    merge_into_table(spark, name, rows(spark, LOG[:10]), "user_id", buckets)
     spark.conf.set("spark.sql.adaptive.enabled", "false")
     try:
-        catalog.ensure_database(spark, "cdc_test")
-        state = cdc.merge_changes(None, rows(spark, LOG[:10]), "user_id")
-        catalog.publish(spark, state, "cdc_test.users_state", cluster_by=(n, ["user_id"]))
-        merged = cdc.merge_changes(spark.table("cdc_test.users_state"), rows(spark, LOG[10:]), "user_id")
+        merged = cdc.merge_changes(spark.table(content_table(spark, name)), rows(spark, LOG[10:]), "user_id")
         plan = merged._jdf.queryExecution().executedPlan().toString()
-        assert plan.count("Exchange hashpartitioning") == 1  # the batch only
-        assert live(merged) == live(cdc.merge_changes(None, rows(spark, LOG), "user_id"))
+        # One exchange brings the batch to the buckets of the state, at most one more compacts it first.
+        side = plan[:plan.index("FileScan")].splitlines()[-8:] if "FileScan" in plan else plan.splitlines()
+        assert "FileScan" in plan and not any("Exchange" in line for line in side), plan
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", prev)
         spark.conf.set("spark.sql.adaptive.enabled", "true")
-
-
-def test_bucketed_state_rewrites_only_touched_buckets(spark, tmp_dir):
-    import os
-    from pyspark.sql import types as T
-    from tidemark.plans.bronze import merge_cdc_table_bucketed
-    from tidemark.schemas import envelope
-    from tidemark.sources.landing import write_landing
-
-    img = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("state", T.StringType())])
-    env_schema = "table string, op string, ts_ms long, after struct<user_id:long,state:string>, " \
-                 "before struct<user_id:long,state:string>, source struct<lsn:long>, dt string"
-    land, state = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "state")
-    first = [("users", "c", 1, (k, f"a{k}"), None, (k,), "2024-01-01") for k in range(40)]
-    write_landing(spark.createDataFrame(first, env_schema), land)
-    run = lambda since: merge_cdc_table_bucketed(spark, land, "users", envelope(img), "user_id",
-                                                 ["user_id", "state"], state, 8, since_dt=since)
-    run(None)
-
-    def files():
-        out = {}
-        for d in sorted(os.listdir(state)):
-            if d.startswith("_bucket="):
-                out[d] = sorted(f for f in os.listdir(os.path.join(state, d)) if f.endswith(".parquet"))
-        return out
-    before = files()
-    assert len(before) == 8
-    second = [("users", "u", 5, (7, "b7"), None, (100,), "2024-01-02"),
-              ("users", "d", 6, None, (3, None), (101,), "2024-01-02")]
-    write_landing(spark.createDataFrame(second, env_schema), land)
-    out = run("2024-01-02")
-    after = files()
-    changed = {d for d in before if before[d] != after.get(d)}
-    assert 1 <= len(changed) <= 2
-    live = dict((r.user_id, r.state) for r in cdc.published(out).collect())
-    assert live[7] == "b7" and 3 not in live and len(live) == 39
+    state = merge_into_table(spark, name, rows(spark, LOG[10:]), "user_id", buckets)
+    assert live(state) == live(cdc.merge_changes(None, rows(spark, LOG), "user_id"))
+    files = {f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(content_table(spark, name)).inputFiles()}
+    assert len(files) == len(spark.table(content_table(spark, name)).inputFiles())  # one file a bucket
 
 
 def test_change_without_commit_time_is_quarantined(spark):

@@ -63,12 +63,51 @@ def test_checks_of_an_empty_model_count_no_failures(spark):
     assert [(r["failures"], r["status"]) for r in out] == [(0, "pass")] * 2
 
 
-def test_bucket_count_is_part_of_the_state(spark, tmp_dir):
+def test_bucket_count_is_part_of_the_state(spark):
     import pytest
 
-    from tidemark.sources.state import merge_into_buckets
+    from tidemark.sources.catalog import job_database
+    from tidemark.sources.state import merge_into_table
     rows = spark.createDataFrame([(1, "a", "c", 1, 1)], "user_id long, kind string, _cdc_op string, _cdc_ts_ms long, _cdc_lsn long")
-    assert merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 4).count() == 1
-    assert merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 4).count() == 1
+    name = f"{job_database(spark, 'rejects')}.state"
+    assert merge_into_table(spark, name, rows, "user_id", 4).count() == 1
+    assert merge_into_table(spark, name, rows, "user_id", 4).count() == 1
     with pytest.raises(ValueError, match="has 4 buckets"):
-        merge_into_buckets(spark, f"{tmp_dir}/state", rows, "user_id", 8)
+        merge_into_table(spark, name, rows, "user_id", 8)
+
+
+def test_bad_changes_of_an_entity_are_kept_apart_and_a_late_one_is_read(spark, tmp_dir):
+    """A change committed early that arrives after later ones is read by the run after it landed."""
+    from tidemark.plans.bronze import merge_entity
+    from tidemark.sources.catalog import job_database
+    land, database = f"{tmp_dir}/land", job_database(spark, "entity")
+
+    def arrive(day, *lines):
+        df = spark.createDataFrame([(line, "users", day) for line in lines], "value string, table string, dt string")
+        df.write.mode("append").partitionBy("table", "dt").text(land)
+        return merge_entity(spark, land, "users", database, f"{tmp_dir}/users", 4)
+
+    def line(op, ms, lsn, **after):
+        import json
+        return json.dumps({"op": op, "ts_ms": ms, "after": after, "source": {"lsn": lsn}})
+
+    arrive("2024-05-02", line("c", 10, 1, user_id=1, email="a", updated_at="2024-01-01 00:00:00"), "{cut",
+           line("u", 99, 2, user_id=1, updated_at="soon"), line("u", 5, 3, email="no key"))
+    # Lands in an older folder, about another user and with an earlier commit time.
+    state = arrive("2024-05-01", line("c", 3, 4, user_id=2, email="b"))
+    assert sorted((r["user_id"], r["email"]) for r in cdc.published(state).collect()) == [(1, "a"), (2, "b")]
+    kept = spark.read.parquet(f"{tmp_dir}/users/rejects")
+    assert sorted(r[cdc.REASON] for r in kept.collect()) == ["bad_updated_at", "missing_key", "unparsable"]
+    before = spark.table(f"{database}.cdc_users").count()
+    assert merge_entity(spark, land, "users", database, f"{tmp_dir}/users", 4).count() == before
+
+
+def test_a_published_name_keeps_one_older_content(spark):
+    from tidemark.sources import catalog
+    name = f"{catalog.job_database(spark, 'published')}.numbers"
+    contents = []
+    for n in (1, 2, 3):
+        assert catalog.publish(spark, spark.range(n), name) == n
+        contents.append(catalog.content_table(spark, name))
+        assert spark.table(name).count() == n
+    assert [spark.catalog.tableExists(c) for c in contents] == [False, True, True]

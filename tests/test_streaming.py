@@ -29,18 +29,18 @@ def test_append_rerun_adds_nothing_and_new_files_add_rows(spark, tmp_dir):
 
 
 def test_upsert_equals_batch_compaction_and_survives_replay(spark, tmp_dir):
+    from tidemark.sources.catalog import job_database
     landed = R._landed_events(Tables(spark, SF))
-    root, state, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "state", "ckpt"))
+    root, ckpt, name = f"{tmp_dir}/land", f"{tmp_dir}/ckpt", f"{job_database(spark, 'upsert')}.users"
     landing.write_landing(landed, root)
-    jobs.upsert_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, state, ckpt)
-    store = jobs.StateStore(spark, state)
-    got = sorted(tuple(r) for r in cdc.published(store.read()).select("user_id", cdc.TS).collect())
+    state = jobs.upsert_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, name, ckpt)
+    got = sorted(tuple(r) for r in cdc.published(state).select("user_id", cdc.TS).collect())
     want = sorted(tuple(r) for r in R.q_cdc_compact(spark, SF).select("user_id", cdc.TS).collect())
     assert got == want
-    # replaying batch 0 against the same prior state rewrites the same version
+    # replaying batch 0 merges the same changes again, which changes nothing
     batch = landing.read_cdc(spark, root, "users", R._envelope_schema())
-    jobs.upsert_batch(store, "user_id", R.CHANGE_COLS)(batch, 0)
-    again = sorted(tuple(r) for r in cdc.published(store.read()).select("user_id", cdc.TS).collect())
+    jobs.upsert_batch(name, "user_id", R.CHANGE_COLS)(batch, 0)
+    again = sorted(tuple(r) for r in cdc.published(spark.table(name)).select("user_id", cdc.TS).collect())
     assert again == want
 
 
@@ -59,17 +59,6 @@ def test_topic_landing_stream_lands_only_valid_changes(spark, tmp_dir):
     assert out.count() == R.q_cdc_flatten(spark, SF).count()
 
 
-def test_state_store_versions_and_vacuum(spark, tmp_dir):
-    from tidemark.sources.state import StateStore
-    store = StateStore(spark, os.path.join(tmp_dir, "state"))
-    assert store.read() is None
-    for v in range(4):
-        store.write(spark.range(v + 1), v)
-    assert store.read().count() == 4 and store.read(before=2).count() == 2
-    assert store.vacuum(keep=2) == [0, 1]
-    assert store._versions() == [2, 3] and store.read().count() == 4
-
-
 def test_append_reports_progress(spark, tmp_dir):
     landed = R._landed_events(Tables(spark, SF)).where(F.col("dt") < "2024-01-03")
     root, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "sink", "ckpt"))

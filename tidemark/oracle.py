@@ -452,3 +452,35 @@ ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED
 ORACLE["stream_upsert_bucketed"] = COMPACT_PUBLISHED
 ORACLE["seed_build"] = FACT
 ORACLE["dq_run_results_scan"] = ORACLE["dq_summary"]
+
+# --- the three entities through change capture: what is left of the documented changes -----------
+ENTITIES = {"users": (BRONZE_USERS, "user_id", "kyc_status", "updated_at"),
+            "wallets": (BRONZE_WALLETS, "wallet_id", "wallet_type", "updated_at"),
+            "transactions": (BRONZE_TRANSACTIONS, "transaction_id", "status", "amount")}
+
+
+def _left(entity: str) -> str:
+    bronze, key, marked, _ = ENTITIES[entity]
+    return (f"select * replace (if({key} % 5 = 1, 'second', {marked}) as {marked}) from ({bronze}) "
+            f"where {key} % 11 <> 3")
+
+
+ORACLE["bronze_entities"] = " union all ".join(
+    f"""select '{e}' as "table", {key} as "key", 'u' as op, epoch_ms(updated_at) as ts_ms,
+               {key} * 10 + if({key} % 5 = 1, 2, 1) as lsn from ({_left(e)})"""
+    for e, (_, key, _, _) in ENTITIES.items())
+ORACLE["bronze_quarantine"] = " union all ".join(
+    f"""select '{e}' as "table", '{reason}' as reason, count(*) as changes from ({bronze})
+        where {key} % {divisor} = {rest} having count(*) > 0"""
+    for e, (bronze, key, _, spoiled) in ENTITIES.items()
+    for reason, divisor, rest in [(f"bad_{spoiled}", 17, 5), ("unsupported_op", 19, 6), ("missing_key", 23, 7),
+                                  ("unparsable", 29, 8)])
+ORACLE["stg_users_from_bronze"] = f"""
+select user_id, trim(lower(email)) as email, upper(country_code) as country_code, signup_channel, kyc_status,
+       created_at, updated_at from ({_left("users")})
+"""
+ORACLE["stg_wallets_from_bronze"] = f"""
+select * replace (lower(chain) as chain, lower(address) as address) from ({_left("wallets")})
+"""
+ORACLE["stg_transactions_from_bronze"] = STG_TRANSACTIONS.replace(
+    _newest(BRONZE_TRANSACTIONS, "transaction_id"), _left("transactions"))

@@ -3,9 +3,11 @@ JSON -> current-state tables.
 
 * ``merge_cdc_table``: every landed envelope of one entity (the whole landing
   folder, as each run of the source job reads it), validated, flattened and
-  merged in order into the entity's state; the new state is written as the next
-  version and the previous one is left untouched until then. Re-running with
-  nothing new yields the same state (the merge is idempotent under replay).
+  merged in order into the entity's state table. Re-running with nothing new
+  yields the same state (the merge is idempotent under replay).
+* ``merge_entity``: users, wallets or transactions from the landed changes that
+  no run before has read into ``<database>.cdc_<entity>``, payload text cast to
+  the entity's types, what cannot be applied kept apart.
 * ``load_onchain``: landed on-chain rows of the given chains, skipped when
   empty, stamped with ``_loaded_at``, de-duplicated and appended where the
   ``(hash, _chain)`` key is new.
@@ -19,29 +21,38 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark import schemas
 from tidemark.operators import cdc
 from tidemark.sources.landing import _exists, is_empty, read_cdc, read_onchain
-from tidemark.sources.state import StateStore, merge_into_buckets
+from tidemark.sources.state import STATE_BUCKETS, merge_into_table
 
 
 def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
-                    key: str, image_cols: Sequence[str], state_root: str,
-                    since_dt: str | None = None, keep_versions: int = 2) -> tuple[DataFrame, DataFrame]:
+                    key: str, image_cols: Sequence[str], name: str,
+                    buckets: int = STATE_BUCKETS) -> tuple[DataFrame, DataFrame]:
     """One run of the CDC merge for ``table``; returns (state, quarantine).
 
     The state keeps delete markers; ``cdc.published(state)`` is the table
     readers see. The rejected envelopes come back for a quarantine sink.
     """
-    env = read_cdc(spark, raw_root, table, envelope_schema, since_dt=since_dt)
-    valid, rejected = cdc.split_valid(env, key)
+    valid, rejected = cdc.split_valid(read_cdc(spark, raw_root, table, envelope_schema), key)
     rows = cdc.flatten(valid, key, image_cols)
-    store = StateStore(spark, state_root)
-    versions = store._versions()
-    prior = store.read()
-    nxt = (versions[-1] + 1) if versions else 0
-    store.write(cdc.merge_changes(prior, rows, key), nxt)
-    store.vacuum(keep_versions)
-    return store.read(), rejected
+    return merge_into_table(spark, name, rows, key, buckets), rejected
+
+
+def merge_entity(spark: SparkSession, raw_root: str, entity: str, database: str, folder: str,
+                 buckets: int = STATE_BUCKETS) -> DataFrame | None:
+    """One run for an entity of ``schemas.ENTITIES``; returns its state (None before any change).
+
+    ``folder`` (shared storage) holds the bookmark and, under ``rejects``, what
+    could not be applied: JSON text and reason.
+    """
+    from tidemark.streaming.jobs import upsert_job
+    declared, image = schemas.ENTITIES[entity], schemas.as_json_payload(schemas.ENTITIES[entity])
+    types = {f.name: f.dataType for f in declared.fields if f.dataType != image[f.name].dataType}
+    return upsert_job(spark, raw_root, entity, schemas.envelope(image), schemas.PRIMARY_KEYS[entity],
+                      image.fieldNames(), f"{database}.{schemas.BRONZE_NAMES[entity]}", f"{folder}/checkpoint",
+                      buckets, types, f"{folder}/rejects")
 
 
 ONCHAIN_KEY = ["hash", "_chain"]
@@ -71,16 +82,3 @@ def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], sche
     obs = Observation("onchain_load")
     new_rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
     return int(obs.get.get("rows", 0))
-
-
-def merge_cdc_table_bucketed(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
-                             key: str, image_cols: Sequence[str], state_path: str, buckets: int,
-                             since_dt: str | None = None) -> DataFrame:
-    """The CDC merge run against a state table partitioned by key bucket,
-    rewriting only the buckets the batch touches (see
-    ``sources.state.merge_into_buckets``). Landing folders can be pruned by
-    ``since_dt`` for incremental runs; a full replay is harmless (the merge is
-    idempotent)."""
-    env = read_cdc(spark, raw_root, table, envelope_schema, since_dt=since_dt)
-    valid, _ = cdc.split_valid(env, key)
-    return merge_into_buckets(spark, state_path, cdc.flatten(valid, key, image_cols), key, buckets)

@@ -431,12 +431,12 @@ def q_stream_append(spark, sf):
 
 
 def q_stream_upsert(spark, sf):
-    from tidemark.streaming.jobs import StateStore, job_folder, upsert_job
-    base = job_folder(spark, "stream-upsert")
-    land, state, ckpt = f"{base}/landing", f"{base}/state", f"{base}/checkpoint"
-    _land_in_two_steps(spark, sf, land, lambda: upsert_job(
-        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state, ckpt))
-    return _state_cols(cdc.published(StateStore(spark, state).read()))
+    from tidemark.sources.catalog import job_database
+    from tidemark.streaming.jobs import job_folder, upsert_job
+    base, name = job_folder(spark, "stream-upsert"), f"{job_database(spark, 'stream_upsert')}.users_state"
+    _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
+        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint"))
+    return _state_cols(cdc.published(spark.table(name)))
 
 
 ONCHAIN_CHAINS = ["A", "N", "R", "X"]  # "X" has no folder: it must read as empty
@@ -481,19 +481,12 @@ def q_bronze_cdc_job(spark, sf):
     """The batch CDC job run after each of two landings and once more with
     nothing new; the published state equals one compaction of the whole log."""
     from tidemark.plans.bronze import merge_cdc_table
-    from tidemark.sources.landing import write_landing
+    from tidemark.sources.catalog import job_database
     from tidemark.streaming.jobs import job_folder
-    base = job_folder(spark, "bronze-cdc")
-    land, state_root = f"{base}/landing", f"{base}/state"
-    landed = _landed_events(Tables(spark, sf))
-    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
-    run = lambda: merge_cdc_table(spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state_root)
-    write_landing(landed.where(F.col("ts_ms") < split_ms), land)
-    run()
-    write_landing(landed.where(F.col("ts_ms") >= split_ms), land)
-    run()
-    state, _ = run()
-    return _state_cols(cdc.published(state))
+    land, name = f"{job_folder(spark, 'bronze-cdc')}/landing", f"{job_database(spark, 'bronze_cdc')}.users_state"
+    _land_in_two_steps(spark, sf, land, lambda: merge_cdc_table(
+        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name))
+    return _state_cols(cdc.published(spark.table(name)))
 
 
 def q_bronze_onchain_job(spark, sf):
@@ -519,42 +512,81 @@ def q_bronze_onchain_job(spark, sf):
     return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
 
 
-CDC_BUCKETS = 16
-
-
 def q_bronze_cdc_job_bucketed(spark, sf):
-    """As ``bronze_cdc_job``, with the state partitioned by key bucket, only
-    the touched buckets rewritten by each run, and the later runs reading only
-    the landing folders of their own dates."""
-    from tidemark.plans.bronze import merge_cdc_table_bucketed
-    from tidemark.sources.landing import write_landing
-    from tidemark.streaming.jobs import job_folder
-    base = job_folder(spark, "bronze-cdc-buckets")
-    land, state_path = f"{base}/landing", f"{base}/state"
-    landed = _landed_events(Tables(spark, sf))
-    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
-    run = lambda since: merge_cdc_table_bucketed(spark, land, "users", _envelope_schema(), USER_KEY,
-                                                 CHANGE_COLS, state_path, CDC_BUCKETS, since_dt=since)
-    write_landing(landed.where(F.col("ts_ms") < split_ms), land)
-    run(None)
-    write_landing(landed.where(F.col("ts_ms") >= split_ms), land)
-    # Incremental runs read only the new dt= folders (partition pruning); the
-    # third run replays them, which the ordered merge absorbs.
-    since = fixtures.CDC_SPLIT[:10]
-    run(since)
-    state = run(since)
-    return _state_cols(cdc.published(state))
+    """As ``bronze_cdc_job``, with a bookmark: each run reads only the landed
+    files that no run before has read."""
+    from tidemark.sources.catalog import job_database
+    from tidemark.streaming.jobs import job_folder, upsert_job
+    base, name = job_folder(spark, "bronze-cdc-new"), f"{job_database(spark, 'bronze_cdc_new')}.users_state"
+    _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
+        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint",
+        rejects_path=f"{base}/rejects"))
+    return _state_cols(cdc.published(spark.table(name)))
 
 
 def q_stream_upsert_bucketed(spark, sf):
-    """The foreachBatch upsert into a bucket-partitioned state (each
-    micro-batch rewrites only the buckets it touches)."""
+    """The foreachBatch upsert in several micro-batches of bounded size a run."""
+    from tidemark.sources.catalog import job_database
     from tidemark.streaming.jobs import job_folder, upsert_job
-    base = job_folder(spark, "stream-upsert-buckets")
-    land, state, ckpt = f"{base}/landing", f"{base}/state", f"{base}/checkpoint"
-    _land_in_two_steps(spark, sf, land, lambda: upsert_job(
-        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, state, ckpt, buckets=CDC_BUCKETS))
-    return _state_cols(cdc.published(spark.read.parquet(state)))
+    base, name = job_folder(spark, "stream-upsert-parts"), f"{job_database(spark, 'stream_upsert')}.users_state"
+    _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
+        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint",
+        max_files_per_trigger=10))
+    return _state_cols(cdc.published(spark.table(name)))
+
+
+def _merged_entity(spark, sf, entity: str, land: str, base: str, database: str) -> DataFrame:
+    """Land the entity's changes of two days, one run after each and one with nothing new."""
+    from tidemark.plans.bronze import merge_entity
+    lines = fixtures.entity_changes(getattr(Domain(spark, sf), f"bronze_{entity}"), entity)
+    state = None
+    for day in [*fixtures.LANDING_DAYS, None]:
+        if day:
+            lines.where(F.col("dt") == day).write.mode("append").partitionBy("table", "dt").text(land)
+        state = merge_entity(spark, land, entity, database, f"{base}/{entity}")
+    return cdc.published(state)
+
+
+def _merged_entities(spark, sf, entities) -> tuple[dict[str, DataFrame], str]:
+    from tidemark.sources.catalog import job_database
+    from tidemark.streaming.jobs import job_folder
+    base, database = job_folder(spark, "bronze-entities"), job_database(spark, "bronze_entities")
+    return {e: _merged_entity(spark, sf, e, f"{base}/landing", base, database) for e in entities}, base
+
+
+def q_bronze_entities(spark, sf):
+    """Which change each live key of the three entities shows after all runs."""
+    from tidemark import schemas
+    tables, _ = _merged_entities(spark, sf, schemas.ENTITIES)
+    return cdc.union_all([df.select(F.lit(e).alias("table"), F.col(schemas.PRIMARY_KEYS[e]).alias("key"),
+                                    F.col(cdc.OP).alias("op"), F.col(cdc.TS).alias("ts_ms"),
+                                    F.col(cdc.LSN).alias("lsn")) for e, df in tables.items()])
+
+
+def q_bronze_quarantine(spark, sf):
+    """How many changes of each entity were kept apart, by reason."""
+    from tidemark import schemas
+    tables, base = _merged_entities(spark, sf, schemas.ENTITIES)
+    kept = [spark.read.parquet(f"{base}/{e}/rejects").withColumn("table", F.lit(e)) for e in tables]
+    return cdc.union_all(kept).groupBy("table", F.col(cdc.REASON).alias("reason")).agg(F.count("*").alias("changes"))
+
+
+def q_stg_users_from_bronze(spark, sf):
+    from tidemark.plans import staging
+    tables, _ = _merged_entities(spark, sf, ["users"])
+    return staging.stg_users(tables["users"], [cdc.TS, cdc.LSN])
+
+
+def q_stg_wallets_from_bronze(spark, sf):
+    from tidemark.plans import staging
+    tables, _ = _merged_entities(spark, sf, ["wallets"])
+    return staging.stg_wallets(tables["wallets"], [cdc.TS, cdc.LSN])
+
+
+def q_stg_transactions_from_bronze(spark, sf):
+    from tidemark.plans import staging
+    tables, _ = _merged_entities(spark, sf, ["transactions"])
+    return staging.stg_transactions(tables["transactions"], [cdc.TS, cdc.LSN])
 
 
 def q_seed_build(spark, sf):
@@ -636,6 +668,11 @@ REGISTRY: dict[str, Query] = {
     "bronze_onchain_job": q_bronze_onchain_job,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
+    "bronze_entities": q_bronze_entities,
+    "bronze_quarantine": q_bronze_quarantine,
+    "stg_users_from_bronze": q_stg_users_from_bronze,
+    "stg_wallets_from_bronze": q_stg_wallets_from_bronze,
+    "stg_transactions_from_bronze": q_stg_transactions_from_bronze,
     "seed_build": q_seed_build,
     "dq_run_results_scan": q_dq_run_results_scan,
 }

@@ -2,7 +2,8 @@
 
 Staging models stay lazy (views); marts are written as tables. A table that
 is being replaced is never overwritten in place while it is read: the new
-content goes to a fresh table, which then takes the name. Where a table format
+content goes to a fresh table, and the published name, a view, is then pointed at
+it in one catalog call, so that the name is never missing. Where a table format
 with MERGE is installed, the ordered merge in ``operators.cdc`` is the source
 of the rows either way.
 """
@@ -15,8 +16,32 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 
-def ensure_database(spark: SparkSession, name: str) -> None:
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}")
+# Properties of a published view: the table it shows and the one it showed before.
+CONTENT, BEFORE = "content.table", "content.before"
+
+
+def ensure_database(spark: SparkSession, name: str, location: str | None = None) -> None:
+    place = f" LOCATION '{location}'" if location else ""
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {name}{place}")
+
+
+def job_database(spark: SparkSession, name: str) -> str:
+    """A database for one job's tables below the shared checkpoint folder."""
+    from tidemark.session import checkpoint_root
+    database = f"{name}_{uuid.uuid4().hex[:12]}"
+    ensure_database(spark, database, f"{checkpoint_root(spark)}/{database}")
+    return database
+
+
+def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+    if not spark.catalog.tableExists(name):
+        return {}
+    return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
+
+
+def content_table(spark: SparkSession, name: str) -> str | None:
+    """The table that the published ``name`` shows; None if nothing was published."""
+    return _properties(spark, name).get(CONTENT)
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -31,7 +56,7 @@ def as_view(df: DataFrame, name: str) -> DataFrame:
 
 def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None,
             cluster_by: tuple[int, list[str]] | None = None) -> int:
-    """Write ``df`` as table ``name`` (creating or replacing it) and return the
+    """Write ``df`` as the content of ``name`` (creating or replacing it) and return the
     number of rows written, observed during the write (no second count job).
 
     ``cluster_by=(n, keys)`` buckets the table by ``keys`` so later joins and
@@ -39,16 +64,19 @@ def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: list[st
     """
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    tmp = f"{name}__next_{uuid.uuid4().hex[:8]}"
-    writer = observed.write.format("parquet").mode("overwrite")
+    old = _properties(spark, name)
+    content = f"{name}__{uuid.uuid4().hex[:8]}"
+    writer = observed.write.format("parquet")
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     if cluster_by:
         writer = writer.bucketBy(cluster_by[0], *cluster_by[1]).sortBy(*cluster_by[1])
-    writer.saveAsTable(tmp)
-    if spark.catalog.tableExists(name):
-        spark.sql(f"DROP TABLE {name}")
-    spark.sql(f"ALTER TABLE {tmp} RENAME TO {name}")
+    writer.saveAsTable(content)
+    # The content before stays for readers that still use it; the one before that goes.
+    spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{CONTENT}' = '{content}', "
+              f"'{BEFORE}' = '{old.get(CONTENT, '')}') AS SELECT * FROM {content}")
+    if old.get(BEFORE):
+        spark.sql(f"DROP TABLE IF EXISTS {old[BEFORE]}")
     return int(obs.get.get("rows", 0))
 
 

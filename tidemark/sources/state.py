@@ -1,111 +1,44 @@
-"""Stored CDC state between runs.
+"""Stored CDC state between runs: a catalog table clustered on the key.
 
-Two layouts, both plain Parquet written by Spark:
-
-* ``StateStore``: numbered full versions ``<root>/v=<n>``; a version counts
-  only once its ``_SUCCESS`` marker exists, so a failed write is never read.
-* ``merge_into_buckets``: one table partitioned by key bucket; a merge reads
-  and rewrites only the buckets its batch touches (dynamic partition
-  overwrite), after staging the merged buckets once under the checkpoint
-  folder.
+The state is read already partitioned and sorted by its buckets, so a merge moves
+only the batch. There is no MERGE on Parquet: every merge that has changes writes
+the state anew, one task a bucket, and the name then takes the new content
+(``catalog.publish``). Choose ``buckets`` so that one bucket suits one task
+(state bytes / 256 MB or so); another count than the stored one is refused.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.operators import cdc
-from tidemark.sources.landing import _exists
-
-BUCKET = "_bucket"
-
-
-class StateStore:
-    """Current state of one entity as numbered versions ``<root>/v=<batch>``.
-
-    Micro-batch ``b`` reads the newest version below ``b``, merges and writes
-    ``v=b``; a replayed batch rewrites the same version from the same input,
-    so replays are harmless. The newest version is the table.
-    """
-
-    def __init__(self, spark: SparkSession, root: str):
-        self.spark = spark
-        self.root = root.rstrip("/")
-
-    def _versions(self) -> list[int]:
-        jvm = self.spark.sparkContext._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
-        fs = path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration())
-        if not fs.exists(path):
-            return []
-        out = []
-        for st in fs.listStatus(path):
-            name = st.getPath().getName()
-            if name.startswith("v=") and fs.exists(jvm.org.apache.hadoop.fs.Path(st.getPath(), "_SUCCESS")):
-                out.append(int(name[2:]))
-        return sorted(out)
-
-    def read(self, before: int | None = None) -> DataFrame | None:
-        vs = [v for v in self._versions() if before is None or v < before]
-        return self.spark.read.parquet(f"{self.root}/v={vs[-1]}") if vs else None
-
-    def write(self, df: DataFrame, version: int) -> None:
-        df.write.mode("overwrite").parquet(f"{self.root}/v={version}")
-
-    def vacuum(self, keep: int = 2) -> list[int]:
-        """Remove all but the newest ``keep`` committed versions (and leave any
-        uncommitted folder to the writer that owns it); returns the removed
-        version numbers."""
-        jvm = self.spark.sparkContext._jvm
-        versions = self._versions()
-        doomed = versions[:-keep] if keep > 0 else versions
-        for v in doomed:
-            path = jvm.org.apache.hadoop.fs.Path(f"{self.root}/v={v}")
-            path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
-        return doomed
-
-
+from tidemark.sources.catalog import content_table, publish
 
-def bucket_of_key(key: str, buckets: int) -> Column:
-    """Stable bucket of a key: a hash of the key modulo the bucket count."""
-    return F.pmod(F.xxhash64(F.col(key)), F.lit(buckets)).cast("int")
+STATE_BUCKETS = 16
 
 
-def keep_layout(spark: SparkSession, state_path: str, buckets: int) -> None:
-    """Store the bucket count beside a new state; refuse another count for an existing one."""
-    layout = f"{state_path.rstrip('/')}-layout"
-    if not _exists(spark, layout):
-        spark.range(buckets, buckets + 1).select(F.col("id").alias("buckets")).write.parquet(layout)
-        return
-    stored = spark.read.parquet(layout).first()["buckets"]
-    if stored != buckets:
-        raise ValueError(f"the state at {state_path} has {stored} buckets, not {buckets}")
+def bucket_count(spark: SparkSession, table: str) -> int:
+    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}")
+    return int(described.where(F.col("col_name") == "Num Buckets").first()["data_type"])
 
 
-def merge_into_buckets(spark: SparkSession, state_path: str, rows: DataFrame, key: str, buckets: int) -> DataFrame:
-    """Ordered merge of flat change rows into the bucket-partitioned state.
+def merge_into_table(spark: SparkSession, name: str, rows: DataFrame, key: str,
+                     buckets: int = STATE_BUCKETS) -> DataFrame:
+    """Ordered merge of flat change rows into the state ``name``; returns the state.
 
-    1. the batch is compacted, tagged with its key's bucket and written once
-       (lineage ends, the run can be redone from it);
-    2. the state is semi-joined with the batch's distinct buckets (at most
-       ``buckets`` rows, broadcast); its scan itself is not pruned to them;
-    3. the merge of the two is staged once below the checkpoint folder;
-    4. a dynamic partition overwrite replaces exactly the touched bucket
-       folders; every other bucket is not written.
+    Merging the same changes again changes nothing, so a replayed micro-batch is
+    harmless whether or not its first try took the name.
     """
-    from tidemark.sources.catalog import materialize
-    keep_layout(spark, state_path, buckets)
-    batch = cdc.compact(rows, key).withColumn(BUCKET, bucket_of_key(key, buckets))
-    batch = materialize(spark, batch, "state-batch")
-    if _exists(spark, state_path):
-        touched = batch.select(BUCKET).distinct()
-        prior = spark.read.parquet(state_path).join(F.broadcast(touched), BUCKET, "left_semi").drop(BUCKET)
-        merged = (cdc.merge_changes(prior, batch.drop(BUCKET, cdc.DELETED), key)
-                  .withColumn(BUCKET, bucket_of_key(key, buckets)))
+    content = content_table(spark, name)
+    if content is None:
+        merged = cdc.compact(rows, key).repartition(buckets, key)
     else:
-        merged = batch
-    staged = materialize(spark, merged, "state-merged")
-    (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-     .partitionBy(BUCKET).parquet(state_path))
-    return spark.read.parquet(state_path)
+        stored = bucket_count(spark, content)
+        if stored != buckets:
+            raise ValueError(f"the state {name} has {stored} buckets, not {buckets}")
+        if rows.isEmpty():
+            return spark.table(name)
+        merged = cdc.merge_changes(spark.table(content), rows, key)
+    publish(spark, merged, name, cluster_by=(buckets, [key]))
+    return spark.table(name)

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.operators import cdc
 from tidemark.session import checkpoint_root
 from tidemark.sources.landing import cdc_path
-from tidemark.sources.state import StateStore, merge_into_buckets
+from tidemark.sources.state import STATE_BUCKETS, merge_into_table
 
 
 def change_stream(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType,
@@ -64,6 +64,11 @@ def append_rows(stream: DataFrame, key: str, image_cols: Sequence[str],
 def rejected_rows(stream: DataFrame, key: str) -> DataFrame:
     """What ``append_rows`` leaves out, as JSON text with its reason."""
     _, rejects = cdc.split_valid(stream, key)
+    return as_text(rejects)
+
+
+def as_text(rejects: DataFrame) -> DataFrame:
+    """Rejected changes of any columns as JSON text (``change``) with their reason."""
     body = [c for c in rejects.columns if c != cdc.REASON]
     return rejects.select(F.to_json(F.struct(*body)).alias("change"), cdc.REASON)
 
@@ -87,41 +92,39 @@ def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.St
     return run_available_now(rows, sink_path, checkpoint)
 
 
-def upsert_batch(store: StateStore, key: str, image_cols: Sequence[str], keep_versions: int = 2):
-    """``foreachBatch`` function: validate, flatten and merge one micro-batch
-    into the next state version. Only the newest ``keep_versions`` versions are
-    kept: a replay concerns the last micro-batch only, which needs at most the
-    version before it."""
-    def apply(batch: DataFrame, batch_id: int) -> None:
-        valid, _bad = cdc.split_valid(batch, key)
-        rows = cdc.flatten(valid, key, image_cols)
-        state = store.read(before=batch_id)
-        store.write(cdc.merge_changes(state, rows, key), batch_id)
-        store.vacuum(keep_versions)
-    return apply
-
+def upsert_batch(name: str, key: str, image_cols: Sequence[str], buckets: int = STATE_BUCKETS,
+                 types: dict[str, T.DataType] | None = None, rejects_path: str | None = None):
+    """``foreachBatch`` function: validate, flatten, cast and merge one micro-batch
+    into the state ``name``.
 
-def upsert_batch_buckets(state_path: str, key: str, image_cols: Sequence[str], buckets: int):
-    """``foreachBatch`` function for a bucket-partitioned state: each
-    micro-batch rewrites only the buckets it touches. A replayed micro-batch
-    re-applies the same changes, which the ordered merge absorbs."""
+    ``types`` names the image columns that travel as text and their types. What
+    cannot be applied goes to ``rejects_path``, one folder a micro-batch, which a
+    replay overwrites."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        valid, _bad = cdc.split_valid(batch, key)
-        merge_into_buckets(batch.sparkSession, state_path, cdc.flatten(valid, key, image_cols), key, buckets)
+        valid, rejected = cdc.split_valid(batch, key)
+        rows, rejects = cdc.flatten(valid, key, image_cols), as_text(rejected)
+        if types:
+            rows, unread = cdc.cast_columns(rows, types)
+            rejects = rejects.unionByName(as_text(unread))
+        if rejects_path:
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        merge_into_table(batch.sparkSession, name, rows, key, buckets)
     return apply
 
 
 def upsert_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
-               image_cols: Sequence[str], state_root: str, checkpoint: str,
-               buckets: int | None = None) -> DataFrame | None:
-    """Run the upsert stream to completion; the state is a versioned folder,
-    or with ``buckets`` a bucket-partitioned table at ``state_root``."""
-    fn = (upsert_batch_buckets(state_root, key, image_cols, buckets) if buckets
-          else upsert_batch(StateStore(spark, state_root), key, image_cols))
-    q = (change_stream(spark, root, table, envelope_schema).writeStream.foreachBatch(fn)
+               image_cols: Sequence[str], name: str, checkpoint: str, buckets: int = STATE_BUCKETS,
+               types: dict[str, T.DataType] | None = None, rejects_path: str | None = None,
+               max_files_per_trigger: int | None = None) -> DataFrame | None:
+    """Merge the landed files not seen yet into the state ``name``, then stop.
+
+    The checkpoint is the bookmark: a run reads only files that no run before it
+    read, whatever their date. Returns the state, None if no change ever came."""
+    stream = change_stream(spark, root, table, envelope_schema, max_files_per_trigger)
+    q = (stream.writeStream.foreachBatch(upsert_batch(name, key, image_cols, buckets, types, rejects_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.read.parquet(state_root) if buckets else StateStore(spark, state_root).read()
+    return spark.table(name) if spark.catalog.tableExists(name) else None
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
