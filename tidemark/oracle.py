@@ -484,3 +484,20 @@ select * replace (lower(chain) as chain, lower(address) as address) from ({_left
 """
 ORACLE["stg_transactions_from_bronze"] = STG_TRANSACTIONS.replace(
     _newest(BRONZE_TRANSACTIONS, "transaction_id"), _left("transactions"))
+
+# --- users after two snapshot runs ------------------------------------------------
+RECONCILED = "timestamp '2030-01-01 00:00:00'"
+ORACLE["dim_users_history_two_runs"] = f"""
+with u as ({STG_USERS})
+select user_id, email, country_code, signup_channel, kyc_status, updated_at as valid_from,
+       case when kyc_status = 'pending' then {RECONCILED} end as valid_to, kyc_status <> 'pending' as is_current
+from u where user_id % 41 <> 0 or kyc_status <> 'pending'
+union all
+select user_id, email, country_code, signup_channel, 'verified', {RECONCILED}, null, true
+from u where kyc_status = 'pending'
+"""
+ORACLE["dim_users_two_runs"] = f"""
+select * replace (if(kyc_status = 'pending', 'verified', kyc_status) as kyc_status,
+                  if(kyc_status = 'pending', {RECONCILED}, user_updated_at) as user_updated_at)
+from ({DIM_USERS})
+"""

@@ -370,6 +370,30 @@ def q_scd2_reconcile(spark, sf):
     return versions_histogram(snap2)
 
 
+def _users_after_two_runs(spark, d: Domain) -> DataFrame:
+    """The users snapshot after two runs: every 41st user comes with the second,
+    which also finds every pending user verified. The first run's result is stored."""
+    from tidemark.sources.catalog import materialize
+    at = F.lit(RECONCILE_AT).cast("timestamp_ntz")
+    pending = F.col("kyc_status") == "pending"
+    now = d.bronze_users.withColumns({"updated_at": F.when(pending, at).otherwise(F.col("updated_at")),
+                                      "kyc_status": F.when(pending, F.lit("verified")).otherwise(F.col("kyc_status"))})
+    first = scd2_apply(None, d.bronze_users.where(F.col("user_id") % 41 != 0), USER_KEY)
+    return scd2_apply(materialize(spark, first, "users-snapshot"), now, USER_KEY)
+
+
+def q_dim_users_history_two_runs(spark, sf):
+    from tidemark.plans import marts
+    return marts.dim_users_history(_users_after_two_runs(spark, Domain(spark, sf)))
+
+
+def q_dim_users_two_runs(spark, sf):
+    """Current users where closed versions exist too."""
+    from tidemark.plans import marts
+    d = Domain(spark, sf)
+    return marts.dim_users(_users_after_two_runs(spark, d), d.stg_wallets)
+
+
 def q_api_flatten(spark, sf):
     from tidemark.sources.landing import flatten_api_bodies
     rows, _ = flatten_api_bodies(fixtures.api_bodies(Tables(spark, sf)))
@@ -645,6 +669,8 @@ REGISTRY: dict[str, Query] = {
     "scd2_apply": q_scd2_apply,
     "scd2_from_log": q_scd2_from_log,
     "dim_users_history": q_dim_users_history,
+    "dim_users_history_two_runs": q_dim_users_history_two_runs,
+    "dim_users_two_runs": q_dim_users_two_runs,
     "as_of_join": q_as_of_join,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
