@@ -8,6 +8,9 @@ negative values -- the injected-negative-value scenario.
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 
 from tidemark.operators.quality import Check
@@ -32,6 +35,22 @@ def models(d: Domain, names: set[str] | None = None) -> dict[str, DataFrame]:
     return out
 
 
+def checked_columns(checks: Sequence[Check]) -> dict[str, list[str]]:
+    """The columns of each model that the checks read."""
+    pairs = [(c.model, x) for c in checks for x in (c.column, c.where) if x]
+    pairs += [(c.to, c.field) for c in checks if c.to]
+    return {model: sorted({x for m, x in pairs if m == model}) for model, _ in pairs}
+
+
+def passes(checks: Sequence[Check]) -> Counter:
+    """How often ``quality.run_checks`` reads each model: once for its own checks
+    with one key column, once for each further key column, once a relationship."""
+    own = {(c.model, c.column if c.kind in ("unique", "at_most_one") else None) for c in checks if c.kind != "relationships"}
+    keyed = {m for m, key in own if key}
+    return Counter([m for m, key in own if key or m not in keyed]
+                   + [m for c in checks if c.to for m in (c.model, c.to)])
+
+
 NOT_NULL = [Check("not_null", m, c) for m, c in [
     ("stg_users", "user_id"), ("stg_wallets", "wallet_id"), ("stg_wallets", "user_id"),
     ("stg_transactions", "transaction_id"), ("stg_transactions", "wallet_id"),

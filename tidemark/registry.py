@@ -272,15 +272,16 @@ def q_as_of_join(spark, sf):
 # ---------------------------------------------------------------------------
 
 def _checks(spark, sf, checks):
-    """Checks run after a build: the transaction-sized models are written once
-    as tables (see ``MaterializedDomain``) and every check reads them."""
+    """Checks run after a build: each model that more than one pass reads is
+    written once, with its checked columns only, and every pass reads that."""
     from tidemark.operators.quality import run_checks
     from tidemark.plans import suite
-    from tidemark.plans.domain import FACT_SIZED, MaterializedDomain
-    from tidemark.streaming.jobs import job_folder
-    needed = {c.model for c in checks} | {c.to for c in checks if c.to}
-    d = MaterializedDomain(spark, sf, job_folder(spark, "models"), names=FACT_SIZED)
-    return run_checks({k: v for k, v in suite.models(d, needed).items()}, checks)
+    from tidemark.sources.catalog import materialize
+    columns = suite.checked_columns(checks)
+    models = {name: df.select(*columns[name]) for name, df in suite.models(Domain(spark, sf), set(columns)).items()}
+    reads = suite.passes(checks)
+    return run_checks({name: materialize(spark, df, f"checked-{name}") if reads[name] > 1 else df
+                       for name, df in models.items()}, checks)
 
 
 def q_dq_not_null(spark, sf):
