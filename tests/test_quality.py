@@ -83,6 +83,8 @@ def test_run_results_scan(spark, tmp_dir):
     assert res.count() == 2
     failed = monitoring.failures(res).collect()
     assert [(r.unique_id, r.execution_time) for r in failed] == [("t1", 0.13)]
+    long = res.withColumn("message", F.repeat(F.lit("x"), 700))
+    assert [(len(r.message), len(r.alert_message)) for r in monitoring.failures(long).collect()] == [(700, 500)]
     missing = read_run_results(spark, os.path.join(tmp_dir, "nope.json"))
     assert missing.count() == 0 and monitoring.exit_code(missing) == 0
 

@@ -349,7 +349,8 @@ def summary_sql(checks) -> str:
 
 def failures_sql(checks) -> str:
     return (f"select unique_id, lower(coalesce(status, '')) as status, "
-            f"substr(trim(coalesce(message, '')), 1, 500) as message, cast(0.0 as double) as execution_time "
+            f"trim(coalesce(message, '')) as message, cast(0.0 as double) as execution_time, "
+            f"substr(trim(coalesce(message, '')), 1, 500) as alert_message "
             f"from ({checks_sql(checks)}) r where lower(coalesce(status, '')) in {FAILURE_SET}")
 
 

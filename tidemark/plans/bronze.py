@@ -8,7 +8,7 @@ JSON -> current-state tables.
 * ``merge_entity``: users, wallets or transactions from the landed changes that
   no run before has read into ``<database>.cdc_<entity>``, payload text cast to
   the entity's types, what cannot be applied kept apart.
-* ``load_onchain``: landed on-chain rows of the given chains, skipped when
+* ``load_onchain``: newly landed on-chain rows of the given chains, skipped when
   empty, stamped with ``_loaded_at``, de-duplicated and appended where the
   ``(hash, _chain)`` key is new.
 """
@@ -23,7 +23,7 @@ from pyspark.sql import types as T
 
 from tidemark import schemas
 from tidemark.operators import cdc
-from tidemark.sources.landing import _exists, is_empty, read_cdc, read_onchain
+from tidemark.sources.landing import CORRUPT, _exists, is_empty, onchain_stream, read_cdc
 from tidemark.sources.state import STATE_BUCKETS, merge_into_table
 
 
@@ -59,26 +59,40 @@ ONCHAIN_KEY = ["hash", "_chain"]
 
 
 def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], schema: T.StructType,
-                 target: str, loaded_at: Column, first_by: Sequence[str] = ("_ingested_at",),
+                 target: str, loaded_at: Column, checkpoint: str, first_by: Sequence[str] = ("_ingested_at",),
                  rejects: str | None = None) -> int:
-    """Insert-only load of the landed on-chain feed into the Parquet table at
-    ``target``; returns the number of rows appended (observed during the write).
+    """Insert-only load of the landed on-chain files not read before into the
+    Parquet table at ``target``; returns the number of rows appended (observed
+    during the writes). ``checkpoint`` is the bookmark.
 
     A feed with no rows is skipped without a write. Only new keys are written
-    (an append: the existing table is read for its key columns only). Rows
-    without a whole key are not loaded; ``rejects`` names a Parquet folder that
-    is replaced by all such rows of the feed.
+    (an append: the existing table is read for its key columns only), so a
+    repeated micro-batch adds nothing. Malformed lines and rows without a whole
+    key are not loaded; they go to the folder ``rejects``, one folder a micro-batch.
     """
     from pyspark.sql import Observation
-    raw = read_onchain(spark, raw_root, chains, schema)
-    if is_empty(raw):
+    if not _exists(spark, raw_root):
         return 0
-    raw = raw.where(F.col("_corrupt_record").isNull()).drop("_corrupt_record") \
-        .withColumn("_loaded_at", loaded_at.cast("timestamp_ntz"))
-    if rejects:
-        cdc.without_key(raw, ONCHAIN_KEY).write.mode("overwrite").parquet(rejects)
-    existing = spark.read.parquet(target) if _exists(spark, target) else None
-    new_rows, _ = cdc.insert_only_merge(existing, raw, ONCHAIN_KEY, list(first_by))
-    obs = Observation("onchain_load")
-    new_rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
-    return int(obs.get.get("rows", 0))
+    appended = 0
+
+    def insert(raw: DataFrame, batch_id: int) -> None:
+        nonlocal appended
+        if is_empty(raw):
+            return
+        rows = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) \
+            .withColumn("_loaded_at", loaded_at.cast("timestamp_ntz"))
+        if rejects:
+            broken = raw.where(F.col(CORRUPT).isNotNull()).withColumn(cdc.REASON, F.lit("unparsable"))
+            kept = cdc.union_all([cdc.without_key(rows, ONCHAIN_KEY), broken])
+            kept.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        session = raw.sparkSession
+        existing = session.read.parquet(target) if _exists(session, target) else None
+        new_rows, _ = cdc.insert_only_merge(existing, rows, ONCHAIN_KEY, list(first_by))
+        obs = Observation(f"onchain_load_{batch_id}")
+        new_rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
+        appended += int(obs.get.get("rows", 0))
+
+    query = (onchain_stream(spark, raw_root, chains, schema).writeStream.foreachBatch(insert)
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return appended

@@ -9,21 +9,21 @@ collect of all failures.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import ALERT_MESSAGE_MAX_CHARS, ALERT_TOP_N, FAILURE_STATUSES
 
 
 def normalized(results: DataFrame) -> DataFrame:
-    """Lower-cased status ('' when missing), trimmed message cut to 500
-    characters, execution time rounded to 2 places (0 when missing)."""
+    """Lower-cased status ('' when missing), trimmed message, execution time
+    rounded to 2 places (0 when missing)."""
     cols = results.columns
     exec_time = F.col("execution_time") if "execution_time" in cols else F.lit(None).cast("double")
     return results.select(
         "unique_id",
         F.lower(F.coalesce(F.col("status"), F.lit(""))).alias("status"),
-        F.substring(F.trim(F.coalesce(F.col("message"), F.lit(""))), 1, ALERT_MESSAGE_MAX_CHARS).alias("message"),
+        F.trim(F.coalesce(F.col("message"), F.lit(""))).alias("message"),
         F.round(F.coalesce(exec_time, F.lit(0.0)), 2).alias("execution_time"),
     )
 
@@ -34,8 +34,15 @@ def status_counts(results: DataFrame) -> DataFrame:
             .orderBy("status"))
 
 
+def for_alert(message: str) -> Column:
+    """The first 500 characters of a message."""
+    return F.substring(message, 1, ALERT_MESSAGE_MAX_CHARS)
+
+
 def failures(results: DataFrame) -> DataFrame:
-    return normalized(results).where(F.col("status").isin(*FAILURE_STATUSES))
+    """Failed results with the whole ``message`` and its shortened form for an alert."""
+    return (normalized(results).where(F.col("status").isin(*FAILURE_STATUSES))
+            .withColumn("alert_message", for_alert("message")))
 
 
 def alert(results: DataFrame, invocation_id: str = "unknown", top_n: int = ALERT_TOP_N) -> DataFrame:
@@ -55,7 +62,7 @@ def alert(results: DataFrame, invocation_id: str = "unknown", top_n: int = ALERT
     top = ranked.where(F.col("_rk") <= top_n).select(
         F.lit("line").alias("kind"), F.lit(None).cast("string").alias("status"),
         F.lit(None).cast("bigint").alias("n"), "_rk",
-        F.format_string("%d) [%s] %s: %s", F.col("_rk"), F.upper("status"), F.col("unique_id"), F.col("message")).alias("line"))
+        F.format_string("%d) [%s] %s: %s", F.col("_rk"), F.upper("status"), F.col("unique_id"), for_alert("message")).alias("line"))
     # One final aggregate over at most (#statuses + N) rows.
     is_count = F.col("kind") == "count"
     counts = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(is_count, F.struct("status", "n")))),

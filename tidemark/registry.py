@@ -533,7 +533,7 @@ def q_bronze_onchain_job(spark, sf):
         write_onchain_landing(onchain_landing_frame(part, F.col("_chain"), F.col("_ingested_at"),
                                                     F.lit(run_day).cast("timestamp_ntz")), land)
         load_onchain(spark, land, ONCHAIN_CHAINS, schema, target, F.lit(loaded),
-                     first_by=ONCHAIN_FIRST)
+                     f"{base}/checkpoint", first_by=ONCHAIN_FIRST)
     return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
 
 
@@ -636,9 +636,9 @@ def q_dq_run_results_scan(spark, sf):
     from tidemark.plans.monitoring import status_counts
     from tidemark.sources.results import read_run_results, write_run_results
     from tidemark.streaming.jobs import job_folder
-    path = f"{job_folder(spark, 'run-results')}/run_results.json"
+    path = f"{job_folder(spark, 'run-results')}/run_results"
     write_run_results(_suite_results(spark, sf, write=False), path, "suite")
-    return status_counts(read_run_results(spark, path))
+    return status_counts(read_run_results(spark, path, lines=True))
 
 
 REGISTRY: dict[str, Query] = {

@@ -7,7 +7,6 @@ that decides where intermediate tables and stream checkpoints go.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -63,12 +62,10 @@ def checkpoint_root(spark: SparkSession) -> str:
 
 
 def scratch_dir(spark: SparkSession, name: str) -> str:
-    """A fresh, unique folder below the checkpoint root for one job's files."""
+    """A fresh, unique path below the checkpoint root for one job's files."""
     root = checkpoint_root(spark)
-    path = f"{root}/{name}-{uuid.uuid4().hex[:12]}"
-    if "://" not in path or path.startswith("file:"):
-        os.makedirs(path.replace("file:", ""), exist_ok=True)
-    return path
+    # Whoever writes there makes the folder: the driver need not see the file system as a local one.
+    return f"{root}/{name}-{uuid.uuid4().hex[:12]}"
 
 
 def cluster_conf(input_bytes: int, executors: int, cores_per_executor: int,

@@ -77,6 +77,15 @@ def read_onchain(spark: SparkSession, root: str, chains: Sequence[str], schema:
             .option("basePath", root).json(present))
 
 
+def onchain_stream(spark: SparkSession, root: str, chains: Sequence[str], schema: T.StructType) -> DataFrame:
+    """``read_onchain`` as a stream of the files not read before."""
+    full = T.StructType(list(_with_corrupt(schema).fields)
+                        + [T.StructField("chain", T.StringType()), T.StructField("dt", T.DateType())])
+    return (spark.readStream.schema(full).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", CORRUPT).option("basePath", root)
+            .json(f"{root.rstrip('/')}/chain={{{','.join(chains)}}}"))
+
+
 def is_empty(df: DataFrame) -> bool:
     """Emptiness guard: one row is enough to decide (no full count)."""
     return df.isEmpty()
@@ -141,13 +150,11 @@ def write_onchain_landing(df: DataFrame, root: str) -> None:
 # API response bodies
 # ---------------------------------------------------------------------------
 
-API_ITEM = T.StructType([
-    T.StructField("hash", T.StringType()),
-    T.StructField("from", T.StringType()),
-    T.StructField("to", T.StringType()),
-    T.StructField("value", T.StringType()),
-    T.StructField("timeStamp", T.StringType()),
-])
+# Fixed names: the fields of one transaction in the API's account listing, all sent as text.
+API_FIELDS = ["blockNumber", "blockHash", "timeStamp", "hash", "nonce", "transactionIndex", "from", "to", "value",
+              "gas", "gasPrice", "input", "methodId", "functionName", "contractAddress", "cumulativeGasUsed",
+              "txreceipt_status", "gasUsed", "confirmations", "isError"]
+API_ITEM = T.StructType([T.StructField(f, T.StringType()) for f in API_FIELDS])
 API_BODY = T.StructType([
     T.StructField("status", T.StringType()),
     T.StructField("message", T.StringType()),

@@ -13,12 +13,14 @@ from tidemark.schemas import CHECK_RESULT, RUN_RESULTS
 from tidemark.sources.landing import _exists
 
 
-def read_run_results(spark: SparkSession, path: str) -> DataFrame:
-    """One row per result: ``invocation_id, unique_id, status, message, execution_time``."""
+def read_run_results(spark: SparkSession, path: str, lines: bool = False) -> DataFrame:
+    """One row per result: ``invocation_id, unique_id, status, message, execution_time``.
+
+    A file holds one document, or with ``lines`` one on each line."""
     cols = "invocation_id string, " + ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in CHECK_RESULT)
     if not _exists(spark, path):
         return spark.createDataFrame([], cols)
-    raw = spark.read.schema(RUN_RESULTS).option("multiLine", True).json(path)
+    raw = spark.read.schema(RUN_RESULTS).option("multiLine", not lines).json(path)
     return raw.select(F.coalesce(F.col("metadata.invocation_id"), F.lit("unknown")).alias("invocation_id"),
                       F.explode_outer("results").alias("r")) \
               .where(F.col("r").isNotNull()).select("invocation_id", "r.*")
@@ -31,12 +33,10 @@ def results_from_checks(checks: DataFrame, invocation_id: str) -> DataFrame:
 
 
 def write_run_results(results: DataFrame, path: str, invocation_id: str) -> None:
-    """Write check results as one run-results document (``metadata`` +
-    ``results[]``). The document holds one entry per declared check -- a
-    bounded list -- so it is gathered into a single row and a single file."""
-    doc = results.agg(F.collect_list(F.struct(
-        "unique_id", "status", "message",
-        (F.col("execution_time") if "execution_time" in results.columns
-         else F.lit(None).cast("double")).alias("execution_time"))).alias("results"))
-    doc = doc.select(F.struct(F.lit(invocation_id).alias("invocation_id")).alias("metadata"), "results")
-    doc.coalesce(1).write.mode("overwrite").json(path)
+    """Write check results as run-results documents of one result a line, in as
+    many files as ``results`` has partitions; ``read_run_results(lines=True)`` reads them."""
+    spent = (F.col("execution_time") if "execution_time" in results.columns
+             else F.lit(None).cast("double")).alias("execution_time")
+    one = F.array(F.struct("unique_id", "status", "message", spent)).alias("results")
+    doc = results.select(F.struct(F.lit(invocation_id).alias("invocation_id")).alias("metadata"), one)
+    doc.write.mode("overwrite").json(path)

@@ -81,6 +81,11 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     return q.lastProgress
 
 
+def rows_so_far(query) -> int:
+    """How many rows the recent micro-batches of a running query read, for a progress line."""
+    return sum(p["numInputRows"] for p in query.recentProgress)
+
+
 def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
                image_cols: Sequence[str], sink_path: str, checkpoint: str,
                dedupe_within: str | None = None, rejects_path: str | None = None) -> dict | None:
