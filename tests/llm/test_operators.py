@@ -94,6 +94,39 @@ def test_terms_that_reveal_an_entity(spark):
     assert "zanzibar" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10]
 
 
+def terms_by_hand(texts):
+    """(row, word, start) of disclosing words by the definition, outside of mentions."""
+    words = [[(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]{3,}", t)] for t in texts]
+    spans = [pii_by_hand(t) for t in texts]
+    everywhere = Counter(w for row in words for w, _, _ in row)
+    n, out = sum(everywhere.values()), {}
+    for entity in {t[a:e].lower() for t, own in zip(texts, spans) for _, a, e in own}:
+        rows_of = [i for i, own in enumerate(spans) if any(texts[i][a:e].lower() == entity for _, a, e in own)]
+        near = Counter(w for i in rows_of for w, _, _ in words[i])
+        p = sum(near.values()) / n
+        for i in rows_of:
+            for w, a, e in words[i]:
+                share = math.log((near[w] + 0.5 * p) / ((everywhere[w] + 0.5) * p)) / -math.log(p)
+                if share >= pii.GENERALISE and not any(x < e and y > a for _, x, y in spans[i]):
+                    out[i, a, e] = max(share, out.get((i, a, e), 0))
+    return {k: "remove" if share >= pii.REMOVE else "generalise" for k, share in out.items()}
+
+
+def test_rare_entities_and_far_terms_are_judged(spark):
+    filler = "we call the office today about the other call and then they go home again to their house "
+    # An address seen once; the name stands in the heading, far from the address, and again at the end.
+    once = f"Zanzibar notes\n{filler * 2}write to x@y.org now. {filler}Yours, ZANZIBAR"
+    twice = [f"Quokka {filler}call 10.1.2.3 or k@l.de or m@n.de", f"{filler}quokka is at 10.1.2.3 with k@l.de"]
+    texts = [once, *twice, *[filler] * 200, "Zebra " + filler]
+    found = {(r["doc_id"], t["start"], t["end"]): t["action"] for r in pii.personal_data(rows(spark, enumerate(texts))).collect()
+             for t in r["terms"]}
+    assert found == terms_by_hand(texts)
+    assert {once[a:e] for i, a, e in found if i == 0} >= {"Zanzibar", "ZANZIBAR"}
+    assert {texts[i][a:e].lower() for i, a, e in found if i in (1, 2)} >= {"quokka"} and not any(i > 2 for i, _, _ in found)
+    clean = {r["doc_id"]: r["text"].lower() for r in pii.sanitise(rows(spark, enumerate(texts))).collect()}
+    assert "zanzibar" not in clean[0] and "quokka" not in clean[1] + clean[2] and "the office" in clean[0]
+
+
 # --- secrets -----------------------------------------------------------------
 
 ASSIGN = re.compile(r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")

@@ -2,14 +2,16 @@
 
 All work is done with SQL functions. The values that the patterns find are the
 protected entities. The corpus says how strongly a term reveals one: with c(t) the
-occurrences of a term among all words, c(e) the words around mentions of an
-entity and c(t, e) the occurrences of the term among those, the term discloses
+occurrences of a term among all N words, p(e) = c(e) / N the share of the words that
+stand in documents that mention an entity and c(t, e) the occurrences of the term
+among those, the term discloses
 
-    PMI(t; e) / IC(e) = log(c(t, e) * N / (c(t) * c(e))) / log(N / c(e))
+    PMI(t; e) / IC(e) = log((c(t, e) + m p(e)) / ((c(t) + m) p(e))) / log(1 / p(e))
 
-of the entity's information content; 1 means that the term occurs near the entity
-only. Near a mention, terms from a first threshold on are generalised, from a
-second one on removed.
+of the entity's information content; 1 means that the term occurs in documents of the
+entity only. The m = PRIOR words of smoothing weaken what was seen seldom, so every
+pair is judged, however rare. In documents that mention the entity all occurrences of
+a term are generalised from a first threshold on, removed from a second one on.
 """
 
 from __future__ import annotations
@@ -32,12 +34,11 @@ PATTERNS = {
     "card": "(?:\\G|(?<![0-9\\x01]))[0-9][0-9\\x01]+",
     "phone": "\\+[0-9][\\x20().0-9-]+[0-9]",
 }
-CONTEXT_CHARS = 48
 TERM = "[\\p{L}]{3,}"
 GENERALISE = 0.75
 REMOVE = 0.95
-LEAST_SUPPORT = 3
-CONTEXTS = "array<struct<entity:string,term:string,start:int,end:int>>"
+# Words of independent use that each term is credited with, so that one sight is weaker evidence than several.
+PRIOR = 0.5
 
 
 def passes_luhn(digits: Column) -> Column:
@@ -88,84 +89,68 @@ def with_base(docs: DataFrame, result_col: str, text: Column) -> DataFrame:
     return found.withColumn(result_col, F.concat(*[spans(r, k) for r, k in enumerate(KINDS[:4])])).drop(email_text, card_text, *names.values())
 
 
-def with_contexts(based: DataFrame, result_col: str, text: Column, base: Column) -> DataFrame:
-    """``based`` and ``result_col``: the terms within CONTEXT_CHARS of each mention, with their positions.
+def entity_groups(kept: DataFrame) -> DataFrame:
+    """(row, groups): the groups of entities that each row mentions; a group holds the entities of the same rows.
 
-    A window starts and ends with whole words.
+    Their words are the same, so they are counted once a group. A group's key is
+    the number of its rows and two hashes over them.
     """
-    name = fresh_name(based, "windows")
+    mentions = kept.select("row", F.explode(F.array_distinct(F.transform("base", lambda b: b["value"]))).alias("entity"))
+    keys = mentions.groupBy("entity").agg(F.struct(
+        F.count("*").alias("rows"), F.bit_xor(F.xxhash64("row")).alias("a"),
+        F.bit_xor(F.xxhash64("row", F.lit(1))).alias("b")).alias("group"))
+    return mentions.join(keys, "entity").groupBy("row").agg(F.collect_set("group").alias("groups"))
 
-    def around(s: Column, length: Column) -> Column:
-        first = F.greatest(s["start"] - CONTEXT_CHARS, F.lit(0))
-        left = F.substring(text, first + 1, s["start"] - first)
-        cut_left = F.when(first > 0, F.regexp_replace(left, "^\\p{L}+", "")).otherwise(left)
-        right = F.substring(text, s["end"] + 1, F.lit(CONTEXT_CHARS))
-        cut_right = F.when(s["end"] + CONTEXT_CHARS < length, F.regexp_replace(right, "\\p{L}+$", "")).otherwise(right)
-        return F.array(
-            F.struct(s["value"].alias("entity"), (s["start"] - F.length(cut_left)).alias("at"), cut_left.alias("text")),
-            F.struct(s["value"].alias("entity"), s["end"].alias("at"), cut_right.alias("text")))
 
-    windows = based.withColumn(name, F.when(F.size(base) > 0, F.flatten(F.transform(base, lambda s: around(s, F.length(text))))))
+def words_of(text: Column) -> Column:
+    return F.transform(F.regexp_extract_all(text, F.lit(TERM), F.lit(0)), F.lower)
 
-    def terms(w: Column) -> Column:
-        # Words and the gaps before them, as in with_matches; a window has few words.
-        words = F.regexp_extract_all(w["text"], F.lit(TERM), F.lit(0))
-        gaps = F.split(w["text"], TERM, -1)
-        start = F.struct(F.array().cast(CONTEXTS).alias("out"), w["at"].alias("at"))
 
-        def step(acc: Column, z: Column) -> Column:
-            here = acc["at"] + F.length(z["gap"])
-            return F.struct(F.concat(acc["out"], F.array(F.struct(
-                w["entity"].alias("entity"), F.lower(z["word"]).alias("term"), here.alias("start"),
-                (here + F.length(z["word"])).alias("end")))).alias("out"), (here + F.length(z["word"])).alias("at"))
+def disclosure(private: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
+    """(group, term, share): the share of an entity's information that each term of its documents discloses.
 
-        return F.aggregate(F.arrays_zip(words.alias("word"), F.slice(gaps, 1, F.size(words)).alias("gap")), start, step)["out"]
-
-    found = windows.withColumn(result_col, F.flatten(F.transform(name, terms)))
-    return found.drop(name)
-
-
-def disclosure(contexts: DataFrame, docs: DataFrame, text_col: str, least_support: int = LEAST_SUPPORT) -> DataFrame:
-    """(entity, term, share): the share of each entity's information that each term near it discloses.
-
-    ``contexts`` has a row (entity, term) for each word near a mention. All words
-    of all ``docs`` are counted. Pairs seen fewer than ``least_support`` times are
-    left out as too rare to estimate.
+    ``private`` has a row (groups, text) for each document that mentions an entity.
+    All words of all ``docs`` are counted.
     """
-    pairs = contexts.groupBy("entity", "term").agg(F.count("*").alias("both"))
-    entities = contexts.groupBy("entity").agg(F.count("*").alias("near"))
-    words = docs.select(F.explode(F.regexp_extract_all(F.lower(F.col(text_col).cast("string")), F.lit(TERM), F.lit(0))).alias("term"))
-    counts = words.groupBy("term").agg(F.count("*").alias("everywhere"))
-    counts = cut(counts)
+    pairs = (private.select("groups", F.explode(words_of(F.col("text"))).alias("term"))
+             .select("term", F.explode("groups").alias("group")).groupBy("group", "term").agg(F.count("*").alias("both")))
+    entities = (private.select("groups", F.size(words_of(F.col("text"))).alias("words"))
+                .select("words", F.explode("groups").alias("group")).groupBy("group").agg(F.sum("words").alias("near")))
+    words = docs.select(F.explode(words_of(F.col(text_col).cast("string"))).alias("term"))
+    counts = cut(words.groupBy("term").agg(F.count("*").alias("everywhere")))
     total = counts.agg(F.sum("everywhere")).first()[0] or 0
-    n = F.lit(float(total))
-    joined = pairs.filter(F.col("both") >= least_support).join(counts, "term").join(entities, "entity")
-    information = F.log(n / F.col("near"))
-    pmi = F.log(F.col("both") * n / (F.col("everywhere") * F.col("near").cast("double")))
-    return joined.filter(F.col("near") < total).select("entity", "term", F.round(pmi / information, 9).alias("share"))
+    joined = pairs.join(counts, "term").join(entities, "group").filter(F.col("near") < total)
+    p = F.col("near") / F.lit(float(total))
+    pmi = F.log((F.col("both") + PRIOR * p) / ((F.col("everywhere") + PRIOR) * p))
+    return joined.select("group", "term", F.round(pmi / -F.log(p), 9).alias("share"))
 
 
-def with_terms(docs: DataFrame, id_cols: list[str], text_col: str, generalise: float, remove: float,
-               least_support: int) -> DataFrame:
+def with_terms(docs: DataFrame, id_cols: list[str], text_col: str, generalise: float, remove: float) -> DataFrame:
     """A row (``id_cols``, row, base, terms) for each document; ``row`` numbers the rows of this result."""
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    found = with_contexts(with_base(docs, "base", text), "contexts", text, F.col("base"))
-    kept = cut(found.select(*id_cols, "base", "contexts").withColumn("row", F.monotonically_increasing_id()))
-    near = kept.filter(F.size("contexts") > 0).select("row", F.explode("contexts").alias("c")).select(
-        "row", "c.entity", "c.term", "c.start", "c.end")
-    shares = disclosure(near, docs, text_col, least_support).filter(F.col("share") >= generalise)
-    terms = (near.join(shares, ["entity", "term"]).groupBy("row", "start", "end").agg(F.max("share").alias("share"))
-             .groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
-                 "start", "end", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")))).alias("terms")))
+    own = fresh_name(docs, "private_text")
+    found = with_base(docs, "base", text).withColumn(own, F.when(F.size("base") > 0, text))
+    kept = cut(found.select(*id_cols, "base", own).withColumn("row", F.monotonically_increasing_id()))
+    mentioning = kept.filter(F.size("base") > 0).select("row", "base", F.col(own).alias("text"))
+    groups = cut(entity_groups(mentioning))
+    private = mentioning.select("row", "text").join(groups, "row")
+    shares = disclosure(private, docs, text_col).filter(F.col("share") >= generalise)
+    disclosing = (private.select("row", "groups", F.explode(F.array_distinct(words_of(F.col("text")))).alias("term"))
+                  .select("row", "term", F.explode("groups").alias("group")).join(shares, ["group", "term"])
+                  .groupBy("row", "term").agg(F.max("share").alias("share")))
+    places = with_matches(mentioning.select("row", "text"), F.col("text"), {"word": TERM}).select(
+        "row", F.explode("word").alias("w")).select("row", F.lower("w.value").alias("term"), "w.start", "w.end")
+    terms = places.join(disclosing, ["row", "term"]).groupBy("row").agg(F.sort_array(F.collect_list(F.struct(
+        "start", "end", F.when(F.col("share") >= remove, "remove").otherwise("generalise").alias("action")))).alias("terms"))
     joined = kept.join(terms, "row", "left")
-    # A term near one mention may be part of another one.
+    # A term may be part of a mention.
     free = F.filter(F.coalesce("terms", F.array().cast("array<struct<start:int,end:int,action:string>>")),
                     lambda t: ~F.exists("base", lambda b: (b["start"] < t["end"]) & (b["end"] > t["start"])))
     return joined.select(*id_cols, "row", "base", free.alias("terms"))
 
 
 def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
-                  remove: float = REMOVE, least_support: int = LEAST_SUPPORT) -> DataFrame:
+                  remove: float = REMOVE) -> DataFrame:
     """One row per document: ``id_col``, base (spans by kind, then start) and terms (start, end, action).
 
     Defined cases: null and empty texts have no spans; repeated rows count as
@@ -173,15 +158,15 @@ def personal_data(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     gives no rows; extra columns are not read.
     """
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = with_terms(own, ["id"], "text", generalise, remove, least_support)
+    found = with_terms(own, ["id"], "text", generalise, remove)
     return found.select(F.col("id").alias(id_col), "base", "terms")
 
 
 def sanitise(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", generalise: float = GENERALISE,
-             remove: float = REMOVE, least_support: int = LEAST_SUPPORT) -> DataFrame:
+             remove: float = REMOVE) -> DataFrame:
     """``id_col`` and the text with base values masked, disclosing terms generalised to [TERM] or removed."""
     own = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    found = with_terms(own, ["id", "text"], "text", generalise, remove, least_support)
+    found = with_terms(own, ["id", "text"], "text", generalise, remove)
     spans = F.sort_array(F.concat(
         F.transform("base", lambda b: F.struct(b["start"].alias("start"), b["end"].alias("end"), F.concat(
             F.lit("["), F.upper(b["kind"]), F.lit("]")).alias("mask"))),
