@@ -369,6 +369,20 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+CODES = "XK-2291 QT-8837 ZP-1045 " * 12
+
+
+@pytest.mark.parametrize("page, text", [
+    # The article marks a teaser only; the text stands in a div.
+    (f"<article><h2>Teaser</h2></article><div><p>{LONG}</p><p>So it is.</p><p>{LONG}</p></div><div>Short end</div>",
+     f"Teaser\n\n{LONG.strip()}\n\nSo it is.\n\n{LONG.strip()}"),
+    # A table of the article stays, one outside does not.
+    (f"<article><p>{LONG}</p><p>{CODES}</p></article><div>{CODES}</div>", f"{LONG.strip()}\n\n{CODES.strip()}"),
+])
+def test_article_tag_is_evidence_only(page, text):
+    assert html_text.main_text(page) == text
+
+
 def test_pages_table(spark):
     pages = spark.createDataFrame([(1, "u", "<article><p>é &amp;</p></article>"), (None, None, None)], "page_id long, url string, html string")
     assert {tuple(r) for r in html_text.extract(pages).collect()} == {(1, "u", "é &", 3), (None, None, "", 0)}

@@ -5,14 +5,17 @@ block by its length, its share of stop words and its share of link text: good,
 bad, or, where it is short, undecided. Blocks within menus, headers, footers,
 sidebars, notices, adverts, forms and comments are bad whatever their text. The
 second pass lets undecided blocks inherit the class of their nearest decided
-neighbours. Where a page marks its article, only blocks of the article take
-part, and the neighbours are those of the same article.
+neighbours. An article or main tag is evidence: within it, the edges count as good,
+short blocks need one good neighbour and a block that only its stop words speak
+against is likely good; outside it, the edge to it counts as bad. Blocks outside are
+judged like those of a page without the tag.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from itertools import groupby
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -157,13 +160,17 @@ def boilerplate(attributes: str) -> bool:
     return any(SHUT_WORDS.search(a or b or c) for a, b, c in NAMES.findall(attributes))
 
 
+def stop_share(text: str) -> float:
+    words = WORD.findall(text)
+    return sum(w.lower() in STOP_WORDS for w in words) / len(words) if words else 0.0
+
+
 def first_pass(text: str, link_chars: int) -> str:
     """good, bad, near (likely good) or short, by length, stop words and links."""
     chars = len(text) - text.count(" ")
     if link_chars > MOST_LINKS * chars:
         return "bad"
-    words = WORD.findall(text)
-    stops = sum(w.lower() in STOP_WORDS for w in words) / len(words) if words else 0.0
+    stops = stop_share(text)
     if len(text) < SHORT_CHARS:
         return "short"
     if stops >= HIGH_STOPS:
@@ -201,25 +208,22 @@ def main_text(page: str | None) -> str:
     """The main text: blocks joined by two line feeds, white space within a block as one space."""
     found = [(b, " ".join("".join(b.pieces).split())) for b in blocks_of(page or "")]
     found = [(b, t) for b, t in found if t]
-    marked = any(b.article and not b.shut for b, _ in found)
-    keep: list[str] = []
-    groups: dict[int, list[tuple[Block, str]]] = {}
-    for b, t in found:
-        if not marked or b.article:
-            groups.setdefault(b.article, []).append((b, t))
-    for number, own in sorted(groups.items()):
-        if marked:
-            # The page itself decides in its article: only links and boilerplate containers are bad.
-            own = [(b, t) for b, t in own if not b.shut]
-        classes = ["bad" if b.shut else first_pass(t, b.link_chars) for b, t in own]
-        if marked:
-            classes = ["near" if c == "bad" and b.link_chars <= MOST_LINKS * len(t) else c for c, (b, t) in zip(classes, own)]
-        # Without a good block, likely good ones decide, and without those the short ones.
-        for weaker in ("near", "short"):
-            if "good" not in classes:
-                classes = ["good" if c == weaker else c for c in classes]
-        keep += [t for (_, t), stays in zip(own, second_pass(classes, marked)) if stays]
-    return "\n\n".join(keep)
+    classes = ["bad" if b.shut else first_pass(t, b.link_chars) for b, t in found]
+    # Tables and lists of an article have few stop words: there these alone do not reject a block.
+    classes = ["near" if c == "bad" and b.article and not b.shut and b.link_chars <= MOST_LINKS * len(t) else c
+               for c, (b, t) in zip(classes, found)]
+    # Without a good block, likely good ones decide, and without those the short ones; those of an article first.
+    for weaker in ("near", "short"):
+        if "good" not in classes:
+            inside = any(c == weaker and b.article for c, (b, _) in zip(classes, found))
+            classes = ["good" if c == weaker and (b.article or not inside) else c for c, (b, _) in zip(classes, found)]
+    stays = [False] * len(found)
+    for number, run in groupby(range(len(found)), key=lambda i: found[i][0].article):
+        # A boilerplate container within an article is no neighbour to its text.
+        own = [i for i in run if not (number and found[i][0].shut)]
+        for i, keep in zip(own, second_pass([classes[i] for i in own], number > 0)):
+            stays[i] = keep
+    return "\n\n".join(t for (_, t), keep in zip(found, stays) if keep)
 
 
 def main_text_column(page: Column) -> Column:
