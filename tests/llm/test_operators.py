@@ -369,6 +369,7 @@ def test_main_text(page, text):
     assert html_text.main_text(page) == text
 
 
+RUSSIAN = "Вчера вечером жители города собрались возле старой площади обсудить новые правила движения транспорта. " * 3
 CODES = "XK-2291 QT-8837 ZP-1045 " * 12
 
 
@@ -378,6 +379,9 @@ CODES = "XK-2291 QT-8837 ZP-1045 " * 12
      f"Teaser\n\n{LONG.strip()}\n\nSo it is.\n\n{LONG.strip()}"),
     # A table of the article stays, one outside does not.
     (f"<article><p>{LONG}</p><p>{CODES}</p></article><div>{CODES}</div>", f"{LONG.strip()}\n\n{CODES.strip()}"),
+    # A page in a language without known stop words, with and without an article.
+    (f"<div>Меню</div><div><p>{RUSSIAN}</p></div><div><a href=x>{RUSSIAN}</a></div>", RUSSIAN.strip()),
+    (f"<div>Меню</div><article><p>{RUSSIAN}</p></article>", RUSSIAN.strip()),
 ])
 def test_article_tag_is_evidence_only(page, text):
     assert html_text.main_text(page) == text

@@ -9,6 +9,7 @@ neighbours. An article or main tag is evidence: within it, the edges count as go
 short blocks need one good neighbour and a block that only its stop words speak
 against is likely good; outside it, the edge to it counts as bad. Blocks outside are
 judged like those of a page without the tag.
+On a page where no block has the stop words of a known language, length and links decide.
 """
 
 from __future__ import annotations
@@ -165,12 +166,12 @@ def stop_share(text: str) -> float:
     return sum(w.lower() in STOP_WORDS for w in words) / len(words) if words else 0.0
 
 
-def first_pass(text: str, link_chars: int) -> str:
-    """good, bad, near (likely good) or short, by length, stop words and links."""
+def first_pass(text: str, link_chars: int, known: bool = True) -> str:
+    """good, bad, near (likely good) or short, by length, links and, in a ``known`` language, stop words."""
     chars = len(text) - text.count(" ")
     if link_chars > MOST_LINKS * chars:
         return "bad"
-    stops = stop_share(text)
+    stops = stop_share(text) if known else HIGH_STOPS
     if len(text) < SHORT_CHARS:
         return "short"
     if stops >= HIGH_STOPS:
@@ -208,7 +209,8 @@ def main_text(page: str | None) -> str:
     """The main text: blocks joined by two line feeds, white space within a block as one space."""
     found = [(b, " ".join("".join(b.pieces).split())) for b in blocks_of(page or "")]
     found = [(b, t) for b, t in found if t]
-    classes = ["bad" if b.shut else first_pass(t, b.link_chars) for b, t in found]
+    known = any(not b.shut and len(t) >= SHORT_CHARS and stop_share(t) >= LOW_STOPS for b, t in found)
+    classes = ["bad" if b.shut else first_pass(t, b.link_chars, known) for b, t in found]
     # Tables and lists of an article have few stop words: there these alone do not reject a block.
     classes = ["near" if c == "bad" and b.article and not b.shut and b.link_chars <= MOST_LINKS * len(t) else c
                for c, (b, t) in zip(classes, found)]
