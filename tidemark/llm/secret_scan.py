@@ -118,10 +118,15 @@ def with_secrets(docs: DataFrame, result_col: str, text_col: str = "text", windo
     based = found.withColumn(base_name, F.sort_array(F.concat(*[
         as_spans(good[kind], kind, rank) for rank, kind in enumerate(KINDS[:3])])))
     limits = {**THRESHOLDS, **(thresholds or {})}
-    # A candidate that touches a base span is a part of it and adds nothing.
+    # A candidate that base spans cover wholly adds nothing; another one is tested whole.
+    def covered(m: Column, base: Column) -> Column:
+        reach = F.aggregate(base, m["start"], lambda at, s: F.when(
+            (s["start"] <= at) & (s["end"] > at), s["end"]).otherwise(at))
+        return reach >= m["end"]
+
     outside = based.withColumn(names["candidate"], F.filter(F.transform(F.arrays_zip(F.col(names["candidate"]).alias("m"), F.array_repeat(
         F.col(base_name), F.size(names["candidate"])).alias("base")), lambda z: F.struct(
-            z["m"].alias("m"), F.exists(z["base"], lambda s: (s["start"] < z["m"]["end"]) & (s["end"] > z["m"]["start"])).alias("inside"))),
+            z["m"].alias("m"), covered(z["m"], z["base"]).alias("inside"))),
         lambda z: ~z["inside"]))
     added = F.transform(F.filter(names["candidate"], lambda z: is_high_entropy(z["m"]["value"], window, limits, allowed)),
                         lambda z: z["m"])
