@@ -366,6 +366,16 @@ def test_licenses(spark):
     assert licenses.license_hits(docs, none).filter("whole IS NOT NULL OR size(lines) > 0").count() == 0
 
 
+def test_copyright_statements(spark):
+    def commented(mark, text):
+        return "\n".join(f"{mark} {line}" for line in text.split("\n"))
+    texts = [commented(m, "Copyright (c) 2020 X. All rights reserved.\n\n" + licenses.MIT_TERMS) for m in ("#", "//", " *")]
+    texts += ["Copyright 2020 J. Doe. Released under the MIT License.",
+              "Copyright (c) 2020 X " + " ".join(licenses.MIT_TERMS.split()), "# Copyright 2020 X", "Copyright 2020 X Inc."]
+    found = licenses.license_hits(rows(spark, enumerate(texts)), licenses.known_licenses(spark)).collect()
+    assert [r["whole"] for r in sorted(found, key=lambda r: r["doc_id"])] == ["MIT"] * 5 + [None] * 2
+
+
 LONG = "The cat and the dog are in the house, and it is a long story about them that goes on for a while. " * 3
 
 

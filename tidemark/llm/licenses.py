@@ -1,6 +1,6 @@
 """License scans by canonical digests.
 
-A text is brought to a canonical form - lower case, no copyright lines, one
+A text is brought to a canonical form - lower case, no copyright statements, one
 spelling for equivalent ones, no punctuation, single spaces - and its SHA-256 is
 joined to the digests of known license texts in the same form. The texts held
 against them are each whole document and each of its lines: a one-line notice
@@ -19,7 +19,11 @@ SPELLINGS = (
     ("acknowledgement", "acknowledgment"), ("organisation", "organization"), ("merchantibility", "merchantability"),
     ("version ", "v"), ("https://", "http://"), ("&", " and "),
 )
-COPYRIGHT_LINE = "(?m)^[ \\t]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*$"
+# A copyright statement, also after comment marks, up to licence wording on the same line or the end of the line.
+# Sentences about copyright holders, notices or law are part of a licence.
+COPYRIGHT = ("(?m)^[ \\t#/*;%!>|<-]*(?:copyright(?![ \\t]+(?:holders?|owners?|notices?|statements?|laws?|licen[sc]e|interest|and|or)\\b)"
+             "|\\(c\\)|©|all rights reserved)[^\\n]*?(?:(?<=[ \\t])(?=(?:released under|licen[sc]ed under|distributed under|"
+             "this work is licen[sc]ed|permission is hereby|permission to use|redistribution and use)\\b)|$)")
 # Runs of punctuation and spaces within a line; a single space stays as it is.
 SIGNS = "\\x00-\\x09\\x0B-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©“”‘’«»–—"
 PUNCTUATION = f"\\x20*[{SIGNS}][{SIGNS}\\x20]*|\\x20{{2,}}"
@@ -64,7 +68,7 @@ CATALOGUE = (
 
 def canonical_lines(text: Column) -> Column:
     """The canonical form of each line, still with line feeds between them."""
-    out = F.regexp_replace(F.lower(text), COPYRIGHT_LINE, "")
+    out = F.regexp_replace(F.lower(text), COPYRIGHT, "")
     for other, one in SPELLINGS:
         out = F.replace(out, F.lit(other), F.lit(one))
     return F.regexp_replace(out, PUNCTUATION, " ")
@@ -88,7 +92,7 @@ def license_hits(docs: DataFrame, catalogue: DataFrame, id_col: str = "doc_id",
                  license_col: str = "license", license_text_col: str = "text") -> DataFrame:
     """One row per document: ``id_col``, whole (license of the entire text, or null), lines (sorted licenses of its lines).
 
-    Defined cases: null and empty texts, and texts of copyright lines or
+    Defined cases: null and empty texts, and texts of copyright statements or
     punctuation only, match nothing; where several licenses have one
     canonical text the first by name counts; a repeated row gives a repeated
     row; an empty catalogue matches nothing; extra columns are not read.
