@@ -376,6 +376,18 @@ def test_copyright_statements(spark):
     assert [r["whole"] for r in sorted(found, key=lambda r: r["doc_id"])] == ["MIT"] * 5 + [None] * 2
 
 
+def test_entire_license_texts_and_notices(spark, tmp_dir):
+    texts = {p.stem: p.read_text() for p in licenses.TEXTS.glob("*.txt")}
+    assert {"Apache-2.0", "BSD-2-Clause", "BSD-3-Clause", "GPL-2.0-only", "GPL-3.0-only", "LGPL-3.0-only", "MPL-2.0", "CC0-1.0"} <= set(texts)
+    docs = [("Apache-2.0", texts["Apache-2.0"].split("APPENDIX")[0])]
+    docs += [(name, "\n".join("# " + line for line in t.split("\n"))) for name, t in texts.items()]
+    docs += [("GPL-3.0-or-later", "This program is licensed under the GPL version 3 or later."),
+             ("Apache-2.0", "Licensed under the Apache License 2.0")]
+    spark.createDataFrame([(i, t) for i, (_, t) in enumerate(docs)], "doc_id long, text string").write.parquet(f"{tmp_dir}/documents.parquet")
+    found = {r["doc_id"]: r["whole"] for r in queries.op6_licenses(spark, tmp_dir).collect()}
+    assert [found[i] for i in range(len(docs))] == [name for name, _ in docs]
+
+
 LONG = "The cat and the dog are in the house, and it is a long story about them that goes on for a while. " * 3
 
 

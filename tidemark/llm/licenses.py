@@ -9,6 +9,9 @@ is a license text of its own.
 
 from __future__ import annotations
 
+import re
+from pathlib import Path
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -23,7 +26,7 @@ SPELLINGS = (
 # Sentences about copyright holders, notices or law are part of a licence.
 COPYRIGHT = ("(?m)^[ \\t#/*;%!>|<-]*(?:copyright(?![ \\t]+(?:holders?|owners?|notices?|statements?|laws?|licen[sc]e|interest|and|or)\\b)"
              "|\\(c\\)|©|all rights reserved)[^\\n]*?(?:(?<=[ \\t])(?=(?:released under|licen[sc]ed under|distributed under|"
-             "this work is licen[sc]ed|permission is hereby|permission to use|redistribution and use)\\b)|$)")
+             "this work is licen[sc]ed|permission is hereby|permission to use|redistribution and use|everyone is permitted)\\b)|$)")
 # Runs of punctuation and spaces within a line; a single space stays as it is.
 SIGNS = "\\x00-\\x09\\x0B-\\x1F\\x21-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F©“”‘’«»–—"
 PUNCTUATION = f"\\x20*[{SIGNS}][{SIGNS}\\x20]*|\\x20{{2,}}"
@@ -64,6 +67,40 @@ CATALOGUE = (
     ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."), ("CC-BY-ND-4.0", "Licensed under CC BY-ND 4.0."),
     ("CC0-1.0", "Released under CC0 1.0."),
 )
+# Entire texts, one file a license; the files' names are the licenses'.
+TEXTS = Path(__file__).with_name("license_texts")
+END_OF_TERMS = "END OF TERMS AND CONDITIONS"
+TITLES = {"BSD-2-Clause": "BSD 2-Clause License", "BSD-3-Clause": "BSD 3-Clause License"}
+VERBS = ("Licensed under", "Released under", "Distributed under", "This work is licensed under", "This program is licensed under",
+         "This software is licensed under", "This project is licensed under")
+NAMES = (
+    ("MIT", ("the MIT License",)), ("ISC", ("the ISC License",)),
+    ("Apache-2.0", ("the Apache License, Version 2.0", "the Apache License 2.0", "Apache License 2.0", "Apache-2.0")),
+    *((f"{short}-{v}.0-{kind}", tuple(f"{name}{end}" for name in (
+        f"the GNU {long}General Public License, version {v}", f"the GNU {long}General Public License v{v}.0", f"the {short} version {v}", f"{short} v{v}"))
+       ) for short, long, versions in (("GPL", "", (2, 3)), ("LGPL", "Lesser ", (3,)), ("AGPL", "Affero ", (3,)))
+      for v in versions for kind, ends in (("only", ("", " only")), ("or-later", (" or later", " or any later version"))) for end in ends),
+    ("MPL-2.0", ("the Mozilla Public License, version 2.0", "the Mozilla Public License 2.0", "MPL 2.0")),
+    ("BSD-3-Clause", ("the 3-Clause BSD License", "the BSD 3-Clause License")),
+    ("BSD-2-Clause", ("the 2-Clause BSD License", "the BSD 2-Clause License")),
+    *((f"CC-{k}-4.0", (f"CC {k} 4.0", f"CC-{k}-4.0")) for k in ("BY", "BY-SA", "BY-NC", "BY-ND")), ("CC0-1.0", ("CC0 1.0", "CC0-1.0")),
+)
+
+
+def entire_licenses() -> list[tuple[str, str]]:
+    """The whole texts of license_texts, with and without what follows their terms, and notices in usual forms."""
+    out = []
+    for path in sorted(TEXTS.glob("*.txt")):
+        name, text = path.stem, path.read_text(encoding="utf-8")
+        forms = [text]
+        if END_OF_TERMS in text:
+            terms = text[:text.index(END_OF_TERMS)]
+            forms += [terms, terms + END_OF_TERMS]
+        if name in TITLES:  # with bullets instead of numbers, and with the title
+            forms += [re.sub(r"(?m)^\d\. ", "* ", text)]
+            forms += [f"{TITLES[name]}\n\n{f}" for f in forms]
+        out += [(name, f) for f in forms]
+    return out + [(name, f"{verb} {form}.") for name, forms in NAMES for form in forms for verb in VERBS]
 
 
 def canonical_lines(text: Column) -> Column:

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, html_text, langid, licenses, pieces, pii, secret_scan, toxicity
-from tidemark.llm.common import is_held_out, table
+from tidemark.llm.common import is_held_out, stored, table
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.topk import top_k
@@ -67,7 +67,8 @@ def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = licenses.license_hits(table(spark, sf_dir, "documents"), licenses.known_licenses(spark))
+    known = stored(licenses.known_licenses(spark, [*licenses.CATALOGUE, *licenses.entire_licenses()]), "licenses")
+    found = licenses.license_hits(table(spark, sf_dir, "documents"), known)
     return found.select("doc_id", "whole", F.array_join("lines", ",").alias("lines"), F.size("lines").cast("long").alias("n_licenses"))
 
 
