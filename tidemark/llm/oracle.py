@@ -124,9 +124,76 @@ SELECT doc_id, coalesce(n_assign, 0) AS n_assign, coalesce(n_access, 0) AS n_acc
 FROM doc LEFT JOIN said USING (r)
 """
 
+OP11 = """
+WITH v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label, row_number() OVER () AS r,
+    list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+pair AS (
+  SELECT a.r, a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same,
+    CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
+  FROM v a JOIN v b ON a.vec_id % 100 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q)),
+pos AS (
+  SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS nth FROM pair WHERE same
+  QUALIFY nth <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+  p.score AS positive_score, n.score AS negative_score
+FROM pos p JOIN pair n ON n.r = p.r AND NOT n.same AND 30 * p.score <= 100 * n.score AND 100 * n.score <= 90 * p.score
+WINDOW w AS (PARTITION BY p.r, p.nth ORDER BY n.score DESC, n.vec_id)
+QUALIFY row_number() OVER w <= 10
+"""
+
+OP12 = r"""
+SELECT doc_id, first_value(doc_id) OVER same AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+  row_number() OVER same = 1 AS kept, sha256(t) AS text_sha256
+FROM (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+WINDOW same AS (PARTITION BY t ORDER BY doc_id NULLS LAST)
+"""
+
+OP13 = r"""
+WITH own AS (
+  SELECT conv_id AS c, coalesce(role, '') AS role, coalesce(text, '') AS text,
+    row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST,
+      sha256(concat(length(coalesce(role, '')), ':', coalesce(role, ''), coalesce(text, '')))) AS pos
+  FROM conversations WHERE conv_id IS NOT NULL),
+conv AS (
+  SELECT c, c - c % 20 AS base, xor(list_reduce([4294967295::BIGINT] || list_transform(string_split(c::VARCHAR, ''), lambda x: ascii(x)::BIGINT),
+    lambda a, b: list_reduce([xor(a, b)] || range(8), lambda v, i: xor(v >> 1, (v & 1) * 3988292384))), 4294967295) % 4 AS h
+  FROM (SELECT DISTINCT c FROM own)),
+sized AS (
+  SELECT conv.*, least(h, (SELECT count(*) FROM own WHERE own.c = conv.base)) AS k FROM conv),
+re AS (
+  SELECT s.c, o.pos AS d, o.role, o.text FROM sized s JOIN own o ON o.c = s.base AND o.pos <= s.k
+  UNION ALL
+  SELECT s.c, o.pos - s.h + s.k, o.role, o.text FROM sized s JOIN own o ON o.c = s.c AND o.pos > s.h),
+seq AS (
+  SELECT c, coalesce(list([role, text] ORDER BY d) FILTER (d IS NOT NULL), []) AS s
+  FROM conv LEFT JOIN re USING (c) GROUP BY c),
+pre AS (SELECT c, s, d, s[1:d] AS p FROM (SELECT c, s, unnest(range(0, len(s) + 1)) AS d FROM seq)),
+node AS (
+  SELECT p, any_value(d) AS d, min(c) AS conv_id, count(*) AS n_convs,
+    coalesce(string_agg(c::VARCHAR, ',' ORDER BY c) FILTER (len(s) = d), '') AS ends,
+    (count(*) - 1) * coalesce(len(regexp_extract_all(p[len(p)][2], '[^\x20\x09-\x0D]+')), 0) AS save
+  FROM pre GROUP BY p),
+up AS (
+  SELECT n.*, m.conv_id AS parent_conv_id FROM node n LEFT JOIN node m ON n.d > 0 AND m.p = n.p[1:n.d - 1]),
+kid AS (SELECT p[1:d - 1] AS p, count(*) AS n_children FROM node WHERE d > 0 GROUP BY 1),
+below AS (
+  SELECT n.p[1:a.i] AS p, sum(CASE WHEN kid.p IS NULL THEN 1 ELSE 0 END) AS n_leaves, sum(save) AS saved_tokens
+  FROM node n LEFT JOIN kid ON kid.p = n.p, LATERAL (SELECT unnest(range(0, n.d + 1)) AS i) a GROUP BY 1)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, coalesce(n_children, 0) AS n_children, CAST(n_leaves AS BIGINT) AS n_leaves,
+  CAST(saved_tokens AS BIGINT) AS saved_tokens, sha256(ends) AS ends_sha256
+FROM up LEFT JOIN kid USING (p) JOIN below USING (p)
+"""
+
 ORACLE: dict[str, str] = {
     "op5_decontamination": OP5,
     "op6_licenses": OP6,
     "op7_topk": OP7,
     "op8_secrets": OP8,
+    "op11_hard_negatives": OP11,
+    "op12_exact_dedup": OP12,
+    "op13_prefix_trie": OP13,
 }

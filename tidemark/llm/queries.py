@@ -9,6 +9,9 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import decontam, html_text, langid, licenses, pieces, pii, secret_scan, toxicity
 from tidemark.llm.common import is_held_out, stored, table
+from tidemark.llm.content_sort import exact_groups
+from tidemark.llm.hard_negatives import hard_negatives
+from tidemark.llm.prefix_trie import prefix_trie
 from tidemark.llm.regex_spans import digest_text
 from tidemark.llm.simhash import simhash_components
 from tidemark.llm.topk import top_k
@@ -76,6 +79,20 @@ def op9_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_text.extract(table(spark, sf_dir, "pages"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives(vectors.withColumn("label", label), F.col("vec_id") % 100 == 0)
+
+
+def op12_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exact_groups(table(spark, sf_dir, "documents"))
+
+
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie(table(spark, sf_dir, "conversations")).drop("enter", "exit")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_main_text": op9_main_text,
     "op6_licenses": op6_licenses,
@@ -87,4 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_decontamination": op5_decontamination,
     "op2_toxicity": op2_toxicity,
     "op4_simhash": op4_simhash,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_exact_dedup": op12_exact_dedup,
+    "op13_prefix_trie": op13_prefix_trie,
 }
