@@ -302,16 +302,17 @@ def chains_of_range(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
 def ranked(chains: DataFrame) -> DataFrame:
     """head and, as ``WEIGHTS``, the sums from the chain's start to the end of the list: pointer jumping.
 
-    Every round doubles what a chain has summed and where it points to; chains that
-    have reached the end take no more part in the joins.
+    Every round doubles what a chain has summed and where it points to. Chains that
+    have reached the end look for numbers that no arc has, each for its own.
     """
     chains = cut(chains.select("head", "after", *WEIGHTS))
     for _ in range(max(0, chains.count() - 1).bit_length()):
-        onward = chains.select(F.col("head").alias("after"), F.col("after").alias("further"),
+        onward = chains.select(F.col("head").alias("sought"), F.col("after").alias("further"),
                                *[F.col(c).alias(f"{c}_on") for c in WEIGHTS])
-        moved = chains.filter("after IS NOT NULL").join(onward, "after").select(
-            "head", F.col("further").alias("after"), *[(F.col(c) + F.col(f"{c}_on")).alias(c) for c in WEIGHTS])
-        chains = cut(chains.filter("after IS NULL").unionByName(moved))
+        seeking = chains.withColumn("sought", F.coalesce("after", -1 - F.col("head")))
+        chains = cut(seeking.join(onward, "sought", "left").select(
+            "head", F.col("further").alias("after"),
+            *[(F.col(c) + F.coalesce(f"{c}_on", F.lit(0))).alias(c) for c in WEIGHTS]))
     return chains
 
 
