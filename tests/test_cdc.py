@@ -112,27 +112,6 @@ def test_decode_skips_tombstones_and_flags_garbage(spark):
     assert bad.count() == 1
 
 
-@pytest.mark.parametrize("buckets", [4, 7, 16])
-def test_merge_into_state_table_shuffles_only_the_batch(spark, buckets):
-    from tidemark.sources.catalog import content_table, job_database
-    from tidemark.sources.state import merge_into_table
-    name = f"{job_database(spark, 'cdc_test')}.users_state"
-    merge_into_table(spark, name, rows(spark, LOG[:10]), "user_id", buckets)
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        merged = cdc.merge_changes(spark.table(content_table(spark, name)), rows(spark, LOG[10:]), "user_id")
-        plan = merged._jdf.queryExecution().executedPlan().toString()
-        # One exchange brings the batch to the buckets of the state, at most one more compacts it first.
-        side = plan[:plan.index("FileScan")].splitlines()[-8:] if "FileScan" in plan else plan.splitlines()
-        assert "FileScan" in plan and not any("Exchange" in line for line in side), plan
-    finally:
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    state = merge_into_table(spark, name, rows(spark, LOG[10:]), "user_id", buckets)
-    assert live(state) == live(cdc.merge_changes(None, rows(spark, LOG), "user_id"))
-    files = {f.rsplit("_", 1)[1].split(".")[0] for f in spark.table(content_table(spark, name)).inputFiles()}
-    assert len(files) == len(spark.table(content_table(spark, name)).inputFiles())  # one file a bucket
-
-
 def test_change_without_commit_time_is_quarantined(spark):
     env = spark.createDataFrame([("c", 1, (1, "a")), ("u", None, (1, "b"))],
                                 "op string, ts_ms long, after struct<user_id:long,state:string>")

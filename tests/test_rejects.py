@@ -63,19 +63,6 @@ def test_checks_of_an_empty_model_count_no_failures(spark):
     assert [(r["failures"], r["status"]) for r in out] == [(0, "pass")] * 2
 
 
-def test_bucket_count_is_part_of_the_state(spark):
-    import pytest
-
-    from tidemark.sources.catalog import job_database
-    from tidemark.sources.state import merge_into_table
-    rows = spark.createDataFrame([(1, "a", "c", 1, 1)], "user_id long, kind string, _cdc_op string, _cdc_ts_ms long, _cdc_lsn long")
-    name = f"{job_database(spark, 'rejects')}.state"
-    assert merge_into_table(spark, name, rows, "user_id", 4).count() == 1
-    assert merge_into_table(spark, name, rows, "user_id", 4).count() == 1
-    with pytest.raises(ValueError, match="has 4 buckets"):
-        merge_into_table(spark, name, rows, "user_id", 8)
-
-
 def test_bad_changes_of_an_entity_are_kept_apart_and_a_late_one_is_read(spark, tmp_dir):
     """A change committed early that arrives after later ones is read by the run after it landed."""
     from tidemark.plans.bronze import merge_entity

@@ -37,7 +37,7 @@ def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_sch
     """
     valid, rejected = cdc.split_valid(read_cdc(spark, raw_root, table, envelope_schema), key)
     rows = cdc.flatten(valid, key, image_cols)
-    return merge_into_table(spark, name, rows, key, buckets), rejected
+    return merge_into_table(spark, name, rows, key, buckets, only_newer=True), rejected
 
 
 def merge_entity(spark: SparkSession, raw_root: str, entity: str, database: str, folder: str,

@@ -10,6 +10,7 @@ of the rows either way.
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -33,7 +34,7 @@ def job_database(spark: SparkSession, name: str) -> str:
     return database
 
 
-def _properties(spark: SparkSession, name: str) -> dict[str, str]:
+def properties(spark: SparkSession, name: str) -> dict[str, str]:
     if not spark.catalog.tableExists(name):
         return {}
     return {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {name}").collect()}
@@ -41,7 +42,20 @@ def _properties(spark: SparkSession, name: str) -> dict[str, str]:
 
 def content_table(spark: SparkSession, name: str) -> str | None:
     """The table that the published ``name`` shows; None if nothing was published."""
-    return _properties(spark, name).get(CONTENT)
+    return properties(spark, name).get(CONTENT)
+
+
+def drop_unused(spark: SparkSession, name: str, used: set[str]) -> None:
+    """Drop the tables written for the published ``name`` that nothing shows any more, those of a
+    run that died before it took the name included. Such tables are called ``<name>__<8 hex digits>``,
+    with ``base_`` or ``changes_`` before the digits for a state."""
+    database, _, short = name.rpartition(".")
+    written = re.compile(re.escape(short.lower()) + r"__((base|changes)_)?[0-9a-f]{8}")
+    places = {t.rpartition(".")[2].lower() for t in used}
+    for row in spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{short}__*'").collect():
+        table = row["tableName"].lower()
+        if written.fullmatch(table) and table not in places:
+            spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{table}")
 
 
 def table_exists(spark: SparkSession, name: str) -> bool:
@@ -64,7 +78,7 @@ def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: list[st
     """
     obs = Observation(f"publish_{uuid.uuid4().hex[:8]}")
     observed = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    old = _properties(spark, name)
+    old = properties(spark, name)
     content = f"{name}__{uuid.uuid4().hex[:8]}"
     writer = observed.write.format("parquet")
     if partition_by:
@@ -72,11 +86,10 @@ def publish(spark: SparkSession, df: DataFrame, name: str, partition_by: list[st
     if cluster_by:
         writer = writer.bucketBy(cluster_by[0], *cluster_by[1]).sortBy(*cluster_by[1])
     writer.saveAsTable(content)
-    # The content before stays for readers that still use it; the one before that goes.
     spark.sql(f"CREATE OR REPLACE VIEW {name} TBLPROPERTIES ('{CONTENT}' = '{content}', "
               f"'{BEFORE}' = '{old.get(CONTENT, '')}') AS SELECT * FROM {content}")
-    if old.get(BEFORE):
-        spark.sql(f"DROP TABLE IF EXISTS {old[BEFORE]}")
+    # The content before stays for readers that still use it; the one before that goes.
+    drop_unused(spark, name, {content, old.get(CONTENT, "")})
     return int(obs.get.get("rows", 0))
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark.operators import cdc
 from tidemark.session import checkpoint_root
 from tidemark.sources.landing import cdc_path
-from tidemark.sources.state import STATE_BUCKETS, merge_into_table
+from tidemark.sources.state import STATE_BUCKETS, merge_into_table, read_state, state_tables
 
 
 def change_stream(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType,
@@ -129,7 +129,7 @@ def upsert_job(spark: SparkSession, root: str, table: str, envelope_schema: T.St
     q = (stream.writeStream.foreachBatch(upsert_batch(name, key, image_cols, buckets, types, rejects_path))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name) if spark.catalog.tableExists(name) else None
+    return read_state(spark, name) if state_tables(spark, name) else None
 
 
 def job_folder(spark: SparkSession, name: str) -> str:
