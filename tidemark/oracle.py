@@ -449,6 +449,37 @@ ORACLE["onchain_land_and_scan"] = ONCHAIN
 ORACLE["stream_land_topics"] = ORACLE["cdc_flatten"]
 ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
 ORACLE["bronze_onchain_job"] = INSERT_ONLY
+ORACLE["state_merge_on_read"] = COMPACT_PUBLISHED
+ORACLE["state_rebucket"] = COMPACT_PUBLISHED
+ORACLE["metric_filled_by_day_chain"] = f"""
+with a as (select date_trunc('day', submitted_at) as metric_time__day, chain, {M_VOLUME}, {M_COUNT}, {M_AVG}
+           from ({FACT}) f group by all),
+days as (select chain, unnest(generate_series(min(metric_time__day)::timestamp, max(metric_time__day)::timestamp,
+                                              interval 1 day)) as metric_time__day from a group by chain)
+select d.metric_time__day, d.chain, coalesce(a.transaction_volume_usd, cast(0 as decimal(38,2))) as transaction_volume_usd,
+       coalesce(a.transaction_count, 0) as transaction_count, a.avg_confirmation_seconds
+from days d left join a on a.metric_time__day = d.metric_time__day and a.chain is not distinct from d.chain
+"""
+ORACLE["metric_filled_by_month"] = f"""
+with a as (select date_trunc('month', submitted_at) as metric_time__month, status, direction, {M_COUNT}, {M_RATE}
+           from ({FACT}) f group by all),
+months as (select unnest(generate_series((select min(metric_time__month)::timestamp from a),
+                                         (select max(metric_time__month)::timestamp from a), interval 1 month)) as metric_time__month),
+kinds as (select distinct status, direction from a)
+select m.metric_time__month, k.status, k.direction, coalesce(a.transaction_count, 0) as transaction_count, a.confirmed_transaction_rate
+from months m cross join kinds k left join a on a.metric_time__month = m.metric_time__month
+     and a.status is not distinct from k.status and a.direction is not distinct from k.direction
+"""
+ORACLE["metric_across_models"] = f"""
+with u as (select * from ({DIM_USERS}) d),
+t as (select signup_channel as c, date_trunc('month', submitted_at)::timestamp as m, {M_COUNT}
+      from ({FACT}) f left join u on f.user_id = u.user_id group by all),
+w as (select signup_channel as c, date_trunc('month', user_created_at)::timestamp as m,
+             cast(sum(wallet_count) as bigint) as wallet_count from u group by all)
+select coalesce(t.c, w.c) as user_id__signup_channel, coalesce(t.m, w.m) as metric_time__month,
+       t.transaction_count, w.wallet_count
+from t full outer join w on t.c is not distinct from w.c and t.m is not distinct from w.m
+"""
 ORACLE["bronze_cdc_job_bucketed"] = COMPACT_PUBLISHED
 ORACLE["stream_upsert_bucketed"] = COMPACT_PUBLISHED
 ORACLE["seed_build"] = FACT

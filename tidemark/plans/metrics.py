@@ -71,6 +71,7 @@ class Metric:
     filter: Equals | None = None
     numerator: str | None = None
     denominator: str | None = None
+    model: str = "transactions"
 
 
 # ---------------------------------------------------------------------------
@@ -108,15 +109,21 @@ METRICS = {m.name: m for m in [
     Metric("avg_confirmation_seconds", "simple", measure="confirmation_seconds"),
 ]}
 
+MODELS = {m.name: m for m in (TRANSACTIONS, USERS)}
+# What a request may name: the five metrics, and the users model's measure as a metric.
+KNOWN = {**METRICS, "wallet_count": Metric("wallet_count", "simple", measure="wallet_count", model="users")}
+
 
 @dataclass
 class MetricRequest:
+    """``fill`` and ``fill_span`` ask for a calendar without gaps, see ``fill_calendar``."""
     metrics: Sequence[str]
     group_by: Sequence[str] = ()
     grain: str = "day"
     where: Column | None = None
     fill: object | None = None
     spine: DataFrame | None = None
+    fill_span: str = "group"
 
 
 def _components(model: SemanticModel, metric: Metric) -> dict[str, tuple[str, Column]]:
@@ -143,7 +150,9 @@ def _finish(model: SemanticModel, metric: Metric) -> Column:
     m = model.measure(metric.measure)
     if m.agg == "sum":
         total = F.col(f"_s_{metric.name}")
-        return total.cast("decimal(38,2)") if m.expr == "usd_value_at_tx" else total
+        if m.expr == "usd_value_at_tx":
+            return total.cast("decimal(38,2)")
+        return total.cast("bigint") if m.expr == "wallet_count" else total
     if m.agg == "count":
         return F.coalesce(F.col(f"_c_{metric.name}"), F.lit(0).cast("bigint"))
     return (F.col(f"_s_{metric.name}").cast("double")
@@ -155,12 +164,12 @@ def _plan(model: SemanticModel, names: Sequence[str]) -> tuple[dict[str, tuple[s
     comps: dict[str, tuple[str, Column]] = {}
     finals: list[Column] = []
     for name in names:
-        metric = METRICS[name]
+        metric = KNOWN[name]
         if metric.kind == "simple":
             comps.update(_components(model, metric))
             finals.append(_finish(model, metric).alias(name))
         elif metric.kind == "ratio":
-            num, den = METRICS[metric.numerator], METRICS[metric.denominator]
+            num, den = KNOWN[metric.numerator], KNOWN[metric.denominator]
             comps.update(_components(model, num))
             comps.update(_components(model, den))
             # Both sides come from the same pass: a group with no numerator rows
@@ -191,8 +200,8 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
     the dimension, and a user holding a third of the rows is one row per map
     task after the partial aggregation.
 
-    ``fill`` (with a ``metric_time`` grouping) joins the day spine so that days
-    without rows appear, with simple sum/count metrics set to ``fill``.
+    ``fill`` (with a ``metric_time`` grouping at any grain, other groups as well)
+    adds the periods without rows, see ``fill_calendar``.
     """
     model = TRANSACTIONS
     fact_groups: list[Column] = []
@@ -245,26 +254,124 @@ def metric_query(fact: DataFrame, req: MetricRequest, users_dim: DataFrame | Non
         out = base.groupBy(*fact_groups).agg(*_first_phase(comps))
     out = out.select(*names, *finals)
     if req.fill is not None:
-        if time_name is None or req.grain != "day":
-            raise ValueError("fill needs a metric_time grouping at day grain")
-        spine = req.spine
-        if spine is None:
-            from tidemark.plans.marts import time_spine_over
-            spine = time_spine_over(fact, model.default_time_dimension)
-        days = spine.select(F.col("date_day").cast("timestamp_ntz").alias(time_name))
-        # Both sides hold at most one row per day of the range.
-        out = days.join(out, time_name, "left")
-        fills = []
-        for n in req.metrics:
-            m = METRICS[n]
-            if m.kind == "simple" and model.measure(m.measure).agg in ("sum", "count"):
-                fills.append(F.coalesce(F.col(n), F.lit(req.fill).cast(out.schema[n].dataType)).alias(n))
-            else:
-                fills.append(F.col(n))
-        out = out.select(*names, *fills)
+        if time_name is None:
+            raise ValueError("fill needs a metric_time grouping")
+        out = fill_calendar(out, req, time_name, [n for n in names if n != time_name]).select(*names, *req.metrics)
+    return out
+
+
+GRAIN_STEP = {"day": "interval 1 day", "week": "interval 7 days", "month": "interval 1 month",
+              "quarter": "interval 3 months", "year": "interval 1 year"}
+
+
+def fill_calendar(rows: DataFrame, req: MetricRequest, time_name: str, groups: Sequence[str]) -> DataFrame:
+    """Every period of the calendar once for every value of the other groups.
+
+    The calendar of a group value runs from its own first to its own last period
+    (``fill_span='group'``), or over all periods of the request, or of ``req.spine`` if
+    given (``'all'``). It is one ``sequence`` a group value, exploded: as many rows as
+    the answer has, whatever the facts. Simple sum and count metrics of added periods
+    are ``req.fill``; other metrics stay NULL. A NULL period keeps its row.
+    """
+    if req.fill_span not in ("group", "all"):
+        raise ValueError("fill_span must be 'group' or 'all'")
+    low, high = F.min(time_name).alias("_low"), F.max(time_name).alias("_high")
+    if req.spine is not None:
+        bounds = req.spine.select(trunc_ntz(req.grain, "date_day").alias(time_name))
+    else:
+        bounds = rows
+    if req.spine is not None or req.fill_span == "all":
+        whole = bounds.agg(F.struct(low, high).alias("b")).scalar()
+        spans = (rows.select(*groups).distinct() if groups else bounds.sparkSession.range(1).select()).select(
+            *groups, whole.alias("_b")).select(*groups, "_b._low", "_b._high")
+    else:
+        spans = rows.groupBy(*groups).agg(low, high)
+    periods = F.explode(F.sequence("_low", "_high", F.expr(GRAIN_STEP[req.grain])))
+    calendar = spans.select(*[F.col(g).alias(f"_g_{g}") for g in groups], periods.alias("_g__time"))
+    on = F.col("_g__time").eqNullSafe(F.col(time_name))
+    for g in groups:
+        on = on & F.col(f"_g_{g}").eqNullSafe(F.col(g))
+    joined = calendar.join(rows, on, "full_outer")
+    # Rows without a period have no place in the calendar and come through on their own.
+    in_calendar = F.col("_g__time").isNotNull()
+    keys = [F.when(in_calendar, F.col(f"_g_{g}")).otherwise(F.col(g)).alias(g) for g in groups]
+    fills = []
+    for n in req.metrics:
+        m = KNOWN[n]
+        additive = m.kind == "simple" and MODELS[m.model].measure(m.measure).agg in ("sum", "count")
+        filled = F.coalesce(F.col(n), F.lit(req.fill).cast(rows.schema[n].dataType))
+        fills.append((F.when(in_calendar, filled).otherwise(F.col(n)) if additive else F.col(n)).alias(n))
+    return joined.select(*keys, F.when(in_calendar, F.col("_g__time")).otherwise(F.col(time_name)).alias(time_name), *fills)
+
+
+def metrics_across(fact: DataFrame, users_dim: DataFrame, req: MetricRequest) -> DataFrame:
+    """Metrics of several models in one answer, such as ``transaction_count`` and
+    ``wallet_count`` by ``user_id__signup_channel`` and month.
+
+    Each model is first aggregated to the groups on its own (transactions by their
+    submission, users by their creation, at the same grain); only those aggregates,
+    one row a group each, are joined, full outer and null-safe, so a group that one
+    model lacks is kept. Groups must exist in every model asked: ``metric_time`` and
+    ``user_id__<dimension>``. ``where`` would name one model's columns and is refused.
+    """
+    if req.where is not None:
+        raise ValueError("a filter belongs to one model: filter its table instead")
+    by_model: dict[str, list[str]] = {}
+    for n in req.metrics:
+        by_model.setdefault(KNOWN[n].model, []).append(n)
+    names = [f"metric_time__{req.grain}" if g == "metric_time" else g for g in req.group_by]
+    answers = []
+    for model, metrics in by_model.items():
+        if model == TRANSACTIONS.name:
+            shared = [g for g in req.group_by if g != "metric_time" and not g.startswith("user_id__")]
+            if shared and len(by_model) > 1:
+                raise KeyError(f"not a group of every model: {shared}")
+            answers.append(metric_query(fact, MetricRequest(metrics, req.group_by, req.grain), users_dim))
+        else:
+            answers.append(_users_metrics(users_dim, metrics, req))
+    out = answers[0]
+    for other in answers[1:]:
+        if not names:
+            # Each side is one row.
+            out = out.select("*", *[other.select(c).scalar().alias(c) for c in other.columns])
+            continue
+        marked = other.select(*[F.col(n).alias(f"_o_{n}") for n in names], F.lit(True).alias("_there"),
+                              *[c for c in other.columns if c not in names])
+        on = F.lit(True)
+        for n in names:
+            on = on & F.col(n).eqNullSafe(F.col(f"_o_{n}"))
+        here = out.withColumn("_here", F.lit(True))
+        both = here.join(marked, on, "full_outer")
+        out = both.select(*[F.when(F.col("_here"), F.col(n)).otherwise(F.col(f"_o_{n}")).alias(n) for n in names],
+                          *[c for c in out.columns if c not in names], *[c for c in other.columns if c not in names])
+    out = out.select(*names, *req.metrics)
+    if req.fill is not None:
+        if "metric_time" not in req.group_by:
+            raise ValueError("fill needs a metric_time grouping")
+        time_name = f"metric_time__{req.grain}"
+        out = fill_calendar(out, req, time_name, [n for n in names if n != time_name]).select(*names, *req.metrics)
     return out
 
 
+def _users_metrics(users_dim: DataFrame, metrics: Sequence[str], req: MetricRequest) -> DataFrame:
+    """Metrics of the users model by its own dimensions and time."""
+    if req.grain not in GRAINS:
+        raise ValueError(f"grain must be one of {GRAINS}")
+    groups, names = [], []
+    for g in req.group_by:
+        dim = g.removeprefix("user_id__")
+        if g == "metric_time":
+            names.append(f"metric_time__{req.grain}")
+            groups.append(trunc_ntz(req.grain, USERS.default_time_dimension).alias(names[-1]))
+        elif g.startswith("user_id__") and USERS.has_dimension(dim):
+            names.append(g)
+            groups.append((trunc_ntz("day", dim) if dim == USERS.default_time_dimension else F.col(dim)).alias(g))
+        else:
+            raise KeyError(f"not a group of every model: {g!r}")
+    comps, finals = _plan(USERS, metrics)
+    return users_dim.groupBy(*groups).agg(*_first_phase(comps)).select(*names, *finals)
+
+
 def users_measure(users_dim: DataFrame, group_by: Sequence[str] = (), grain: str | None = None) -> DataFrame:
     """The users model's ``wallet_count`` sum measure (declared, unused by any metric).
 

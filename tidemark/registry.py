@@ -74,9 +74,9 @@ def q_time_spine(spark, sf):
 # metrics
 # ---------------------------------------------------------------------------
 
-def _metrics(spark, sf, group_by, metrics=None, grain="day", fill=None, users=False):
+def _metrics(spark, sf, group_by, metrics=None, grain="day", fill=None, users=False, fill_span="group"):
     d = Domain(spark, sf)
-    req = MetricRequest(metrics=metrics or ALL_METRICS, group_by=group_by, grain=grain, fill=fill)
+    req = MetricRequest(metrics=metrics or ALL_METRICS, group_by=group_by, grain=grain, fill=fill, fill_span=fill_span)
     return _round_avg(metric_query(d.fact_transactions, req, d.dim_users if users else None))
 
 
@@ -128,6 +128,26 @@ def q_metric_filled_by_day(spark, sf):
                                                   "avg_confirmation_seconds"], "day", fill=0)
 
 
+def q_metric_filled_by_day_chain(spark, sf):
+    """Every day between a chain's first and last, once a chain."""
+    return _metrics(spark, sf, ["metric_time", "chain"], ["transaction_volume_usd", "transaction_count",
+                                                          "avg_confirmation_seconds"], "day", fill=0)
+
+
+def q_metric_filled_by_month(spark, sf):
+    """Every month of the whole answer for every status and direction."""
+    return _metrics(spark, sf, ["metric_time", "status", "direction"], ["transaction_count", "confirmed_transaction_rate"],
+                    "month", fill=0, fill_span="all")
+
+
+def q_metric_across_models(spark, sf):
+    """Transactions and wallets by the users' sign-up channel and month, each counted in its own model."""
+    from tidemark.plans.metrics import metrics_across
+    d = Domain(spark, sf)
+    request = MetricRequest(["transaction_count", "wallet_count"], ["user_id__signup_channel", "metric_time"], "month")
+    return metrics_across(d.fact_transactions, d.dim_users, request)
+
+
 # ---------------------------------------------------------------------------
 # CDC
 # ---------------------------------------------------------------------------
@@ -514,6 +534,38 @@ def q_bronze_cdc_job(spark, sf):
     return _state_cols(cdc.published(spark.table(name)))
 
 
+def _in_four_batches(rows: DataFrame) -> list[DataFrame]:
+    """The changes in batches that cut through the keys' histories, the newest quarter first."""
+    quarter = F.pmod(F.hash(USER_KEY, cdc.LSN), F.lit(4))
+    split_ms = epoch_ms(F.lit(fixtures.CDC_SPLIT).cast("timestamp_ntz"))
+    late = F.col(cdc.TS) >= split_ms
+    return [rows.where(late & (quarter < 2)), rows.where(~late), rows.where(late & (quarter == 2)),
+            rows.where(late & (quarter == 3))]
+
+
+def q_state_merge_on_read(spark, sf):
+    """Four runs append their compacted batch, one of them twice; the view shows one compaction of all."""
+    from tidemark.sources import state
+    from tidemark.sources.catalog import job_database
+    name = f"{job_database(spark, 'state')}.users"
+    batches = _in_four_batches(_change_rows(Tables(spark, sf)))
+    for batch in [*batches, batches[1]]:
+        state.merge_into_table(spark, name, batch, USER_KEY)
+    return _state_cols(cdc.published(state.read_state(spark, name)))
+
+
+def q_state_rebucket(spark, sf):
+    """Runs before and after the changes are folded into a base of another number of buckets."""
+    from tidemark.sources import state
+    from tidemark.sources.catalog import job_database
+    name = f"{job_database(spark, 'state')}.users"
+    for n, batch in enumerate(_in_four_batches(_change_rows(Tables(spark, sf)))):
+        state.merge_into_table(spark, name, batch, USER_KEY, buckets=4)
+        if n in (1, 2):
+            state.fold(spark, name, buckets=8 * n)
+    return _state_cols(cdc.published(state.read_state(spark, name)))
+
+
 def q_bronze_onchain_job(spark, sf):
     """Land the feed in two runs (before / from 1998), load after each; the
     table holds every key once, first seen wins."""
@@ -660,6 +712,9 @@ REGISTRY: dict[str, Query] = {
     "metric_wallets_by_signup_month": q_metric_wallets_by_signup_month,
     "metric_by_user_created_day": q_metric_by_user_created_day,
     "metric_filled_by_day": q_metric_filled_by_day,
+    "metric_filled_by_day_chain": q_metric_filled_by_day_chain,
+    "metric_filled_by_month": q_metric_filled_by_month,
+    "metric_across_models": q_metric_across_models,
     "cdc_flatten": q_cdc_flatten,
     "cdc_quarantine": q_cdc_quarantine,
     "cdc_compact": q_cdc_compact,
@@ -693,6 +748,8 @@ REGISTRY: dict[str, Query] = {
     "stream_land_topics": q_stream_land_topics,
     "bronze_cdc_job": q_bronze_cdc_job,
     "bronze_onchain_job": q_bronze_onchain_job,
+    "state_merge_on_read": q_state_merge_on_read,
+    "state_rebucket": q_state_rebucket,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
     "bronze_entities": q_bronze_entities,
