@@ -38,6 +38,17 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, updated_
     without a shuffle; only open versions meet the source, in a one-to-one
     full outer join on the key.
     """
+    if history is None:
+        return fold_into_open(None, current, key, updated_at, hard_deletes, as_of, tiebreak)
+    closed = history.where(F.col(VALID_TO).isNotNull())
+    open_ = history.where(F.col(VALID_TO).isNull())
+    return closed.unionByName(fold_into_open(open_, current, key, updated_at, hard_deletes, as_of, tiebreak))
+
+
+def fold_into_open(open_: DataFrame | None, current: DataFrame, key: str, updated_at: str = "updated_at",
+                   hard_deletes: str = "ignore", as_of: Column | None = None, tiebreak: Sequence[str] = ()) -> DataFrame:
+    """What a snapshot run makes of the open versions (None before any run): those it closes,
+    those that stay open and those it opens. The rules are those of ``scd2_apply``."""
     if hard_deletes not in ("ignore", "invalidate"):
         raise ValueError("hard_deletes must be 'ignore' or 'invalidate'")
     if hard_deletes == "invalidate" and as_of is None:
@@ -46,13 +57,11 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, updated_
     cols = cur.columns
     new_versions = cur.select(*cols, F.col(updated_at).alias(VALID_FROM),
                               F.lit(None).cast(cur.schema[updated_at].dataType).alias(VALID_TO))
-    if history is None:
+    if open_ is None:
         return new_versions
-    closed = history.where(F.col(VALID_TO).isNotNull())
-    open_ = history.where(F.col(VALID_TO).isNull())
-    h = open_.select(F.struct(*[F.col(c) for c in history.columns]).alias("h"), F.col(key).alias("_hk"))
-    s = new_versions.select(F.struct(*[F.col(c) for c in history.columns]).alias("s"),
-                            F.col(key).alias("_sk"))
+    columns = open_.columns
+    h = open_.select(F.struct(*[F.col(c) for c in columns]).alias("h"), F.col(key).alias("_hk"))
+    s = new_versions.select(F.struct(*[F.col(c) for c in columns]).alias("s"), F.col(key).alias("_sk"))
     j = h.join(s, F.col("_hk") == F.col("_sk"), "full_outer")
     newer = F.col(f"s.{updated_at}") > F.col(f"h.{VALID_FROM}")
     close_at = F.when(F.col("_sk").isNotNull() & newer, F.col(f"s.{updated_at}"))
@@ -62,7 +71,7 @@ def scd2_apply(history: DataFrame | None, current: DataFrame, key: str, updated_
     opened = F.when(F.col("_sk").isNotNull() & (F.col("_hk").isNull() | newer), F.col("s"))
     out = (j.select(F.explode(F.array(kept, opened)).alias("v"))
            .where(F.col("v").isNotNull()).select("v.*"))
-    return closed.unionByName(out.select(*history.columns))
+    return out.select(*columns)
 
 
 def scd2_from_log(log: DataFrame, key: str, updated_at: str, columns: Sequence[str],

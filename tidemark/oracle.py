@@ -7,6 +7,8 @@ The fixture mappings are shared text fragments below.
 
 from __future__ import annotations
 
+from tidemark.plans.fixtures import SNAPSHOT_RUNS
+
 # --- domain mapping (FIXTURES.md section 3) --------------------------------
 BRONZE_USERS = """
 select c.c_custkey as user_id, concat('  ', c.c_name, '@Example.com ') as email,
@@ -449,6 +451,23 @@ ORACLE["onchain_land_and_scan"] = ONCHAIN
 ORACLE["stream_land_topics"] = ORACLE["cdc_flatten"]
 ORACLE["bronze_cdc_job"] = COMPACT_PUBLISHED
 ORACLE["bronze_onchain_job"] = INSERT_ONLY
+SNAPSHOTS = " union all ".join(
+    f"""select {n} as run, user_id, any_value(state) as state, any_value(updated_at) as updated_at
+from (select s.*, max(updated_at) over (partition by user_id) as newest from ({USER_STATES}) s
+      where updated_at < timestamp '{until}') x where updated_at = newest group by user_id"""
+    for n, until in enumerate(SNAPSHOT_RUNS, 1))
+ORACLE["scd2_stored_runs"] = f"""
+with seen as (select user_id, arg_min(state, run) as state, updated_at from ({SNAPSHOTS}) s group by user_id, updated_at)
+select *, updated_at as valid_from, lead(updated_at) over (partition by user_id order by updated_at) as valid_to from seen
+"""
+# Users who are gone by the second run are closed at its instant.
+ORACLE["scd2_hard_deletes"] = f"""
+with seen as (select user_id, arg_min(state, run) as state, updated_at from ({SNAPSHOTS}) s
+              where run = 1 or user_id % 7 <> 0 group by user_id, updated_at)
+select *, updated_at as valid_from,
+       case when user_id % 7 = 0 then timestamp '{SNAPSHOT_RUNS[1]}'
+            else lead(updated_at) over (partition by user_id order by updated_at) end as valid_to from seen
+"""
 ORACLE["state_merge_on_read"] = COMPACT_PUBLISHED
 ORACLE["state_rebucket"] = COMPACT_PUBLISHED
 ORACLE["metric_filled_by_day_chain"] = f"""

@@ -27,6 +27,8 @@ EPOCH_FALLBACK = "1995-01-01 00:00:00"
 # Change-log labels of event types: error deletes, signup creates, rest update.
 EVENT_OP = {"error": "d", "signup": "c"}
 CDC_SPLIT = "2024-01-15 00:00:00"
+# Until when each snapshot run of a stored history sees the events; the last one sees all.
+SNAPSHOT_RUNS = ["2024-01-10 00:00:00", "2024-01-20 00:00:00", "2100-01-01 00:00:00"]
 PAGE_SIZE = 200
 ONCHAIN_SPLIT = "1998-01-01 00:00:00"
 

@@ -261,6 +261,31 @@ def q_scd2_apply(spark, sf):
     return hist
 
 
+def _stored_runs(spark, sf, hard_deletes: str = "ignore") -> DataFrame:
+    """Three snapshot runs over a stored history, the last one twice: before each of the two
+    instants, then all; with ``invalidate`` every 7th user is gone from the source from the second run on."""
+    from tidemark.sources.catalog import job_database
+    from tidemark.sources.history import snapshot_run
+    name = f"{job_database(spark, 'history')}.users"
+    states = _user_states(Tables(spark, sf)).drop("event_id")
+    gone = F.col(USER_KEY) % 7 == 0
+    for n, until in enumerate([*fixtures.SNAPSHOT_RUNS, fixtures.SNAPSHOT_RUNS[-1]]):
+        at = F.lit(until).cast("timestamp_ntz")
+        current = states.where(F.col("updated_at") < at)
+        if n > 0 and hard_deletes == "invalidate":
+            current = current.where(~gone)
+        out = snapshot_run(spark, name, current, USER_KEY, "updated_at", hard_deletes, at)
+    return out
+
+
+def q_scd2_stored_runs(spark, sf):
+    return _stored_runs(spark, sf)
+
+
+def q_scd2_hard_deletes(spark, sf):
+    return _stored_runs(spark, sf, "invalidate")
+
+
 def _history(t: Tables, log: DataFrame | None = None) -> DataFrame:
     log = _user_states(t) if log is None else log
     return scd2_from_log(log, USER_KEY, "updated_at", ["user_id", "state", "updated_at"], tiebreak=["event_id"])
@@ -723,6 +748,8 @@ REGISTRY: dict[str, Query] = {
     "union_sources": q_union_sources,
     "top_n_per_key": q_top_n_per_key,
     "scd2_apply": q_scd2_apply,
+    "scd2_stored_runs": q_scd2_stored_runs,
+    "scd2_hard_deletes": q_scd2_hard_deletes,
     "scd2_from_log": q_scd2_from_log,
     "dim_users_history": q_dim_users_history,
     "dim_users_history_two_runs": q_dim_users_history_two_runs,
