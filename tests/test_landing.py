@@ -116,14 +116,14 @@ def test_onchain_load_skips_empty_feed_and_appends_new_keys(spark, tmp_dir):
                            T.StructField("_ingested_at", T.TimestampNTZType())])
     land, target = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "onchain")
     loaded = F.lit("2024-01-01 00:00:00")
-    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark") == 0
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 0
     assert not os.path.exists(target)
     rows = spark.createDataFrame([("h1", dt.datetime(2024, 1, 2)), ("h1", dt.datetime(2024, 1, 1)),
                                   ("h2", dt.datetime(2024, 1, 1))], "hash string, ts timestamp_ntz")
     frame = landing.onchain_landing_frame(rows, F.lit("ethereum"), F.col("ts"), F.lit("2024-01-01")).drop("ts")
     landing.write_onchain_landing(frame, land)
-    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark") == 2
-    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark") == 0  # replay: nothing new
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 2
+    assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 0  # replay: nothing new
     kept = {r.hash: r._ingested_at for r in spark.read.parquet(target).collect()}
     assert kept == {"h1": dt.datetime(2024, 1, 1), "h2": dt.datetime(2024, 1, 1)}  # first seen wins
 
@@ -136,7 +136,7 @@ def test_onchain_load_reads_new_files_only_and_keeps_rows_without_key(spark, tmp
     def arrive(*lines):
         rows = spark.createDataFrame([(line, "base", "2024-01-01") for line in lines], "value string, chain string, dt string")
         rows.write.mode("append").partitionBy("chain", "dt").text(land)
-        return load_onchain(spark, land, ["base", "bsc"], schema, target, F.lit("2024-01-02 00:00:00"), mark, rejects=rejects)
+        return load_onchain(spark, land, ["base", "bsc"], schema, target, F.lit("2024-01-02 00:00:00"), mark, rejects)
 
     a, b = '{"hash": "a", "_chain": "base", "value": "1"}', '{"hash": "b", "_chain": "base", "value": "2"}'
     assert arrive(a, '{"hash": "a"}', '{"hash": ') == 1
@@ -149,28 +149,33 @@ def test_onchain_load_reads_new_files_only_and_keeps_rows_without_key(spark, tmp
 def test_long_running_landing_stops_and_resumes_without_loss_or_repeat(spark, tmp_dir):
     import time
 
-    from tidemark.streaming.jobs import rows_so_far
-    source, land, ckpt = (f"{tmp_dir}/{x}" for x in ("in", "land", "ckpt"))
+    from tidemark.streaming.progress import batches, counted, progress_log
+    source, land, ckpt, log_path = (f"{tmp_dir}/{x}" for x in ("in", "land", "ckpt", "log"))
 
     def arrive(first):
         spark.range(first, first + 10).select("id", F.lit("users").alias("table"), F.lit("2024-01-01").alias("dt")) \
             .coalesce(1).write.mode("append").json(source)
 
+    def rows_so_far():
+        import os
+        return batches(spark, log_path).agg(F.sum("total")).first()[0] or 0 if os.path.exists(log_path) else 0
+
     def consume(total):
-        stream = spark.readStream.schema("id long, table string, dt string").json(source)
-        query = landing.stream_landing(stream, land, ckpt, processing_time="200 milliseconds")
-        for _ in range(300):
-            if rows_so_far(query) >= total:
-                break
-            time.sleep(0.1)
-        seen = rows_so_far(query)
-        query.processAllAvailable()
-        query.stop()
-        return seen
+        stream = counted(spark.readStream.schema("id long, table string, dt string").json(source), F.lit(False))
+        with progress_log(spark, log_path) as log:
+            query = landing.stream_landing(stream, land, ckpt, processing_time="200 milliseconds")
+            for _ in range(300):
+                if rows_so_far() >= total:
+                    break
+                time.sleep(0.1)
+            query.processAllAvailable()
+            log.wait_for(query)
+            query.stop()
+        return rows_so_far()
 
     arrive(0)
     assert consume(10) == 10
     arrive(10)
     arrive(20)
-    assert consume(20) == 20  # the restarted query reads what came since
+    assert consume(30) == 30  # the restarted query reads what came since
     assert sorted(r["id"] for r in spark.read.json(land).collect()) == list(range(30))

@@ -22,7 +22,7 @@ def test_append_job_writes_every_bad_change_to_the_reject_sink(spark, tmp_dir):
     sink, rejects = f"{tmp_dir}/sink", f"{tmp_dir}/rejects"
     for _ in range(2):  # a second run adds nothing
         jobs.append_job(spark, f"{tmp_dir}/land", "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink,
-                        f"{tmp_dir}/checkpoint", rejects_path=rejects)
+                        f"{tmp_dir}/checkpoint", rejects)
     assert [r["user_id"] for r in spark.read.parquet(sink).collect()] == [1]
     reasons = sorted(r[cdc.REASON] for r in spark.read.parquet(rejects).collect())
     assert reasons == ["missing_after", "missing_key", "missing_op", "missing_ts", "unparsable", "unsupported_op"]

@@ -17,7 +17,7 @@ def test_append_rerun_adds_nothing_and_new_files_add_rows(spark, tmp_dir):
     root, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "sink", "ckpt"))
     first = landed.where(F.col("dt") < "2024-01-15")
     landing.write_landing(first, root)
-    run = lambda: jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt)
+    run = lambda: jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt, f"{tmp_dir}/rejects")
     run()
     n1 = spark.read.parquet(sink).count()
     assert n1 == first.where("op <> 'd'").count()
@@ -33,13 +33,13 @@ def test_upsert_equals_batch_compaction_and_survives_replay(spark, tmp_dir):
     landed = R._landed_events(Tables(spark, SF))
     root, ckpt, name = f"{tmp_dir}/land", f"{tmp_dir}/ckpt", f"{job_database(spark, 'upsert')}.users"
     landing.write_landing(landed, root)
-    state = jobs.upsert_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, name, ckpt)
+    state = jobs.upsert_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, name, ckpt, f"{tmp_dir}/rejects")
     got = sorted(tuple(r) for r in cdc.published(state).select("user_id", cdc.TS).collect())
     want = sorted(tuple(r) for r in R.q_cdc_compact(spark, SF).select("user_id", cdc.TS).collect())
     assert got == want
     # replaying batch 0 merges the same changes again, which changes nothing
     batch = landing.read_cdc(spark, root, "users", R._envelope_schema())
-    jobs.upsert_batch(name, "user_id", R.CHANGE_COLS)(batch, 0)
+    jobs.upsert_batch(name, "user_id", R.CHANGE_COLS, f"{tmp_dir}/rejects")(batch, 0)
     again = sorted(tuple(r) for r in cdc.published(spark.table(name)).select("user_id", cdc.TS).collect())
     assert again == want
 
@@ -50,7 +50,7 @@ def test_append_drops_redelivered_events_within_watermark(spark, tmp_dir):
     landing.write_landing(landed, root)
     landing.write_landing(landed, root)  # the same events delivered twice (at-least-once)
     jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt,
-                    dedupe_within="1 hour")
+                    f"{tmp_dir}/rejects", dedupe_within="1 hour")
     assert spark.read.parquet(sink).count() == landed.where("op <> 'd'").count()
 
 
@@ -63,6 +63,8 @@ def test_append_reports_progress(spark, tmp_dir):
     landed = R._landed_events(Tables(spark, SF)).where(F.col("dt") < "2024-01-03")
     root, sink, ckpt = (os.path.join(tmp_dir, x) for x in ("land", "sink", "ckpt"))
     landing.write_landing(landed, root)
-    progress = jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt)
-    assert progress is not None and progress["sink"]["description"].startswith("FileSink")
+    progress = jobs.append_job(spark, root, "users", R._envelope_schema(), "user_id", R.CHANGE_COLS, sink, ckpt,
+                               f"{tmp_dir}/rejects")
+    # Each landed line is read once, although rows and rejects are written apart.
+    assert progress is not None and progress["numInputRows"] == landed.count()
     assert spark.read.parquet(sink).count() == landed.where("op <> 'd'").count()

@@ -43,13 +43,22 @@ def decode_topic_records(records: DataFrame, envelope_schema: T.StructType) -> D
     envelope and are quarantined by ``split_valid``.
     """
     r = records.where(F.col("value").isNotNull())
+    cols = [c for c in records.columns if c != "value"]
+    return r.select(*cols, entity_of("topic").alias("table"), parsed_envelope(F.col("value"), envelope_schema).alias("_env"),
+                    F.col("value").alias("_raw"))
+
+
+def entity_of(topic: str) -> Column:
+    """The entity of a topic: its last dot-separated part."""
+    return F.element_at(F.split(F.col(topic), r"\."), -1)
+
+
+def parsed_envelope(value: Column, envelope_schema: T.StructType) -> Column:
+    """The envelope in a JSON text; NULL if it is none."""
     # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
     tagged = T.StructType([*envelope_schema.fields, T.StructField("_bad", T.StringType())])
-    whole = F.from_json(F.col("value"), tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    parsed = F.when(whole["_bad"].isNull(), whole.dropFields("_bad"))
-    cols = [c for c in records.columns if c != "value"]
-    return r.select(*cols, F.element_at(F.split(F.col("topic"), r"\."), -1).alias("table"),
-                    parsed.alias("_env"), F.col("value").alias("_raw"))
+    whole = F.from_json(value, tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    return F.when(whole["_bad"].isNull(), whole.dropFields("_bad"))
 
 
 def reject_reason(key: str, op: Column, before: Column, after: Column) -> Column:
@@ -61,13 +70,12 @@ def reject_reason(key: str, op: Column, before: Column, after: Column) -> Column
             .when(key_of.isNull(), F.lit("missing_key")))
 
 
-def split_valid(envelopes: DataFrame, key: str, env: str | None = None) -> tuple[DataFrame, DataFrame]:
-    """(valid, quarantine): quarantine rows carry ``_reject_reason``.
+def tag_rejects(envelopes: DataFrame, key: str, env: str | None = None) -> DataFrame:
+    """``envelopes`` with ``_reject_reason``, NULL for a change that can be applied.
 
     Accepted ops are c, u, r and d; NULL or other ops, a non-delete without an
     after-image, a change without a key and one without ``ts_ms`` are rejected
-    rather than silently dropped, turned into all-NULL rows or ordered
-    arbitrarily. Both outputs come from one scan.
+    rather than silently dropped, turned into all-NULL rows or ordered arbitrarily.
     """
     p = f"{env}." if env else ""
     op, before, after = F.col(f"{p}op"), F.col(f"{p}before"), F.col(f"{p}after")
@@ -80,7 +88,15 @@ def split_valid(envelopes: DataFrame, key: str, env: str | None = None) -> tuple
         reason = F.when(F.col("_corrupt_record").isNotNull(), F.lit("unparsable")).otherwise(reason)
     if env:
         reason = F.when(F.col(env).isNull(), F.lit("unparsable")).otherwise(reason)
-    tagged = envelopes.withColumn(REASON, reason)
+    return envelopes.withColumn(REASON, reason)
+
+
+def split_valid(envelopes: DataFrame, key: str, env: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """(valid, quarantine) by ``tag_rejects``; quarantine rows carry ``_reject_reason``.
+
+    Each output evaluates ``envelopes``: a job that writes both keeps them first.
+    """
+    tagged = tag_rejects(envelopes, key, env)
     return tagged.where(F.col(REASON).isNull()).drop(REASON), tagged.where(F.col(REASON).isNotNull())
 
 

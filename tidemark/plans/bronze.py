@@ -28,16 +28,19 @@ from tidemark.sources.state import STATE_BUCKETS, merge_into_table
 
 
 def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
-                    key: str, image_cols: Sequence[str], name: str,
-                    buckets: int = STATE_BUCKETS) -> tuple[DataFrame, DataFrame]:
-    """One run of the CDC merge for ``table``; returns (state, quarantine).
+                    key: str, image_cols: Sequence[str], name: str, rejects_path: str,
+                    buckets: int = STATE_BUCKETS) -> DataFrame:
+    """One run of the CDC merge for ``table``; returns the state.
 
-    The state keeps delete markers; ``cdc.published(state)`` is the table
-    readers see. The rejected envelopes come back for a quarantine sink.
+    The state keeps delete markers; ``cdc.published(state)`` is the table readers
+    see. As every run reads all landed envelopes, ``rejects_path`` holds what the
+    last one could not apply, and only changes that the state lacks are written.
     """
+    from tidemark.streaming.jobs import as_text
     valid, rejected = cdc.split_valid(read_cdc(spark, raw_root, table, envelope_schema), key)
+    as_text(rejected).write.mode("overwrite").parquet(rejects_path)
     rows = cdc.flatten(valid, key, image_cols)
-    return merge_into_table(spark, name, rows, key, buckets, only_newer=True), rejected
+    return merge_into_table(spark, name, rows, key, buckets, only_newer=True)
 
 
 def merge_entity(spark: SparkSession, raw_root: str, entity: str, database: str, folder: str,
@@ -52,15 +55,15 @@ def merge_entity(spark: SparkSession, raw_root: str, entity: str, database: str,
     types = {f.name: f.dataType for f in declared.fields if f.dataType != image[f.name].dataType}
     return upsert_job(spark, raw_root, entity, schemas.envelope(image), schemas.PRIMARY_KEYS[entity],
                       image.fieldNames(), f"{database}.{schemas.BRONZE_NAMES[entity]}", f"{folder}/checkpoint",
-                      buckets, types, f"{folder}/rejects")
+                      f"{folder}/rejects", buckets, types)
 
 
 ONCHAIN_KEY = ["hash", "_chain"]
 
 
 def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], schema: T.StructType,
-                 target: str, loaded_at: Column, checkpoint: str, first_by: Sequence[str] = ("_ingested_at",),
-                 rejects: str | None = None) -> int:
+                 target: str, loaded_at: Column, checkpoint: str, rejects: str,
+                 first_by: Sequence[str] = ("_ingested_at",)) -> int:
     """Insert-only load of the landed on-chain files not read before into the
     Parquet table at ``target``; returns the number of rows appended (observed
     during the writes). ``checkpoint`` is the bookmark.
@@ -71,20 +74,23 @@ def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], sche
     key are not loaded; they go to the folder ``rejects``, one folder a micro-batch.
     """
     from pyspark.sql import Observation
+    from tidemark.streaming.jobs import held
     if not _exists(spark, raw_root):
         return 0
     appended = 0
 
-    def insert(raw: DataFrame, batch_id: int) -> None:
+    def insert(batch: DataFrame, batch_id: int) -> None:
+        with held(batch) as raw:
+            if not is_empty(raw):
+                load(raw, batch_id)
+
+    def load(raw: DataFrame, batch_id: int) -> None:
         nonlocal appended
-        if is_empty(raw):
-            return
         rows = raw.where(F.col(CORRUPT).isNull()).drop(CORRUPT) \
             .withColumn("_loaded_at", loaded_at.cast("timestamp_ntz"))
-        if rejects:
-            broken = raw.where(F.col(CORRUPT).isNotNull()).withColumn(cdc.REASON, F.lit("unparsable"))
-            kept = cdc.union_all([cdc.without_key(rows, ONCHAIN_KEY), broken])
-            kept.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
+        broken = raw.where(F.col(CORRUPT).isNotNull()).withColumn(cdc.REASON, F.lit("unparsable"))
+        kept = cdc.union_all([cdc.without_key(rows, ONCHAIN_KEY), broken])
+        kept.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         session = raw.sparkSession
         existing = session.read.parquet(target) if _exists(session, target) else None
         new_rows, _ = cdc.insert_only_merge(existing, rows, ONCHAIN_KEY, list(first_by))

@@ -496,7 +496,7 @@ def q_stream_append(spark, sf):
     base = job_folder(spark, "stream-append")
     land, sink, ckpt = f"{base}/landing", f"{base}/sink", f"{base}/checkpoint"
     _land_in_two_steps(spark, sf, land, lambda: append_job(
-        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, sink, ckpt))
+        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, sink, ckpt, f"{base}/rejects"))
     return spark.read.parquet(sink).select(*CHANGE_COLS, cdc.OP, cdc.TS, cdc.LSN)
 
 
@@ -505,7 +505,8 @@ def q_stream_upsert(spark, sf):
     from tidemark.streaming.jobs import job_folder, upsert_job
     base, name = job_folder(spark, "stream-upsert"), f"{job_database(spark, 'stream_upsert')}.users_state"
     _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
-        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint"))
+        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint",
+        f"{base}/rejects"))
     return _state_cols(cdc.published(spark.table(name)))
 
 
@@ -529,7 +530,7 @@ def q_onchain_land_and_scan(spark, sf):
 
 
 def q_stream_land_topics(spark, sf):
-    """Topic records -> decode -> quarantine split -> landing sink, as one
+    """Topic records -> decode -> landing sink (rejected ones to their own folder), as one
     ``availableNow`` stream; the landed folder is then scanned and flattened."""
     from tidemark.schemas import TOPIC_RECORD
     from tidemark.sources.landing import envelopes_for_landing, read_cdc, stream_landing
@@ -539,8 +540,8 @@ def q_stream_land_topics(spark, sf):
     fixtures.topic_records(Tables(spark, sf)).write.mode("overwrite").json(broker)
     records = spark.readStream.schema(TOPIC_RECORD).json(broker)
     decoded = cdc.decode_topic_records(records, _topic_envelope_schema())
-    valid, _ = cdc.split_valid(decoded, USER_KEY, env="_env")
-    stream_landing(envelopes_for_landing(valid), land, ckpt, available_now=True).awaitTermination()
+    tagged = cdc.tag_rejects(decoded, USER_KEY, env="_env")
+    stream_landing(envelopes_for_landing(tagged), land, ckpt, available_now=True).awaitTermination()
     env = read_cdc(spark, land, "users", _topic_envelope_schema())
     flat = cdc.flatten(env, USER_KEY, CHANGE_COLS, keep=["table"])
     good, _ = cdc.cast_columns(flat, {"value": DEC_USD})
@@ -553,9 +554,9 @@ def q_bronze_cdc_job(spark, sf):
     from tidemark.plans.bronze import merge_cdc_table
     from tidemark.sources.catalog import job_database
     from tidemark.streaming.jobs import job_folder
-    land, name = f"{job_folder(spark, 'bronze-cdc')}/landing", f"{job_database(spark, 'bronze_cdc')}.users_state"
-    _land_in_two_steps(spark, sf, land, lambda: merge_cdc_table(
-        spark, land, "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name))
+    base, name = job_folder(spark, "bronze-cdc"), f"{job_database(spark, 'bronze_cdc')}.users_state"
+    _land_in_two_steps(spark, sf, f"{base}/landing", lambda: merge_cdc_table(
+        spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/rejects"))
     return _state_cols(cdc.published(spark.table(name)))
 
 
@@ -610,7 +611,7 @@ def q_bronze_onchain_job(spark, sf):
         write_onchain_landing(onchain_landing_frame(part, F.col("_chain"), F.col("_ingested_at"),
                                                     F.lit(run_day).cast("timestamp_ntz")), land)
         load_onchain(spark, land, ONCHAIN_CHAINS, schema, target, F.lit(loaded),
-                     f"{base}/checkpoint", first_by=ONCHAIN_FIRST)
+                     f"{base}/checkpoint", f"{base}/rejects", first_by=ONCHAIN_FIRST)
     return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
 
 
@@ -622,7 +623,7 @@ def q_bronze_cdc_job_bucketed(spark, sf):
     base, name = job_folder(spark, "bronze-cdc-new"), f"{job_database(spark, 'bronze_cdc_new')}.users_state"
     _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
         spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint",
-        rejects_path=f"{base}/rejects"))
+        f"{base}/rejects"))
     return _state_cols(cdc.published(spark.table(name)))
 
 
@@ -633,7 +634,7 @@ def q_stream_upsert_bucketed(spark, sf):
     base, name = job_folder(spark, "stream-upsert-parts"), f"{job_database(spark, 'stream_upsert')}.users_state"
     _land_in_two_steps(spark, sf, f"{base}/landing", lambda: upsert_job(
         spark, f"{base}/landing", "users", _envelope_schema(), USER_KEY, CHANGE_COLS, name, f"{base}/checkpoint",
-        max_files_per_trigger=10))
+        f"{base}/rejects", max_files_per_trigger=10))
     return _state_cols(cdc.published(spark.table(name)))
 
 
@@ -673,6 +674,53 @@ def q_bronze_quarantine(spark, sf):
     return cdc.union_all(kept).groupBy("table", F.col(cdc.REASON).alias("reason")).agg(F.count("*").alias("changes"))
 
 
+def _routed_entities(spark, sf) -> tuple[str, str]:
+    """The changes of all three entities through one subscription, a run after each of two days
+    and one with nothing new; returns the states' database and the job's folder."""
+    from tidemark import schemas
+    from tidemark.sources.catalog import job_database
+    from tidemark.streaming.fanout import entities_job
+    from tidemark.streaming.jobs import job_folder
+    from tidemark.streaming.progress import progress_log
+    folder, database = job_folder(spark, "entities"), job_database(spark, "entities")
+    d = Domain(spark, sf)
+    lines = cdc.union_all([fixtures.entity_changes(getattr(d, f"bronze_{e}"), e) for e in schemas.ENTITIES])
+    with progress_log(spark, f"{folder}/progress") as log:
+        for day in [*fixtures.LANDING_DAYS, None]:
+            if day:
+                lines.where(F.col("dt") == day).write.mode("append").partitionBy("table", "dt").text(f"{folder}/landing")
+            records = spark.readStream.schema("value string, table string, dt date").text(f"{folder}/landing")
+            query = entities_job(spark, records, schemas.ENTITIES, database, folder)
+            query.awaitTermination()
+            log.wait_for(query)
+    return database, folder
+
+
+def q_stream_entities_fanout(spark, sf):
+    """Which change each live key of the three entities shows after all runs of the one subscription."""
+    from tidemark import schemas
+    from tidemark.sources.state import read_state
+    database, _ = _routed_entities(spark, sf)
+    tables = {e: cdc.published(read_state(spark, f"{database}.{name}")) for e, name in schemas.BRONZE_NAMES.items()}
+    return cdc.union_all([df.select(F.lit(e).alias("table"), F.col(schemas.PRIMARY_KEYS[e]).alias("key"),
+                                    F.col(cdc.OP).alias("op"), F.col(cdc.TS).alias("ts_ms"),
+                                    F.col(cdc.LSN).alias("lsn")) for e, df in tables.items()])
+
+
+def q_stream_append_rejects(spark, sf):
+    """What the subscription could not apply, by entity and reason."""
+    _, folder = _routed_entities(spark, sf)
+    return spark.read.parquet(f"{folder}/rejects").groupBy("table", F.col(cdc.REASON).alias("reason")).agg(
+        F.count("*").alias("changes"))
+
+
+def q_stream_progress(spark, sf):
+    """Rows read, taken and put aside by all runs of the subscription, from its progress table."""
+    from tidemark.streaming.progress import totals
+    _, folder = _routed_entities(spark, sf)
+    return totals(spark, f"{folder}/progress")
+
+
 def q_stg_users_from_bronze(spark, sf):
     from tidemark.plans import staging
     tables, _ = _merged_entities(spark, sf, ["users"])
@@ -779,6 +827,9 @@ REGISTRY: dict[str, Query] = {
     "state_rebucket": q_state_rebucket,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
+    "stream_entities_fanout": q_stream_entities_fanout,
+    "stream_append_rejects": q_stream_append_rejects,
+    "stream_progress": q_stream_progress,
     "bronze_entities": q_bronze_entities,
     "bronze_quarantine": q_bronze_quarantine,
     "stg_users_from_bronze": q_stg_users_from_bronze,

@@ -17,6 +17,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.operators import cdc
+
 CORRUPT = "_corrupt_record"
 
 
@@ -124,16 +126,37 @@ def stream_landing(stream: DataFrame, root: str, checkpoint: str, partition_by:
     return w.start(root)
 
 
+# The folder of records that could not be landed as changes.
+REJECTED = "_rejected"
+
+
 def envelopes_for_landing(decoded: DataFrame, env: str = "_env", ingested_at: Column | None = None) -> DataFrame:
     """Decoded topic records to the landed envelope: ``table`` from the topic,
     ``consumed_at`` the ingestion time, ``dt`` its date. The source's commit time
-    stays in ``ts_ms``: a late commit lands in the folder of the day it arrives."""
+    stays in ``ts_ms``: a late commit lands in the folder of the day it arrives.
+
+    Records tagged by ``cdc.tag_rejects`` land in one pass, good or not: a rejected one
+    goes to the folder ``table=_rejected`` with its text and reason in place of the
+    envelope (``read_rejected``)."""
     consumed = (F.current_timestamp() if ingested_at is None else ingested_at).cast("timestamp_ntz")
     fields = [f for f in decoded.schema[env].dataType.fieldNames() if f not in ("table", "consumed_at")]
-    body = decoded.select("table", *[f"{env}.{f}" for f in fields], consumed.alias("_consumed"))
+    if cdc.REASON in decoded.columns:
+        bad = F.col(cdc.REASON).isNotNull()
+        body = decoded.select(F.when(bad, F.lit(REJECTED)).otherwise(F.col("table")).alias("table"),
+                              *[F.when(~bad, F.col(f"{env}.{f}")).alias(f) for f in fields],
+                              F.when(bad, F.col("table")).alias("_entity"), F.when(bad, F.col("_raw")).alias("_raw"),
+                              cdc.REASON, consumed.alias("_consumed"))
+    else:
+        body = decoded.select("table", *[f"{env}.{f}" for f in fields], consumed.alias("_consumed"))
     return landing_frame(body, F.col("_consumed")).drop("_consumed")
 
 
+def read_rejected(spark: SparkSession, root: str) -> DataFrame:
+    """What was landed as rejected: ``_entity``, ``_raw`` (the record's text), ``_reject_reason``, ``consumed_at``, ``dt``."""
+    schema = T.StructType([T.StructField(n, T.StringType()) for n in ("_entity", "_raw", cdc.REASON, "consumed_at")])
+    return read_json(spark, cdc_path(root, REJECTED), schema)
+
+
 def onchain_landing_frame(rows: DataFrame, chain: Column, ingested_at: Column, run_date: Column) -> DataFrame:
     """Stamp ``_ingested_at`` and ``_chain``; ``chain`` and ``dt`` (the date of
     the landing run) become folders."""

@@ -8,6 +8,9 @@
 * ``upsert_job``: ``foreachBatch`` applying the ordered merge of
   ``operators.cdc`` to a current-state table, so the stream sees deletes.
 
+Both read a micro-batch once and write what they cannot apply, with the reason, to
+a rejects folder that every job must name.
+
 Progress lives in the checkpoint: a re-run processes only files it has not
 seen. The file source does not re-read a file that grows after it was seen,
 which is why the landing sink only publishes complete files.
@@ -15,7 +18,8 @@ which is why the landing sink only publishes complete files.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -41,29 +45,21 @@ def change_stream(spark: SparkSession, root: str, table: str, envelope_schema: T
     return reader.json(cdc_path(root, table)).withColumn("table", F.lit(table))
 
 
-def append_rows(stream: DataFrame, key: str, image_cols: Sequence[str],
-                dedupe_within: str | None = None) -> DataFrame:
-    """Stateless projection: after-image columns, op, ts, ingestion time;
-    deletes are left to the upsert path. With ``dedupe_within`` (a delay like
-    ``'1 hour'``), redelivered events (same key, ts and lsn) are dropped with
-    state bounded by an event-time watermark. Changes that cannot be applied
-    (``cdc.split_valid``) do not become rows; ``rejected_rows`` has them."""
-    valid, _ = cdc.split_valid(stream, key)
-    rows = (valid.where(F.col("op") != "d")
+def append_rows(changes: DataFrame, key: str, image_cols: Sequence[str]) -> DataFrame:
+    """Stateless projection: after-image columns, op, ts, ingestion time; deletes are
+    left to the upsert path. Changes that cannot be applied (``cdc.split_valid``) do
+    not become rows; ``rejected_rows`` has them."""
+    valid, _ = cdc.split_valid(changes, key)
+    return (valid.where(F.col("op") != "d")
             .select(*[F.col(f"after.{c}").alias(c) for c in image_cols],
                     F.col("op").alias(cdc.OP), F.col("ts_ms").alias(cdc.TS),
                     F.col("source.lsn").alias(cdc.LSN),
                     F.current_timestamp().alias("_stream_ingested_at")))
-    if dedupe_within:
-        rows = (rows.withColumn("_event_time", F.timestamp_millis(F.col(cdc.TS)))
-                .withWatermark("_event_time", dedupe_within)
-                .dropDuplicatesWithinWatermark([key, cdc.TS, cdc.LSN]).drop("_event_time"))
-    return rows
 
 
-def rejected_rows(stream: DataFrame, key: str) -> DataFrame:
+def rejected_rows(changes: DataFrame, key: str) -> DataFrame:
     """What ``append_rows`` leaves out, as JSON text with its reason."""
-    _, rejects = cdc.split_valid(stream, key)
+    _, rejects = cdc.split_valid(changes, key)
     return as_text(rejects)
 
 
@@ -81,24 +77,52 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
     return q.lastProgress
 
 
-def rows_so_far(query) -> int:
-    """How many rows the recent micro-batches of a running query read, for a progress line."""
-    return sum(p["numInputRows"] for p in query.recentProgress)
+@contextmanager
+def held(batch: DataFrame) -> Iterator[DataFrame]:
+    """The micro-batch, read and parsed once for all that is done with it."""
+    kept = batch.persist()
+    try:
+        yield kept
+    finally:
+        kept.unpersist()
+
+
+def append_batch(key: str, image_cols: Sequence[str], sink_path: str, rejects_path: str):
+    """``foreachBatch`` function: the rows and the rejects of one micro-batch, each to a folder
+    of the batch, which a replay overwrites."""
+    def apply(batch: DataFrame, batch_id: int) -> None:
+        with held(batch) as changes:
+            rejected_rows(changes, key).write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+            append_rows(changes, key, image_cols).write.mode("overwrite").parquet(f"{sink_path}/batch={batch_id}")
+    return apply
 
 
 def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
-               image_cols: Sequence[str], sink_path: str, checkpoint: str,
-               dedupe_within: str | None = None, rejects_path: str | None = None) -> dict | None:
-    """Append the changes that arrived; with ``rejects_path`` rejected ones go there, under a checkpoint of their own."""
-    if rejects_path:
-        run_available_now(rejected_rows(change_stream(spark, root, table, envelope_schema), key), rejects_path,
-                          f"{checkpoint}-rejects")
-    rows = append_rows(change_stream(spark, root, table, envelope_schema), key, image_cols, dedupe_within)
-    return run_available_now(rows, sink_path, checkpoint)
-
-
-def upsert_batch(name: str, key: str, image_cols: Sequence[str], buckets: int = STATE_BUCKETS,
-                 types: dict[str, T.DataType] | None = None, rejects_path: str | None = None):
+               image_cols: Sequence[str], sink_path: str, checkpoint: str, rejects_path: str,
+               dedupe_within: str | None = None) -> dict | None:
+    """Append the changes that arrived to ``sink_path``, one folder ``batch=<n>`` a micro-batch, and what
+    cannot be applied to ``rejects_path``. Each file is read once. A sink belongs to one checkpoint.
+
+    With ``dedupe_within`` the stream itself drops repeated events before they are
+    appended; rejected changes, which have no instant to compare, pass beside it
+    (the source is then scanned for each of the two)."""
+    stream = change_stream(spark, root, table, envelope_schema)
+    if dedupe_within:
+        valid, rejected = cdc.split_valid(stream, key)
+        repeated = [f"_dedupe_{n}" for n in ("key", "ts", "lsn")]
+        once = (valid.withColumns(dict(zip(repeated, (F.coalesce(F.col(f"after.{key}"), F.col(f"before.{key}")), F.col("ts_ms"),
+                                                      F.col("source.lsn")))))
+                .withColumn("_event_time", F.timestamp_millis(F.col("ts_ms"))).withWatermark("_event_time", dedupe_within)
+                .dropDuplicatesWithinWatermark(repeated))
+        stream = once.select(*stream.columns).unionByName(rejected.select(*stream.columns))
+    query = (stream.writeStream.foreachBatch(append_batch(key, image_cols, sink_path, rejects_path))
+             .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
+    query.awaitTermination()
+    return query.lastProgress
+
+
+def upsert_batch(name: str, key: str, image_cols: Sequence[str], rejects_path: str, buckets: int = STATE_BUCKETS,
+                 types: dict[str, T.DataType] | None = None):
     """``foreachBatch`` function: validate, flatten, cast and merge one micro-batch
     into the state ``name``.
 
@@ -106,27 +130,27 @@ def upsert_batch(name: str, key: str, image_cols: Sequence[str], buckets: int =
     cannot be applied goes to ``rejects_path``, one folder a micro-batch, which a
     replay overwrites."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        valid, rejected = cdc.split_valid(batch, key)
-        rows, rejects = cdc.flatten(valid, key, image_cols), as_text(rejected)
-        if types:
-            rows, unread = cdc.cast_columns(rows, types)
-            rejects = rejects.unionByName(as_text(unread))
-        if rejects_path:
+        with held(batch) as changes:
+            valid, rejected = cdc.split_valid(changes, key)
+            rows, rejects = cdc.flatten(valid, key, image_cols), as_text(rejected)
+            if types:
+                rows, unread = cdc.cast_columns(rows, types)
+                rejects = rejects.unionByName(as_text(unread))
             rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-        merge_into_table(batch.sparkSession, name, rows, key, buckets)
+            if not rows.isEmpty():
+                merge_into_table(batch.sparkSession, name, rows, key, buckets)
     return apply
 
 
 def upsert_job(spark: SparkSession, root: str, table: str, envelope_schema: T.StructType, key: str,
-               image_cols: Sequence[str], name: str, checkpoint: str, buckets: int = STATE_BUCKETS,
-               types: dict[str, T.DataType] | None = None, rejects_path: str | None = None,
-               max_files_per_trigger: int | None = None) -> DataFrame | None:
+               image_cols: Sequence[str], name: str, checkpoint: str, rejects_path: str, buckets: int = STATE_BUCKETS,
+               types: dict[str, T.DataType] | None = None, max_files_per_trigger: int | None = None) -> DataFrame | None:
     """Merge the landed files not seen yet into the state ``name``, then stop.
 
     The checkpoint is the bookmark: a run reads only files that no run before it
     read, whatever their date. Returns the state, None if no change ever came."""
     stream = change_stream(spark, root, table, envelope_schema, max_files_per_trigger)
-    q = (stream.writeStream.foreachBatch(upsert_batch(name, key, image_cols, buckets, types, rejects_path))
+    q = (stream.writeStream.foreachBatch(upsert_batch(name, key, image_cols, rejects_path, buckets, types))
          .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     q.awaitTermination()
     return read_state(spark, name) if state_tables(spark, name) else None
