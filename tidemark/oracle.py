@@ -526,6 +526,14 @@ ORACLE["bronze_quarantine"] = " union all ".join(
     for e, (bronze, key, _, spoiled) in ENTITIES.items()
     for reason, divisor, rest in [(f"bad_{spoiled}", 17, 5), ("unsupported_op", 19, 6), ("missing_key", 23, 7),
                                   ("unparsable", 29, 8)])
+ORACLE["stream_evolving_schema"] = f"""
+select user_id, if(event_type = 'error', null, event_type) as event_type,
+       if(event_type = 'error' or (later and event_type = 'click'), null, value + 0.0) as value,
+       if(event_type <> 'error' and later, cast(json_extract_string(props, '$.k') as bigint), null) as k,
+       if(event_type = 'click' and later, concat('about ', user_id), null) as value_text,
+       {OP_CASE} as _cdc_op, {TS_MS} as _cdc_ts_ms, event_id as _cdc_lsn
+from (select *, ts >= timestamp '2024-01-15 00:00:00' as later from events)
+"""
 ORACLE["stream_entities_fanout"] = ORACLE["bronze_entities"]
 ORACLE["stream_append_rejects"] = ORACLE["bronze_quarantine"]
 _REJECTED = [(17, 5), (19, 6), (23, 7), (29, 8)]

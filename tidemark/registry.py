@@ -638,6 +638,23 @@ def q_stream_upsert_bucketed(spark, sf):
     return _state_cols(cdc.published(spark.table(name)))
 
 
+def q_stream_evolving_schema(spark, sf):
+    """A field that appears on the second day and one that changes its type, both read as columns."""
+    from pyspark.sql import types as T
+    from tidemark.streaming.evolving import evolving_job
+    from tidemark.streaming.jobs import job_folder
+    base = job_folder(spark, "evolving")
+    declared = T.StructType([T.StructField("user_id", T.LongType()), T.StructField("event_type", T.StringType()),
+                             T.StructField("value", T.DoubleType())])
+    lines = fixtures.evolving_changes(Tables(spark, sf))
+    for day in fixtures.LANDING_DAYS:
+        lines.where(F.col("dt") == day).write.mode("append").partitionBy("table", "dt").text(f"{base}/landing")
+        rows = evolving_job(spark, f"{base}/landing", "users", declared, USER_KEY, f"{base}/rows", f"{base}/checkpoint",
+                            f"{base}/rejects")
+    return rows.select(*CHANGE_COLS, F.try_variant_get("value_rescued", "$", "string").alias("value_text"),
+                       cdc.OP, cdc.TS, cdc.LSN)
+
+
 def _merged_entity(spark, sf, entity: str, land: str, base: str, database: str) -> DataFrame:
     """Land the entity's changes of two days, one run after each and one with nothing new."""
     from tidemark.plans.bronze import merge_entity
@@ -827,6 +844,7 @@ REGISTRY: dict[str, Query] = {
     "state_rebucket": q_state_rebucket,
     "bronze_cdc_job_bucketed": q_bronze_cdc_job_bucketed,
     "stream_upsert_bucketed": q_stream_upsert_bucketed,
+    "stream_evolving_schema": q_stream_evolving_schema,
     "stream_entities_fanout": q_stream_entities_fanout,
     "stream_append_rejects": q_stream_append_rejects,
     "stream_progress": q_stream_progress,
