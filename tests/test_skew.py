@@ -85,9 +85,9 @@ def burst(spark, rows=100_000):
 
 
 def test_a_burst_of_one_key_is_cut_by_rows(spark):
-    from tidemark.operators.timeline import Stretches
-    e = burst(spark)
-    stretches = Stretches(e.select("user_id", "ts"), ["user_id"], "ts", 5_000)
+    from tidemark.operators.timeline import POS, Stretches, instant
+    e = burst(spark).withColumn(POS, instant("ts"))
+    stretches = Stretches(e, ["user_id"], 5_000)
     sizes = [r["count"] for r in stretches.number(e, "b").groupBy("user_id", "b").count().collect()]
     assert sum(sizes) == 100_000 and len(sizes) > 10
     assert max(sizes) < 40_000  # 5,000 on average; equal widths of time put 90,000 into one
@@ -106,3 +106,34 @@ def test_history_and_as_of_of_a_burst_equal_sql(spark):
         asof left join (select ts, min(event_id) as event_id from e where event_id % 2 = 0 group by ts) h
         on f.ts >= h.ts order by 1""").fetchall()
     assert got == want
+
+
+def test_one_instant_is_cut_too(spark):
+    """100,000 rows of one key at one instant: stretches stay small, and what the last mark said holds in all."""
+    from tidemark.operators.timeline import POS, Stretches, last_at_or_before, place
+    at = F.lit("2024-05-01 12:00:00").cast("timestamp_ntz")
+    e = spark.range(100_000).select(F.lit(7).alias("user_id"), F.col("id").alias("event_id"), at.alias("ts"))
+    placed = e.withColumn(POS, place("ts", 1, e.columns))
+    sizes = [r["count"] for r in Stretches(placed, ["user_id"], 2_000).number(placed, "b").groupBy("b").count().collect()]
+    assert sum(sizes) == 100_000 and len(sizes) > 25 and max(sizes) < 20_000
+    marks = spark.sql("""select * from values (7, timestamp_ntz'2024-05-01 11:00:00', 'earlier'), (7, timestamp_ntz'2024-05-01 12:00:00', 'same'),
+                         (7, timestamp_ntz'2024-05-01 12:00:01', 'later') as m(user_id, ts, what)""")
+    for held, want in ((marks, "same"), (marks.where("what <> 'same'"), "earlier"), (marks.where("what = 'later'"), None)):
+        found = last_at_or_before(e, held, ["user_id"], "ts", "what", "what", 2_000)
+        assert [(r["what"], r["count"]) for r in found.groupBy("what").count().collect()] == [(want, 100_000)]
+        assert found.select("event_id").distinct().count() == 100_000
+
+
+def test_events_and_marks_of_few_instants_equal_sql(spark):
+    e = spark.range(6_000).select((F.col("id") % 3).alias("user_id"), F.col("id").alias("event_id"),
+                                  F.timestamp_micros(F.col("id") % 40 * 1_000_000).cast("timestamp_ntz").alias("ts"),
+                                  F.create_map(F.lit("a"), F.col("id")).alias("m"))
+    hist = scd2_from_log(e.where("event_id % 7 = 0").select("user_id", F.col("event_id").alias("state"), F.col("ts").alias("updated_at"),
+                                                            "event_id"),
+                         "user_id", "updated_at", ["user_id", "state"], tiebreak=["event_id"], stretch_rows=3)
+    got = sorted((r.event_id, r.state) for r in as_of_join(e, hist, "user_id", "ts", ["state"], stretch_rows=10).collect())
+    want = duck(e.drop("m")).execute("""
+        select f.event_id, h.event_id from e f
+        asof left join (select user_id, ts, min(event_id) as event_id from e where event_id % 7 = 0 group by all) h
+        on f.user_id = h.user_id and f.ts >= h.ts order by 1""").fetchall()
+    assert got == want

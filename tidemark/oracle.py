@@ -468,6 +468,13 @@ select *, updated_at as valid_from,
        case when user_id % 7 = 0 then timestamp '{SNAPSHOT_RUNS[1]}'
             else lead(updated_at) over (partition by user_id order by updated_at) end as valid_to from seen
 """
+ORACLE["scd2_from_log_split"] = HISTORY
+ORACLE["as_of_join_split"] = f"""
+with h as ({HISTORY}), f as (select event_id, user_id, date_trunc('day', ts)::timestamp as ts from events)
+select f.event_id, f.user_id, f.ts, h.state, h.valid_from, h.valid_to
+from f left join h on f.user_id = h.user_id and f.ts >= h.valid_from
+                  and f.ts < coalesce(h.valid_to, timestamp '9999-12-31 00:00:00')
+"""
 ORACLE["state_merge_on_read"] = COMPACT_PUBLISHED
 ORACLE["state_rebucket"] = COMPACT_PUBLISHED
 ORACLE["metric_filled_by_day_chain"] = f"""

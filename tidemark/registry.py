@@ -312,6 +312,26 @@ def q_as_of_join(spark, sf):
     return as_of_join(facts, hist, USER_KEY, "ts", ["state"], how="left")
 
 
+# Far below the rows of a user, so that the timelines are cut at every scale.
+SMALL_STRETCH = 50
+
+
+def q_scd2_from_log_split(spark, sf):
+    return scd2_from_log(_user_states(Tables(spark, sf)), USER_KEY, "updated_at", ["user_id", "state", "updated_at"],
+                         tiebreak=["event_id"], stretch_rows=SMALL_STRETCH)
+
+
+def q_as_of_join_split(spark, sf):
+    """All events at the start of their day, so that many share one instant, meet the state of their user then."""
+    from tidemark.functions import trunc_ntz
+    from tidemark.sources.catalog import materialize
+    t = Tables(spark, sf)
+    facts = t.events.select("event_id", "user_id", trunc_ntz("day", "ts").alias("ts"))
+    history = scd2_from_log(_user_states(t), USER_KEY, "updated_at", ["user_id", "state", "updated_at"], tiebreak=["event_id"],
+                            stretch_rows=SMALL_STRETCH)
+    return as_of_join(facts, materialize(spark, history, "users-history"), USER_KEY, "ts", ["state"], stretch_rows=SMALL_STRETCH)
+
+
 # ---------------------------------------------------------------------------
 # data quality and monitoring
 # ---------------------------------------------------------------------------
@@ -820,6 +840,8 @@ REGISTRY: dict[str, Query] = {
     "dim_users_history_two_runs": q_dim_users_history_two_runs,
     "dim_users_two_runs": q_dim_users_two_runs,
     "as_of_join": q_as_of_join,
+    "scd2_from_log_split": q_scd2_from_log_split,
+    "as_of_join_split": q_as_of_join_split,
     "dq_not_null": q_dq_not_null,
     "dq_unique": q_dq_unique,
     "dq_accepted_values": q_dq_accepted_values,
