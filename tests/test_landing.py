@@ -114,23 +114,26 @@ def test_onchain_load_skips_empty_feed_and_appends_new_keys(spark, tmp_dir):
     from tidemark.plans.bronze import load_onchain
     schema = T.StructType([T.StructField("hash", T.StringType()), T.StructField("_chain", T.StringType()),
                            T.StructField("_ingested_at", T.TimestampNTZType())])
-    land, target = os.path.join(tmp_dir, "land"), os.path.join(tmp_dir, "onchain")
+    from tidemark.sources.catalog import job_database
+    land, target = os.path.join(tmp_dir, "land"), f"{job_database(spark, 'onchain_test')}.onchain"
     loaded = F.lit("2024-01-01 00:00:00")
     assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 0
-    assert not os.path.exists(target)
+    assert not spark.catalog.tableExists(target)
     rows = spark.createDataFrame([("h1", dt.datetime(2024, 1, 2)), ("h1", dt.datetime(2024, 1, 1)),
                                   ("h2", dt.datetime(2024, 1, 1))], "hash string, ts timestamp_ntz")
     frame = landing.onchain_landing_frame(rows, F.lit("ethereum"), F.col("ts"), F.lit("2024-01-01")).drop("ts")
     landing.write_onchain_landing(frame, land)
     assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 2
     assert load_onchain(spark, land, ["ethereum", "base"], schema, target, loaded, f"{tmp_dir}/bookmark", f"{tmp_dir}/rejects") == 0  # replay: nothing new
-    kept = {r.hash: r._ingested_at for r in spark.read.parquet(target).collect()}
+    kept = {r.hash: r._ingested_at for r in spark.table(target).collect()}
     assert kept == {"h1": dt.datetime(2024, 1, 1), "h2": dt.datetime(2024, 1, 1)}  # first seen wins
 
 
 def test_onchain_load_reads_new_files_only_and_keeps_rows_without_key(spark, tmp_dir):
     from tidemark.plans.bronze import load_onchain
-    land, target, mark, rejects = (f"{tmp_dir}/{x}" for x in ("land", "target", "mark", "rejects"))
+    from tidemark.sources.catalog import job_database
+    land, mark, rejects = (f"{tmp_dir}/{x}" for x in ("land", "mark", "rejects"))
+    target = f"{job_database(spark, 'onchain_test')}.onchain"
     schema = spark.createDataFrame([], "hash string, _chain string, _ingested_at timestamp_ntz, value string").schema
 
     def arrive(*lines):
@@ -141,11 +144,46 @@ def test_onchain_load_reads_new_files_only_and_keeps_rows_without_key(spark, tmp
     a, b = '{"hash": "a", "_chain": "base", "value": "1"}', '{"hash": "b", "_chain": "base", "value": "2"}'
     assert arrive(a, '{"hash": "a"}', '{"hash": ') == 1
     assert arrive(a, b) == 1
-    assert sorted(r["hash"] for r in spark.read.parquet(target).collect()) == ["a", "b"]
+    assert sorted(r["hash"] for r in spark.table(target).collect()) == ["a", "b"]
     assert sorted(r["_reject_reason"] for r in spark.read.option("mergeSchema", True).parquet(rejects).collect()) == [
         "missing_key", "unparsable"]
 
 
+def test_onchain_load_reads_its_chains_and_moves_its_rows_only(spark, tmp_dir):
+    from tidemark.plans.bronze import load_onchain, new_onchain_rows
+    from tidemark.sources.catalog import job_database
+    land, target = f"{tmp_dir}/land", f"{job_database(spark, 'onchain_test')}.onchain"
+    feed = spark.range(2000).selectExpr("concat('h', id) as hash", "elt(1 + id % 3, 'base', 'bsc', 'polygon') as _chain",
+                                        "timestamp_ntz'2024-01-01 00:00:00' as _ingested_at")
+
+    def load(df, **options):
+        landing.write_onchain_landing(landing.onchain_landing_frame(df, F.col("_chain"), F.col("_ingested_at"), F.lit("2024-01-01")), land)
+        return load_onchain(spark, land, ["base", "bsc", "polygon"], feed.schema, target, F.lit("2024-01-02 00:00:00"),
+                            f"{tmp_dir}/mark", f"{tmp_dir}/rejects", **options)
+
+    assert load(feed, buckets=5) == 2000
+    held = spark.table(target).inputFiles()
+    # The same hashes on one chain: a third is there already; the hash alone does not make a key.
+    second = feed.withColumn("_chain", F.lit("bsc"))
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as for a target of any size but a tiny one
+    try:
+        plan = new_onchain_rows(spark.table(target), second, ["bsc"], ["_ingested_at"])._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    lines = plan.splitlines()
+    scan = next(i for i, line in enumerate(lines) if "FileScan" in line)
+    assert "Bucketed: true" in lines[scan] and "PartitionFilters: [isnotnull(_chain" in lines[scan] and "= bsc)]" in lines[scan]
+    assert "ReadSchema: struct<hash:string>" in lines[scan]
+    assert not any("Exchange" in line for line in lines[scan - 4:scan]), plan
+    assert load(second) == 1333
+    assert load(second) == 0  # the same rows in new files
+    assert set(held) < set(spark.table(target).inputFiles())
+    assert spark.table(target).groupBy("hash", "_chain").count().where("count > 1").count() == 0
+
+
 def test_long_running_landing_stops_and_resumes_without_loss_or_repeat(spark, tmp_dir):
     import time
 

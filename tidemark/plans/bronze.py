@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import cdc
 from tidemark.sources.landing import CORRUPT, _exists, is_empty, onchain_stream, read_cdc
-from tidemark.sources.state import STATE_BUCKETS, merge_into_table
+from tidemark.sources.state import STATE_BUCKETS, bucket_count, merge_into_table
 
 
 def merge_cdc_table(spark: SparkSession, raw_root: str, table: str, envelope_schema: T.StructType,
@@ -61,19 +61,33 @@ def merge_entity(spark: SparkSession, raw_root: str, entity: str, database: str,
 ONCHAIN_KEY = ["hash", "_chain"]
 
 
+def new_onchain_rows(target: DataFrame, rows: DataFrame, chains: Sequence[str], first_by: Sequence[str]) -> DataFrame:
+    """The rows of ``chains`` whose (hash, chain) the ``target`` lacks, one a key.
+
+    The target is read for these chains and its keys only. Equal hashes meet bucket by
+    bucket; the chain is compared as a range of one value, since as a second join key
+    it would make Spark deal the bucketed side out anew.
+    """
+    first = cdc.insert_only_merge(None, rows, ONCHAIN_KEY, list(first_by))[0]
+    held = target.where(F.col("_chain").isin(list(chains))).select(F.col("hash").alias("_held"), F.col("_chain").alias("_held_chain"))
+    same = (first["hash"] == F.col("_held")) & (first["_chain"] >= F.col("_held_chain")) & (first["_chain"] <= F.col("_held_chain"))
+    return first.join(held, same, "left_anti")
+
+
 def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], schema: T.StructType,
                  target: str, loaded_at: Column, checkpoint: str, rejects: str,
-                 first_by: Sequence[str] = ("_ingested_at",)) -> int:
+                 first_by: Sequence[str] = ("_ingested_at",), buckets: int = STATE_BUCKETS) -> int:
     """Insert-only load of the landed on-chain files not read before into the
-    Parquet table at ``target``; returns the number of rows appended (observed
-    during the writes). ``checkpoint`` is the bookmark.
-
-    A feed with no rows is skipped without a write. Only new keys are written
-    (an append: the existing table is read for its key columns only), so a
-    repeated micro-batch adds nothing. Malformed lines and rows without a whole
-    key are not loaded; they go to the folder ``rejects``, one folder a micro-batch.
+    catalog table ``target``; returns the number of rows appended. ``checkpoint``
+    is the bookmark.
+
+    The table is partitioned by chain and bucketed by hash (``buckets`` counts when
+    the first load creates it). A load reads the key columns of its own chains only,
+    bucket by bucket, and moves nothing but its own rows. Only new keys are written
+    (an append), so a repeated micro-batch adds nothing; a feed with no rows is
+    skipped without a write. Malformed lines and rows without a whole key are not
+    loaded; they go to the folder ``rejects``, one folder a micro-batch.
     """
-    from pyspark.sql import Observation
     from tidemark.streaming.jobs import held
     if not _exists(spark, raw_root):
         return 0
@@ -92,13 +106,26 @@ def load_onchain(spark: SparkSession, raw_root: str, chains: Sequence[str], sche
         kept = cdc.union_all([cdc.without_key(rows, ONCHAIN_KEY), broken])
         kept.write.mode("overwrite").parquet(f"{rejects}/batch={batch_id}")
         session = raw.sparkSession
-        existing = session.read.parquet(target) if _exists(session, target) else None
-        new_rows, _ = cdc.insert_only_merge(existing, rows, ONCHAIN_KEY, list(first_by))
-        obs = Observation(f"onchain_load_{batch_id}")
-        new_rows.observe(obs, F.count(F.lit(1)).alias("rows")).write.mode("append").parquet(target)
-        appended += int(obs.get.get("rows", 0))
+        if session.catalog.tableExists(target):
+            session.catalog.refreshTable(target)
+            # At most one value a chain of the feed.
+            present = [r[0] for r in rows.select("_chain").distinct().collect() if r[0] is not None]
+            new_rows = new_onchain_rows(session.table(target), rows, present, first_by)
+            stored = bucket_count(session, target)
+            new_rows = new_rows.select(*session.table(target).columns)
+        else:
+            new_rows, _ = cdc.insert_only_merge(None, rows, ONCHAIN_KEY, list(first_by))
+            stored = buckets
+        with held(new_rows) as added:
+            count = added.count()
+            if count:
+                (added.repartition(stored, "hash").write.format("parquet").mode("append").partitionBy("_chain")
+                 .bucketBy(stored, "hash").sortBy("hash").saveAsTable(target))
+        appended += count
 
     query = (onchain_stream(spark, raw_root, chains, schema).writeStream.foreachBatch(insert)
              .option("checkpointLocation", checkpoint).trigger(availableNow=True).start())
     query.awaitTermination()
+    if spark.catalog.tableExists(target):
+        spark.catalog.refreshTable(target)
     return appended

@@ -617,10 +617,11 @@ def q_bronze_onchain_job(spark, sf):
     table holds every key once, first seen wins."""
     from pyspark.sql import types as T
     from tidemark.plans.bronze import load_onchain
+    from tidemark.sources.catalog import job_database
     from tidemark.sources.landing import onchain_landing_frame, write_onchain_landing
     from tidemark.streaming.jobs import job_folder
     base = job_folder(spark, "bronze-onchain")
-    land, target = f"{base}/landing", f"{base}/onchain_transactions"
+    land, target = f"{base}/landing", f"{job_database(spark, 'onchain')}.onchain_transactions"
     feed = fixtures.onchain_feed(Tables(spark, sf))
     schema = T.StructType([T.StructField(f.name, f.dataType) for f in feed.schema.fields])
     split = F.lit(fixtures.ONCHAIN_SPLIT).cast("timestamp_ntz")
@@ -632,7 +633,7 @@ def q_bronze_onchain_job(spark, sf):
                                                     F.lit(run_day).cast("timestamp_ntz")), land)
         load_onchain(spark, land, ONCHAIN_CHAINS, schema, target, F.lit(loaded),
                      f"{base}/checkpoint", f"{base}/rejects", first_by=ONCHAIN_FIRST)
-    return spark.read.parquet(target).select(*feed.columns, "_loaded_at")
+    return spark.table(target).select(*feed.columns, "_loaded_at")
 
 
 def q_bronze_cdc_job_bucketed(spark, sf):
