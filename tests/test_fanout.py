@@ -102,3 +102,37 @@ def test_rejected_topic_records_land_in_a_folder_of_their_own(spark, tmp_dir):
     assert good.count() == present - clicks - 1
     assert {r[cdc.REASON]: r["count"] for r in bad.groupBy(cdc.REASON).count().collect()} == {"unsupported_op": clicks, "unparsable": 1}
     assert bad.where(F.col("_raw") == "{not").first()["_entity"] == "users"
+
+
+def test_fact_over_the_states_moves_the_transactions_once(spark, tmp_dir):
+    from tidemark.plans.domain import BronzeDomain
+    from tidemark.plans.staging import stg_users
+    database = job_database(spark, "fanout")
+    lines = [("users", line({**USER, "user_id": k}, lsn=k)) for k in range(9)]
+    lines += [("wallets", line({**WALLET, "wallet_id": k, "user_id": k % 9}, lsn=k)) for k in range(40)]
+    lines += [("transactions", line({"transaction_id": k, "wallet_id": k % 45, "amount": "1.5", "submitted_at": "2024-01-01 10:00:00"}, lsn=k))
+              for k in range(200)]
+    arrive(spark, tmp_dir, "2024-01-01", lines)
+    run(spark, tmp_dir, database)
+    arrive(spark, tmp_dir, "2024-01-02", [("transactions", line({"transaction_id": 3, "wallet_id": 1, "status": "failed"}, op="u", ms=20))])
+    run(spark, tmp_dir, database)
+    domain = BronzeDomain(spark, database, buckets=3)
+    domain.dim_wallets
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = domain.fact_transactions._jdf.queryExecution().executedPlan().toString()
+        staged = domain.stg_transactions._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "Exchange" not in staged and plan.count("Exchange") == 1, plan
+    rows = {r["transaction_id"]: r for r in domain.fact_transactions.collect()}
+    assert len(rows) == 200 and rows[3]["status"] == "failed" and rows[3]["user_id"] == 1 and rows[44]["user_id"] is None
+    assert domain.dim_users.where("wallet_count > 0").count() == 9
+    # A bronze table with several rows a key: the last change decides among rows of one instant.
+    twice = spark.createDataFrame([(1, "a", 5, 1), (1, "b", 5, 2)], "user_id long, email string, _cdc_ts_ms long, _cdc_lsn long").selectExpr(
+        "*", "'us' as country_code", "'x' as signup_channel", "'pending' as kyc_status", "timestamp_ntz'2024-01-01' as created_at",
+        "timestamp_ntz'2024-01-01' as updated_at")
+    assert [r["email"] for r in stg_users(twice).collect()] == ["b"]

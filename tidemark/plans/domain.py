@@ -11,8 +11,12 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tidemark.operators import cdc
 from tidemark.operators.scd2 import scd2_apply
 from tidemark.plans import fixtures, marts, staging
+from tidemark.schemas import BRONZE_NAMES
+from tidemark.sources.catalog import publish
+from tidemark.sources.state import STATE_BUCKETS, read_state
 from tidemark.sources.tables import Tables
 
 
@@ -109,49 +113,53 @@ class SeedDomain(Domain):
         return self._seeds["transactions"]
 
 
-# Models whose size follows the transaction volume: the ones a check suite
-# should read from storage rather than rebuild for every check.
-FACT_SIZED = {"stg_transactions", "fact_transactions"}
-MODELS = ["bronze_users", "bronze_wallets", "bronze_transactions", "stg_users", "stg_wallets",
-          "stg_transactions", "users_snapshot", "dim_users", "dim_users_history", "dim_wallets",
-          "fact_transactions"]
+class BronzeDomain(Domain):
+    """The same graph over the merged states of ``database`` (``plans.bronze``, ``streaming.fanout``).
 
+    A state has one row a key, so staging needs no ranking, and is read bucket by
+    bucket. The wallets dimension is a table clustered on ``wallet_id``, written when
+    first asked for: the fact moves the transactions to it, once, and nothing else.
+    """
 
-class MaterializedDomain(Domain):
-    """The same graph with every model written once as a Parquet table under
-    ``root`` (the warehouse materializes marts as tables), in dependency order:
-    each model is computed from its already-written inputs and read back.
+    def __init__(self, spark: SparkSession, database: str, buckets: int = STATE_BUCKETS):
+        super().__init__(spark, database)
+        self.database, self.buckets = database, buckets
 
-    Use it when many jobs read the models (the check suite runs dozens of
-    aggregations over them): every later read is a pruned, filter-pushed
-    columnar scan instead of a recomputation from the raw tables, and the
-    written files cut the lineage, so a lost executor costs a re-read, not a
-    rebuild. ``root`` must be shared storage (the checkpoint folder).
-    ``names`` limits the writes to the models worth it; the others stay lazy.
-    """
+    def _state(self, entity: str) -> DataFrame:
+        state = cdc.published(read_state(self.spark, f"{self.database}.{BRONZE_NAMES[entity]}"))
+        return state.drop(cdc.OP)
 
-    def __init__(self, spark: SparkSession, sf_dir: str, root: str, names: set[str] | None = None):
-        super().__init__(spark, sf_dir)
-        self.root = root.rstrip("/")
-        self.names = set(MODELS) if names is None else set(names)
+    @cached_property
+    def bronze_users(self) -> DataFrame:
+        return self._state("users")
 
-    def _materialize(self, name: str, df: DataFrame) -> DataFrame:
-        if name not in self.names:
-            return df
-        path = f"{self.root}/{name}"
-        df.write.mode("overwrite").parquet(path)
-        return self.spark.read.parquet(path)
+    @cached_property
+    def bronze_wallets(self) -> DataFrame:
+        return self._state("wallets")
 
+    @cached_property
+    def bronze_transactions(self) -> DataFrame:
+        return self._state("transactions")
 
-def _materialized_property(name: str) -> cached_property:
-    build = getattr(Domain, name).func
+    @cached_property
+    def stg_users(self) -> DataFrame:
+        return staging.stg_users(self.bronze_users, one_per_key=True)
 
-    def prop(self: MaterializedDomain) -> DataFrame:
-        return self._materialize(name, build(self))
-    cp = cached_property(prop)
-    cp.__set_name__(MaterializedDomain, name)
-    return cp
+    @cached_property
+    def stg_wallets(self) -> DataFrame:
+        return staging.stg_wallets(self.bronze_wallets, one_per_key=True)
 
+    @cached_property
+    def stg_transactions(self) -> DataFrame:
+        return staging.stg_transactions(self.bronze_transactions, one_per_key=True)
 
-for _name in MODELS:
-    setattr(MaterializedDomain, _name, _materialized_property(_name))
+    @cached_property
+    def users_snapshot(self) -> DataFrame:
+        return scd2_apply(None, self.bronze_users.drop(cdc.TS, cdc.LSN), "user_id", "updated_at")
+
+    @cached_property
+    def dim_wallets(self) -> DataFrame:
+        name = f"{self.database}.dim_wallets"
+        rows = marts.dim_wallets(self.stg_wallets).repartition(self.buckets, "wallet_id")
+        publish(self.spark, rows, name, cluster_by=(self.buckets, ["wallet_id"]))
+        return self.spark.table(name)

@@ -341,12 +341,12 @@ def _checks(spark, sf, checks):
     written once, with its checked columns only, and every pass reads that."""
     from tidemark.operators.quality import run_checks
     from tidemark.plans import suite
-    from tidemark.sources.catalog import materialize
+    from tidemark.sources.catalog import materialize_all
     columns = suite.checked_columns(checks)
     models = {name: df.select(*columns[name]) for name, df in suite.models(Domain(spark, sf), set(columns)).items()}
     reads = suite.passes(checks)
-    return run_checks({name: materialize(spark, df, f"checked-{name}") if reads[name] > 1 else df
-                       for name, df in models.items()}, checks)
+    written = materialize_all(spark, {f"checked-{name}": df for name, df in models.items() if reads[name] > 1})
+    return run_checks({name: written.get(f"checked-{name}", df) for name, df in models.items()}, checks)
 
 
 def q_dq_not_null(spark, sf):
@@ -777,6 +777,13 @@ def q_stg_transactions_from_bronze(spark, sf):
     return staging.stg_transactions(tables["transactions"], [cdc.TS, cdc.LSN])
 
 
+def q_fact_from_bronze(spark, sf):
+    """The fact over the states that one subscription keeps."""
+    from tidemark.plans.domain import BronzeDomain
+    database, _ = _routed_entities(spark, sf)
+    return BronzeDomain(spark, database).fact_transactions
+
+
 def q_seed_build(spark, sf):
     """Write the three bronze tables as CSV seeds, load them back with the
     declared types and build the fact from them (the seed-based local build)."""
@@ -876,6 +883,7 @@ REGISTRY: dict[str, Query] = {
     "stg_users_from_bronze": q_stg_users_from_bronze,
     "stg_wallets_from_bronze": q_stg_wallets_from_bronze,
     "stg_transactions_from_bronze": q_stg_transactions_from_bronze,
+    "fact_from_bronze": q_fact_from_bronze,
     "seed_build": q_seed_build,
     "dq_run_results_scan": q_dq_run_results_scan,
 }
