@@ -16,18 +16,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def shared_folder(spark: SparkSession) -> str:
     """The folder all executors share, named by ``spark.checkpoint.dir``.
 
-    Only a session without that setting (tests) gets a folder of its own.
+    Only a local session without that setting (tests) gets a folder of its own; on a
+    cluster a missing setting is an error, since others would not see such a folder.
     """
     sc = spark.sparkContext
     if not sc.getCheckpointDir():
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="llm-ckpt-"))
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        if not named and not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        sc.setCheckpointDir(named or tempfile.mkdtemp(prefix="llm-ckpt-"))
     return sc.getCheckpointDir().rstrip("/")
 
 
 def cut(df: DataFrame) -> DataFrame:
     """Compute ``df`` once and cut its lineage with a reliable checkpoint.
 
-    Spark's cleaner removes the files once the DataFrame is no longer referenced.
+    With ``spark.cleaner.referenceTracking.cleanCheckpoints`` Spark removes the files once
+    the DataFrame is no longer referenced; without it they stay, as do ``stored`` ones.
     """
     shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
