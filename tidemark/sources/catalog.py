@@ -53,7 +53,7 @@ def drop_unused(spark: SparkSession, name: str, used: set[str]) -> None:
     database, _, short = name.rpartition(".")
     written = re.compile(re.escape(short.lower()) + r"__((base|changes)_)?[0-9a-f]{8}")
     places = {t.rpartition(".")[2].lower() for t in used}
-    for row in spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{short}__*'").collect():
+    for row in spark.sql(f"SHOW TABLES {f'IN {database} ' if database else ''}LIKE '{short}__*'").where("not isTemporary").collect():
         table = row["tableName"].lower()
         if written.fullmatch(table) and table not in places:
             spark.sql(f"DROP TABLE IF EXISTS {f'{database}.' if database else ''}{table}")
