@@ -95,7 +95,8 @@ def with_is_current(history: DataFrame) -> DataFrame:
 
 
 def as_of_join(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
-               version_cols: Sequence[str], how: str = "left", stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+               version_cols: Sequence[str], how: str = "left", stretch_rows: int = STRETCH_ROWS,
+               row_id: Sequence[str] | None = None) -> DataFrame:
     """Attach to every fact the version valid at ``fact_ts``:
     ``key`` equal and ``valid_from <= fact_ts < coalesce(valid_to, far future)``.
 
@@ -104,12 +105,13 @@ def as_of_join(facts: DataFrame, history: DataFrame, key: str, fact_ts: str,
     is the latest version starting at or before the fact, if it is still open
     at that instant. Planned as one ordered scan per (key, stretch): no
     fact-by-version pairs are formed, whatever the number of versions per key.
+    ``row_id`` (the facts' key, say) keeps the scan that sizes the stretches narrow.
     """
     if how not in ("left", "inner"):
         raise ValueError("how must be 'left' or 'inner'")
     payload = F.struct(*[F.col(c) for c in version_cols], F.col(VALID_FROM), F.col(VALID_TO))
     marks = history.select(F.col(key), F.col(VALID_FROM).alias(fact_ts), payload.alias("_ver"))
-    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", stretch_rows)
+    found = last_at_or_before(facts, marks, [key], fact_ts, "_ver", "_ver", stretch_rows, row_id)
     valid = F.col("_ver").isNotNull() & (F.col(fact_ts) < F.coalesce(F.col(f"_ver.{VALID_TO}"), far_future()))
     found = found.withColumn("_ver", F.when(valid, F.col("_ver")))
     if how == "inner":

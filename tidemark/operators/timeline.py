@@ -20,6 +20,8 @@ count is at most ``BROADCAST_CUTS``.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -46,10 +48,13 @@ def place(ts: str, kind: int, columns: list[str]) -> Column:
 
 
 def cut_positions(rows: DataFrame, key: list[str], stretch_rows: int) -> DataFrame:
-    """(key, ``_tl_cuts``): the sorted cuts of every key that has any."""
+    """(key, ``_tl_cuts``): the sorted cuts of every key that has several.
+
+    A key with one cut is about as long as a stretch may be and stays whole, so that
+    tables of short timelines are not split because of a chance cut."""
     chosen = F.pmod(F.xxhash64(*key, POS), F.lit(stretch_rows)) == 0
     return (rows.where(chosen & F.col(POS).isNotNull()).groupBy(*key)
-            .agg(F.array_sort(F.collect_set(POS)).alias("_tl_cuts")))
+            .agg(F.array_sort(F.collect_set(POS)).alias("_tl_cuts")).where(F.size("_tl_cuts") > 1))
 
 
 def _cuts_passed(cuts: Column, position: Column) -> Column:
@@ -112,7 +117,7 @@ def next_time(df: DataFrame, key: list[str], ts: str, out: str, times: DataFrame
 
 
 def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: str, payload: str,
-                      out: str, stretch_rows: int = STRETCH_ROWS) -> DataFrame:
+                      out: str, stretch_rows: int = STRETCH_ROWS, row_id: Sequence[str] | None = None) -> DataFrame:
     """For every row of ``events`` add ``out`` = the ``payload`` of the latest
     ``marks`` row of the same key whose ``ts`` is <= the event's ``ts``.
 
@@ -120,24 +125,30 @@ def last_at_or_before(events: DataFrame, marks: DataFrame, key: list[str], ts: s
     struct); ``events`` holds ``key`` and ``ts`` plus anything else, which is
     carried through untouched. No pairs are formed: both sides are unioned,
     sorted within ``(key, stretch)`` and scanned once.
+
+    ``row_id`` names the columns that tell the events of one instant apart (by default
+    all): the cuts are chosen in a scan of the key, the time and these.
     """
     b, kind, row = "_tl_b", "_tl_kind", "_tl_row"
     ev_cols = events.columns
-    hashed = [f.name for f in events.schema.fields if not _unhashable(f.dataType)]
+    hashed = list(row_id) if row_id else [f.name for f in events.schema.fields if not _unhashable(f.dataType)]
     ev = events.select(*key, F.col(ts), F.lit(1).alias(kind), place(ts, 1, hashed).alias(POS),
                        F.struct(*[F.col(c) for c in ev_cols]).alias(row),
                        F.lit(None).cast(marks.schema[payload].dataType).alias(payload))
     mk = marks.select(*key, F.col(ts), F.lit(0).alias(kind), place(ts, 0, [*key, ts]).alias(POS),
                       F.lit(None).cast(ev.schema[row].dataType).alias(row), F.col(payload))
     stretches = Stretches(ev.select(*key, POS).unionByName(mk.select(*key, POS)), key, stretch_rows)
+    # Marks sort before events at the same instant, so ``<=`` holds.
+    if not stretches.count:
+        w_key = (Window.partitionBy(*key).orderBy(F.col(ts), F.col(kind))
+                 .rowsBetween(Window.unboundedPreceding, Window.currentRow))
+        u = ev.drop(POS).unionByName(mk.drop(POS)).withColumn("_tl_in", F.last(payload, ignorenulls=True).over(w_key))
+        return u.where(F.col(kind) == 1).select(F.col(f"{row}.*"), F.col("_tl_in").alias(out))
     order = "_tl_order"
     u = stretches.number(ev.unionByName(mk).withColumn(order, F.col(POS)), b)
-    # Marks sort before events at the same instant, so ``<=`` holds.
     w_in = Window.partitionBy(*key, b).orderBy(order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     u = u.withColumn("_tl_in", F.last(payload, ignorenulls=True).over(w_in))
     ev_out = u.where(F.col(kind) == 1)
-    if not stretches.count:
-        return ev_out.select(F.col(f"{row}.*"), F.col("_tl_in").alias(out))
     # Rows whose stretch holds no earlier mark take the latest mark of an earlier
     # stretch: one row per (key, stretch) on each side, scanned per key in order.
     # Event rows sort before the mark row of the same number, so they only see

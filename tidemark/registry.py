@@ -309,11 +309,11 @@ def q_as_of_join(spark, sf):
     # Purchases are the facts; the state they meet is that of all other events.
     others = _user_states(t).where(F.col("state") != "purchase")
     hist = materialize(spark, _history(t, others), "users-history")
-    return as_of_join(facts, hist, USER_KEY, "ts", ["state"], how="left")
+    return as_of_join(facts, hist, USER_KEY, "ts", ["state"], how="left", row_id=["event_id"])
 
 
 # Far below the rows of a user, so that the timelines are cut at every scale.
-SMALL_STRETCH = 50
+SMALL_STRETCH = 20
 
 
 def q_scd2_from_log_split(spark, sf):
@@ -329,7 +329,8 @@ def q_as_of_join_split(spark, sf):
     facts = t.events.select("event_id", "user_id", trunc_ntz("day", "ts").alias("ts"))
     history = scd2_from_log(_user_states(t), USER_KEY, "updated_at", ["user_id", "state", "updated_at"], tiebreak=["event_id"],
                             stretch_rows=SMALL_STRETCH)
-    return as_of_join(facts, materialize(spark, history, "users-history"), USER_KEY, "ts", ["state"], stretch_rows=SMALL_STRETCH)
+    return as_of_join(facts, materialize(spark, history, "users-history"), USER_KEY, "ts", ["state"], stretch_rows=SMALL_STRETCH,
+                      row_id=["event_id"])
 
 
 # ---------------------------------------------------------------------------
