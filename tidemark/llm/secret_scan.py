@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.llm.common import fresh_name
-from tidemark.llm.regex_spans import as_spans, digest_text, masked, with_matches
+from tidemark.llm.regex_spans import as_spans, digest_text, let, masked, with_matches, within_runs
 
 KINDS = ("assign", "access", "hex", "entropy")
 KEYWORDS = "(?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|" \
@@ -51,33 +51,27 @@ def highest_entropy(value: Column, window: int = WINDOW) -> Column:
     def put(counts: Column, c: Column, n: Column) -> Column:
         return F.map_concat(F.map_filter(counts, lambda k, _: k != c), F.create_map(c, n))
 
-    def enter(acc: Column, step: Column) -> Column:
-        # One struct level per update, so that each value is computed once.
-        n = count(acc["counts"], step["new"])
-        return F.struct(put(acc["counts"], step["new"], n + 1).alias("counts"),
-                        (acc["sum"] + weight(n + 1) - weight(n)).alias("sum"), acc["best"].alias("best"))
+    def moved(acc: Column, c: Column, by: int) -> Column:
+        return let(count(acc["counts"], c), lambda n: F.struct(
+            put(acc["counts"], c, n + by).alias("counts"), (acc["sum"] + weight(n + by) - weight(n)).alias("sum"),
+            acc["best"].alias("best")))
 
-    def leave(acc: Column, step: Column) -> Column:
-        n = count(acc["counts"], step["old"])
-        return F.struct(put(acc["counts"], step["old"], n - 1).alias("counts"),
-                        (acc["sum"] + weight(n - 1) - weight(n)).alias("sum"), acc["best"].alias("best"))
-
-    def judge(acc: Column, step: Column) -> Column:
+    def judged(acc: Column, at: Column) -> Column:
         bits = F.lit(float(window)).cast("double")
         entropy = F.log2(bits) - acc["sum"] / bits
         return F.struct(acc["counts"].alias("counts"), acc["sum"].alias("sum"),
-                        F.when(step["at"] >= window, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"))
+                        F.when(at >= window, F.greatest(acc["best"], entropy)).otherwise(acc["best"]).alias("best"))
+
+    # Position by position: a character leaves, one enters, the full window is judged.
+    def slid(chars: Column) -> Column:
+        def step(acc: Column, at: Column) -> Column:
+            left = F.when(at > window, moved(acc, F.get(chars, at - window - 1), -1)).otherwise(acc)
+            return let(let(left, lambda a: moved(a, F.get(chars, at - 1), 1)), lambda a: judged(a, at))
+
+        start = F.struct(F.create_map().cast("map<string,int>").alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
+        return F.aggregate(F.sequence(F.lit(1), F.size(chars)), start, step)["best"]
 
-    # Each position gives up to three steps: a character leaves, one enters, the full window is judged.
-    steps = F.flatten(F.transform(F.sequence(F.lit(1), F.length(value)), lambda i: F.filter(F.array(
-        F.struct(F.lit("leave").alias("do"), i.alias("at"), F.lit("").alias("new"),
-                 F.substring(value, i - window, F.lit(1)).alias("old")),
-        F.struct(F.lit("enter").alias("do"), i.alias("at"), F.substring(value, i, F.lit(1)).alias("new"), F.lit("").alias("old")),
-        F.struct(F.lit("judge").alias("do"), i.alias("at"), F.lit("").alias("new"), F.lit("").alias("old"))),
-        lambda s: (s["do"] != "leave") | (i > window))))
-    start = F.struct(F.create_map().cast("map<string,int>").alias("counts"), F.lit(0.0).alias("sum"), F.lit(0.0).alias("best"))
-    return F.aggregate(steps, start, lambda acc, s: F.when(s["do"] == "leave", leave(acc, s))
-                       .when(s["do"] == "enter", enter(acc, s)).otherwise(judge(acc, s)))["best"]
+    return let(F.split(value, ""), slid)
 
 
 def is_high_entropy(value: Column, window: int, thresholds: dict[str, float], allowed: tuple[str, ...]) -> Column:
@@ -119,15 +113,9 @@ def with_secrets(docs: DataFrame, result_col: str, text_col: str = "text", windo
         as_spans(good[kind], kind, rank) for rank, kind in enumerate(KINDS[:3])])))
     limits = {**THRESHOLDS, **(thresholds or {})}
     # A candidate that base spans cover wholly adds nothing; another one is tested whole.
-    def covered(m: Column, base: Column) -> Column:
-        reach = F.aggregate(base, m["start"], lambda at, s: F.when(
-            (s["start"] <= at) & (s["end"] > at), s["end"]).otherwise(at))
-        return reach >= m["end"]
-
-    outside = based.withColumn(names["candidate"], F.filter(F.transform(F.arrays_zip(F.col(names["candidate"]).alias("m"), F.array_repeat(
-        F.col(base_name), F.size(names["candidate"])).alias("base")), lambda z: F.struct(
-            z["m"].alias("m"), covered(z["m"], z["base"]).alias("inside"))),
-        lambda z: ~z["inside"]))
+    outside = based.withColumn(names["candidate"], F.filter(F.zip_with(
+        F.col(names["candidate"]), within_runs(F.col(names["candidate"]), F.col(base_name)),
+        lambda m, inside: F.struct(m.alias("m"), inside.alias("inside"))), lambda z: ~z["inside"]))
     added = F.transform(F.filter(names["candidate"], lambda z: is_high_entropy(z["m"]["value"], window, limits, allowed)),
                         lambda z: z["m"])
     result = outside.withColumn(result_col, F.sort_array(F.concat(F.col(base_name), as_spans(added, "entropy", 3))))
