@@ -278,18 +278,19 @@ LOWER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
 def test_top_k_with_ties_and_odd_vectors(spark):
     rng = np.random.default_rng(4)
     data = [(int(i), [float(x) for x in rng.integers(-3, 4, 6) / 256]) for i in range(400)]
-    data += [data[7], (1000, None), (1001, [1.0, float("nan"), 0.0, 0.0, 0.0, 0.0]), (1002, [1.0, None, 0.0, 0.0, 0.0, 0.0]),
+    data += [data[7], data[7], data[50], (1000, None), (1001, [1.0, float("nan"), 0.0, 0.0, 0.0, 0.0]), (1002, [1.0, None, 0.0, 0.0, 0.0, 0.0]),
              (None, [0.1] * 6), (1050, [0.5, 0.5]), (1051, [0.25, 0.5]), (1052, [])]
     vectors = spark.createDataFrame(data, "vec_id long, embedding array<double>")
     found = topk.top_k(vectors, vectors.filter("vec_id % 50 = 0"), shard_rows=90, block_rows=3).collect()
-    good = {i: [math.floor(256 * x) for x in v] for i, v in data
-            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)}
+    good = [(i, [math.floor(256 * x) for x in v]) for i, v in data
+            if i is not None and v and all(x is not None and math.isfinite(x) for x in v)]
     expected = []
-    for q, v in good.items():
+    for q, v in good:
         if q % 50 == 0:
-            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good.items() if i != q and len(w) == len(v))[:5]
+            best = sorted((-sum(a * b for a, b in zip(v, w)), i) for i, w in good if i != q and len(w) == len(v))[:5]
             expected += [(q, rank, i, -s) for rank, (s, i) in enumerate(best, 1)]
     assert sorted(tuple(r) for r in found) == sorted(expected)
+    assert topk.top_k(vectors.limit(0), vectors).count() == topk.top_k(vectors, vectors.limit(0)).count() == 0
 
 
 # --- learned operators -------------------------------------------------------

@@ -196,8 +196,10 @@ def one_per_component(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
 
     The smallest identifier of a component stays; among rows of one identifier
     (or of none) the smallest text hash decides, and of fully equal rows one stays.
+    Identifiers may be numbers or strings; an empty table stays empty.
     """
-    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col), F.lit(0)).alias("id"),
+    none = F.lit("0").cast(docs.select(id_col).schema[0].dataType)
+    key = F.struct(F.col(id_col).isNull().alias("no_id"), F.coalesce(F.col(id_col), none).alias("id"),
                    F.xxhash64(F.col(text_col).cast("string")).alias("h"))
     found = simhash_components(docs.select(key.alias("key"), F.col(text_col).alias("text")), "key", "text", **options)
     keep = cut(found.filter(F.col("key") == F.col("component_id")).groupBy("key").agg(F.count("*").alias("copies")))

@@ -1,11 +1,12 @@
 """Exact top-k inner-product search with ball trees.
 
-Candidate rows are dealt to shards of bounded size; each shard builds a ball
-tree. A query visits nodes in the order of the largest inner product that their
-ball allows, <q, centre> + |q| * radius, and leaves out those below its kth score
-so far. That score is shared: a first search of one shard gives every other
-shard's search its starting kth scores, and within a task each shard passes its
-kth scores on to the next.
+Candidate rows are dealt to shards of bounded size; each shard builds its ball
+tree once, and the queries, a distributed side of their own, pass it as a stream
+of chunks. A query visits nodes in the order of the largest inner product that
+their ball allows, <q, centre> + |q| * radius, and leaves out those below its kth
+score so far. That score is shared: the first shard is searched before the others
+(by blocks of queries, since one task must not meet them all) and gives every
+other shard's search its starting kth scores.
 """
 
 from __future__ import annotations
@@ -20,6 +21,7 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import cut
 
 LEAF = 64
+CHUNK = 1024
 EXACT = 2.0 ** 53
 LOWEST = -(1 << 62)
 
@@ -111,81 +113,82 @@ def top_k(vectors: DataFrame, queries: DataFrame, id_col: str = "vec_id", vector
           scale: int = 256, shard_rows: int = 4096, block_rows: int = 4096) -> DataFrame:
     """query_id, rank (from 1), vec_id, score: the ``k`` highest integer inner products of each query.
 
-    Candidates are all rows of ``vectors`` but those with the query's own id.
-    Queries are searched in blocks of at most ``block_rows``, which bounds what a
-    task holds beside one shard of about ``shard_rows`` rows.
+    Candidates are all rows of ``vectors`` but those with the query's own id. A task
+    holds one shard of about ``shard_rows`` rows and one chunk of queries; the first
+    shard meets the queries in blocks of about ``block_rows``.
 
     Defined cases: vectors (or ids) that are null, empty or hold a null or non-finite
     component take no part; only vectors of the query's length are its
-    candidates; fully repeated rows count once, different vectors of one id are
-    candidates each, and as queries give the id's best results; ties go to the
-    smaller id; fewer candidates than ``k`` give fewer rows.
+    candidates; a repeated row is a candidate as often as it stands, and a repeated
+    query gives its rows each time; ties go to the smaller id; fewer candidates
+    than ``k`` give fewer rows; an empty table gives no rows.
     """
     def prepared(df: DataFrame) -> DataFrame:
         whole = df.select(F.col(id_col).cast("long").alias("id"), quantised(F.col(vector_col), scale).alias("v"))
-        return whole.filter("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").distinct()
-
-    rows = prepared(vectors)
-    shards = max(1, -(-rows.count() // shard_rows))
-    dealt = cut(rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int"))
-                .withColumn("dim", F.size("v")).repartition(shards, "shard"))
-    wanted = prepared(queries)
-    blocks = max(1, -(-wanted.count() // block_rows))
-    wanted = cut(wanted.withColumn("block", F.pmod(F.xxhash64("id", "v"), F.lit(blocks))))
-    results = None
-    for block in range(blocks):
-        # At most about block_rows queries, by their hash, come to the driver and go to the tasks.
-        own = wanted.filter(F.col("block") == block).select("id", "v").collect()
-        own.sort(key=lambda r: (len(r["v"]), r["id"], r["v"]))
-        by_dim: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-        for dim in sorted({len(r["v"]) for r in own}):
-            same = [r for r in own if len(r["v"]) == dim]
-            by_dim[dim] = (np.array([r["id"] for r in same], dtype=np.int64), np.array([r["v"] for r in same], dtype=np.int64))
-        if not by_dim:
-            continue
-        first = searched(dealt.filter("shard = 0"), by_dim, k, {})
-        floors: dict[int, np.ndarray] = {d: np.full(len(i), float(LOWEST)) for d, (i, _) in by_dim.items()}
-        kth = first.groupBy("dim", "query").agg(F.count("*").alias("n"), F.min("score").alias("kth")).filter(F.col("n") >= k)
-        for r in kth.collect():
-            floors[r["dim"]][r["query"]] = r["kth"]
-        part = searched(dealt, by_dim, k, floors)
-        results = part if results is None else results.unionAll(part)
-    if results is None:
-        results = dealt.sparkSession.createDataFrame([], "dim int, query int, query_id long, vec_id long, score long")
-    order = (F.col("score").desc(), F.col("vec_id"), F.col("query"))
-    ranked = results.withColumn("rank", F.row_number().over(Window.partitionBy("query_id").orderBy(*order)))
+        whole = cut(whole.filter("id IS NOT NULL AND v IS NOT NULL AND size(v) > 0").withColumn("dim", F.size("v")))
+        return whole.withColumn("row", F.monotonically_increasing_id())
+
+    def spread(over: int) -> Column:
+        return F.pmod(F.xxhash64("row"), F.lit(over)).cast("int")
+
+    def every(numbers: int) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.lit(numbers - 1)))
+
+    # Rows are dealt by their number, so that many copies of one row spread like any others.
+    rows, wanted = prepared(vectors), prepared(queries)
+    shards, blocks = max(1, -(-rows.count() // shard_rows)), max(1, -(-wanted.count() // block_rows))
+    rows = rows.withColumn("shard", spread(shards))
+    unknown = wanted.withColumn("floor", F.lit(None).cast("long")).withColumn("cell", spread(blocks))
+    first = cut(searched(rows.filter("shard = 0").withColumn("cell", every(blocks)), unknown, k, blocks))
+    results = first
+    if shards > 1:
+        kth = first.groupBy("row").agg(F.count("*").alias("n"), F.min("score").alias("floor")).filter(F.col("n") >= k)
+        known = wanted.join(kth.select("row", "floor"), "row", "left")
+        rest = F.explode(F.sequence(F.lit(1), F.lit(shards - 1)))
+        results = first.unionAll(searched(rows.filter("shard > 0").withColumn("cell", F.col("shard")),
+                                          known.withColumn("cell", rest), k, shards))
+    order = Window.partitionBy("row").orderBy(F.col("score").desc(), "vec_id")
+    ranked = results.withColumn("rank", F.row_number().over(order))
     return ranked.filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
-def searched(dealt: DataFrame, by_dim: dict[int, tuple[np.ndarray, np.ndarray]], k: int,
-             floors: dict[int, np.ndarray]) -> DataFrame:
-    """The k best of every task's shards for each query, none below the shared kth score."""
-    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = {d: Best(len(ids), k, floors.get(d)) for d, (ids, _) in by_dim.items()}
-        pending: dict[tuple[int, int], tuple[list, list]] = {}
-
-        def finish(key: tuple[int, int]) -> None:
-            dim = key[1]
-            ids, vectors = pending.pop(key)
-            if dim in by_dim:
-                tree = BallTree(np.array(ids, dtype=np.int64), np.array(vectors, dtype=np.int64).reshape(len(ids), dim))
-                tree.search(by_dim[dim][1], by_dim[dim][0], best[dim])
+def searched(held: DataFrame, asked: DataFrame, k: int, cells: int) -> DataFrame:
+    """row, query_id, vec_id, score: each query's k best in its cell, none below its floor (the shared kth score)."""
+    names = ("cell", "dim", "part", "row", "id", "v", "floor")
+    nothing = F.lit(None).cast("long")
+    both = held.withColumns({"part": F.lit(0), "row": nothing, "floor": nothing}).select(*names).unionAll(
+        asked.withColumn("part", F.lit(1)).select(*names))
+    placed = both.repartition(cells, "cell").sortWithinPartitions("cell", "dim", "part")
 
+    def search(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        key, ids, vectors, tree = None, [], [], None
         for batch in batches:
-            data = batch.to_pydict()
-            for shard, dim, i, v in zip(data["shard"], data["dim"], data["id"], data["v"]):
-                # Rows come sorted by shard and length: a new key ends the one before.
-                for done in [key for key in pending if key != (shard, dim)]:
-                    finish(done)
-                ids, vectors = pending.setdefault((shard, dim), ([], []))
-                ids.append(i)
-                vectors.append(v)
-        for done in list(pending):
-            finish(done)
-        out = [(d, q, int(by_dim[d][0][q]), i, -s) for d, b in best.items() for q, f in enumerate(b.found) for s, i in f]
-        names = ("dim", "query", "query_id", "vec_id", "score")
-        kinds = (pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.int64())
-        yield pa.RecordBatch.from_pydict({n: pa.array([r[c] for r in out], t) for c, (n, t) in enumerate(zip(names, kinds))})
-
-    return dealt.sortWithinPartitions("shard", "dim").select("shard", "dim", "id", "v").mapInArrow(
-        search, "dim int, query int, query_id long, vec_id long, score long")
+            marks = np.stack([batch.column(c).to_numpy() for c in names[:3]], axis=1)
+            starts = np.flatnonzero(np.append(True, (marks[1:] != marks[:-1]).any(axis=1)))
+            for low, high in zip(starts, np.append(starts[1:], len(marks))):
+                if tuple(marks[low, :2]) != key:
+                    key, ids, vectors, tree = tuple(marks[low, :2]), [], [], None
+                piece = batch.slice(low, high - low)
+                own = piece.column("id").to_numpy()
+                v = piece.column("v").flatten().to_numpy().reshape(len(piece), -1)
+                if marks[low, 2] == 0:
+                    ids.append(own)
+                    vectors.append(v)
+                    continue
+                if not ids:
+                    continue  # no candidate of this length in the cell
+                tree = tree or BallTree(np.concatenate(ids), np.concatenate(vectors))
+                for at in range(0, len(piece), CHUNK):
+                    part = piece.slice(at, CHUNK)
+                    floor = np.array([LOWEST if f is None else f for f in part.column("floor").to_pylist()], dtype=np.float64)
+                    best = Best(len(part), k, floor)
+                    tree.search(v[at:at + CHUNK], own[at:at + CHUNK], best)
+                    found = [len(f) for f in best.found]
+                    yield pa.RecordBatch.from_arrays([
+                        pa.array(np.repeat(part.column("row").to_numpy(), found)),
+                        pa.array(np.repeat(own[at:at + CHUNK], found)),
+                        pa.array([i for f in best.found for _, i in f], pa.int64()),
+                        pa.array([-s for f in best.found for s, _ in f], pa.int64())],
+                        ["row", "query_id", "vec_id", "score"])
+
+    return placed.mapInArrow(search, "row long, query_id long, vec_id long, score long")
