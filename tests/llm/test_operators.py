@@ -78,21 +78,15 @@ def test_personal_data_base_spans(spark):
 
 def test_terms_that_reveal_an_entity(spark):
     told = "call zanzibar office at x@y.org today"
-    texts = [told] * 4 + ["call the office today about the call"] * 30
+    texts = [told] * 12 + ["call the office today about the call"] * 120
     docs = rows(spark, enumerate(texts))
-    shares = {}
-    near = Counter(re.findall(r"[a-z]{3,}", told.replace("x@y.org", "")))
-    everywhere = Counter(w for t in texts for w in re.findall(r"[a-z]{3,}", t))
-    n, around = sum(everywhere.values()), 4 * sum(near.values())
-    for w, c in near.items():
-        shares[w] = math.log(4 * c * n / (everywhere[w] * around)) / math.log(n / around)
-    expected = {w for w, s in shares.items() if s >= pii.GENERALISE}
+    expected = {told[a:e] for i, a, e in terms_by_hand(texts) if i == 0}
     out = {r["doc_id"]: r["terms"] for r in pii.personal_data(docs).collect()}
     assert {told[t["start"]:t["end"]] for t in out[0]} == expected and "zanzibar" in expected
     assert {t["action"] for t in out[0] if told[t["start"]:t["end"]] == "zanzibar"} == {"remove"}
-    assert not out[10]
+    assert not out[20]
     clean = {r["doc_id"]: r["text"] for r in pii.sanitise(docs).collect()}
-    assert "zanzibar" not in clean[0] and "[EMAIL]" in clean[0] and clean[10] == texts[10]
+    assert "zanzibar" not in clean[0] and "[EMAIL]" in clean[0] and clean[20] == texts[20]
 
 
 def terms_by_hand(texts):
@@ -107,7 +101,7 @@ def terms_by_hand(texts):
         p = sum(near.values()) / n
         for i in rows_of:
             for w, a, e in words[i]:
-                share = math.log((near[w] + 0.5 * p) / ((everywhere[w] + 0.5) * p)) / -math.log(p)
+                share = math.log((near[w] + 0.5 * p) / ((everywhere[w] + 0.5) * p)) / -math.log(p) * near[w] / (near[w] + 0.5)
                 if share >= pii.GENERALISE and not any(x < e and y > a for _, x, y in spans[i]):
                     out[i, a, e] = max(share, out.get((i, a, e), 0))
     return {k: "remove" if share >= pii.REMOVE else "generalise" for k, share in out.items()}
@@ -118,12 +112,14 @@ def test_rare_entities_and_far_terms_are_judged(spark):
     # An address seen once; the name stands in the heading, far from the address, and again at the end.
     once = f"Zanzibar notes\n{filler * 2}write to x@y.org now. {filler}Yours, ZANZIBAR"
     twice = [f"Quokka {filler}call 10.1.2.3 or k@l.de or m@n.de", f"{filler}quokka is at 10.1.2.3 with k@l.de"]
-    texts = [once, *twice, *[filler] * 200, "Zebra " + filler]
+    # A word that is merely rare, beside an address: one sight is no evidence.
+    texts = [once, *twice, *[filler] * 400, "Zebra " + filler, f"Xylophone {filler} a@b.cd"]
     found = {(r["doc_id"], t["start"], t["end"]): t["action"] for r in pii.personal_data(rows(spark, enumerate(texts))).collect()
              for t in r["terms"]}
     assert found == terms_by_hand(texts)
     assert {once[a:e] for i, a, e in found if i == 0} >= {"Zanzibar", "ZANZIBAR"}
-    assert {texts[i][a:e].lower() for i, a, e in found if i in (1, 2)} >= {"quokka"} and not any(i > 2 for i, _, _ in found)
+    assert {texts[i][a:e].lower() for i, a, e in found if i in (1, 2)} >= {"quokka"}
+    assert not any(i > 2 for i, _, _ in found)
     clean = {r["doc_id"]: r["text"].lower() for r in pii.sanitise(rows(spark, enumerate(texts))).collect()}
     assert "zanzibar" not in clean[0] and "quokka" not in clean[1] + clean[2] and "the office" in clean[0]
 

@@ -9,9 +9,12 @@ among those, the term discloses
     PMI(t; e) / IC(e) = log((c(t, e) + m p(e)) / ((c(t) + m) p(e))) / log(1 / p(e))
 
 of the entity's information content; 1 means that the term occurs in documents of the
-entity only. The m = PRIOR words of smoothing weaken what was seen seldom, so every
-pair is judged, however rare. In documents that mention the entity all occurrences of
-a term are generalised from a first threshold on, removed from a second one on.
+entity only. A word seen once always does, which says little: as usual for PMI of small
+counts, the share is discounted by c(t, e) / (c(t, e) + m), whatever the size of the
+corpus. With m = PRIOR words one sight with the entity stays below the thresholds, two
+can reach the first, and the second takes three at least; every pair is judged. In documents that mention the
+entity all occurrences of a term are generalised from a first threshold on, removed
+from a second one on.
 """
 
 from __future__ import annotations
@@ -36,7 +39,7 @@ PATTERNS = {
 }
 TERM = "[\\p{L}]{3,}"
 GENERALISE = 0.75
-REMOVE = 0.95
+REMOVE = 0.85
 # Words of independent use that each term is credited with, so that one sight is weaker evidence than several.
 PRIOR = 0.5
 
@@ -122,7 +125,7 @@ def disclosure(private: DataFrame, docs: DataFrame, text_col: str) -> DataFrame:
     joined = pairs.join(counts, "term").join(entities, "group").filter(F.col("near") < total)
     p = F.col("near") / F.lit(float(total))
     pmi = F.log((F.col("both") + PRIOR * p) / ((F.col("everywhere") + PRIOR) * p))
-    return joined.select("group", "term", F.round(pmi / -F.log(p), 9).alias("share"))
+    return joined.select("group", "term", F.round(pmi / -F.log(p) * F.col("both") / (F.col("both") + PRIOR), 9).alias("share"))
 
 
 def with_terms(docs: DataFrame, id_cols: list[str], text_col: str, generalise: float, remove: float) -> DataFrame:

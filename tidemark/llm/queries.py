@@ -65,8 +65,10 @@ def op7_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op1_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.personal_data(table(spark, sf_dir, "documents"))
     counts = [secret_scan.count_of(F.col("base"), kind).alias(f"n_{kind}") for kind in pii.KINDS[:4]]
+    actions = F.array_join(F.transform("terms", lambda t: F.concat_ws(
+        ":", t["action"], t["start"].cast("string"), t["end"].cast("string"))), ",")
     return found.select("doc_id", *counts, F.sha2(digest_text(F.col("base")), 256).alias("base_sha256"),
-                        digest_text(pii.all_spans(F.col("base"), F.col("terms"))).alias("spans"))
+                        digest_text(pii.all_spans(F.col("base"), F.col("terms"))).alias("spans"), actions.alias("actions"))
 
 
 def op6_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
