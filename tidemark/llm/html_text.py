@@ -8,7 +8,13 @@ second pass lets undecided blocks inherit the class of their nearest decided
 neighbours. An article or main tag is evidence: within it, the edges count as good,
 short blocks need one good neighbour and a block that only its stop words speak
 against is likely good; outside it, the edge to it counts as bad. Blocks outside are
-judged like those of a page without the tag.
+judged like those of a page without the tag. A header within an article is boilerplate
+but for its headings, which are the article's title.
+On a page without the tag only other text decides, neither edges nor boilerplate: a
+heading goes with the text that follows it, a paragraph with its nearest decided
+neighbour, any other short block (a cell, a loose line) needs a good one on both sides.
+Containers whose class or id alone tells of boilerplate are opened again if the page has no
+other text than theirs, unless they are named as adverts, comments or consent notices.
 On a page where no block has the stop words of a known language, length and links decide.
 """
 
@@ -26,6 +32,8 @@ from pyspark.sql import functions as F
 BLOCK_TAGS = frozenset("""address article aside blockquote body caption center dd details dialog dir div dl dt fieldset
     figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr html legend li main menu nav ol optgroup option p pre
     section summary table tbody td tfoot th thead title tr ul""".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+PARAGRAPHS = frozenset("p blockquote pre".split())
 VOID_TAGS = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW_TAGS = frozenset("script style textarea title noscript iframe template svg math object noframes".split())
 SHUT_TAGS = frozenset("nav header footer aside form menu head button select dialog".split())
@@ -34,6 +42,10 @@ SHUT_WORDS = re.compile(
     r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|notice|popup|modal|"
     r"newsletter|subscribe|comment|comments|respond|reply|replies|disqus|nav|navbar|navigation|menu|breadcrumb|breadcrumbs|"
     r"sidebar|aside|widget|related|share|sharing|social|footer|masthead|pagination|login|search)(?:[\s_-]|$)", re.I)
+# Those of them that never hold the page's own text.
+NEVER_WORDS = re.compile(
+    r"(?:^|[\s_-])(?:ad|ads|advert|adverts|advertisement|banner|sponsor|sponsored|promo|cookie|cookies|consent|popup|modal|"
+    r"newsletter|subscribe|comment|comments|respond|reply|replies|disqus)(?:[\s_-]|$)", re.I)
 SHUT_ROLES = re.compile(r"role\s*=\s*[\"']?(?:navigation|banner|contentinfo|complementary|search|form|alert|dialog|menu)", re.I)
 NAMES = re.compile(r"\b(?:class|id)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 TAG = re.compile(r"<(?:!--|(/?)([A-Za-z][^\s/>]*)|[!?])")
@@ -57,21 +69,26 @@ MOST_LINKS = 0.33
 
 
 class Block:
-    __slots__ = ("pieces", "link_chars", "shut", "article")
+    __slots__ = ("pieces", "link_chars", "tag", "shut", "article")
 
-    def __init__(self, shut: bool, article: int):
+    def __init__(self, tag: str, shut: bool, article: int):
         self.pieces: list[str] = []
         self.link_chars = 0
+        self.tag = tag
         self.shut = shut
         self.article = article
 
 
-def blocks_of(page: str) -> list[Block]:
+# What a container does to the blocks in it.
+OPEN, SHUT, TITLE = 0, 1, 2  # TITLE: the header of an article, shut but for headings
+
+
+def blocks_of(page: str, shut_words: re.Pattern = SHUT_WORDS) -> list[Block]:
     """The non-empty blocks of a page in order."""
     out: list[Block] = []
-    stack: list[tuple[str, bool, int]] = [("", False, 0)]  # tag, within boilerplate, number of the article
+    stack: list[tuple[str, int, int]] = [("", OPEN, 0)]  # tag, state, number of the article
     links, articles = 0, 0
-    block = Block(False, 0)
+    block = Block("", False, 0)
 
     def text(raw: str) -> None:
         if raw:
@@ -84,7 +101,7 @@ def blocks_of(page: str) -> list[Block]:
         nonlocal block
         if block.pieces:
             out.append(block)
-        block = Block(stack[-1][1], stack[-1][2])
+        block = Block(stack[-1][0], stack[-1][1] != OPEN, stack[-1][2])
 
     at, size, quotes_end = 0, len(page), {'"': True, "'": True}
     while at < size:
@@ -139,13 +156,20 @@ def blocks_of(page: str) -> list[Block]:
             if name == "p" or name[0] == "h" and name[1:].isdigit():  # these end an open paragraph
                 while stack[-1][0] == "p":
                     stack.pop()
-            shut = stack[-1][1] or name in SHUT_TAGS or (name not in ("body", "html", "article", "main") and boilerplate(attributes))
-            number = stack[-1][2]
-            if name in ("article", "main") and not number and not shut:
+            state, number = stack[-1][1:]
+            if name not in ("body", "html", "article", "main") and boilerplate(attributes, shut_words):
+                state = SHUT
+            elif state == TITLE and name in HEADINGS:
+                state = OPEN
+            elif name == "header" and number and state == OPEN:
+                state = TITLE
+            elif name in SHUT_TAGS and not (name == "header" and state == TITLE):
+                state = SHUT
+            if name in ("article", "main") and not number and state == OPEN:
                 articles += 1
                 number = articles
             if name not in VOID_TAGS:
-                stack.append((name, shut, number))
+                stack.append((name, state, number))
             links = 0
             fresh()
     if block.pieces:
@@ -153,12 +177,12 @@ def blocks_of(page: str) -> list[Block]:
     return out
 
 
-def boilerplate(attributes: str) -> bool:
+def boilerplate(attributes: str, shut_words: re.Pattern = SHUT_WORDS) -> bool:
     if not attributes:
         return False
     if SHUT_ROLES.search(attributes):
         return True
-    return any(SHUT_WORDS.search(a or b or c) for a, b, c in NAMES.findall(attributes))
+    return any(shut_words.search(a or b or c) for a, b, c in NAMES.findall(attributes))
 
 
 def stop_share(text: str) -> float:
@@ -182,7 +206,7 @@ def first_pass(text: str, link_chars: int, known: bool = True) -> str:
 
 
 def second_pass(classes: list[str], inside: bool) -> list[bool]:
-    """Whether each block stays; undecided ones look to the nearest decided block on either side.
+    """Whether each block of a page with an article stays; undecided ones look to the nearest decided block on either side.
 
     Within a marked article an end without a decided block counts as good,
     elsewhere as bad. A likely good block stays if either side is good, and so
@@ -205,10 +229,49 @@ def second_pass(classes: list[str], inside: bool) -> list[bool]:
     return keep
 
 
+def second_pass_plain(classes: list[str], tags: list[str]) -> list[bool]:
+    """Whether each block of a page without an article stays; the ends of the page decide nothing."""
+    def decided(order: range) -> list[tuple[str, int]]:
+        out, last, distance = [("", 0)] * len(classes), "", 0
+        for i in order:
+            out[i] = (last, distance + 1)
+            last, distance = (classes[i], 0) if classes[i] in ("good", "bad") else (last, distance + 1)
+        return out
+
+    before, after = decided(range(len(classes))), decided(range(len(classes) - 1, -1, -1))
+    keep = []
+    for c, tag, (a, to_a), (b, to_b) in zip(classes, tags, before, after):
+        if c in ("good", "bad"):
+            keep.append(c == "good")
+        elif c == "near":
+            keep.append("good" in (a, b))
+        elif tag in HEADINGS:
+            keep.append(b == "good")
+        elif tag in PARAGRAPHS and a != b:
+            # The nearest one decides, of two at the same distance the good one; an end is none.
+            keep.append(a == "good" and (not b or to_a <= to_b) or b == "good" and (not a or to_b <= to_a))
+        else:
+            keep.append(a == b == "good")
+    return keep
+
+
+def texts_of(page: str, shut_words: re.Pattern = SHUT_WORDS) -> list[tuple[Block, str]]:
+    """The blocks that hold text, with white space as one space."""
+    found = [(b, " ".join("".join(b.pieces).split())) for b in blocks_of(page, shut_words)]
+    return [(b, t) for b, t in found if t]
+
+
+def has_own_text(found: list[tuple[Block, str]]) -> bool:
+    """Whether any open block is of an article or, by itself, likely good."""
+    return any(not b.shut and (b.article or first_pass(t, b.link_chars) in ("good", "near")) for b, t in found)
+
+
 def main_text(page: str | None) -> str:
     """The main text: blocks joined by two line feeds, white space within a block as one space."""
-    found = [(b, " ".join("".join(b.pieces).split())) for b in blocks_of(page or "")]
-    found = [(b, t) for b, t in found if t]
+    found = texts_of(page or "")
+    if any(b.shut for b, _ in found) and not has_own_text(found):
+        opened = texts_of(page, NEVER_WORDS)
+        found = opened if has_own_text(opened) else found
     known = any(not b.shut and len(t) >= SHORT_CHARS and stop_share(t) >= LOW_STOPS for b, t in found)
     classes = ["bad" if b.shut else first_pass(t, b.link_chars, known) for b, t in found]
     # Tables and lists of an article have few stop words: there these alone do not reject a block.
@@ -219,6 +282,11 @@ def main_text(page: str | None) -> str:
         if "good" not in classes:
             inside = any(c == weaker and b.article for c, (b, _) in zip(classes, found))
             classes = ["good" if c == weaker and (b.article or not inside) else c for c, (b, _) in zip(classes, found)]
+    if not any(b.article for b, _ in found):
+        # Nor is a boilerplate container a neighbour to the text of a page without an article.
+        own = [i for i, (b, _) in enumerate(found) if not b.shut]
+        keep = second_pass_plain([classes[i] for i in own], [found[i][0].tag for i in own])
+        return "\n\n".join(found[i][1] for i, k in zip(own, keep) if k)
     stays = [False] * len(found)
     for number, run in groupby(range(len(found)), key=lambda i: found[i][0].article):
         # A boilerplate container within an article is no neighbour to its text.
@@ -240,7 +308,8 @@ def extract(pages: DataFrame, id_col: str = "page_id", html_col: str = "html") -
     """``pages`` with their main ``text`` instead of ``html_col``'s markup: ``id_col``, url if any, text, n_chars.
 
     Defined cases: null, empty or text-free pages give an empty text; unclosed
-    tags end with their container or the page; a repeated page gives a repeated
+    tags end with their container or the page; headings within the header of an
+    article are its title and stay; a repeated page gives a repeated
     row; all other columns are dropped.
     """
     columns = [F.col(id_col).alias("id"), *([F.col("url")] if "url" in pages.columns else [])]
