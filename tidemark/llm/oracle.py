@@ -6,7 +6,7 @@ disclosure) are held against brute force or held-out accuracy in the tests.
 
 from __future__ import annotations
 
-from tidemark.llm.licenses import CATALOGUE, SPELLINGS
+from tidemark.llm.licenses import CATALOGUE, END_OF_TERMS, NAMES, SPELLINGS, TEXTS, TITLES, VERBS
 from tidemark.llm.secret_scan import ALLOWED, THRESHOLDS, WINDOW
 
 OP5 = r"""
@@ -41,15 +41,16 @@ FROM doc LEFT JOIN hit USING (r) LEFT JOIN ids USING (r)
 
 OP7 = """
 WITH v AS (
-  SELECT DISTINCT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS q
   FROM embeddings
-  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
 pair AS (
-  SELECT a.vec_id AS query_id, b.vec_id,
+  SELECT a.r, a.vec_id AS query_id, b.vec_id,
     CAST(list_sum(list_transform(list_zip(a.q, b.q), lambda z: z[1] * z[2])) AS BIGINT) AS score
   FROM v a JOIN v b ON a.vec_id % 50 = 0 AND a.vec_id <> b.vec_id AND len(a.q) = len(b.q))
 SELECT query_id, CAST(rank AS INTEGER) AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM pair)
+FROM (SELECT *, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) AS rank FROM pair)
 WHERE rank <= 5
 """
 
@@ -58,19 +59,45 @@ def quoted(s: str) -> str:
     return "'" + s.replace("'", "''") + "'"
 
 
+MARKS = r"^[ \t#/*;%!>|<-]*"
+ANY_COPYRIGHT = MARKS + r"(?:copyright|\(c\)|©|all rights reserved)"
+LICENSE_COPYRIGHT = MARKS + (r"copyright[ \t]+(?:holders?|owners?|notices?|statements?|laws?|licen[sc]e|interest|and|or)\b")
+WORDING = (r"(?:released under|licen[sc]ed under|distributed under|this work is licen[sc]ed|permission is hereby|permission to use|"
+           r"redistribution and use|everyone is permitted)\b")
+
+
 def canonical_sql(text: str) -> str:
-    """The canonical form of each line of ``text``."""
-    sql = f"regexp_replace(lower({text}), '(?m)^[ \\t]*(?:copyright|\\(c\\)|©|all rights reserved)[^\\n]*$', '', 'g')"
+    """The canonical form of each line of ``text``; of a copyright statement only licence wording after it stays."""
+    sql = f"""array_to_string(list_transform(string_split(lower({text}), chr(10)), lambda line:
+      CASE WHEN regexp_matches(line, {quoted(ANY_COPYRIGHT)}) AND NOT regexp_matches(line, {quoted(LICENSE_COPYRIGHT)})
+        THEN regexp_extract(line, {quoted(ANY_COPYRIGHT + '.*?[ \\t](' + WORDING + '.*)$')}, 1) ELSE line END), chr(10))"""
     for other, one in SPELLINGS:
         sql = f"replace({sql}, {quoted(other)}, {quoted(one)})"
     signs = r"\x00-\x09\x0B-\x1F\x21-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F©“”‘’«»–—"
     return f"regexp_replace({sql}, '\\x20*[{signs}][{signs}\\x20]*|\\x20{{2,}}', ' ', 'g')"
 
 
+def values(rows) -> str:
+    return ", ".join(f"({', '.join(quoted(v) for v in row)})" for row in rows)
+
+
+# The whole catalogue: rows of its own, entire texts with and without what follows their terms, with bullets and titles, notices.
 OP6 = f"""
-WITH known AS (
+WITH entire(l, t) AS (VALUES {values((p.stem, p.read_text(encoding="utf-8")) for p in sorted(TEXTS.glob("*.txt")))}),
+title(l, title) AS (VALUES {values(TITLES.items())}),
+listed AS (SELECT l, t, title FROM entire JOIN title USING (l)
+  UNION ALL SELECT l, regexp_replace(t, '(?m)^\\d\\. ', '* ', 'g'), title FROM entire JOIN title USING (l)),
+notice(l, t) AS (VALUES {values((name, form) for name, forms in NAMES for form in forms)}),
+verb(v) AS (VALUES {values((v,) for v in VERBS)}),
+catalogue(l, t) AS (VALUES {values(CATALOGUE)}
+  UNION ALL SELECT l, t FROM entire
+  UNION ALL SELECT l, split_part(t, '{END_OF_TERMS}', 1) || e FROM entire, (VALUES (''), ('{END_OF_TERMS}')) AS ends(e)
+    WHERE contains(t, '{END_OF_TERMS}')
+  UNION ALL SELECT l, t FROM listed UNION ALL SELECT l, title || chr(10) || chr(10) || t FROM listed
+  UNION ALL SELECT l, v || ' ' || t || '.' FROM notice, verb),
+known AS (
   SELECT trim(regexp_replace({canonical_sql('t')}, '\\x20*\\n[\\x20\\n]*', ' ', 'g')) AS form, min(l) AS license
-  FROM (VALUES {', '.join(f'({quoted(i)}, {quoted(t)})' for i, t in CATALOGUE)}) AS c(l, t) GROUP BY form),
+  FROM catalogue GROUP BY form HAVING form <> ''),
 doc AS (SELECT row_number() OVER () AS r, doc_id, {canonical_sql("coalesce(text, '')")} AS form FROM documents),
 line AS (
   SELECT r, string_agg(license, ',' ORDER BY license) AS lines, count(*) AS n
