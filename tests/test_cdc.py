@@ -119,3 +119,21 @@ def test_change_without_commit_time_is_quarantined(spark):
     good, bad = cdc.split_valid(env, "user_id")
     assert good.count() == 1
     assert [r[cdc.REASON] for r in bad.collect()] == ["missing_ts"]
+
+
+@pytest.mark.parametrize("query", ["q_cdc_flatten", "q_cdc_quarantine"])
+def test_each_record_is_parsed_once(spark, query):
+    from tidemark import registry as R
+    plan = getattr(R, query)(spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == 1, plan
+
+
+def test_envelope_of_texts_that_are_none(spark):
+    from pyspark.sql import types as T
+    image = T.StructType([T.StructField("user_id", T.LongType())])
+    schema = T.StructType([T.StructField("op", T.StringType()), T.StructField("after", image)])
+    texts = ['{"op": "u", "after": {"user_id": 1}}', "{}", "", "{cut", '{"op": "u", "after": {"user_id": "x"}}', "null", "[]", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "n int, value string")
+    got = {r["n"]: r["e"] for r in cdc.with_envelope(df, F.col("value"), schema, "e").collect()}
+    assert len(got) == 8 and (got[0].op, got[0].after.user_id) == ("u", 1) and (got[1].op, got[1].after) == (None, None)
+    assert all(got[n] is None for n in range(2, 8))

@@ -42,10 +42,9 @@ def decode_topic_records(records: DataFrame, envelope_schema: T.StructType) -> D
     the last dot-separated part of the topic. Unparsable values keep a NULL
     envelope and are quarantined by ``split_valid``.
     """
-    r = records.where(F.col("value").isNotNull())
+    r = with_envelope(records.where(F.col("value").isNotNull()), F.col("value"), envelope_schema, "_env")
     cols = [c for c in records.columns if c != "value"]
-    return r.select(*cols, entity_of("topic").alias("table"), parsed_envelope(F.col("value"), envelope_schema).alias("_env"),
-                    F.col("value").alias("_raw"))
+    return r.select(*cols, entity_of("topic").alias("table"), "_env", F.col("value").alias("_raw"))
 
 
 def entity_of(topic: str) -> Column:
@@ -53,6 +52,19 @@ def entity_of(topic: str) -> Column:
     return F.element_at(F.split(F.col(topic), r"\."), -1)
 
 
+def with_envelope(records: DataFrame, value: Column, envelope_schema: T.StructType, name: str) -> DataFrame:
+    """``records`` and, as column ``name``, the envelope in the JSON text ``value``; NULL if it is none.
+
+    A generator of one row parses each text once. As a plain expression the parse would be
+    repeated for every field and in every filter that looks at the envelope.
+    """
+    # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
+    tagged = T.StructType([*envelope_schema.fields, T.StructField("_bad", T.StringType())])
+    whole = F.from_json(value, tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+    parsed = records.select("*", F.explode(F.array(whole)).alias(name))
+    return parsed.withColumn(name, F.when(F.col(name)["_bad"].isNull(), F.col(name).dropFields("_bad")))
+
+
 def parsed_envelope(value: Column, envelope_schema: T.StructType) -> Column:
     """The envelope in a JSON text; NULL if it is none."""
     # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
@@ -114,18 +126,22 @@ def flatten(envelopes: DataFrame, key: str, image_cols: Sequence[str], env: str
     return envelopes.select(*cols)
 
 
+def tag_casts(df: DataFrame, types: dict[str, T.DataType]) -> DataFrame:
+    """``df`` with each column of ``types`` cast as ``_cast_<column>`` and ``_reject_reason``
+    (``bad_<column>``) where a non-NULL value does not parse."""
+    out = df.withColumns({f"_cast_{name}": F.col(name).try_cast(dtype) for name, dtype in types.items()})
+    reason = F.lit(None).cast("string")
+    for name in types:
+        bad = F.col(name).isNotNull() & F.col(f"_cast_{name}").isNull()
+        reason = F.coalesce(reason, F.when(bad, F.lit(f"bad_{name}")))
+    return out.withColumn(REASON, reason)
+
+
 def cast_columns(df: DataFrame, types: dict[str, T.DataType]) -> tuple[DataFrame, DataFrame]:
     """``try_cast`` string payload columns; rows where a non-NULL value does not
     parse go to quarantine with ``_reject_reason = 'bad_<column>'`` (ANSI casts
     would fail the whole job on one bad value)."""
-    out = df
-    reason = None
-    for name, dtype in types.items():
-        casted = F.col(name).try_cast(dtype)
-        bad = F.col(name).isNotNull() & casted.isNull()
-        reason = F.when(bad, F.lit(f"bad_{name}")) if reason is None else reason.when(bad, F.lit(f"bad_{name}"))
-        out = out.withColumn(f"_cast_{name}", casted)
-    out = out.withColumn(REASON, reason)
+    out = tag_casts(df, types)
     good = out.where(F.col(REASON).isNull()).drop(REASON)
     for name in types:
         good = good.withColumn(name, F.col(f"_cast_{name}")).drop(f"_cast_{name}")
