@@ -136,3 +136,24 @@ def test_fact_over_the_states_moves_the_transactions_once(spark, tmp_dir):
         "*", "'us' as country_code", "'x' as signup_channel", "'pending' as kyc_status", "timestamp_ntz'2024-01-01' as created_at",
         "timestamp_ntz'2024-01-01' as updated_at")
     assert [r["email"] for r in stg_users(twice).collect()] == ["b"]
+
+
+def test_a_micro_batch_is_parsed_once_and_not_held_by_executors(spark, tmp_dir, monkeypatch):
+    records = spark.createDataFrame([("users", line(USER))], "table string, value string")
+    plan = fanout.decoded(records, schemas.ENTITIES)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("from_json(") == len(schemas.ENTITIES)
+    real, held = fanout.merge_into_table, []
+    mine = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    def watched(*args):
+        held.extend(set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) - mine)
+        return real(*args)
+
+    monkeypatch.setattr(fanout, "merge_into_table", watched)
+    arrive(spark, tmp_dir, "2024-01-01", [("users", line(USER)), ("wallets", line(WALLET)), ("users", "{cut")])
+    run(spark, tmp_dir, job_database(spark, "fanout"))
+    assert held == []
+    staged = spark.read.parquet(f"{tmp_dir}/staged")
+    # A text is staged where it is rejected, a row where it is not.
+    assert {(r["table"], r["value"], r["_users"] is not None) for r in staged.collect()} == {
+        ("users", "{cut", False), ("users", None, True), ("wallets", None, False)}

@@ -65,14 +65,6 @@ def with_envelope(records: DataFrame, value: Column, envelope_schema: T.StructTy
     return parsed.withColumn(name, F.when(F.col(name)["_bad"].isNull(), F.col(name).dropFields("_bad")))
 
 
-def parsed_envelope(value: Column, envelope_schema: T.StructType) -> Column:
-    """The envelope in a JSON text; NULL if it is none."""
-    # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
-    tagged = T.StructType([*envelope_schema.fields, T.StructField("_bad", T.StringType())])
-    whole = F.from_json(value, tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    return F.when(whole["_bad"].isNull(), whole.dropFields("_bad"))
-
-
 def reject_reason(key: str, op: Column, before: Column, after: Column) -> Column:
     """Why a change cannot be applied (NULL when it can)."""
     key_of = F.coalesce(after.getField(key), before.getField(key))

@@ -1,6 +1,6 @@
 """One subscription, several entities.
 
-A micro-batch of change records is read, decoded and cast once, kept for the batch,
+A micro-batch of change records is read, decoded and cast once, staged in shared storage,
 and routed by entity: good rows to the entity's append log and into its state, the
 rest to the rejects. Every sink is idempotent by batch: the log and the rejects are
 folders of the batch, which a replay overwrites, and merging a change twice changes
@@ -16,63 +16,66 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import cdc
 from tidemark.sources.state import STATE_BUCKETS, merge_into_table
-from tidemark.streaming.jobs import held
+from tidemark.streaming.jobs import staged
 from tidemark.streaming.progress import counted
 
 UNKNOWN = "unknown_entity"
 
 
-def row_and_reason(env: Column, declared: T.StructType, key: str) -> tuple[Column, Column]:
-    """(flat change row with the declared types, why it cannot be applied) of a decoded envelope."""
+def change_row(env: Column, declared: T.StructType, key: str) -> Column:
+    """Flat change row with the declared types of a decoded envelope; NULL where a text does not parse."""
     payload = schemas.as_json_payload(declared)
-    after, before = env["after"], env["before"]
-    fields, bad = [F.coalesce(after[key], before[key]).alias(key)], F.lit(None).cast("string")
+    after = env["after"]
+    fields = [F.coalesce(after[key], env["before"][key]).alias(key)]
     for f in declared.fields:
-        if f.name == key:
-            continue
-        value = after[f.name]
-        if payload[f.name].dataType != f.dataType:
-            cast = value.try_cast(f.dataType)
-            bad = F.coalesce(bad, F.when(value.isNotNull() & cast.isNull(), F.lit(f"bad_{f.name}")))
-            value = cast
-        fields.append(value.alias(f.name))
-    fields += [env["op"].alias(cdc.OP), env["ts_ms"].alias(cdc.TS), env["source"]["lsn"].alias(cdc.LSN)]
-    reason = (F.when(env.isNull(), F.lit("unparsable"))
-              .otherwise(F.coalesce(cdc.reject_reason(key, env["op"], before, after),
-                                    F.when(env["ts_ms"].isNull(), F.lit("missing_ts")), bad)))
-    return F.struct(*fields), reason
+        if f.name != key:
+            value = after[f.name]
+            fields.append((value.try_cast(f.dataType) if payload[f.name].dataType != f.dataType else value).alias(f.name))
+    return F.struct(*fields, env["op"].alias(cdc.OP), env["ts_ms"].alias(cdc.TS), env["source"]["lsn"].alias(cdc.LSN))
+
+
+def row_reason(env: Column, row: Column, declared: T.StructType, key: str) -> Column:
+    """Why the envelope, whose ``change_row`` is ``row``, cannot be applied; NULL when it can."""
+    bad = F.lit(None).cast("string")
+    for f in declared.fields:
+        if f.name != key:
+            bad = F.coalesce(bad, F.when(env["after"][f.name].isNotNull() & row[f.name].isNull(), F.lit(f"bad_{f.name}")))
+    return (F.when(env.isNull(), F.lit("unparsable"))
+            .otherwise(F.coalesce(cdc.reject_reason(key, env["op"], env["before"], env["after"]),
+                                  F.when(env["ts_ms"].isNull(), F.lit("missing_ts")), bad)))
 
 
 def decoded(records: DataFrame, entities: dict[str, T.StructType]) -> DataFrame:
     """``table``, ``value``, one struct column ``_<entity>`` each and the reject reason of records
-    (``table``, ``value`` as JSON text). A record is parsed by its own entity's schema only;
+    (``table``, ``value`` as JSON text). A record is parsed once, by its own entity's schema only;
     records without a value (tombstones after deletes) are skipped."""
-    columns = []
-    for e, declared in entities.items():
-        schema = schemas.envelope(schemas.as_json_payload(declared))
-        columns.append(F.when(F.col("table") == e, cdc.parsed_envelope(F.col("value"), schema)).alias(f"_env_{e}"))
-    parsed = records.where(F.col("value").isNotNull()).select("table", "value", *columns)
+    parsed = records.where(F.col("value").isNotNull()).select("table", "value")
     rows, reason = [], F.lit(UNKNOWN)
     for e, declared in entities.items():
-        row, why = row_and_reason(F.col(f"_env_{e}"), declared, schemas.PRIMARY_KEYS[e])
-        rows.append(F.when(F.col("table") == e, row).alias(f"_{e}"))
-        reason = F.when(F.col("table") == e, why).otherwise(reason)
-    return parsed.select("table", "value", *rows, reason.alias(cdc.REASON))
+        key, env, own = schemas.PRIMARY_KEYS[e], F.col(f"_env_{e}"), F.col("table") == e
+        schema = schemas.envelope(schemas.as_json_payload(declared))
+        parsed = cdc.with_envelope(parsed, F.when(own, F.col("value")), schema, f"_env_{e}")
+        rows.append(F.when(own, change_row(env, declared, key)).alias(f"_{e}"))
+        reason = F.when(own, row_reason(env, F.col(f"_{e}"), declared, key)).otherwise(reason)
+    cast = parsed.select("*", *rows)
+    return cast.select("table", "value", *[f"_{e}" for e in entities], reason.alias(cdc.REASON))
 
 
 def route(entities: dict[str, T.StructType], database: str, folder: str, buckets: int):
     """``foreachBatch`` function over ``decoded`` records."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        with held(batch) as rows:
-            rejected = rows.where(F.col(cdc.REASON).isNotNull())
-            rejected.select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
-            for e in entities:
-                good = rows.where(F.col(cdc.REASON).isNull() & (F.col("table") == e)).select(f"_{e}.*")
-                if good.isEmpty():
-                    continue
-                good.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
-                merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", good, schemas.PRIMARY_KEYS[e], buckets)
+        spark, good, bad = batch.sparkSession, F.col(cdc.REASON).isNull(), F.col(cdc.REASON).isNotNull()
+        # A text is kept where it is rejected, its row where it is not.
+        rows = staged(batch.select("table", F.when(bad, F.col("value")).alias("value"),
+                                   *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON),
+                      f"{folder}/staged")
+        rows.where(bad).select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
+        for e in entities:
+            changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
+            if changes.isEmpty():
+                continue
+            changes.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
+            merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets)
     return apply
 
 
@@ -81,7 +84,7 @@ def entities_job(spark: SparkSession, records: DataFrame, entities: dict[str, T.
     """Route a stream of change records (``table``, ``value``) of ``entities`` and return the query.
 
     ``folder`` (shared storage) takes the bookmark (``checkpoint``), the append logs
-    (``log/table=<entity>``) and the ``rejects``; the states are ``<database>.cdc_<entity>``.
+    (``log/table=<entity>``), the ``rejects`` and, ``staged``, the rows of the last batch; the states are ``<database>.cdc_<entity>``.
     Without ``processing_time`` the job takes what is there and stops.
     For a message broker, ``landing.topic_stream`` gives the records after
     ``cdc.entity_of`` has named the table.

@@ -21,6 +21,7 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 from contextlib import contextmanager
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -79,14 +80,23 @@ def run_available_now(df: DataFrame, sink_path: str, checkpoint: str, fmt: str =
 
 @contextmanager
 def held(batch: DataFrame) -> Iterator[DataFrame]:
-    """The micro-batch, read and parsed once for all that is done with it."""
-    kept = batch.persist()
+    """The micro-batch, read and parsed once for all that is done with it. It is kept on the executors'
+    disks: a batch may be of any size, their memory is not."""
+    kept = batch.persist(StorageLevel.DISK_ONLY)
     try:
         yield kept
     finally:
         kept.unpersist()
 
 
+def staged(rows: DataFrame, path: str) -> DataFrame:
+    """Decoded rows of a micro-batch, written to ``path`` (shared storage) and read back from there for all
+    that is done with them: columns that a reader does not want are not read, and no executor holds a row.
+    The next micro-batch of the job overwrites them."""
+    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def append_batch(key: str, image_cols: Sequence[str], sink_path: str, rejects_path: str):
     """``foreachBatch`` function: the rows and the rejects of one micro-batch, each to a folder
     of the batch, which a replay overwrites."""
@@ -121,6 +131,21 @@ def append_job(spark: SparkSession, root: str, table: str, envelope_schema: T.St
     return query.lastProgress
 
 
+def applied_or_rejected(changes: DataFrame, key: str, image_cols: Sequence[str],
+                        types: dict[str, T.DataType]) -> DataFrame:
+    """Envelopes, each decided once: ``_row`` (flat and cast) where it can be applied, else ``change``
+    (JSON text) and the reason."""
+    tagged = cdc.tag_rejects(changes, key).select(F.struct(*changes.columns).alias("_change"), F.col(cdc.REASON).alias("_why"))
+    flat = cdc.flatten(tagged, key, image_cols, env="_change", keep=["_change", "_why"])
+    names = [c for c in flat.columns if c not in ("_change", "_why")]
+    cast = cdc.tag_casts(flat, types)
+    row = F.struct(*[F.col(f"_cast_{c}" if c in types else c).alias(c) for c in names])
+    rejected, unread = F.col("_why").isNotNull(), F.col(cdc.REASON).isNotNull()
+    return cast.select(F.when(~rejected & ~unread, row).alias("_row"),
+                       F.when(rejected, F.to_json("_change")).when(unread, F.to_json(F.struct(*names))).alias("change"),
+                       F.coalesce("_why", cdc.REASON).alias(cdc.REASON))
+
+
 def upsert_batch(name: str, key: str, image_cols: Sequence[str], rejects_path: str, buckets: int = STATE_BUCKETS,
                  types: dict[str, T.DataType] | None = None):
     """``foreachBatch`` function: validate, flatten, cast and merge one micro-batch
@@ -128,17 +153,15 @@ def upsert_batch(name: str, key: str, image_cols: Sequence[str], rejects_path: s
 
     ``types`` names the image columns that travel as text and their types. What
     cannot be applied goes to ``rejects_path``, one folder a micro-batch, which a
-    replay overwrites."""
+    replay overwrites; the decoded rows of the last batch stay beside it, in
+    ``<rejects_path>_staged``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        with held(batch) as changes:
-            valid, rejected = cdc.split_valid(changes, key)
-            rows, rejects = cdc.flatten(valid, key, image_cols), as_text(rejected)
-            if types:
-                rows, unread = cdc.cast_columns(rows, types)
-                rejects = rejects.unionByName(as_text(unread))
-            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-            if not rows.isEmpty():
-                merge_into_table(batch.sparkSession, name, rows, key, buckets)
+        rows = staged(applied_or_rejected(batch, key, image_cols, types or {}), f"{rejects_path.rstrip('/')}_staged")
+        rejects = rows.where(F.col(cdc.REASON).isNotNull()).select("change", cdc.REASON)
+        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+        changes = rows.where(F.col(cdc.REASON).isNull()).select("_row.*")
+        if not changes.isEmpty():
+            merge_into_table(batch.sparkSession, name, changes, key, buckets)
     return apply
 
 
