@@ -68,3 +68,56 @@ def test_append_reports_progress(spark, tmp_dir):
     # Each landed line is read once, although rows and rejects are written apart.
     assert progress is not None and progress["numInputRows"] == landed.count()
     assert spark.read.parquet(sink).count() == landed.where("op <> 'd'").count()
+
+
+def test_upsert_decides_each_change_once_and_holds_nothing_in_memory(spark, tmp_dir, monkeypatch):
+    import json
+    from pyspark.sql import types as T
+    from tidemark import schemas
+    from tidemark.sources.catalog import job_database
+    schema = schemas.envelope(T.StructType([T.StructField("id", T.LongType()), T.StructField("amount", T.StringType())]))
+
+    def change(id, amount, **x):
+        return json.dumps({"op": "u", "ts_ms": 1, "after": {"id": id, "amount": amount}, "source": {"lsn": 1}, **x})
+    lines = [change(1, "1.5"), change(2, "much"), change(3, "2", op="m"), change(4, None), "{cut"]
+    spark.createDataFrame([(x,) for x in lines], "value string").write.text(f"{tmp_dir}/land/table=t/dt=2024-01-01")
+    real, held = jobs.merge_into_table, []
+    mine = set(spark.sparkContext._jsc.getPersistentRDDs().keySet())
+
+    def watched(*args):
+        held.extend(set(spark.sparkContext._jsc.getPersistentRDDs().keySet()) - mine)
+        return real(*args)
+
+    monkeypatch.setattr(jobs, "merge_into_table", watched)
+    state = jobs.upsert_job(spark, f"{tmp_dir}/land", "t", schema, "id", ["id", "amount"], f"{job_database(spark, 'upsert')}.t",
+                            f"{tmp_dir}/ckpt", f"{tmp_dir}/rejects", types={"amount": T.DecimalType(10, 2)})
+    assert held == []
+    assert sorted((r["id"], r["amount"] and str(r["amount"])) for r in state.collect()) == [(1, "1.50"), (4, None)]
+    rejects = {r[cdc.REASON]: json.loads(r["change"]) for r in spark.read.parquet(f"{tmp_dir}/rejects").collect()}
+    assert sorted(rejects) == ["bad_amount", "unparsable", "unsupported_op"]
+    assert rejects["bad_amount"] == {"id": 2, "amount": "much", cdc.OP: "u", cdc.TS: 1, cdc.LSN: 1}
+    assert rejects["unsupported_op"]["op"] == "m" and rejects["unsupported_op"]["table"] == "t"
+
+
+def test_other_jobs_keep_a_batch_on_disk_only(spark):
+    with jobs.held(spark.range(3)) as rows:
+        assert rows.count() == 3 and not rows.storageLevel.useMemory and rows.storageLevel.useDisk
+    assert not rows.storageLevel.useDisk
+
+
+def test_changes_land_compressed_in_a_folder_of_their_entity_and_day(spark, tmp_dir):
+    from tidemark.plans import fixtures
+    from tidemark.plans.domain import Domain
+    lines = fixtures.entity_changes(Domain(spark, SF).bronze_users, "users")
+    for day in fixtures.LANDING_DAYS:
+        R._land(lines, "users", day, f"{tmp_dir}/land")
+    files = [f for at, _, names in os.walk(f"{tmp_dir}/land") for f in names if f.startswith("part-")]
+    assert files and all(f.endswith(".gz") for f in files)
+    back = spark.read.schema("value string, table string, dt string").text(f"{tmp_dir}/land")
+    assert back.exceptAll(lines).count() == lines.exceptAll(back).count() == 0
+
+
+def test_staging_over_a_merged_state_does_not_rank_it_again(spark):
+    out = R.q_stg_transactions_from_bronze(spark, SF)
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("+- Window [") == 1, plan  # that of the appended changes

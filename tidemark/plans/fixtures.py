@@ -212,34 +212,38 @@ def entity_changes(bronze: DataFrame, entity: str) -> DataFrame:
     (k mod 23 = 7), a cut-off line (k mod 29 = 8).
     """
     payload, key = schemas.as_json_payload(schemas.ENTITIES[entity]), schemas.PRIMARY_KEYS[entity]
-    k, ms = F.col(key), epoch_ms("updated_at")
-    row = F.struct(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in payload.fields])
+    k, ms, n, always = F.col(key), epoch_ms("updated_at"), F.col("_n"), F.lit(True)
+    # When, day, operation, milliseconds from the update, step.
+    changes = [(always, 0, "c", -2000, 0), (always, 0, "u", 0, 1), (k % 7 == 0, 1, "u", 0, 1), (k % 5 == 1, 0, "u", 0, 2),
+               (k % 11 == 3, 1, "d", 1000, 3), (k % 13 == 4, 1, "u", -5000, 4), (k % 17 == 5, 1, "u", 2000, 5),
+               (k % 19 == 6, 1, "m", 3000, 6), (k % 23 == 7, 0, "u", 4000, 7), (k % 29 == 8, 1, "u", 5000, 8)]
+    marked, deleted, spoiled, unknown, keyless, cut = {0: "first", 3: "second", 5: "late"}, 4, 6, 7, 8, 9
+    # The changes are numbers until they are rows, so that each line is formatted once and only on its day.
+    lines = bronze.select("*", F.explode(F.array_compact(F.array(
+        *[F.when(c[0], F.lit(i)) for i, c in enumerate(changes)]))).alias("_n"))
+
+    def told(field):
+        return F.element_at(F.array(*[F.lit(c[field]) for c in changes]), n + 1)
+
+    def sent(f):
+        value = F.col(f.name).cast(f.dataType)
+        if f.name == CHANGED[entity]:
+            for i, text in marked.items():
+                value = F.when(n == i, F.lit(text)).otherwise(value)
+        if f.name == SPOILED[entity]:
+            value = F.when(n == spoiled, F.lit("n/a")).otherwise(value)
+        if f.name == key:
+            value = F.when(n != keyless, value)
+        return value.alias(f.name)
+
+    row = F.struct(*[sent(f) for f in payload.fields])
     key_only = F.struct(*[(k if f.name == key else F.lit(None)).cast(f.dataType).alias(f.name) for f in payload.fields])
-    none = F.lit(None).cast(payload)
-
-    def change(when, day, op, at, step, after, before=none, text=F.lit(None).cast("string")):
-        return F.when(when, F.struct(
-            F.lit(LANDING_DAYS[day]).alias("dt"), text.alias("text"), F.lit(op).alias("op"), at.alias("ts_ms"),
-            before.alias("before"), after.alias("after"), F.struct((k * 10 + step).alias("lsn")).alias("source")))
-
-    def marked(value):
-        return row.withField(CHANGED[entity], F.lit(value))
-
-    always, cut_off = F.lit(True), F.concat(F.lit('{"op": "u", "ts_ms": '), k.cast("string"))
-    changes = F.array_compact(F.array(
-        change(always, 0, "c", ms - 2000, 0, marked("first")),
-        change(always, 0, "u", ms, 1, row),
-        change(k % 7 == 0, 1, "u", ms, 1, row),
-        change(k % 5 == 1, 0, "u", ms, 2, marked("second")),
-        change(k % 11 == 3, 1, "d", ms + 1000, 3, none, key_only),
-        change(k % 13 == 4, 1, "u", ms - 5000, 4, marked("late")),
-        change(k % 17 == 5, 1, "u", ms + 2000, 5, row.withField(SPOILED[entity], F.lit("n/a"))),
-        change(k % 19 == 6, 1, "m", ms + 3000, 6, none),
-        change(k % 23 == 7, 0, "u", ms + 4000, 7, row.withField(key, F.lit(None).cast(payload[key].dataType))),
-        change(k % 29 == 8, 1, "u", ms + 5000, 8, row, text=cut_off)))
-    lines = bronze.select(F.explode(changes).alias("e")).select("e.*")
-    body = F.to_json(F.struct("op", "ts_ms", "before", "after", "source"))
-    return lines.select(F.coalesce("text", body).alias("value"), F.lit(entity).alias("table"), "dt")
+    body = F.to_json(F.struct(told(2).alias("op"), (ms + told(3)).alias("ts_ms"), F.when(n == deleted, key_only).alias("before"),
+                              F.when(~n.isin(deleted, unknown), row).alias("after"),
+                              F.struct((k * 10 + told(4)).alias("lsn")).alias("source")))
+    text = F.when(n == cut, F.concat(F.lit('{"op": "u", "ts_ms": '), k.cast("string"))).otherwise(body)
+    day = F.when(n.isin([i for i, c in enumerate(changes) if c[1] == 0]), F.lit(LANDING_DAYS[0])).otherwise(F.lit(LANDING_DAYS[1]))
+    return lines.select(text.alias("value"), F.lit(entity).alias("table"), day.alias("dt"))
 
 
 # ---------------------------------------------------------------------------

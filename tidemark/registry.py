@@ -677,6 +677,12 @@ def q_stream_evolving_schema(spark, sf):
                        cdc.OP, cdc.TS, cdc.LSN)
 
 
+def _land(lines: DataFrame, entity: str, day: str, land: str) -> None:
+    """One day's lines of an entity to its folder of that day, compressed, in files of bounded size."""
+    (lines.where(F.col("dt") == day).select("value").write.mode("append").option("compression", "gzip")
+     .option("maxRecordsPerFile", 1_000_000).text(f"{land}/table={entity}/dt={day}"))
+
+
 def _merged_entity(spark, sf, entity: str, land: str, base: str, database: str) -> DataFrame:
     """Land the entity's changes of two days, one run after each and one with nothing new."""
     from tidemark.plans.bronze import merge_entity
@@ -684,7 +690,7 @@ def _merged_entity(spark, sf, entity: str, land: str, base: str, database: str)
     state = None
     for day in [*fixtures.LANDING_DAYS, None]:
         if day:
-            lines.where(F.col("dt") == day).write.mode("append").partitionBy("table", "dt").text(land)
+            _land(lines, entity, day, land)
         state = merge_entity(spark, land, entity, database, f"{base}/{entity}")
     return cdc.published(state)
 
@@ -723,11 +729,12 @@ def _routed_entities(spark, sf) -> tuple[str, str]:
     from tidemark.streaming.progress import progress_log
     folder, database = job_folder(spark, "entities"), job_database(spark, "entities")
     d = Domain(spark, sf)
-    lines = cdc.union_all([fixtures.entity_changes(getattr(d, f"bronze_{e}"), e) for e in schemas.ENTITIES])
+    lines = {e: fixtures.entity_changes(getattr(d, f"bronze_{e}"), e) for e in schemas.ENTITIES}
     with progress_log(spark, f"{folder}/progress") as log:
         for day in [*fixtures.LANDING_DAYS, None]:
             if day:
-                lines.where(F.col("dt") == day).write.mode("append").partitionBy("table", "dt").text(f"{folder}/landing")
+                for entity, changes in lines.items():
+                    _land(changes, entity, day, f"{folder}/landing")
             records = spark.readStream.schema("value string, table string, dt date").text(f"{folder}/landing")
             query = entities_job(spark, records, schemas.ENTITIES, database, folder)
             query.awaitTermination()
@@ -763,19 +770,19 @@ def q_stream_progress(spark, sf):
 def q_stg_users_from_bronze(spark, sf):
     from tidemark.plans import staging
     tables, _ = _merged_entities(spark, sf, ["users"])
-    return staging.stg_users(tables["users"], [cdc.TS, cdc.LSN])
+    return staging.stg_users(tables["users"], one_per_key=True)
 
 
 def q_stg_wallets_from_bronze(spark, sf):
     from tidemark.plans import staging
     tables, _ = _merged_entities(spark, sf, ["wallets"])
-    return staging.stg_wallets(tables["wallets"], [cdc.TS, cdc.LSN])
+    return staging.stg_wallets(tables["wallets"], one_per_key=True)
 
 
 def q_stg_transactions_from_bronze(spark, sf):
     from tidemark.plans import staging
     tables, _ = _merged_entities(spark, sf, ["transactions"])
-    return staging.stg_transactions(tables["transactions"], [cdc.TS, cdc.LSN])
+    return staging.stg_transactions(tables["transactions"], one_per_key=True)
 
 
 def q_fact_from_bronze(spark, sf):
