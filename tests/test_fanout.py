@@ -157,3 +157,32 @@ def test_a_micro_batch_is_parsed_once_and_not_held_by_executors(spark, tmp_dir,
     # A text is staged where it is rejected, a row where it is not.
     assert {(r["table"], r["value"], r["_users"] is not None) for r in staged.collect()} == {
         ("users", "{cut", False), ("users", None, True), ("wallets", None, False)}
+
+
+@pytest.mark.parametrize("job", ["fanout", "upsert"])
+def test_a_task_reads_a_bounded_number_of_staged_rows(spark, tmp_dir, monkeypatch, job):
+    """A batch of any size is sorted in tasks of so many rows, however small its files are once compressed."""
+    from tidemark.streaming import jobs
+    monkeypatch.setattr(jobs, "STAGED_ROWS", 5, raising=False)
+    module = fanout if job == "fanout" else jobs
+    real, tasks = module.merge_into_table, []
+
+    def watched(session, name, changes, *rest):
+        tasks.extend(r["count"] for r in changes.groupBy(F.spark_partition_id()).count().collect())
+        return real(session, name, changes, *rest)
+
+    monkeypatch.setattr(module, "merge_into_table", watched)
+    lines = [("users", line({**USER, "user_id": k % 30}, lsn=k)) for k in range(40)]
+    spark.createDataFrame([(v, t, "2024-01-01") for t, v in lines], "value string, table string, dt string").coalesce(1).write \
+        .partitionBy("table", "dt").text(f"{tmp_dir}/landing")
+    database, usual = job_database(spark, "fanout"), spark.conf.get("spark.sql.files.openCostInBytes")
+    if job == "fanout":
+        run(spark, tmp_dir, database)
+    else:
+        image = schemas.as_json_payload(schemas.USERS)
+        jobs.upsert_job(spark, f"{tmp_dir}/landing", "users", schemas.envelope(image), "user_id", image.fieldNames(),
+                        f"{database}.cdc_users", f"{tmp_dir}/checkpoint", f"{tmp_dir}/rejects", buckets=2)
+    assert sum(tasks) == 40 and max(tasks) <= 5, tasks
+    assert spark.conf.get("spark.sql.files.openCostInBytes") == usual
+    state = cdc.published(read_state(spark, f"{database}.cdc_users"))
+    assert {(r["user_id"], r[cdc.LSN]) for r in state.collect()} == {(k % 30, k) for k in range(10, 40)}

@@ -66,16 +66,16 @@ def route(entities: dict[str, T.StructType], database: str, folder: str, buckets
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark, good, bad = batch.sparkSession, F.col(cdc.REASON).isNull(), F.col(cdc.REASON).isNotNull()
         # A text is kept where it is rejected, its row where it is not.
-        rows = staged(batch.select("table", F.when(bad, F.col("value")).alias("value"),
-                                   *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON),
-                      f"{folder}/staged")
-        rows.where(bad).select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
-        for e in entities:
-            changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
-            if changes.isEmpty():
-                continue
-            changes.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
-            merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets)
+        kept = batch.select("table", F.when(bad, F.col("value")).alias("value"),
+                            *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON)
+        with staged(kept, f"{folder}/staged") as rows:
+            rows.where(bad).select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
+            for e in entities:
+                changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
+                if changes.isEmpty():
+                    continue
+                changes.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
+                merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets)
     return apply
 
 

@@ -89,12 +89,27 @@ def held(batch: DataFrame) -> Iterator[DataFrame]:
         kept.unpersist()
 
 
-def staged(rows: DataFrame, path: str) -> DataFrame:
+# Rows of a staged file, and so of a task that reads it: about 80 MB of a sort's memory.
+STAGED_ROWS = 250_000
+
+
+@contextmanager
+def staged(rows: DataFrame, path: str) -> Iterator[DataFrame]:
     """Decoded rows of a micro-batch, written to ``path`` (shared storage) and read back from there for all
     that is done with them: columns that a reader does not want are not read, and no executor holds a row.
-    The next micro-batch of the job overwrites them."""
-    rows.write.mode("overwrite").option("compression", "zstd").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+    The next micro-batch of the job overwrites them.
+
+    A file has at most ``STAGED_ROWS`` rows and a task reads one file. Splits by bytes would not bound a task:
+    such rows take many times their compressed size where they are sorted. Within the block only."""
+    spark, cost = rows.sparkSession, "spark.sql.files.openCostInBytes"
+    rows.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", STAGED_ROWS).parquet(path)
+    usual = spark.conf.get(cost)
+    # Opening a file counts as a whole split, so that no two files share one.
+    spark.conf.set(cost, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    try:
+        yield spark.read.schema(rows.schema).parquet(path)
+    finally:
+        spark.conf.set(cost, usual)
 
 
 def append_batch(key: str, image_cols: Sequence[str], sink_path: str, rejects_path: str):
@@ -156,12 +171,13 @@ def upsert_batch(name: str, key: str, image_cols: Sequence[str], rejects_path: s
     replay overwrites; the decoded rows of the last batch stay beside it, in
     ``<rejects_path>_staged``."""
     def apply(batch: DataFrame, batch_id: int) -> None:
-        rows = staged(applied_or_rejected(batch, key, image_cols, types or {}), f"{rejects_path.rstrip('/')}_staged")
-        rejects = rows.where(F.col(cdc.REASON).isNotNull()).select("change", cdc.REASON)
-        rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
-        changes = rows.where(F.col(cdc.REASON).isNull()).select("_row.*")
-        if not changes.isEmpty():
-            merge_into_table(batch.sparkSession, name, changes, key, buckets)
+        decided = applied_or_rejected(batch, key, image_cols, types or {})
+        with staged(decided, f"{rejects_path.rstrip('/')}_staged") as rows:
+            rejects = rows.where(F.col(cdc.REASON).isNotNull()).select("change", cdc.REASON)
+            rejects.write.mode("overwrite").parquet(f"{rejects_path}/batch={batch_id}")
+            changes = rows.where(F.col(cdc.REASON).isNull()).select("_row.*")
+            if not changes.isEmpty():
+                merge_into_table(batch.sparkSession, name, changes, key, buckets)
     return apply
 
 
