@@ -186,3 +186,37 @@ def test_a_task_reads_a_bounded_number_of_staged_rows(spark, tmp_dir, monkeypatc
     assert spark.conf.get("spark.sql.files.openCostInBytes") == usual
     state = cdc.published(read_state(spark, f"{database}.cdc_users"))
     assert {(r["user_id"], r[cdc.LSN]) for r in state.collect()} == {(k % 30, k) for k in range(10, 40)}
+
+
+@pytest.mark.parametrize("job", ["fanout", "upsert"])
+def test_a_large_first_batch_gets_buckets_of_a_bounded_number_of_changes(spark, tmp_dir, monkeypatch, job):
+    """Tasks that rank, write and read a state work on a bucket each: there are more buckets, not larger ones."""
+    from tidemark.sources import state
+    from tidemark.streaming import jobs
+    monkeypatch.setattr(state, "BUCKET_ROWS", 10, raising=False)
+    real, stages = state._write, []
+
+    def watched(df, table, key, buckets, **mode):
+        stages.append((table, df._jdf.queryExecution().executedPlan().toString().count("Exchange hashpartitioning"), buckets))
+        return real(df, table, key, buckets, **mode)
+
+    monkeypatch.setattr(state, "_write", watched)
+    database, image = job_database(spark, "fanout"), schemas.as_json_payload(schemas.USERS)
+
+    def load(day, lines):
+        arrive(spark, tmp_dir, day, [("users", x) for x in lines])
+        if job == "fanout":
+            return run(spark, tmp_dir, database)
+        jobs.upsert_job(spark, f"{tmp_dir}/landing", "users", schemas.envelope(image), "user_id", image.fieldNames(),
+                        f"{database}.cdc_users", f"{tmp_dir}/checkpoint", f"{tmp_dir}/rejects", buckets=2)
+
+    load("2024-01-01", [line({**USER, "user_id": k}, lsn=k) for k in range(75)])
+    tables = state.state_tables(spark, f"{database}.cdc_users")
+    assert state.bucket_count(spark, tables.base) == state.bucket_count(spark, tables.changes) == 8
+    # The second batch is small: it goes to the buckets that there are.
+    load("2024-01-02", [line({**USER, "user_id": k, "email": "b"}, op="u", ms=20, lsn=k) for k in range(70, 80)])
+    assert state.bucket_count(spark, tables.changes) == 8
+    shown = cdc.published(read_state(spark, f"{database}.cdc_users"))
+    assert {(r["user_id"], r["email"]) for r in shown.collect()} == {(k, "b" if k >= 70 else "a") for k in range(80)}
+    # Ranked and dealt to the buckets by one exchange; a new table of changes starts empty.
+    assert [(n, buckets) for _, n, buckets in stages] == [(1, 8), (0, 8), (1, 8)], stages

@@ -17,6 +17,8 @@ not wait: what a fold replaces stays until the fold after it.
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager, nullcontext
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,6 +28,8 @@ from tidemark.operators import cdc
 from tidemark.sources.catalog import drop_unused, properties
 
 STATE_BUCKETS = 16
+# Changes of a bucket where a batch is counted, and so of a task that ranks, sorts or reads one: at most 85 MB of a sort's memory.
+BUCKET_ROWS = 250_000
 # Properties of the state's view: its two tables and the key.
 BASE, CHANGES, KEY = "state.base", "state.changes", "state.key"
 
@@ -75,6 +79,21 @@ def _show(spark: SparkSession, name: str, now: StateTables) -> None:
               f"'{KEY}' = '{now.key}') AS {merged_sql(now.base, now.changes, now.key, columns)}")
 
 
+@contextmanager
+def _ranked_in(spark: SparkSession, partitions: int) -> Iterator[None]:
+    """Within the block the session's exchanges have so many partitions, none put together. With as many as buckets,
+    the exchange that ranks a batch also deals it to its buckets, and Spark leaves the second one out."""
+    wanted = {"spark.sql.shuffle.partitions": partitions, "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    usual = {name: spark.conf.get(name) for name in wanted}
+    for name, value in wanted.items():
+        spark.conf.set(name, value)
+    try:
+        yield
+    finally:
+        for name, value in usual.items():
+            spark.conf.set(name, value)
+
+
 def _fresh(name: str, key: str) -> StateTables:
     run = uuid.uuid4().hex[:8]
     return StateTables(f"{name}__base_{run}", f"{name}__changes_{run}", key)
@@ -89,7 +108,7 @@ def read_state(spark: SparkSession, name: str) -> DataFrame:
 
 
 def merge_into_table(spark: SparkSession, name: str, rows: DataFrame, key: str, buckets: int = STATE_BUCKETS,
-                     only_newer: bool = False) -> DataFrame:
+                     only_newer: bool = False, count: int | None = None) -> DataFrame:
     """Merge flat change rows into the state ``name``; returns the state.
 
     The first run writes the base with ``buckets`` buckets (choose state bytes / 256 MB
@@ -98,12 +117,17 @@ def merge_into_table(spark: SparkSession, name: str, rows: DataFrame, key: str,
     micro-batch is harmless. With ``only_newer`` the batch first meets the state and
     rows that the state already holds, or has passed, are not written again: for runs
     that read all changes anew each time.
+
+    A caller that knows the ``count`` of its rows tells it: a new base then has as many more
+    buckets as keep each at ``BUCKET_ROWS`` changes, and a task's memory is the same whatever the
+    batch's size or the session's number of partitions. Such rows come without an exchange of their own.
     """
     tables = state_tables(spark, name)
-    batch = cdc.compact(rows, key)
+    batch, needed = cdc.compact(rows, key), -(-(count or 0) // BUCKET_ROWS)
     if tables is None:
-        tables = _fresh(name, key)
-        _write(batch.repartition(buckets, key), tables.base, key, buckets)
+        tables, buckets = _fresh(name, key), max(buckets, needed)
+        with _ranked_in(spark, buckets) if count else nullcontext():
+            _write(batch.repartition(buckets, key), tables.base, key, buckets)
         _write(spark.table(tables.base).limit(0), tables.changes, key, buckets)
         _show(spark, name, tables)
         return spark.table(name)
@@ -115,7 +139,8 @@ def merge_into_table(spark: SparkSession, name: str, rows: DataFrame, key: str,
         batch = batch.join(held, batch[key] == F.col("_held"), "left")
         batch = batch.where(F.col("_held").isNull() | (F.struct(cdc.TS, cdc.LSN) > F.col("_held_at")))
     columns, stored = spark.table(tables.base).columns, bucket_count(spark, tables.base)
-    _write(batch.select(*columns).repartition(stored, key), tables.changes, key, stored, mode="append")
+    with _ranked_in(spark, max(stored, needed)) if count else nullcontext():
+        _write(batch.select(*columns).repartition(stored, key), tables.changes, key, stored, mode="append")
     return read_state(spark, name)
 
 

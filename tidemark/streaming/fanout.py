@@ -70,12 +70,13 @@ def route(entities: dict[str, T.StructType], database: str, folder: str, buckets
                             *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON)
         with staged(kept, f"{folder}/staged") as rows:
             rows.where(bad).select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
+            counts = {r["table"]: r["count"] for r in rows.where(good).groupBy("table").count().collect()}
             for e in entities:
-                changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
-                if changes.isEmpty():
+                if e not in counts:
                     continue
+                changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
                 changes.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
-                merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets)
+                merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets, False, counts[e])
     return apply
 
 
