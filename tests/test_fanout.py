@@ -220,3 +220,48 @@ def test_a_large_first_batch_gets_buckets_of_a_bounded_number_of_changes(spark,
     assert {(r["user_id"], r["email"]) for r in shown.collect()} == {(k, "b" if k >= 70 else "a") for k in range(80)}
     # Ranked and dealt to the buckets by one exchange; a new table of changes starts empty.
     assert [(n, buckets) for _, n, buckets in stages] == [(1, 8), (0, 8), (1, 8)], stages
+
+
+def test_all_envelopes_of_a_record_share_one_generator(spark):
+    """Each generator writes the whole record, its text included, anew."""
+    records = spark.createDataFrame([("users", line(USER)), ("users", '{"op": "u", "ts_ms": 1, "after": {"user_id": "x"}}'),
+                                     ("wallets", line(WALLET)), (None, line(USER)), ("users", None)], "table string, value string")
+    decoded = fanout.decoded(records, schemas.ENTITIES)
+    assert decoded._jdf.queryExecution().optimizedPlan().toString().count("Generate explode(") == 1
+    # An envelope that does not fit gives no row, not even the fields that did parse.
+    assert [(r["table"], r[cdc.REASON], r["_users"] is not None, r["_wallets"] is not None) for r in decoded.collect()] == [
+        ("users", None, True, False), ("users", "unparsable", False, False), ("wallets", None, False, True),
+        (None, fanout.UNKNOWN, False, False)]
+
+
+def test_an_entity_is_staged_in_files_of_its_own(spark, tmp_dir, monkeypatch):
+    """A sink opens the files of its rows and no other; what is almost all unlike is written without dictionaries."""
+    import glob
+
+    import pyarrow.parquet as pq
+    names = ("spark.sql.files.openCostInBytes", "spark.sql.maxConcurrentOutputFileWriters")
+    real, seen, usual = fanout.merge_into_table, {}, [spark.conf.get(n) for n in names]
+
+    def watched(session, name, changes, *rest):
+        files = {r[0] for r in changes.select(F.input_file_name()).distinct().collect()}
+        seen[name.rpartition(".")[2]] = (files, changes.rdd.getNumPartitions(), changes.count())
+        return real(session, name, changes, *rest)
+
+    monkeypatch.setattr(fanout, "merge_into_table", watched)
+    lines = [("users", line({**USER, "user_id": k}, lsn=k)) for k in range(6)] + [("wallets", line(WALLET)), ("users", "{cut"),
+             ("users/x=1", line(USER)), ("", line(USER)), (None, line(USER))]
+    spark.createDataFrame(lines, "table string, value string").coalesce(1).write.json(f"{tmp_dir}/broker")
+    records = spark.readStream.schema("table string, value string").json(f"{tmp_dir}/broker")
+    fanout.entities_job(spark, records, schemas.ENTITIES, job_database(spark, "fanout"), tmp_dir, buckets=2).awaitTermination()
+    assert {n: (tasks, rows) for n, (_, tasks, rows) in seen.items()} == {"cdc_users": (1, 6), "cdc_wallets": (1, 1)}
+    assert not seen["cdc_users"][0] & seen["cdc_wallets"][0]
+    # Rejected records keep the names they came with.
+    kept = spark.read.parquet(f"{tmp_dir}/rejects")
+    assert {(r["table"], r[cdc.REASON]) for r in kept.collect()} == {
+        ("users", "unparsable"), ("users/x=1", fanout.UNKNOWN), ("", fanout.UNKNOWN), (None, fanout.UNKNOWN)}
+    for folder in ("staged", "log"):
+        for f in glob.glob(f"{tmp_dir}/{folder}/**/part-*.parquet", recursive=True):
+            group = pq.ParquetFile(f).metadata.row_group(0)
+            columns = [group.column(i) for i in range(group.num_columns)]
+            assert {c.compression for c in columns} == {"ZSTD"} and not any(c.has_dictionary_page for c in columns), f
+    assert [spark.conf.get(n) for n in names] == usual

@@ -53,16 +53,30 @@ def entity_of(topic: str) -> Column:
 
 
 def with_envelope(records: DataFrame, value: Column, envelope_schema: T.StructType, name: str) -> DataFrame:
-    """``records`` and, as column ``name``, the envelope in the JSON text ``value``; NULL if it is none.
+    """``records`` and, as column ``name``, the envelope in the JSON text ``value``; NULL if it is none."""
+    parsed = with_parsed(records, {name: (value, envelope_schema)}, "_parsed")
+    env = F.col("_parsed")[name]
+    return parsed.withColumn(name, F.when(~unread(env), env.dropFields("_bad"))).drop("_parsed")
+
+
+def with_parsed(records: DataFrame, envelopes: dict[str, tuple[Column, T.StructType]], name: str) -> DataFrame:
+    """``records`` and, as struct column ``name``, an envelope for each of ``envelopes`` (field: JSON text and
+    schema). ``unread`` tells those that are none; their fields mean nothing.
 
     A generator of one row parses each text once. As a plain expression the parse would be
-    repeated for every field and in every filter that looks at the envelope.
+    repeated for every field and in every filter that looks at the envelope. All texts of a record
+    share one generator, as each writes the whole record anew.
     """
     # PERMISSIVE gives a struct of NULLs for bad JSON; the extra field tells it from a real one.
-    tagged = T.StructType([*envelope_schema.fields, T.StructField("_bad", T.StringType())])
-    whole = F.from_json(value, tagged, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
-    parsed = records.select("*", F.explode(F.array(whole)).alias(name))
-    return parsed.withColumn(name, F.when(F.col(name)["_bad"].isNull(), F.col(name).dropFields("_bad")))
+    wholes = [F.from_json(value, T.StructType([*schema.fields, T.StructField("_bad", T.StringType())]),
+                          {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"}).alias(field)
+              for field, (value, schema) in envelopes.items()]
+    return records.select("*", F.explode(F.array(F.struct(*wholes))).alias(name))
+
+
+def unread(env: Column) -> Column:
+    """Whether the text of an envelope of ``with_parsed`` is no envelope."""
+    return env.isNull() | env["_bad"].isNotNull()
 
 
 def reject_reason(key: str, op: Column, before: Column, after: Column) -> Column:

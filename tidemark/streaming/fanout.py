@@ -16,10 +16,12 @@ from pyspark.sql import types as T
 from tidemark import schemas
 from tidemark.operators import cdc
 from tidemark.sources.state import STATE_BUCKETS, merge_into_table
-from tidemark.streaming.jobs import staged
+from tidemark.streaming.jobs import CHANGES_FORMAT, staged
 from tidemark.streaming.progress import counted
 
 UNKNOWN = "unknown_entity"
+# The entity whose sinks take a staged row; NULL for a rejected one.
+TAKEN_BY = "_taken_by"
 
 
 def change_row(env: Column, declared: T.StructType, key: str) -> Column:
@@ -35,12 +37,12 @@ def change_row(env: Column, declared: T.StructType, key: str) -> Column:
 
 
 def row_reason(env: Column, row: Column, declared: T.StructType, key: str) -> Column:
-    """Why the envelope, whose ``change_row`` is ``row``, cannot be applied; NULL when it can."""
+    """Why the envelope of ``cdc.with_parsed``, whose ``change_row`` is ``row``, cannot be applied; NULL when it can."""
     bad = F.lit(None).cast("string")
     for f in declared.fields:
         if f.name != key:
             bad = F.coalesce(bad, F.when(env["after"][f.name].isNotNull() & row[f.name].isNull(), F.lit(f"bad_{f.name}")))
-    return (F.when(env.isNull(), F.lit("unparsable"))
+    return (F.when(cdc.unread(env), F.lit("unparsable"))
             .otherwise(F.coalesce(cdc.reject_reason(key, env["op"], env["before"], env["after"]),
                                   F.when(env["ts_ms"].isNull(), F.lit("missing_ts")), bad)))
 
@@ -49,14 +51,14 @@ def decoded(records: DataFrame, entities: dict[str, T.StructType]) -> DataFrame:
     """``table``, ``value``, one struct column ``_<entity>`` each and the reject reason of records
     (``table``, ``value`` as JSON text). A record is parsed once, by its own entity's schema only;
     records without a value (tombstones after deletes) are skipped."""
-    parsed = records.where(F.col("value").isNotNull()).select("table", "value")
-    rows, reason = [], F.lit(UNKNOWN)
+    own, rows, reason = {e: F.col("table") == e for e in entities}, [], F.lit(UNKNOWN)
+    parsed = cdc.with_parsed(records.where(F.col("value").isNotNull()).select("table", "value"), {
+        e: (F.when(own[e], F.col("value")), schemas.envelope(schemas.as_json_payload(declared)))
+        for e, declared in entities.items()}, "_parsed")
     for e, declared in entities.items():
-        key, env, own = schemas.PRIMARY_KEYS[e], F.col(f"_env_{e}"), F.col("table") == e
-        schema = schemas.envelope(schemas.as_json_payload(declared))
-        parsed = cdc.with_envelope(parsed, F.when(own, F.col("value")), schema, f"_env_{e}")
-        rows.append(F.when(own, change_row(env, declared, key)).alias(f"_{e}"))
-        reason = F.when(own, row_reason(env, F.col(f"_{e}"), declared, key)).otherwise(reason)
+        key, env = schemas.PRIMARY_KEYS[e], F.col("_parsed")[e]
+        rows.append(F.when(own[e] & ~cdc.unread(env), change_row(env, declared, key)).alias(f"_{e}"))
+        reason = F.when(own[e], row_reason(env, F.col(f"_{e}"), declared, key)).otherwise(reason)
     cast = parsed.select("*", *rows)
     return cast.select("table", "value", *[f"_{e}" for e in entities], reason.alias(cdc.REASON))
 
@@ -65,17 +67,19 @@ def route(entities: dict[str, T.StructType], database: str, folder: str, buckets
     """``foreachBatch`` function over ``decoded`` records."""
     def apply(batch: DataFrame, batch_id: int) -> None:
         spark, good, bad = batch.sparkSession, F.col(cdc.REASON).isNull(), F.col(cdc.REASON).isNotNull()
-        # A text is kept where it is rejected, its row where it is not.
+        # A text is kept where it is rejected, its row where it is not; the rows of an entity are in files of their own.
         kept = batch.select("table", F.when(bad, F.col("value")).alias("value"),
-                            *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON)
-        with staged(kept, f"{folder}/staged") as rows:
-            rows.where(bad).select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
-            counts = {r["table"]: r["count"] for r in rows.where(good).groupBy("table").count().collect()}
+                            *[F.when(good, F.col(f"_{e}")).alias(f"_{e}") for e in entities], cdc.REASON,
+                            F.when(good, F.col("table")).alias(TAKEN_BY))
+        with staged(kept, f"{folder}/staged", TAKEN_BY) as rows:
+            rejected, taken = rows.where(F.col(TAKEN_BY).isNull()), rows.where(F.col(TAKEN_BY).isNotNull())
+            rejected.select("table", "value", cdc.REASON).write.mode("overwrite").parquet(f"{folder}/rejects/batch={batch_id}")
+            counts = {r[TAKEN_BY]: r["count"] for r in taken.groupBy(TAKEN_BY).count().collect()}
             for e in entities:
                 if e not in counts:
                     continue
-                changes = rows.where(good & (F.col("table") == e)).select(f"_{e}.*")
-                changes.write.mode("overwrite").parquet(f"{folder}/log/table={e}/batch={batch_id}")
+                changes = rows.where(F.col(TAKEN_BY) == e).select(f"_{e}.*")
+                changes.write.mode("overwrite").options(**CHANGES_FORMAT).parquet(f"{folder}/log/table={e}/batch={batch_id}")
                 merge_into_table(spark, f"{database}.{schemas.BRONZE_NAMES[e]}", changes, schemas.PRIMARY_KEYS[e], buckets, False, counts[e])
     return apply
 

@@ -93,23 +93,32 @@ def held(batch: DataFrame) -> Iterator[DataFrame]:
 STAGED_ROWS = 125_000
 
 
+# Changes are almost all unlike: no dictionary (a column of a file would go through one to find that out), a compact codec.
+CHANGES_FORMAT = {"compression": "zstd", "parquet.enable.dictionary": "false"}
+
+
 @contextmanager
-def staged(rows: DataFrame, path: str) -> Iterator[DataFrame]:
+def staged(rows: DataFrame, path: str, by: str | None = None) -> Iterator[DataFrame]:
     """Decoded rows of a micro-batch, written to ``path`` (shared storage) and read back from there for all
     that is done with them: columns that a reader does not want are not read, and no executor holds a row.
     The next micro-batch of the job overwrites them.
 
     A file has at most ``STAGED_ROWS`` rows and a task reads one file. Splits by bytes would not bound a task:
-    such rows take many times their compressed size where they are sorted. Within the block only."""
-    spark, cost = rows.sparkSession, "spark.sql.files.openCostInBytes"
-    rows.write.mode("overwrite").option("compression", "zstd").option("maxRecordsPerFile", STAGED_ROWS).parquet(path)
-    usual = spark.conf.get(cost)
-    # Opening a file counts as a whole split, so that no two files share one.
-    spark.conf.set(cost, spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    such rows take many times their compressed size where they are sorted. With ``by``, a column of few
+    values, each value has its own files, and who wants one opens no other. Within the block only."""
+    spark, cost, writers = rows.sparkSession, "spark.sql.files.openCostInBytes", "spark.sql.maxConcurrentOutputFileWriters"
+    usual = {name: spark.conf.get(name) for name in (cost, writers)}
     try:
+        writer = rows.write.mode("overwrite").options(**CHANGES_FORMAT).option("maxRecordsPerFile", STAGED_ROWS)
+        # So many files open at once, and the rows need not be sorted by the column first.
+        spark.conf.set(writers, 8)
+        (writer.partitionBy(by) if by else writer).parquet(path)
+        # Opening a file counts as a whole split, so that no two files share one.
+        spark.conf.set(cost, spark.conf.get("spark.sql.files.maxPartitionBytes"))
         yield spark.read.schema(rows.schema).parquet(path)
     finally:
-        spark.conf.set(cost, usual)
+        for name, value in usual.items():
+            spark.conf.set(name, value)
 
 
 def append_batch(key: str, image_cols: Sequence[str], sink_path: str, rejects_path: str):
