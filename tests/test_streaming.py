@@ -1,6 +1,7 @@
 """Streaming append and foreachBatch upsert."""
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from tidemark import registry as R
@@ -121,3 +122,26 @@ def test_staging_over_a_merged_state_does_not_rank_it_again(spark):
     out = R.q_stg_transactions_from_bronze(spark, SF)
     plan = out._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("+- Window [") == 1, plan  # that of the appended changes
+
+
+@pytest.mark.parametrize("entity", ["users", "wallets", "transactions"])
+def test_lines_of_one_day_are_formatted_for_its_keys_only(spark, tmp_dir, entity):
+    from tidemark import schemas
+    from tidemark.plans import fixtures
+    from tidemark.plans.domain import Domain
+    bronze = getattr(Domain(spark, SF), f"bronze_{entity}")
+    key = schemas.PRIMARY_KEYS[entity]
+    bronze = bronze.unionByName(bronze.limit(2)).unionByName(bronze.limit(1).withColumn(key, F.lit(None).cast("bigint")))
+    whole, split = fixtures.entity_changes(bronze, entity).cache(), spark.conf.get("spark.sql.files.maxPartitionBytes")
+    for day in fixtures.LANDING_DAYS:
+        lines = fixtures.entity_changes(bronze, entity, day)
+        want = whole.where(F.col("dt") == day)
+        assert want.count() and lines.exceptAll(want).count() == want.exceptAll(lines).count() == 0
+        # No interpreted lambda: explode, values and text are one compiled stage.
+        plan = lines._jdf.queryExecution().optimizedPlan().toString()
+        assert "lambda" not in plan and plan.count("Generate explode(") == 1
+        R._land(lines, entity, day, f"{tmp_dir}/land")
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == split
+    back = spark.read.schema("value string, table string, dt string").text(f"{tmp_dir}/land")
+    assert back.exceptAll(whole).count() == whole.exceptAll(back).count() == 0
+    whole.unpersist()

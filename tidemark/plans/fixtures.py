@@ -201,8 +201,8 @@ SPOILED = {"users": "updated_at", "wallets": "updated_at", "transactions": "amou
 LANDING_DAYS = ["2030-01-01", "2030-01-02"]
 
 
-def entity_changes(bronze: DataFrame, entity: str) -> DataFrame:
-    """Landed lines (``value``, ``table``, ``dt``) of two days that lead to ``bronze``.
+def entity_changes(bronze: DataFrame, entity: str, landed: str | None = None) -> DataFrame:
+    """Landed lines (``value``, ``table``, ``dt``) of two days, or of ``landed`` alone, that lead to ``bronze``.
 
     Every key k is created, then updated to its row at ``updated_at``; lsn is 10 k
     and a step. Some keys also have: a redelivered update (k mod 7 = 0), a second
@@ -212,21 +212,26 @@ def entity_changes(bronze: DataFrame, entity: str) -> DataFrame:
     (k mod 23 = 7), a cut-off line (k mod 29 = 8).
     """
     payload, key = schemas.as_json_payload(schemas.ENTITIES[entity]), schemas.PRIMARY_KEYS[entity]
-    k, ms, n, always = F.col(key), epoch_ms("updated_at"), F.col("_n"), F.lit(True)
+    k, ms, n, always = F.col(key), F.col("_ms"), F.col("_n"), F.lit(True)
     # When, day, operation, milliseconds from the update, step.
     changes = [(always, 0, "c", -2000, 0), (always, 0, "u", 0, 1), (k % 7 == 0, 1, "u", 0, 1), (k % 5 == 1, 0, "u", 0, 2),
                (k % 11 == 3, 1, "d", 1000, 3), (k % 13 == 4, 1, "u", -5000, 4), (k % 17 == 5, 1, "u", 2000, 5),
                (k % 19 == 6, 1, "m", 3000, 6), (k % 23 == 7, 0, "u", 4000, 7), (k % 29 == 8, 1, "u", 5000, 8)]
     marked, deleted, spoiled, unknown, keyless, cut = {0: "first", 3: "second", 5: "late"}, 4, 6, 7, 8, 9
-    # The changes are numbers until they are rows, so that each line is formatted once and only on its day.
-    lines = bronze.select("*", F.explode(F.array_compact(F.array(
-        *[F.when(c[0], F.lit(i)) for i, c in enumerate(changes)]))).alias("_n"))
+    # A value is formatted once a key, for keys with a change to land. The changes are numbers until they are rows,
+    # so that each line is formatted once and only on its day; NULL numbers go after the explode, as it then compiles.
+    wanted = [(i, c[0]) for i, c in enumerate(changes) if landed in (None, LANDING_DAYS[c[1]])]
+    some = wanted[0][1]
+    for _, when in wanted[1:]:
+        some = some | when
+    cells = bronze.where(some).select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in payload.fields], epoch_ms("updated_at").alias("_ms"))
+    lines = cells.select("*", F.explode(F.array(*[F.when(when, F.lit(i)) for i, when in wanted])).alias("_n")).where(n.isNotNull())
 
     def told(field):
         return F.element_at(F.array(*[F.lit(c[field]) for c in changes]), n + 1)
 
     def sent(f):
-        value = F.col(f.name).cast(f.dataType)
+        value = F.col(f.name)
         if f.name == CHANGED[entity]:
             for i, text in marked.items():
                 value = F.when(n == i, F.lit(text)).otherwise(value)

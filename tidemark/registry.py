@@ -677,20 +677,30 @@ def q_stream_evolving_schema(spark, sf):
                        cdc.OP, cdc.TS, cdc.LSN)
 
 
+# Most bytes of the tables behind one landing task: a key makes some lines, so their text is many times longer.
+LANDED_SPLIT_BYTES = 16 * 1024 * 1024
+
+
 def _land(lines: DataFrame, entity: str, day: str, land: str) -> None:
-    """One day's lines of an entity to its folder of that day, compressed, in files of bounded size."""
-    (lines.where(F.col("dt") == day).select("value").write.mode("append").option("compression", "gzip")
-     .option("maxRecordsPerFile", 1_000_000).text(f"{land}/table={entity}/dt={day}"))
+    """One day's lines of an entity to its folder of that day, quickly compressed, in files of bounded size."""
+    spark, split = lines.sparkSession, "spark.sql.files.maxPartitionBytes"
+    usual = spark.conf.get(split)
+    spark.conf.set(split, min(LANDED_SPLIT_BYTES, spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(usual)))
+    try:
+        (lines.where(F.col("dt") == day).select("value").write.mode("append").option("compression", "gzip")
+         .option("zlib.compress.level", "BEST_SPEED").option("maxRecordsPerFile", 1_000_000).text(f"{land}/table={entity}/dt={day}"))
+    finally:
+        spark.conf.set(split, usual)
 
 
 def _merged_entity(spark, sf, entity: str, land: str, base: str, database: str) -> DataFrame:
     """Land the entity's changes of two days, one run after each and one with nothing new."""
     from tidemark.plans.bronze import merge_entity
-    lines = fixtures.entity_changes(getattr(Domain(spark, sf), f"bronze_{entity}"), entity)
+    bronze = getattr(Domain(spark, sf), f"bronze_{entity}")
     state = None
     for day in [*fixtures.LANDING_DAYS, None]:
         if day:
-            _land(lines, entity, day, land)
+            _land(fixtures.entity_changes(bronze, entity, day), entity, day, land)
         state = merge_entity(spark, land, entity, database, f"{base}/{entity}")
     return cdc.published(state)
 
@@ -729,12 +739,12 @@ def _routed_entities(spark, sf) -> tuple[str, str]:
     from tidemark.streaming.progress import progress_log
     folder, database = job_folder(spark, "entities"), job_database(spark, "entities")
     d = Domain(spark, sf)
-    lines = {e: fixtures.entity_changes(getattr(d, f"bronze_{e}"), e) for e in schemas.ENTITIES}
     with progress_log(spark, f"{folder}/progress") as log:
         for day in [*fixtures.LANDING_DAYS, None]:
             if day:
-                for entity, changes in lines.items():
-                    _land(changes, entity, day, f"{folder}/landing")
+                for entity in schemas.ENTITIES:
+                    lines = fixtures.entity_changes(getattr(d, f"bronze_{entity}"), entity, day)
+                    _land(lines, entity, day, f"{folder}/landing")
             records = spark.readStream.schema("value string, table string, dt date").text(f"{folder}/landing")
             query = entities_job(spark, records, schemas.ENTITIES, database, folder)
             query.awaitTermination()
